@@ -1 +1,190 @@
-"""."""
+"""Every load on tables derived from the test tables, next to the same result in SQL."""
+
+from __future__ import annotations
+
+import re
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from loadstone.catalog import world
+from loadstone.catalog.registry import add
+from loadstone.plans import all_loads
+from loadstone.plans.core import LoadContext
+from loadstone.plans.schemas import SCHEMAS
+
+MARK = datetime(1999, 6, 1)
+AS_OF = datetime(2001, 8, 1)
+# The migration counts as closed for most loads, so that the mark decides.
+CLOSED = {"migration_cutover": "1996-01-01 00:00:00", "submission_dir": "file:/uploads/"}
+OPEN = {"submission_dir": "file:/uploads/"}
+
+_RENAMED = {"time.project": "src_billing_project"}
+
+
+def context(spark, folder: str, hwm, targets: dict[str, str], options: dict) -> LoadContext:
+    """Sources from the world; targets from it where named, else empty tables."""
+
+    def source(name: str):
+        return world.spark_table(spark, folder, _RENAMED.get(name, "src_" + name.rpartition(".")[2]))
+
+    def target(name: str):
+        if name in targets:
+            return world.spark_table(spark, folder, targets[name])
+        return spark.createDataFrame([], SCHEMAS[name])
+
+    return LoadContext(source, target, hwm, AS_OF, options)
+
+
+def _types(table: str) -> dict[str, str]:
+    return dict(re.findall(r"(\w+) ((?:decimal\([\d,]+\))|\w+)", SCHEMAS[table]))
+
+
+def _duck_column(name: str, kind: str) -> str:
+    if kind.startswith("decimal"):
+        return f"CAST(CAST({name} AS {kind}) AS DOUBLE) AS {name}"
+    plain = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "boolean": "INTEGER"}
+    return f"CAST({name} AS {plain[kind]}) AS {name}"
+
+
+def _spark_column(name: str, kind: str):
+    if kind.startswith("decimal"):
+        return F.col(name).cast(kind).cast("double").alias(name)
+    return F.col(name).cast("int" if kind == "boolean" else kind).alias(name)
+
+
+def job(load: str, columns: str, sql: str, table: str | None = None, hwm=MARK, targets: dict | None = None, options: dict | None = None, name: str | None = None):
+    """Register a load; ``columns`` names the SQL's columns in order."""
+    table = table or load
+    names, types = columns.split(), _types(table)
+
+    def run(spark, folder):
+        ctx = context(spark, folder, hwm, targets or {}, CLOSED if options is None else options)
+        rows = all_loads()[load].run(ctx)[table].rows
+        return rows.select(*[_spark_column(c, types[c]) for c in names])
+
+    run.__name__ = name or f"load_{table}"
+    run.__doc__ = f"The {table} table after the load."
+    listed = ", ".join(_duck_column(c, types[c]) for c in names)
+    add(run.__name__, run, world.duck_sql(f"SELECT {listed} FROM ({sql}) AS result({', '.join(names)})"))
+
+
+H = "TIMESTAMP '1999-06-01'"
+
+job("contest", "contest_id contest_name contest_start_timestamp contest_end_timestamp contest_type_id contest_type_desc phase_id event_id project_category_id project_category_name", f"""
+SELECT contest_id, contest_name, start_date, end_date, c.contest_type_id, contest_type_desc, phase_id, event_id, c.project_category_id, name
+FROM src_contest c JOIN src_contest_type_lu t ON t.contest_type_id = c.contest_type_id
+JOIN src_project_category_lu p ON p.project_category_id = c.project_category_id WHERE modify_date > {H}""")
+
+job("contest_prize", "contest_prize_id contest_id prize_type_id prize_type_desc place prize_amount prize_desc", f"""
+SELECT contest_prize_id, contest_id, p.prize_type_id, prize_type_desc, place, prize_amount, prize_desc
+FROM src_contest_prize p JOIN src_prize_type_lu t ON t.prize_type_id = p.prize_type_id WHERE modify_date > {H}""")
+
+job("track", "track_id track_type_id track_type_desc track_status_id track_status_desc track_desc track_start_date track_end_date", f"""
+SELECT track_id, t.track_type_id, track_type_desc, t.track_status_id, track_status_desc, track_desc, track_start_date, track_end_date
+FROM src_track t JOIN src_track_type_lu y ON y.track_type_id = t.track_type_id JOIN src_track_status_lu s ON s.track_status_id = t.track_status_id
+WHERE create_date > {H}""")
+
+job("track_contest", "track_contest_id track_id track_contest_desc track_contest_type_id track_contest_type_desc", f"""
+SELECT track_contest_id, track_id, track_contest_desc, c.track_contest_type_id, track_contest_type_desc
+FROM src_track_contest c JOIN src_track_contest_type_lu t ON t.track_contest_type_id = c.track_contest_type_id WHERE create_date > {H}""")
+
+job("coder", "coder_id state_code country_code comp_country_code first_name email address1 address2 city home_phone work_phone image status handle handle_lower "
+    "member_since last_login modify_date create_date language_id coder_type_id", """
+SELECT c.coder_id, coalesce(a.state_code, ''), CASE WHEN a.country_code IS NULL THEN '' ELSE lpad(trim(a.country_code), 3, '0') END,
+       CASE WHEN c.comp_country_code IS NULL THEN '' ELSE lpad(trim(c.comp_country_code), 3, '0') END, u.first_name, e.address,
+       coalesce(a.address1, ''), coalesce(a.address2, ''), coalesce(a.city, ''), hp.phone_number, wp.phone_number, coalesce(i.image_id, 0),
+       u.status, u.handle, u.handle_lower, c.member_since, u.last_login, u.modify_date, u.create_date, c.language_id, c.coder_type_id
+FROM src_coder c JOIN src_user u ON u.user_id = c.coder_id JOIN src_email e ON e.user_id = u.user_id AND e.primary_ind = 1
+LEFT JOIN (SELECT x.user_id, a.* FROM src_user_address_xref x JOIN src_address a ON a.address_id = x.address_id AND a.address_type_id = 2) a ON a.user_id = u.user_id
+LEFT JOIN src_phone hp ON hp.user_id = u.user_id AND hp.phone_type_id = 2 AND hp.primary_ind = 1
+LEFT JOIN src_phone wp ON wp.user_id = u.user_id AND wp.phone_type_id = 1 AND wp.primary_ind = 1
+LEFT JOIN (SELECT x.coder_id, m.image_id FROM src_coder_image_xref x JOIN src_image m ON m.image_id = x.image_id WHERE m.image_type_id = 1 AND x.display_flag = 1) i ON i.coder_id = u.user_id
+WHERE u.user_id IN (
+  SELECT coder_id FROM src_coder WHERE modify_date > TIMESTAMP '2001-06-01'
+  UNION SELECT user_id FROM src_user_address_xref x JOIN src_address a ON a.address_id = x.address_id WHERE a.modify_date > TIMESTAMP '2001-06-01'
+  UNION SELECT user_id FROM src_phone WHERE modify_date > TIMESTAMP '2001-06-01'
+  UNION SELECT coder_id FROM src_coder_image_xref x JOIN src_image m ON m.image_id = x.image_id WHERE m.modify_date > TIMESTAMP '2001-06-01'
+  UNION SELECT user_id FROM src_email WHERE modify_date > TIMESTAMP '2001-06-01'
+  UNION SELECT user_id FROM src_user WHERE modify_date > TIMESTAMP '2001-06-01')""", hwm=datetime(2001, 6, 1))
+
+job("client_project_dim", "billing_project_id client_project_id client_id client_name client_create_date client_modification_date project_name project_create_date "
+    "billing_account_code cmc_account_id customer_number billing_account_status billing_account_start_date billing_account_end_date", """
+SELECT b.project_id, b.project_id, a.client_id, a.name, a.creation_date, a.modification_date, b.name, b.creation_date, b.po_box_number,
+       a.cmc_account_id, a.customer_number, b.active, b.start_date, b.end_date
+FROM src_client a JOIN src_client_project c ON c.client_id = a.client_id JOIN src_billing_project b ON b.project_id = c.project_id
+WHERE a.modification_date > TIMESTAMP '2001-06-01' OR b.modification_date > TIMESTAMP '2001-06-01' OR c.modification_date > TIMESTAMP '2001-06-01'""", hwm=datetime(2001, 6, 1))
+
+job("direct_project_dim", "direct_project_id name description project_status_id project_create_date project_modification_date billing_project_id", """
+SELECT project_id, name, description, project_status_id, create_date, modify_date,
+       coalesce((SELECT max(billing_account_id) FROM src_direct_project_account a WHERE a.project_id = p.project_id), 0)
+FROM src_tc_direct_project p WHERE modify_date > TIMESTAMP '1970-01-01'""", hwm=None)
+
+job("evaluation_lu", "evaluation_id evaluation_desc evaluation_value evaluation_type_id evaluation_type_desc", """
+SELECT evaluation_id, evaluation_name, value, e.evaluation_type_id, t.eval_type_name
+FROM src_evaluation e LEFT JOIN src_evaluation_type t ON t.evaluation_type_id = e.evaluation_type_id""")
+
+job("event", "event_id event_name", f"SELECT event_id, event_desc FROM src_event WHERE modify_date > {H}")
+
+_EVENT_MARK = datetime(2024, 1, 10)
+job("event_registration", "event_id user_id eligible_ind notes create_date modify_date", """
+SELECT event_id, user_id, eligible_ind, notes, create_date, modify_date FROM src_event_registration WHERE modify_date > TIMESTAMP '2024-01-10'""", hwm=_EVENT_MARK)
+
+job("user_event_xref", "event_id user_id create_date", """
+SELECT event_id, user_id, create_date FROM src_user_event_xref WHERE modify_date > TIMESTAMP '2024-01-10'""", hwm=_EVENT_MARK)
+
+_CALENDAR = {"calendar": "dw_calendar"}
+job("season", "season_id start_calendar_id end_calendar_id name rookie_competition_ind next_rookie_season_id", f"""
+SELECT s.season_id, a.calendar_id, b.calendar_id, s.name, rookie_competition_ind, next_rookie_season_id
+FROM src_season s LEFT JOIN (SELECT season_id, min(start_date) AS lo, max(end_date) AS hi FROM src_stage GROUP BY 1) x ON x.season_id = s.season_id
+LEFT JOIN dw_calendar a ON a.date = lo LEFT JOIN dw_calendar b ON b.date = hi WHERE modify_date > {H}""", targets=_CALENDAR)
+
+job("stage", "stage_id season_id start_calendar_id end_calendar_id name", f"""
+SELECT stage_id, season_id, a.calendar_id, b.calendar_id, name
+FROM src_stage LEFT JOIN dw_calendar a ON a.date = start_date LEFT JOIN dw_calendar b ON b.date = end_date WHERE modify_date > {H}""", targets=_CALENDAR)
+
+job("scorecard_template", "scorecard_template_id scorecard_type_id scorecard_type_desc", f"""
+SELECT s.scorecard_id, s.scorecard_type_id, t.name FROM src_scorecard s JOIN src_scorecard_type_lu t ON t.scorecard_type_id = s.scorecard_type_id
+WHERE s.modify_date > {H} OR t.modify_date > {H} OR s.modify_user <> 'Converter' OR t.modify_user <> 'Converter'""", options=OPEN)
+
+job("scorecard_question", "scorecard_question_id scorecard_template_id question_text question_weight section_id section_desc section_weight section_group_id "
+    "section_group_desc question_desc sort question_header", f"""
+WITH base AS (
+  SELECT q.scorecard_question_id, g.scorecard_id, q.description || q.guideline AS question_text, q.weight, q.scorecard_section_id, s.name AS section_desc,
+         s.weight * g.weight / 100 AS section_weight, s.scorecard_group_id, g.name AS group_desc, g.sort + 1 AS a, s.sort + 1 AS b, q.sort + 1 AS c
+  FROM src_scorecard_question q JOIN src_scorecard_section s ON s.scorecard_section_id = q.scorecard_section_id
+  JOIN src_scorecard_group g ON g.scorecard_group_id = s.scorecard_group_id
+  WHERE q.modify_date > {H} OR s.modify_date > {H} OR g.modify_date > {H} OR q.modify_user <> 'Converter'),
+cut AS (SELECT *, substr(question_text, 1, 251) AS head FROM base)
+SELECT scorecard_question_id, scorecard_id, question_text, weight, scorecard_section_id, section_desc, section_weight, scorecard_group_id, group_desc,
+       CAST(a AS VARCHAR) || '.' || CAST(b AS VARCHAR) || '.' || CAST(c AS VARCHAR),
+       row_number() OVER (PARTITION BY scorecard_id ORDER BY a, b, c, scorecard_question_id) - 1,
+       CASE WHEN strpos(head, chr(10)) > 0 THEN substr(question_text, 1, length(head) - strpos(reverse(head), chr(10)) + 1) || '...'
+            WHEN strpos(head, ' ') > 0 THEN substr(question_text, 1, length(head) - strpos(reverse(head), ' ')) || '...' ELSE question_text END
+FROM cut""", options=OPEN)
+
+job("user_contest_prize", "user_id contest_id prize_type_id place prize_description prize_amount prize_payment", f"""
+WITH r AS (SELECT u.user_id, p.contest_id, p.prize_type_id, p.place, p.prize_desc, p.prize_amount, u.payment
+  FROM src_user_contest_prize u JOIN src_contest_prize p ON p.contest_prize_id = u.contest_prize_id JOIN src_prize_type_lu t ON t.prize_type_id = p.prize_type_id
+  WHERE p.modify_date > {H})
+SELECT * FROM r""")
+
+job("royalty", "user_id amount royalty_date description", f"SELECT user_id, amount, royalty_date, description FROM src_royalty WHERE modify_date > {H}")
+
+job("user_reliability", "user_id rating phase_id", f"SELECT user_id, rating, phase_id FROM src_user_reliability WHERE modify_date > {H}")
+
+job("projects", "id directProjectId billingAccountId name external utm estimatedPrice actualPrice type status deletedAt createdAt createdBy updatedBy", """
+SELECT id, directProjectId, billingAccountId, name, external, utm, estimatedPrice, coalesce(actualPrice, 0), type, status, deletedAt, createdAt, createdBy, updatedBy FROM src_projects""")
+
+job("project_members", "id role userId isPrimary deletedAt createdAt updatedAt createdBy updatedBy", """
+SELECT id, role, userId, isPrimary, deletedAt, createdAt, updatedAt, createdBy, updatedBy FROM src_project_members""")
+
+ELIGIBLE = "p.project_id NOT IN (SELECT contest_id FROM src_contest_eligibility WHERE is_studio = 0)"
+
+job("contest_project_xref", "contest_id project_id", f"""
+SELECT x.contest_id, x.project_id FROM src_contest_project_xref x JOIN src_project p ON p.project_id = x.project_id
+WHERE {ELIGIBLE} AND (p.modify_date > {H} OR x.create_date > {H}) AND x.project_id IN (SELECT project_id FROM src_project_result)""")
+
+job("project_spec_review_xref", "project_id spec_review_project_id", """
+SELECT b.project_id, s.project_id FROM src_project b JOIN src_linked_project_xref x ON x.source_project_id = b.project_id AND x.link_type_id = 3
+JOIN src_project s ON s.project_id = x.dest_project_id AND s.project_category_id = 27 WHERE b.project_id IN (SELECT project_id FROM dw_project)""", targets={"project": "dw_project"})

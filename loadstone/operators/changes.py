@@ -77,10 +77,12 @@ def needs_migrated(hwm, cutover: str = fixed.MIGRATION_CUTOVER) -> bool:
     return hwm is None or hwm < datetime.fromisoformat(cutover)
 
 
-def not_migrated(hwm, *users: str | Column, marker: str = fixed.MIGRATION_USER) -> Column:
+def not_migrated(
+    hwm, *users: str | Column, marker: str = fixed.MIGRATION_USER, cutover: str = fixed.MIGRATION_CUTOVER
+) -> Column:
     """Extra condition while the migration is open: a row the migration did not write."""
     condition = F.lit(False)
-    if needs_migrated(hwm):
+    if needs_migrated(hwm, cutover):
         for user in users:
             col = F.col(user) if isinstance(user, str) else user
             condition = condition | F.coalesce(col != marker, F.lit(False))
