@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loadstone.catalog import world
 from loadstone.catalog.registry import add
+from loadstone.functions import fixed
 from loadstone.plans import all_loads
 from loadstone.plans.core import LoadContext
 from loadstone.plans.schemas import SCHEMAS
@@ -188,3 +189,272 @@ WHERE {ELIGIBLE} AND (p.modify_date > {H} OR x.create_date > {H}) AND x.project_
 job("project_spec_review_xref", "project_id spec_review_project_id", """
 SELECT b.project_id, s.project_id FROM src_project b JOIN src_linked_project_xref x ON x.source_project_id = b.project_id AND x.link_type_id = 3
 JOIN src_project s ON s.project_id = x.dest_project_id AND s.project_category_id = 27 WHERE b.project_id IN (SELECT project_id FROM dw_project)""", targets={"project": "dw_project"})
+
+# --- projects -------------------------------------------------------------------
+
+_CATEGORIES = "(" + ", ".join(map(str, fixed.LOAD_CATEGORIES)) + ")"
+_PROJECT_TARGETS = {"calendar": "dw_calendar", "stage": "dw_stage"}
+
+
+def _info(number: int, column: str = "value") -> str:
+    return f"(SELECT {column} FROM src_project_info i WHERE i.project_id = p.project_id AND i.project_info_type_id = {number})"
+
+
+def _phase(number: int, column: str, extra: str = "") -> str:
+    return f"(SELECT {column} FROM src_project_phase h WHERE h.project_id = p.project_id AND h.phase_type_id = {number}{extra})"
+
+
+def _submitted(kind: int, states: str) -> str:
+    return (
+        "(SELECT count(*) FROM src_submission s JOIN src_upload u ON u.upload_id = s.upload_id "
+        f"WHERE u.project_id = p.project_id AND s.submission_type_id = {kind} AND s.submission_status_id {states})"
+    )
+
+
+def _cost(types: tuple[int, ...] | None) -> str:
+    def kind(alias: str) -> str:
+        return "" if types is None else f" AND {alias}.payment_type_id IN ({', '.join(map(str, types))})"
+
+    counted = "{a}.installment_number = 1 AND {a}.payment_status_id NOT IN (65, 68, 69)"
+    return (
+        f"(coalesce((SELECT sum(l.total_amount) FROM latest l WHERE l.component_project_id = p.project_id AND {counted.format(a='l')}{kind('l')}), 0)"
+        f" + coalesce((SELECT sum(c.total_amount) FROM latest c JOIN latest l ON l.payment_id = c.parent_payment_id"
+        f" WHERE l.component_project_id = p.project_id AND {counted.format(a='c')}{kind('c')}), 0))"
+    )
+
+
+def _money(text: str) -> str:
+    return f"coalesce(TRY_CAST({text} AS DECIMAL(18,2)), 0)"
+
+
+_TOUCHED = f"""
+touched AS (
+  SELECT project_id FROM src_project WHERE modify_date > {H}
+  UNION SELECT i.project_id FROM src_project_info i JOIN src_comp_versions v ON CAST(v.comp_vers_id AS VARCHAR) = i.value WHERE i.project_info_type_id = 1 AND v.modify_date > {H}
+  UNION SELECT project_id FROM src_resource WHERE create_date > {H} OR modify_date > {H}
+  UNION SELECT u.project_id FROM src_upload u JOIN src_submission s ON s.upload_id = u.upload_id WHERE s.submission_type_id = 1
+        AND (u.create_date > {H} OR u.modify_date > {H} OR s.create_date > {H} OR s.modify_date > {H})
+  UNION SELECT project_id FROM src_project_result WHERE create_date > {H} OR modify_date > {H}
+  UNION SELECT project_id FROM src_project_info WHERE project_info_type_id IN (2, 3, 21, 22, 23, 26, 31, 32, 33, 38, 45, 49) AND (create_date > {H} OR modify_date > {H})
+  UNION SELECT d.component_project_id FROM src_payment m JOIN src_payment_detail d ON d.payment_detail_id = m.most_recent_detail_id
+        WHERE d.payment_status_id NOT IN (65, 69) AND (d.create_date > {H} OR d.date_modified > {H} OR m.create_date > {H} OR m.modify_date > {H}))"""
+
+_LATEST = """
+latest AS (SELECT m.payment_id, d.* FROM src_payment m JOIN src_payment_detail d ON d.payment_detail_id = m.most_recent_detail_id)"""
+
+job("project",
+    "project_id component_id component_name num_registrations num_submissions num_valid_submissions num_submissions_passed_review "
+    "num_checkpoint_submissions num_valid_checkpoint_submissions first_place_prize total_prize checkpoint_prize_number checkpoint_prize_amount "
+    "avg_raw_score avg_final_score phase_id phase_desc category_id category_desc viewable_category_ind posting_date submitby_date complete_date rating_date "
+    "review_phase_id review_phase_name status_id status_desc version_id version_text suspended_ind winner_id digital_run_ind project_category_id "
+    "tc_direct_project_id admin_fee contest_prizes_total client_project_id duration challenge_manager challenge_creator challenge_launcher copilot "
+    "checkpoint_start_date checkpoint_end_date registration_end_date scheduled_end_date dr_points reliability_cost review_cost actual_total_prize copilot_cost "
+    "forum_id submission_viewable is_private estimated_reliability_cost estimated_review_cost estimated_copilot_cost estimated_admin_fee task_ind "
+    "stage_id fulfillment start_date_calendar_id", f"""
+WITH {_TOUCHED}, {_LATEST},
+spans AS (SELECT s.stage_id, a.date AS lo, b.date AS hi FROM dw_stage s JOIN dw_calendar a ON a.calendar_id = s.start_calendar_id JOIN dw_calendar b ON b.calendar_id = s.end_calendar_id),
+firsts AS (SELECT r.project_id, min(r.resource_id) FILTER (r.resource_role_id = 13) AS m, min(r.resource_id) FILTER (r.resource_role_id = 14) AS c FROM src_resource r GROUP BY 1),
+live AS (SELECT project_id, min(project_phase_id) AS phase FROM src_project_phase WHERE phase_status_id = 2 GROUP BY 1),
+base AS (
+  SELECT p.*, cc.component_id, cc.component_name, cat.category_id, cat.category_name, cat.viewable, psl.name AS stat_name, pcl.name AS cat_name, pcl.project_type_id,
+         v.version, v.version_text, v.suspended_ind,
+         coalesce({_phase(1, 'actual_start_time')}, {_phase(1, 'scheduled_start_time')}) AS posted,
+         {_info(26)} AS run, {_info(30)} AS run_points, {_cost(None)} AS paid, {_info(57)} AS pct, {_info(31)} AS fee
+  FROM src_project p JOIN src_comp_versions v ON CAST(v.comp_vers_id AS VARCHAR) = {_info(1)}
+  JOIN src_comp_catalog cc ON CAST(cc.component_id AS VARCHAR) = {_info(2)}
+  JOIN src_categories cat ON cat.category_id = cc.root_category_id JOIN src_project_status_lu psl ON psl.project_status_id = p.project_status_id
+  JOIN src_project_category_lu pcl ON pcl.project_category_id = p.project_category_id
+  WHERE {ELIGIBLE} AND p.project_category_id IN {_CATEGORIES} AND p.project_id IN (SELECT project_id FROM touched) AND p.project_status_id <> 3 AND v.version <= 999),
+more AS (
+  SELECT p.*, paid + CASE WHEN project_status_id = 7 AND run = 'On' THEN {_money('run_points')} ELSE 0 END AS prizes,
+         CASE WHEN project_type_id <> 3 AND project_category_id NOT IN (9, 29, 39)
+              THEN (SELECT max(h.actual_end_time) FROM src_project_phase h WHERE h.project_id = p.project_id AND h.phase_type_id = 10 AND h.phase_status_id = 3
+                    AND h.actual_end_time <= (SELECT min(coalesce(k.actual_start_time, k.scheduled_start_time)) FROM src_project_phase k WHERE k.project_id = p.project_id AND k.phase_type_id = 11))
+              ELSE {_phase(4, 'actual_end_time', ' AND h.phase_status_id = 3')} END AS ended,
+         TRY_CAST({_info(21)} AS TIMESTAMP) AS completed
+  FROM base p)
+SELECT p.project_id, component_id, component_name, (SELECT count(*) FROM src_resource r WHERE r.project_id = p.project_id AND r.resource_role_id = 1),
+  {_submitted(1, '<> 5')}, {_submitted(1, 'IN (1, 3, 4)')}, {_submitted(1, 'IN (1, 4)')}, {_submitted(3, '<> 5')}, {_submitted(3, 'IN (1, 3, 4, 7)')},
+  coalesce((SELECT sum(prize_amount) FROM src_prize z WHERE z.project_id = p.project_id AND prize_type_id = 15 AND place = 1), 0),
+  coalesce((SELECT sum(number_of_submissions * prize_amount) FROM src_prize z WHERE z.project_id = p.project_id AND prize_type_id IN (14, 15)), 0),
+  coalesce((SELECT sum(number_of_submissions) FROM src_prize z WHERE z.project_id = p.project_id AND prize_type_id = 14), 0),
+  coalesce((SELECT max(prize_amount) FROM src_prize z WHERE z.project_id = p.project_id AND prize_type_id = 14), 0),
+  (SELECT avg(raw_score) FROM src_project_result r WHERE r.project_id = p.project_id), (SELECT avg(final_score) FROM src_project_result r WHERE r.project_id = p.project_id),
+  project_category_id + 111, cat_name, category_id, category_name, viewable, CAST(posted AS DATE), {_phase(2, 'actual_end_time')}, completed, TRY_CAST({_info(22)} AS TIMESTAMP),
+  coalesce(lp.phase_type_id, 0), lt.name, project_status_id, stat_name, version, version_text, suspended_ind, CAST({_info(23)} AS BIGINT),
+  CASE WHEN run IN ('On', 'Yes') THEN 1 ELSE 0 END, project_category_id, tc_direct_project_id,
+  CASE WHEN {_money('pct')} < 0.00001 THEN CASE WHEN project_status_id IN (4, 5, 6, 8, 11) THEN 0 ELSE {_money('fee')} END ELSE {_money('pct')} * prizes END, prizes,
+  CASE WHEN CAST({_info(32)} AS BIGINT) > 0 THEN CAST({_info(32)} AS BIGINT) END,
+  CASE WHEN ended >= posted THEN date_diff('second', posted, ended) // 60 END,
+  (SELECT u.user_id FROM src_resource_info ri JOIN src_user u ON CAST(u.user_id AS VARCHAR) = ri.value WHERE ri.resource_id = f.m AND ri.resource_info_type_id = 1),
+  (SELECT u.user_id FROM src_user u WHERE u.user_id = p.create_user), (SELECT u.user_id FROM src_user u WHERE CAST(u.user_id AS VARCHAR) = {_info(58)}),
+  (SELECT u.user_id FROM src_resource r JOIN src_user u ON u.user_id = r.user_id WHERE r.resource_id = f.c),
+  coalesce({_phase(15, 'actual_start_time')}, {_phase(15, 'scheduled_start_time')}), coalesce({_phase(17, 'actual_end_time')}, {_phase(17, 'scheduled_end_time')}),
+  coalesce({_phase(1, 'actual_end_time')}, {_phase(1, 'scheduled_end_time')}), (SELECT max(scheduled_end_time) FROM src_project_phase h WHERE h.project_id = p.project_id),
+  CASE WHEN run = 'On' THEN {_money('run_points')} ELSE 0 END,
+  {_cost((24,))}, {_cost((7, 26, 28, 36))}, {_cost(fixed.PRIZE_PAYMENTS)}, {_cost((45, 57))},
+  CAST({_info(4)} AS BIGINT), CASE {_info(53)} WHEN 'true' THEN 1 WHEN 'false' THEN 0 END,
+  CASE WHEN EXISTS (SELECT 1 FROM src_contest_eligibility e WHERE e.contest_id = p.project_id) THEN 1 ELSE 0 END,
+  CASE WHEN {_info(45)} = 'true' THEN {_money(_info(38))} ELSE 0 END, {_money(_info(33))} + {_money(_info(35))}, {_money(_info(49))}, {_money('fee')},
+  coalesce(CAST({_info(82)} AS BIGINT), 0),
+  (SELECT min(stage_id) FROM spans WHERE CAST(posted AS DATE) BETWEEN CAST(lo AS DATE) AND CAST(hi AS DATE)),
+  CASE WHEN completed IS NOT NULL AND tc_direct_project_id > 0 AND posted IS NOT NULL THEN CASE WHEN project_status_id = 7 THEN 1 ELSE 0 END END,
+  CASE WHEN completed IS NOT NULL AND tc_direct_project_id > 0 THEN (SELECT calendar_id FROM dw_calendar k WHERE CAST(k.date AS DATE) = CAST(posted AS DATE)) END
+FROM more p LEFT JOIN firsts f ON f.project_id = p.project_id LEFT JOIN live l ON l.project_id = p.project_id
+LEFT JOIN src_project_phase lp ON lp.project_phase_id = l.phase LEFT JOIN src_phase_type_lu lt ON lt.phase_type_id = lp.phase_type_id""",
+    targets=_PROJECT_TARGETS)
+
+
+job("marathon_match",
+    "project_id component_id component_name num_registrations num_submissions phase_id category_id posting_date submitby_date complete_date status_id version_id "
+    "project_category_id tc_direct_project_id admin_fee contest_prizes_total client_project_id duration first_place_prize total_prize fulfillment start_date_calendar_id", f"""
+WITH {_LATEST},
+base AS (
+  SELECT p.*, cc.component_id, cc.component_name, cc.root_category_id, v.version, CAST({_info(56)} AS BIGINT) AS round_id, {_info(57)} AS pct, {_info(31)} AS fee,
+         TRY_CAST({_info(21)} AS TIMESTAMP) AS completed
+  FROM src_project p JOIN src_comp_versions v ON CAST(v.comp_vers_id AS VARCHAR) = {_info(1)} JOIN src_comp_catalog cc ON CAST(cc.component_id AS VARCHAR) = {_info(2)}
+  WHERE {ELIGIBLE} AND p.project_category_id = 37 AND p.project_status_id = 7 AND v.version <= 999 AND {_info(56)} IS NOT NULL),
+more AS (
+  SELECT p.*, (SELECT start_time FROM src_round_segment g WHERE g.round_id = p.round_id AND segment_id = 1) AS posted,
+         (SELECT end_time FROM src_round_segment g WHERE g.round_id = p.round_id AND segment_id = 4) AS ended,
+         coalesce((SELECT sum(total_amount) FROM latest l WHERE l.algorithm_round_id = p.round_id AND installment_number = 1 AND component_project_id IS NULL AND payment_status_id NOT IN (65, 68, 69)), 0) AS prizes
+  FROM base p)
+SELECT project_id, component_id, component_name, (SELECT count(*) FROM src_round_registration r WHERE r.round_id = p.round_id),
+  (SELECT count(*) FROM src_long_component_state c JOIN src_long_submission s ON s.long_component_state_id = c.long_component_state_id WHERE c.round_id = p.round_id AND s.example = 0),
+  148, root_category_id, CAST(posted AS DATE), (SELECT end_time FROM src_round_segment g WHERE g.round_id = p.round_id AND segment_id = 2), completed, project_status_id, version,
+  project_category_id, tc_direct_project_id, CASE WHEN {_money('pct')} < 0.00001 THEN {_money('fee')} ELSE {_money('pct')} * prizes END, prizes,
+  CASE WHEN CAST({_info(32)} AS BIGINT) > 0 THEN CAST({_info(32)} AS BIGINT) END, CASE WHEN ended >= posted THEN date_diff('second', posted, ended) // 60 END,
+  coalesce((SELECT sum(prize_amount) FROM src_prize z WHERE z.project_id = p.project_id AND prize_type_id = 15 AND place = 1), 0),
+  coalesce((SELECT sum(number_of_submissions * prize_amount) FROM src_prize z WHERE z.project_id = p.project_id AND prize_type_id IN (14, 15)), 0),
+  CASE WHEN completed IS NOT NULL AND tc_direct_project_id > 0 AND posted IS NOT NULL THEN 1 END,
+  CASE WHEN completed IS NOT NULL AND tc_direct_project_id > 0 THEN (SELECT calendar_id FROM dw_calendar k WHERE CAST(k.date AS DATE) = CAST(posted AS DATE)) END
+FROM more p""", table="project", targets=_PROJECT_TARGETS, name="load_marathon_match")
+
+job("project_platform", "project_id project_platform_id name", """
+SELECT x.project_id, x.project_platform_id, l.name FROM src_project_platform x JOIN src_project_platform_lu l ON l.project_platform_id = x.project_platform_id
+JOIN src_project p ON p.project_id = x.project_id""")
+
+job("project_technology", "project_id project_technology_id name", """
+SELECT p.project_id, t.technology_type_id, y.technology_name FROM src_project p JOIN src_project_info i ON i.project_id = p.project_id AND i.project_info_type_id = 1
+JOIN src_comp_technology t ON CAST(t.comp_vers_id AS VARCHAR) = i.value JOIN src_technology_types y ON y.technology_type_id = t.technology_type_id""")
+
+# --- reviews --------------------------------------------------------------------
+
+
+def _reviewed(roles: str) -> str:
+    return f"""
+src_review r JOIN src_submission s ON s.submission_id = r.submission_id AND s.submission_type_id = 1
+JOIN src_upload u ON u.upload_id = s.upload_id
+JOIN src_project p ON p.project_id = u.project_id AND p.project_status_id <> 3 AND p.project_category_id IN {_CATEGORIES} AND {ELIGIBLE}
+JOIN src_resource res ON res.resource_id = r.resource_id AND res.resource_role_id IN {roles}
+JOIN src_resource_info res1 ON res1.resource_id = u.resource_id AND res1.resource_info_type_id = 1
+JOIN src_resource_info res2 ON res2.resource_id = r.resource_id AND res2.resource_info_type_id = 1"""
+
+
+def _after(*aliases: str, mark: str = H) -> str:
+    return "(" + " OR ".join(f"{a}.modify_date > {mark}" for a in aliases) + ")"
+
+
+def _items(roles: str) -> str:
+    return "src_review_item ri JOIN " + _reviewed(roles).strip().replace("src_review r JOIN", "src_review r ON r.review_id = ri.review_id JOIN", 1)
+
+
+
+_CHAIN = ("r", "s", "u", "res", "res1", "res2")
+_LATE = "TIMESTAMP '2001-03-01'"
+_LATE_MARK = datetime(2001, 3, 1)
+
+
+def _evaluation(kind: str, answer: str) -> str:
+    scale = lambda top: f"regexp_full_match({answer}, '({top})')"
+    four = f"CASE WHEN {scale('[1-4](/4)?')} THEN CAST(substr({answer}, 1, 1) AS INTEGER) END"
+    ten = f"CASE WHEN {scale('(10|[1-9])(/10)?')} THEN 10 + CAST(split_part({answer}, '/', 1) AS INTEGER) END"
+    return (
+        f"nullif(CASE WHEN {answer} IS NULL OR trim({answer}) = '' THEN NULL WHEN {kind} = 1 THEN coalesce({four}, {ten}) WHEN {kind} = 2 THEN {ten} "
+        f"WHEN {kind} = 3 THEN NULL WHEN {kind} = 4 THEN CASE WHEN {answer} IN ('Yes', '1') THEN 5 ELSE 6 END ELSE TRY_CAST({answer} AS INTEGER) END, 0)"
+    )
+
+
+_SUCCESS = "CASE WHEN ric.extra_info IS NULL THEN NULL WHEN ric.extra_info = 'Succeeded' THEN 1 ELSE 0 END"
+
+job("appeal", "appeal_id scorecard_question_id scorecard_id project_id user_id reviewer_id raw_evaluation_id final_evaluation_id appeal_text appeal_response successful_ind", f"""
+SELECT ric.review_item_comment_id, ri.scorecard_question_id, r.review_id, u.project_id, res1.value, res2.value,
+       {_evaluation('sq.scorecard_question_type_id', 'resp.extra_info')}, {_evaluation('sq.scorecard_question_type_id', 'ri.answer')},
+       coalesce(ric.content, ''), coalesce(resp.content, ''), {_SUCCESS}
+FROM {_items('(4, 5, 6, 7)')}
+JOIN src_review_item_comment ric ON ric.review_item_id = ri.review_item_id AND ric.comment_type_id = 4
+JOIN src_scorecard_question sq ON sq.scorecard_question_id = ri.scorecard_question_id
+LEFT JOIN src_review_item_comment resp ON resp.review_item_id = ri.review_item_id AND resp.comment_type_id = 5
+WHERE {_after('ric', 'ri', *_CHAIN, mark=_LATE)}""", hwm=_LATE_MARK)
+
+
+def _part(answer: str, n: int, checked: bool) -> str:
+    number = f"TRY_CAST(split_part({answer}, '/', {n}) AS INTEGER)"
+    usable = f"strpos({answer}, '/') > 0"
+    if checked:
+        usable += f" AND TRY_CAST(split_part({answer}, '/', 1) AS INTEGER) IS NOT NULL AND TRY_CAST(split_part({answer}, '/', 2) AS INTEGER) IS NOT NULL"
+    return f"CASE WHEN {usable} THEN {number} ELSE 1 END"
+
+
+job("testcase_appeal", "appeal_id scorecard_question_id scorecard_id project_id user_id reviewer_id raw_num_passed raw_num_tests final_num_passed final_num_tests appeal_text appeal_response successful_ind", f"""
+SELECT ric.review_item_comment_id, ri.scorecard_question_id, r.review_id, u.project_id, res1.value, res2.value,
+       {_part('resp.extra_info', 1, False)}, {_part('resp.extra_info', 2, False)}, {_part('ri.answer', 1, False)}, {_part('ri.answer', 2, False)},
+       ric.content, resp.content, {_SUCCESS}
+FROM {_items('(4, 5, 6, 7)')}
+JOIN src_review_item_comment ric ON ric.review_item_id = ri.review_item_id AND ric.comment_type_id = 4
+JOIN src_review_item_comment resp ON resp.review_item_id = ri.review_item_id AND resp.comment_type_id = 5
+JOIN src_scorecard_question sq ON sq.scorecard_question_id = ri.scorecard_question_id AND sq.scorecard_question_type_id = 3
+WHERE u.project_id IN (SELECT project_id FROM src_project_result) AND {_after('ric', 'ri', 'sq', 'resp', *_CHAIN)}""")
+
+job("testcase_response", "scorecard_question_id scorecard_id project_id user_id reviewer_id num_tests num_passed", f"""
+SELECT ri.scorecard_question_id, r.review_id, u.project_id, res1.value, res2.value, {_part('ri.answer', 2, True)}, {_part('ri.answer', 1, True)}
+FROM {_items('(4, 5, 6, 7)')}
+JOIN src_scorecard_question sq ON sq.scorecard_question_id = ri.scorecard_question_id AND sq.scorecard_question_type_id = 3
+WHERE {_after('ri', 'sq', *_CHAIN)}""")
+
+job("scorecard_response", "scorecard_question_id scorecard_id project_id user_id reviewer_id evaluation_id", f"""
+SELECT ri.scorecard_question_id, r.review_id, u.project_id, res1.value, res2.value, {_evaluation('sq.scorecard_question_type_id', 'ri.answer')}
+FROM {_items('(2, 3, 4, 5, 6, 7)')}
+JOIN src_scorecard_question sq ON sq.scorecard_question_id = ri.scorecard_question_id AND sq.scorecard_question_type_id IN (1, 2, 4)
+WHERE ri.answer <> '' AND u.project_id IN (SELECT project_id FROM src_project_result) AND {_after('ri', *_CHAIN, mark=_LATE)}""", hwm=_LATE_MARK)
+
+job("subjective_response", "scorecard_question_id scorecard_id project_id user_id reviewer_id response_text response_type_id response_type_desc sort", f"""
+SELECT ri.scorecard_question_id, r.review_id, u.project_id, res1.value, res2.value, ric.content,
+       CASE ric.comment_type_id WHEN 1 THEN 3 WHEN 3 THEN 1 ELSE 2 END, CASE ric.comment_type_id WHEN 1 THEN 'Comment' WHEN 3 THEN 'Required' ELSE 'Recommended' END,
+       row_number() OVER (PARTITION BY ri.scorecard_question_id, r.review_id ORDER BY ric.review_item_comment_id) - 1
+FROM {_items('(2, 3, 4, 5, 6, 7)')}
+JOIN src_review_item_comment ric ON ric.review_item_id = ri.review_item_id AND ric.comment_type_id IN (1, 2, 3)
+WHERE u.project_id IN (SELECT project_id FROM src_project_result) AND {_after('ric', 'ri', *_CHAIN, mark=_LATE)}""", hwm=_LATE_MARK)
+
+job("submission_review", "project_id user_id reviewer_id num_appeals num_successful_appeals final_score raw_score review_resp_id scorecard_id scorecard_template_id", f"""
+WITH ap AS (
+  SELECT ri.review_id, count(*) AS n, count(CASE WHEN extra_info = 'Succeeded' THEN 1 END) AS ok, count(extra_info) AS known, max(c.modify_date) AS m
+  FROM src_review_item ri JOIN src_review_item_comment c ON c.review_item_id = ri.review_item_id AND c.comment_type_id = 4 GROUP BY 1),
+rows AS (
+  SELECT u.project_id, CAST(res1.value AS BIGINT) AS user_id, CAST(res2.value AS BIGINT) AS reviewer_id, coalesce(n, 0) AS n, CASE WHEN known > 0 THEN ok END AS ok, r.score, r.initial_score,
+         CASE res.resource_role_id WHEN 7 THEN 1 WHEN 6 THEN 2 WHEN 5 THEN 3 ELSE 4 END AS resp, r.review_id, r.scorecard_id
+  FROM {_reviewed('(4, 5, 6, 7)')} LEFT JOIN ap ON ap.review_id = r.review_id WHERE {_after(*_CHAIN)} OR ap.m > {H}),
+members AS (SELECT project_id, reviewer_id, min(resp) AS resp FROM rows GROUP BY 1, 2),
+slots AS (SELECT project_id, reviewer_id, CASE WHEN resp < 4 THEN resp ELSE 3 + row_number() OVER (PARTITION BY project_id, resp < 4 ORDER BY reviewer_id) END AS slot FROM members)
+SELECT r.project_id, user_id, r.reviewer_id, n, ok, score, initial_score, slot, review_id, scorecard_id FROM rows r
+JOIN slots s ON s.project_id = r.project_id AND s.reviewer_id = r.reviewer_id""")
+
+job("submission_screening", "project_id user_id reviewer_id final_score scorecard_id scorecard_template_id", f"""
+SELECT u.project_id, res1.value, res2.value, r.score, r.review_id, r.scorecard_id FROM {_reviewed('(2, 3)')} WHERE {_after(*_CHAIN)}""")
+
+_SUBMITTED = f"""
+SELECT s.submission_id, ri.value AS submitter_id, u.project_id, CASE WHEN strpos(u.parameter, '/') <= 1 THEN 'file:/uploads/' || u.parameter ELSE u.parameter END AS url,
+       s.submission_status_id AS st, (s.modify_date > {H} OR u.modify_date > {H} OR r.modify_date >= {H} OR ri.modify_date >= {H}) AS fresh
+FROM src_submission s JOIN src_upload u ON u.upload_id = s.upload_id AND s.submission_type_id = 1 AND u.upload_type_id = 1
+JOIN src_project p ON p.project_id = u.project_id AND p.project_status_id <> 3 AND p.project_category_id IN {_CATEGORIES} AND {ELIGIBLE}
+JOIN src_resource r ON r.resource_id = u.resource_id JOIN src_resource_info ri ON ri.resource_id = r.resource_id AND ri.resource_info_type_id = 1"""
+
+job("submission", "submission_id submitter_id project_id submission_url submission_type", f"""
+SELECT submission_id, submitter_id, project_id, url, 1 FROM ({_SUBMITTED}) x WHERE st <> 5""", name="load_submission_first")
+
+job("submission", "submission_id submitter_id project_id submission_url submission_type", f"""
+WITH x AS ({_SUBMITTED}), old AS (SELECT * FROM dw_submission), ch AS (SELECT * FROM x WHERE fresh)
+SELECT o.submission_id, CAST(o.submitter_id AS BIGINT), o.project_id, coalesce(c.url, o.submission_url), 1 FROM old o LEFT JOIN ch c ON c.submission_id = o.submission_id
+WHERE c.st IS NULL OR c.st <> 5
+UNION ALL
+SELECT submission_id, CAST(submitter_id AS BIGINT), project_id, url, 1 FROM ch WHERE st <> 5 AND submission_id NOT IN (SELECT submission_id FROM old)""", targets={"submission": "dw_submission"})

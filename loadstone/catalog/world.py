@@ -293,7 +293,7 @@ TABLES: dict[str, str] = {
                '{{}}' AS utm, CAST(o_totalprice AS DECIMAL(10,2)) AS estimatedPrice, CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(10,2)) END AS actualPrice, 'terms' AS terms,
                'app' AS type, o_orderstatus AS status, '{{}}' AS details, 'all' AS challengeEligibility, CAST(NULL AS STRING) AS cancelReason, CASE WHEN o_orderstatus = 'P' THEN o_orderdate END AS deletedAt,
                o_orderdate AS createdAt, o_orderdate AS updatedAt, o_custkey AS createdBy, o_custkey AS updatedBy FROM orders""".replace("{{", "{").replace("}}", "}"),
-    "src_project_members": "SELECT resource_id AS id, user_id AS userId, CASE WHEN rf = 'A' THEN 'manager' ELSE 'customer' END AS role, rf = 'A' AS isPrimary, CASE WHEN rf = 'R' THEN d END AS deletedAt, d AS createdAt, d AS updatedAt, user_id AS createdBy, user_id AS updatedBy FROM src_entry",
+    "src_project_members": "SELECT resource_id AS id, user_id AS userId, CASE WHEN rf = 'A' THEN 'manager' ELSE 'member' END AS role, rf = 'A' AS isPrimary, CASE WHEN rf = 'R' THEN d END AS deletedAt, d AS createdAt, d AS updatedAt, user_id AS createdBy, user_id AS updatedBy FROM src_entry",
     # warehouse tables that other loads read
     "dw_calendar": """
         SELECT CAST(row_number() OVER (ORDER BY day) AS BIGINT) AS calendar_id, CAST(EXTRACT(YEAR FROM day) AS INT) AS year,
@@ -310,6 +310,9 @@ TABLES: dict[str, str] = {
     "dw_submission_review": """
         SELECT entry_project_id AS project_id, CAST(floor(submission_id / 1) AS BIGINT) % 1000000 - 500000 AS user_id, review_id,
                placement AS num_appeals, CASE WHEN placement > 3 THEN NULL ELSE placement - 1 END AS num_successful_appeals FROM src_review""",
+    "dw_submission": """
+        SELECT resource_id + 500000 AS submission_id, user_id AS submitter_id, project_id, 'old' AS submission_url, 1 AS submission_type
+        FROM src_entry WHERE q > 25 AND ln < 7""",
     "dw_coder": "SELECT coder_id, status, coder_type_id, comp_country_code FROM src_coder JOIN src_user ON user_id = coder_id",
     "dw_stage": """
         SELECT s.stage_id, a.calendar_id AS start_calendar_id, b.calendar_id AS end_calendar_id

@@ -1 +1,179 @@
-"""."""
+"""Loads of reviews, appeals, responses and submissions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from loadstone.functions.scalar import evaluation_id, path_prefix, ratio_part, success_flag, text_or_empty
+from loadstone.operators import changes, joins, merge, sequences
+from loadstone.operators.aggregates import tri_state_count, with_child_values
+from loadstone.plans.core import (
+    LoadContext, Write, load, loadable, review_changed, reviews, stamped, submissions, upsert_load, user_of,
+)
+
+# Comment types and question types.
+APPEAL, APPEAL_RESPONSE = 4, 5
+TEST_CASE = 3
+RATED_QUESTIONS = (1, 2, 4)
+# Resource roles of reviewers and screeners.
+REVIEWERS, SCREENERS, ALL_REVIEWERS = (4, 5, 6, 7), (2, 3), (2, 3, 4, 5, 6, 7)
+# Fixed value: state of a deleted submission.
+DELETED = 5
+
+
+def items(ctx: LoadContext, roles) -> DataFrame:
+    """Review items with their review."""
+    rows = stamped(ctx.source("review_item"), "ri", "review_item_id", "review_id", "scorecard_question_id", "answer")
+    return rows.join(reviews(ctx, roles), "review_id").withColumnRenamed("review_id", "scorecard_id")
+
+
+def comments(ctx: LoadContext, tag: str, *kinds: int) -> DataFrame:
+    return stamped(
+        ctx.source("review_item_comment").filter(F.col("comment_type_id").isin(*kinds)),
+        tag, "review_item_comment_id", "review_item_id", "comment_type_id", "content", "extra_info",
+    )
+
+
+def responses(ctx: LoadContext) -> DataFrame:
+    """Answers to appeals under their own names."""
+    return comments(ctx, "resp", APPEAL_RESPONSE).select(
+        "review_item_id", F.col("content").alias("resp_content"), F.col("extra_info").alias("resp_info"), "m_resp", "w_resp"
+    )
+
+
+def questions(ctx: LoadContext) -> DataFrame:
+    return stamped(ctx.source("scorecard_question"), "sq", "scorecard_question_id", "scorecard_question_type_id")
+
+
+def with_results(ctx: LoadContext, rows: DataFrame) -> DataFrame:
+    """Rows of projects that have results."""
+    return rows.join(ctx.source("project_result").select("project_id"), "project_id", "left_semi")
+
+
+@upsert_load("appeal", 4, ["appeal_id"])
+def appeal(ctx):
+    rows = comments(ctx, "ric", APPEAL).join(items(ctx, REVIEWERS), "review_item_id").join(questions(ctx), "scorecard_question_id")
+    rows = rows.filter(review_changed(ctx, "ric", "ri"))
+    rows = joins.left_where(rows, responses(ctx), ["review_item_id"])
+    kind = F.col("scorecard_question_type_id")
+    return rows.select(
+        F.col("review_item_comment_id").alias("appeal_id"), "scorecard_question_id", "scorecard_id", "user_id", "reviewer_id", "project_id",
+        evaluation_id(kind, "resp_info").alias("raw_evaluation_id"), evaluation_id(kind, "answer").alias("final_evaluation_id"),
+        text_or_empty("content").alias("appeal_text"), text_or_empty("resp_content").alias("appeal_response"),
+        success_flag("extra_info").alias("successful_ind"),
+    )
+
+
+@upsert_load("testcase_appeal", 4, ["appeal_id"])
+def testcase_appeal(ctx):
+    rows = comments(ctx, "ric", APPEAL).join(items(ctx, REVIEWERS), "review_item_id")
+    rows = rows.join(questions(ctx).filter(F.col("scorecard_question_type_id") == TEST_CASE), "scorecard_question_id")
+    rows = with_results(ctx, rows.join(responses(ctx), "review_item_id"))
+    rows = rows.filter(review_changed(ctx, "ric", "ri", "sq", "resp"))
+    parts = {
+        f"{side}_num_{name}": ratio_part(text, part, checked=False)
+        for side, text in (("raw", "resp_info"), ("final", "answer"))
+        for part, name in ((1, "passed"), (2, "tests"))
+    }
+    return rows.select(
+        F.col("review_item_comment_id").alias("appeal_id"), "scorecard_question_id", "scorecard_id", "user_id", "reviewer_id", "project_id",
+        *[value.alias(name) for name, value in parts.items()],
+        F.col("content").alias("appeal_text"), F.col("resp_content").alias("appeal_response"),
+        success_flag("extra_info").alias("successful_ind"),
+    )
+
+
+@upsert_load("testcase_response", 4, ["scorecard_question_id", "scorecard_id"])
+def testcase_response(ctx):
+    rows = items(ctx, REVIEWERS).join(questions(ctx).filter(F.col("scorecard_question_type_id") == TEST_CASE), "scorecard_question_id")
+    return rows.filter(review_changed(ctx, "ri", "sq")).select(
+        "scorecard_question_id", "scorecard_id", "user_id", "reviewer_id", "project_id",
+        ratio_part("answer", 2).alias("num_tests"), ratio_part("answer", 1).alias("num_passed"),
+    )
+
+
+@upsert_load("scorecard_response", 4, ["scorecard_question_id", "scorecard_id"])
+def scorecard_response(ctx):
+    rows = items(ctx, ALL_REVIEWERS).filter(F.col("answer") != "")
+    rows = rows.join(questions(ctx).filter(F.col("scorecard_question_type_id").isin(*RATED_QUESTIONS)), "scorecard_question_id")
+    rows = with_results(ctx, rows.filter(review_changed(ctx, "ri")))
+    return rows.withColumn("evaluation_id", evaluation_id("scorecard_question_type_id", "answer"))
+
+
+@load("subjective_response", 4)
+def subjective_response(ctx: LoadContext) -> dict[str, Write]:
+    """Comments of changed reviews replace those of their question and scorecard."""
+    rows = comments(ctx, "ric", 1, 2, 3).join(ctx.source("comment_type_lu").select("comment_type_id"), "comment_type_id", "left_semi")
+    rows = with_results(ctx, rows.join(items(ctx, ALL_REVIEWERS), "review_item_id"))
+    rows = rows.filter(review_changed(ctx, "ric", "ri"))
+    kind = F.col("comment_type_id")
+    rows = rows.withColumns({
+        "response_text": F.col("content"),
+        "response_type_id": F.when(kind == 1, 3).when(kind == 3, 1).otherwise(2),
+        "response_type_desc": F.when(kind == 1, "Comment").when(kind == 3, "Required").otherwise("Recommended"),
+    })
+    keys = ["scorecard_question_id", "scorecard_id"]
+    numbered = sequences.number_in_group(rows, keys, ["review_item_comment_id"], "sort")
+    return {"subjective_response": Write(merge.replace_by_key(ctx.target("subjective_response"), numbered, keys))}
+
+
+@load("submission_review", 4)
+def submission_review(ctx: LoadContext) -> dict[str, Write]:
+    """Reviews with their appeals, then one response slot per reviewer of a project."""
+    appeals = ctx.source("review_item").select("review_item_id", "review_id").join(
+        comments(ctx, "ric", APPEAL), "review_item_id"
+    )
+    rows = with_child_values(
+        reviews(ctx, REVIEWERS), appeals, "review_id",
+        {
+            "num_appeals": F.count(F.lit(1)),
+            "num_successful_appeals": tri_state_count(F.col("extra_info").isNotNull(), F.col("extra_info") == "Succeeded"),
+            "m_appeal": F.max("m_ric"),
+        },
+        zero=["num_appeals"],
+    )
+    rows = rows.filter(review_changed(ctx, stamps_only=["m_appeal"]))
+    role = F.col("resource_role_id")
+    rows = rows.withColumns({
+        "review_resp_id": F.when(role == 7, 1).when(role == 6, 2).when(role == 5, 3).otherwise(4),
+        "raw_score": F.col("initial_score"), "final_score": F.col("score"), "scorecard_id": F.col("review_id"),
+    })
+    rows = rows.select(
+        "project_id", "user_id", "reviewer_id", "num_appeals", "num_successful_appeals", "final_score", "raw_score", "review_resp_id",
+        "scorecard_id", "scorecard_template_id",
+    )
+    target = merge.upsert(ctx.target("submission_review"), rows, ["project_id", "user_id", "reviewer_id"], ["scorecard_id"])
+    slots = sequences.assign_slots(rows, "project_id", "reviewer_id", "review_resp_id")
+    return {"submission_review": Write(merge.upsert_columns(target, slots, ["project_id", "reviewer_id"], ["review_resp_id"]))}
+
+
+@upsert_load("submission_screening", 4, ["project_id", "user_id"], ["scorecard_id"])
+def submission_screening(ctx):
+    rows = reviews(ctx, SCREENERS).filter(review_changed(ctx))
+    return rows.withColumns({"final_score": F.col("score"), "scorecard_id": F.col("review_id")})
+
+
+@load("submission", 4)
+def submission(ctx: LoadContext) -> dict[str, Write]:
+    """Submissions: deleted ones leave, known ones get a new url only. A first run takes all."""
+    target = ctx.target("submission")
+    resource = stamped(ctx.source("resource"), "res", F.col("resource_id").alias("upload_resource_id"))
+    submitter = user_of(ctx, "ri", "submitter_id").withColumnRenamed("ri_resource_id", "upload_resource_id")
+    rows = (
+        submissions(ctx).filter(F.col("upload_type_id") == 1)
+        .join(loadable(ctx).select("project_id"), "project_id", "left_semi")
+        .join(resource, "upload_resource_id").join(submitter, "upload_resource_id")
+    )
+    if not changes.is_first_run(target):
+        users = ["w_s", "w_u", "w_res", "w_ri"]
+        rows = rows.filter(ctx.changed("m_s", "m_u", inclusive=["m_res", "m_ri"], users=users))
+    gone = rows.filter(F.col("submission_status_id") == DELETED)
+    kept = rows.filter(F.col("submission_status_id") != DELETED).withColumns({
+        "submission_url": path_prefix("parameter", ctx.options["submission_dir"]),
+        "submission_type": F.lit(1),
+    })
+    target = merge.delete_keys(target, gone.select("submission_id"), "submission_id")
+    return {"submission": Write(merge.upsert(target, kept, ["submission_id"], update=["submission_url"]))}
+
+
