@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loadstone.catalog import world
 from loadstone.catalog.registry import add
+from loadstone.catalog.scalars import _SHARES
 from loadstone.functions import fixed
 from loadstone.plans import all_loads
 from loadstone.plans.core import LoadContext
@@ -196,8 +197,8 @@ _CATEGORIES = "(" + ", ".join(map(str, fixed.LOAD_CATEGORIES)) + ")"
 _PROJECT_TARGETS = {"calendar": "dw_calendar", "stage": "dw_stage"}
 
 
-def _info(number: int, column: str = "value") -> str:
-    return f"(SELECT {column} FROM src_project_info i WHERE i.project_id = p.project_id AND i.project_info_type_id = {number})"
+def _info(number: int) -> str:
+    return f"(SELECT v{number} FROM src_attributes i WHERE i.project_id = p.project_id)"
 
 
 def _phase(number: int, column: str, extra: str = "") -> str:
@@ -458,3 +459,238 @@ SELECT o.submission_id, CAST(o.submitter_id AS BIGINT), o.project_id, coalesce(c
 WHERE c.st IS NULL OR c.st <> 5
 UNION ALL
 SELECT submission_id, CAST(submitter_id AS BIGINT), project_id, url, 1 FROM ch WHERE st <> 5 AND submission_id NOT IN (SELECT submission_id FROM old)""", targets={"submission": "dw_submission"})
+
+# --- results --------------------------------------------------------------------
+
+
+def _with_component(results: bool, projects: str, changed: bool = True) -> str:
+    stamps = ["p.modify_date", "v.modify_date", "i.modify_date", "cc.modify_date"] + (["pr.modify_date"] if results else [])
+    return f"""
+SELECT DISTINCT p.project_id FROM {projects}
+JOIN src_project_info i ON i.project_id = p.project_id AND i.project_info_type_id = 1
+JOIN src_comp_versions v ON CAST(v.comp_vers_id AS VARCHAR) = i.value JOIN src_comp_catalog cc ON cc.component_id = v.component_id
+{'JOIN src_project_result pr ON pr.project_id = p.project_id' if results else ''}
+WHERE {ELIGIBLE} {'AND (' + ' OR '.join(f'{s} > {H}' for s in stamps) + ')' if changed else ''}"""
+
+
+_LOADED = f"(SELECT * FROM src_project WHERE project_status_id <> 3 AND project_category_id IN {_CATEGORIES}) p"
+_SENT = """
+sent AS (SELECT u.project_id, u.resource_id, u.create_date AS uploaded, s.*, z.prize_amount,
+                (SELECT max(rv.modify_date) FROM src_review rv JOIN src_scorecard sc ON sc.scorecard_id = rv.scorecard_id AND sc.scorecard_type_id IN (2, 8)
+                 WHERE rv.submission_id = s.submission_id AND rv.committed = 1) AS reviewed
+         FROM src_submission s JOIN src_upload u ON u.upload_id = s.upload_id LEFT JOIN src_prize z ON z.prize_id = s.prize_id WHERE s.submission_type_id = 1)"""
+
+job("project_result",
+    "project_id user_id submit_ind valid_submission_ind raw_score final_score inquire_timestamp submit_timestamp review_complete_timestamp payment old_rating new_rating "
+    "old_reliability new_reliability placed rating_ind passed_review_ind reliable_submission_ind old_rating_id new_rating_id num_ratings rating_order num_appeals num_successful_appeals", f"""
+WITH touched AS ({_with_component(True, _LOADED)}), {_SENT},
+e AS (SELECT project_id, resource_id, max(CASE WHEN submission_status_id IN (1, 2, 3, 4) THEN 1 ELSE 0 END) AS sub,
+        max(CASE WHEN submission_status_id IN (1, 2, 3, 4) AND placement = 1 AND final_score = 100 THEN 1 ELSE 0 END) AS won,
+        max(initial_score) FILTER (submission_status_id IN (1, 2, 3, 4) AND placement = 1) AS raw, max(final_score) FILTER (submission_status_id IN (1, 2, 3, 4) AND placement = 1) AS fin,
+        max(prize_amount) FILTER (submission_status_id IN (1, 2, 3, 4) AND placement = 1 AND final_score = 100) AS prize,
+        max(uploaded) FILTER (submission_status_id <> 5) AS up, max(reviewed) FILTER (submission_status_id <> 5) AS rev FROM sent GROUP BY 1, 2),
+base AS (
+  SELECT pr.*, p.project_category_id = 38 AS s38, coalesce(e.sub, 0) AS sub, coalesce(e.won, 0) AS won, e.raw, e.fin, e.prize, e.up, e.rev, d.phase_id, d.rating_date,
+         (SELECT max(create_time) FROM src_component_inquiry q WHERE q.project_id = pr.project_id AND q.user_id = pr.user_id) AS inq,
+         (SELECT max(value) FROM src_resource_info x WHERE x.resource_id = r.resource_id AND x.resource_info_type_id = 6) AS reg,
+         y.reliability_before_resolution AS ra, y.reliability_after_resolution AS rb, y.reliable_ind
+  FROM src_project_result pr JOIN touched t ON t.project_id = pr.project_id JOIN src_project p ON p.project_id = pr.project_id
+  JOIN src_resource r ON r.project_id = pr.project_id AND r.resource_role_id = 1 AND r.user_id = pr.user_id
+  LEFT JOIN e ON e.project_id = pr.project_id AND e.resource_id = r.resource_id
+  LEFT JOIN src_project_reliability y ON y.project_id = pr.project_id AND y.user_id = pr.user_id
+  LEFT JOIN dw_project d ON d.project_id = pr.project_id
+  WHERE EXISTS (SELECT 1 FROM src_project_info i JOIN src_comp_catalog c ON CAST(c.component_id AS VARCHAR) = i.value WHERE i.project_id = p.project_id AND i.project_info_type_id = 2))
+SELECT b.project_id, b.user_id, sub, CASE WHEN s38 THEN won WHEN sub = 1 THEN valid_submission_ind ELSE 0 END, CASE WHEN s38 THEN raw ELSE raw_score END,
+  CASE WHEN s38 THEN fin ELSE final_score END, coalesce(inq, TRY_CAST(reg AS TIMESTAMP)), up, rev, CASE WHEN s38 THEN prize ELSE payment END, old_rating, new_rating, ra, rb,
+  CASE WHEN placed IS NULL AND s38 AND won = 1 THEN 1 ELSE placed END, rating_ind, CASE WHEN s38 THEN won ELSE passed_review_ind END, coalesce(reliable_ind, 0),
+  coalesce(old_rating, -2), coalesce(new_rating, -2),
+  rating_ind + CASE WHEN rating_date IS NULL THEN 0 ELSE coalesce(sum(CASE WHEN rating_date IS NOT NULL THEN rating_ind END)
+      OVER (PARTITION BY b.user_id, phase_id ORDER BY rating_date NULLS FIRST, b.project_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) END,
+  rating_order, a.n, a.ok
+FROM base b LEFT JOIN (SELECT project_id, user_id, sum(num_appeals) AS n, sum(num_successful_appeals) AS ok FROM dw_submission_review GROUP BY 1, 2) a
+  ON a.project_id = b.project_id AND a.user_id = b.user_id""", targets={"project": "dw_project", "submission_review": "dw_submission_review"})
+
+job("design_project_result",
+    "project_id user_id submission_id upload_id prize_id prize_amount placement dr_points is_checkpoint client_selection submit_timestamp review_complete_timestamp "
+    "inquire_timestamp submit_ind valid_submission_ind", f"""
+WITH touched AS ({_with_component(False, "(SELECT * FROM src_project WHERE project_status_id NOT IN (1, 2, 3, 9, 10, 11) AND project_category_id IN (SELECT project_category_id FROM src_project_category_lu WHERE project_type_id = 3)) p", False)}),
+shares AS ({_SHARES}),
+marks AS (SELECT u.project_id, count(*) AS n FROM src_submission s JOIN src_upload u ON u.upload_id = s.upload_id JOIN src_prize z ON z.prize_id = s.prize_id
+          WHERE s.submission_type_id = 1 AND (s.mark_for_purchase IS NULL OR NOT s.mark_for_purchase) GROUP BY 1),
+base AS (
+  SELECT r.project_id, r.user_id, s.submission_id, u.upload_id, z.prize_id, z.prize_amount, s.placement, s.submission_type_id = 3 AS ck, coalesce(s.mark_for_purchase, FALSE) AS mk,
+         u.create_date AS up, r.create_date AS inq, s.submission_status_id AS st, (SELECT max(v.modify_date) FROM src_review v WHERE v.submission_id = s.submission_id AND v.committed = 1) AS rev,
+         CASE WHEN {_info(26)} = 'On' THEN coalesce(TRY_CAST({_info(30)} AS DECIMAL(18,2)), 0) ELSE 0 END::DOUBLE AS total, coalesce(m.n, 0) AS n
+  FROM touched p JOIN src_resource r ON r.project_id = p.project_id AND r.resource_role_id = 1
+  LEFT JOIN src_upload u ON u.project_id = p.project_id AND u.resource_id = r.resource_id AND u.upload_status_id = 1 AND u.upload_type_id = 1
+  LEFT JOIN src_submission s ON s.upload_id = u.upload_id AND s.submission_status_id <> 5 AND s.submission_type_id IN (1, 3)
+  LEFT JOIN src_prize z ON z.prize_id = s.prize_id LEFT JOIN marks m ON m.project_id = p.project_id)
+SELECT project_id, user_id, coalesce(submission_id, 0), CASE WHEN submission_id IS NOT NULL THEN upload_id END, prize_id, prize_amount,
+  CASE WHEN submission_id IS NOT NULL AND NOT ck AND NOT mk THEN placement END,
+  CASE WHEN NOT ck AND NOT mk AND prize_id IS NOT NULL THEN CASE WHEN total > 0 AND b.n > 0 THEN coalesce(floor(total * share * 100.0 + 0.5) / 100.0, 0) ELSE 0 END END,
+  CASE WHEN submission_id IS NOT NULL THEN CAST(ck AS INTEGER) END, CASE WHEN submission_id IS NOT NULL THEN CAST(mk AS INTEGER) END,
+  CASE WHEN submission_id IS NOT NULL THEN up END, rev, inq, CASE WHEN submission_id IS NOT NULL THEN 1 ELSE 0 END, CASE WHEN st IN (1, 4) THEN 1 ELSE 0 END
+FROM base b LEFT JOIN shares h ON h.n = least(b.n, 5) AND h.p = b.placement
+WHERE submission_id IS NOT NULL OR upload_id IS NULL""")
+
+_PAID = f"(d.date_modified > {H} OR d.create_date > {H} OR t.modify_date > {H} OR t.create_date > {H})"
+_REFERENCE = "CASE t.payment_reference_id " + " ".join(f"WHEN {k} THEN d.{v}" for k, v in fixed.PAYMENT_REFERENCES.items()) + " END"
+_PAYMENT_TARGETS = {"calendar": "dw_calendar", "time": "dw_time"}
+_PAYMENT_FROM = f"""
+FROM src_payment_detail d JOIN src_payment m ON m.most_recent_detail_id = d.payment_detail_id JOIN src_payment_type_lu t ON t.payment_type_id = d.payment_type_id
+JOIN src_payment_status_lu s ON s.payment_status_id = d.payment_status_id"""
+
+job("payment", "payment_id payment_desc payment_type_id payment_type_desc reference_id parent_payment_id charity_ind show_in_profile_ind show_details_ind payment_status_id "
+    "payment_status_desc client modified_calendar_id modified_time_id installment_number jira_ticket_id created_calendar_id created_time_id", f"""
+SELECT m.payment_id, payment_desc, d.payment_type_id, payment_type_desc, CASE WHEN {_REFERENCE} > 0 THEN {_REFERENCE} END, coalesce(parent_payment_id, 0), charity_ind, show_in_profile_ind,
+  show_details_ind, d.payment_status_id, payment_status_desc, client, a.calendar_id, hour(d.date_modified) * 60 + minute(d.date_modified), installment_number, jira_issue_id,
+  c.calendar_id, hour(d.create_date) * 60 + minute(d.create_date)
+{_PAYMENT_FROM} JOIN dw_calendar a ON CAST(a.date AS DATE) = CAST(d.date_modified AS DATE) JOIN dw_calendar c ON CAST(c.date AS DATE) = CAST(d.create_date AS DATE)
+WHERE d.payment_status_id <> 69 AND {_PAID}""", targets=_PAYMENT_TARGETS)
+
+job("payment", "payment_id user_id net_amount gross_amount due_calendar_id paid_calendar_id total_amount", f"""
+SELECT m.payment_id, d.user_id, net_amount, gross_amount, a.calendar_id, c.calendar_id, total_amount
+{_PAYMENT_FROM} LEFT JOIN dw_calendar a ON CAST(a.date AS DATE) = CAST(d.date_due AS DATE) LEFT JOIN dw_calendar c ON CAST(c.date AS DATE) = CAST(d.date_paid AS DATE)
+WHERE d.payment_status_id <> 69 AND {_PAID}""", table="user_payment", targets=_PAYMENT_TARGETS)
+
+_DAY = "CAST(date_trunc('day', {}) AS TIMESTAMP)"
+job("participation", "user_id participation_type participation_date", f"""
+SELECT rr.coder_id, 1, {_DAY.format('g.start_time')} FROM src_round r JOIN src_room_result rr ON rr.round_id = r.round_id AND attended = 'Y' AND room_seed IS NOT NULL
+JOIN src_round_segment g ON g.round_id = r.round_id AND segment_id = 1 WHERE round_type_id IN (1, 2, 10) AND g.start_time > {H}
+UNION
+SELECT l.coder_id, 2, {_DAY.format('g.start_time')} FROM src_round r JOIN src_long_comp_result l ON l.round_id = r.round_id AND attended = 'Y'
+JOIN src_round_segment g ON g.round_id = r.round_id AND segment_id = 1 WHERE round_type_id IN (13, 15, 19, 22, 25) AND g.start_time > {H}
+UNION
+SELECT CAST(i.value AS BIGINT), CASE WHEN c.project_type_id IN (1, 2) THEN 3 ELSE 4 END, {_DAY.format('r.create_date')}
+FROM src_resource r JOIN src_resource_info i ON i.resource_id = r.resource_id AND i.resource_info_type_id = 1 JOIN src_project p ON p.project_id = r.project_id
+JOIN src_project_category_lu c ON c.project_category_id = p.project_category_id AND c.project_type_id IN (1, 2, 3)
+WHERE r.resource_role_id IN (1, 2, 4, 5, 6, 7, 8, 9) AND r.create_date > {H} AND NOT EXISTS (SELECT 1 FROM src_contest_eligibility e WHERE e.contest_id = r.project_id)""")
+
+job("user_rating", "user_id rating phase_id vol rating_no_vol num_ratings mod_date_time create_date_time last_rated_project_id highest_rating lowest_rating", f"""
+SELECT u.user_id, rating, u.phase_id, vol, rating_no_vol, num_ratings, TIMESTAMP '2001-08-01', TIMESTAMP '2001-08-01', last_rated_project_id, coalesce(hi, 0), coalesce(lo, 0)
+FROM src_user_rating u LEFT JOIN (
+  SELECT pr.user_id, p.project_category_id + 111 AS phase_id, max(new_rating) AS hi, min(new_rating) AS lo FROM src_project_result pr JOIN src_project p ON p.project_id = pr.project_id
+  WHERE rating_ind = 1 AND {ELIGIBLE} GROUP BY 1, 2) x ON x.user_id = u.user_id AND x.phase_id = u.phase_id WHERE mod_date_time > TIMESTAMP '2001-07-01'""", hwm=datetime(2001, 7, 1))
+
+# --- derived --------------------------------------------------------------------
+
+_RANK_TARGETS = {"user_rating": "dw_user_rating", "coder": "dw_coder", "project": "dw_project"}
+_RATED = f"""
+WITH r AS (
+  SELECT u.user_id, u.phase_id, u.rating, CASE WHEN c.coder_type_id <> 2 THEN s.school_id END AS school_id, c.comp_country_code AS country_code,
+         EXISTS (SELECT 1 FROM dw_project p WHERE p.project_id = u.last_rated_project_id AND p.phase_id = u.phase_id AND p.posting_date > TIMESTAMP '2001-08-01' - INTERVAL 180 DAY) AS active
+  FROM dw_user_rating u JOIN dw_coder c ON c.coder_id = u.user_id AND c.status = 'A' LEFT JOIN src_current_school s ON s.coder_id = u.user_id
+  WHERE u.phase_id IN ({', '.join(str(c + fixed.PHASE_OFFSET) for c in fixed.RATED_CATEGORIES)})),
+typed AS (SELECT *, 1 AS kind FROM r UNION ALL SELECT *, 2 FROM r WHERE active)"""
+
+
+def _rank_sql(keys: str, position: bool, where: str = "TRUE") -> str:
+    group = f"PARTITION BY kind, phase_id{', ' + keys if keys else ''}"
+    rank = f"rank() OVER ({group} ORDER BY rating DESC)"
+    total = f"count(*) OVER ({group})"
+    place = f", row_number() OVER ({group} ORDER BY rating DESC, user_id)" if position else ""
+    return _RATED + f" SELECT user_id, phase_id{', ' + keys if keys else ''}, {rank}{place}, round(100 * (({total} - {rank})::DOUBLE / {total}), 4), kind FROM typed WHERE {where}"
+
+
+job("user_rank", "user_id phase_id rank percentile user_rank_type_id", _rank_sql("", False), targets=_RANK_TARGETS)
+job("user_rank", "user_id phase_id school_id rank rank_no_tie percentile user_rank_type_id", _rank_sql("school_id", True, "school_id > 0"), table="school_user_rank", targets=_RANK_TARGETS)
+job("user_rank", "user_id phase_id country_code rank rank_no_tie percentile user_rank_type_id", _rank_sql("country_code", True), table="country_user_rank", targets=_RANK_TARGETS)
+
+job("streak", "coder_id streak_type_id phase_id start_project_id end_project_id length is_current", """
+WITH r AS (
+  SELECT pr.user_id, p.phase_id, pr.project_id, pr.rating_order, coalesce(pr.placed, 0) AS pl, coalesce(round(pr.new_rating), 0) AS ra,
+         lag(coalesce(round(pr.new_rating), 0)) OVER (PARTITION BY pr.user_id, p.phase_id ORDER BY pr.rating_order, pr.project_id) AS prev
+  FROM dw_project_result pr JOIN dw_project p ON p.project_id = pr.project_id
+  WHERE pr.valid_submission_ind = 1 AND pr.rating_ind = 1 AND p.status_id IN (4, 5, 7) AND p.phase_id IN (112, 113)),
+k AS (SELECT *, 1 AS kind, pl = 1 AS ok FROM r UNION ALL SELECT *, 2, pl IN (1, 2) FROM r
+      UNION ALL SELECT *, 3, coalesce(prev >= 0 AND ra > prev, FALSE) FROM r UNION ALL SELECT *, 4, coalesce(prev >= 0 AND ra < prev, FALSE) FROM r),
+i AS (SELECT *, sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY kind, user_id, phase_id ORDER BY rating_order, project_id) AS island,
+             sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY kind, user_id, phase_id) AS final FROM k)
+SELECT user_id, kind, phase_id, min_by(project_id, rating_order), max_by(project_id, rating_order), count(*), max(CASE WHEN island = final THEN 1 ELSE 0 END)
+FROM i WHERE ok GROUP BY kind, user_id, phase_id, island HAVING count(*) > 1""", targets={"project": "dw_project", "project_result": "dw_project_result"})
+
+job("dr_points", "dr_points_id track_id dr_points_reference_type_id dr_points_reference_type_desc dr_points_operation_id dr_points_operation_desc dr_points_type_id dr_points_type_desc "
+    "dr_points_status_id dr_points_status_desc dr_points_desc user_id amount application_date award_date reference_id is_potential", """
+SELECT p.dr_points_id, p.track_id, p.dr_points_reference_type_id, 'points reference', p.dr_points_operation_id, 'points operation', 1, 'points type', 1, 'points status', p.dr_points_desc, p.user_id,
+  CASE WHEN p.dr_points_operation_id = 2 THEN coalesce(CASE WHEN p.dr_points_reference_type_id = 2 THEN q.amount ELSE 0 END, 0) * p.amount / 100 ELSE p.amount END,
+  p.application_date, p.award_date, coalesce(p.reference_id, 0), p.is_potential
+FROM src_dr_points p LEFT JOIN src_dr_points q ON q.dr_points_id = p.reference_id
+WHERE p.track_id IN (SELECT track_id FROM src_dr_points WHERE modify_date > TIMESTAMP '2024-01-30' OR create_date > TIMESTAMP '2024-01-30')""", hwm=datetime(2024, 1, 30))
+
+job("track_contest_results", "track_contest_id user_id track_contest_placement track_contest_prize taxable_track_contest_prize", """
+WITH c AS (SELECT t.track_contest_id, t.track_id, l.class_name FROM src_track_contest t JOIN src_track_contest_type_lu y ON y.track_contest_type_id = t.track_contest_type_id
+           JOIN src_track_contest_result_calculator_lu l ON l.track_contest_result_calculator_id = t.track_contest_result_calculator_id
+           WHERE t.track_id IN (SELECT track_id FROM src_dr_points WHERE modify_date > TIMESTAMP '2024-01-10' OR create_date > TIMESTAMP '2024-01-10')),
+pts AS (SELECT d.track_id, d.user_id, d.amount, d.is_potential, coalesce(pr.placed, 0) AS placed, pr.project_id IS NOT NULL AND coalesce(pr.payment, 0) = 0 AS tax
+        FROM dw_dr_points d LEFT JOIN dw_project_result pr ON d.dr_points_reference_type_id = 1 AND pr.project_id = d.reference_id AND pr.user_id = d.user_id),
+tot AS (SELECT c.track_contest_id, user_id,
+          sum(CASE WHEN is_potential THEN 0 ELSE amount END * CASE WHEN class_name = 'top_performers' AND placed = 1 THEN 2 ELSE 1 END) AS fin,
+          sum(CASE WHEN is_potential OR NOT tax THEN 0 ELSE amount END * CASE WHEN class_name = 'top_performers' AND placed = 1 THEN 2 ELSE 1 END) AS taxable
+        FROM pts JOIN c ON c.track_id = pts.track_id GROUP BY 1, 2),
+k AS (SELECT *, rank() OVER (PARTITION BY track_contest_id ORDER BY fin DESC) AS place FROM tot)
+SELECT track_contest_id, user_id, k.place, CASE WHEN fin > 0 THEN z.prize_amount END,
+  CASE WHEN fin > 0 THEN z.prize_amount::DOUBLE * (taxable::DOUBLE / fin::DOUBLE) END
+FROM k LEFT JOIN src_contest_prize z ON z.contest_id = k.track_contest_id AND z.place = k.place""",
+    hwm=datetime(2024, 1, 10), targets={"dr_points": "dw_dr_points", "project_result": "dw_project_result"}, options={"track_prizes": "contest_prize"})
+
+_POSTED = """
+posted AS (SELECT project_id, coalesce(max(actual_start_time) FILTER (phase_type_id = 1), max(actual_start_time) FILTER (phase_type_id = 2)) AS posted FROM src_project_phase GROUP BY 1)"""
+
+job("contest_result", "contest_id coder_id initial_points final_points potential_points current_place current_prize", f"""
+WITH {_POSTED}, shares AS ({_SHARES}),
+touched AS (SELECT DISTINCT s.stage_id FROM src_project p JOIN src_project_result pr ON pr.project_id = p.project_id JOIN posted d ON d.project_id = p.project_id
+            JOIN src_stage s ON d.posted BETWEEN s.start_date AND s.end_date
+            WHERE p.project_status_id <> 3 AND p.project_category_id IN {_CATEGORIES} AND {ELIGIBLE} AND (p.modify_date > {H} OR pr.modify_date > {H})),
+contests AS (SELECT c.contest_id, c.project_category_id AS cat, l.class_name, x.top_performers_factor AS factor, s.start_date, s.end_date
+             FROM src_contest_stage_xref x JOIN touched t ON t.stage_id = x.stage_id JOIN src_stage s ON s.stage_id = x.stage_id JOIN src_contest c ON c.contest_id = x.contest_id
+             JOIN src_contest_result_calculator_lu l ON l.contest_result_calculator_id = c.contest_result_calculator_id),
+r AS (
+  SELECT c.contest_id, c.class_name, c.factor, pr.user_id, pr.placed, pr.point_adjustment AS adj, p.project_status_id AS st,
+         coalesce(TRY_CAST({_info(30)} AS DECIMAL(18,2)), TRY_CAST({_info(16)} AS DECIMAL(18,2)))::DOUBLE AS amount,
+         (SELECT count(*) FROM src_submission s JOIN src_upload u ON u.upload_id = s.upload_id WHERE u.project_id = p.project_id AND s.submission_type_id = 1 AND s.submission_status_id IN (1, 4)) AS n,
+         CASE WHEN EXISTS (SELECT 1 FROM src_submission s JOIN src_upload u ON u.upload_id = s.upload_id JOIN src_resource_info i ON i.resource_id = u.resource_id AND i.resource_info_type_id = 1
+              WHERE u.project_id = p.project_id AND i.value = CAST(pr.user_id AS VARCHAR) AND s.submission_type_id = 1 AND s.submission_status_id IN (1, 2, 3, 4)) THEN pr.valid_submission_ind ELSE 0 END AS valid
+  FROM src_project p JOIN src_project_result pr ON pr.project_id = p.project_id JOIN posted d ON d.project_id = p.project_id
+  JOIN contests c ON (p.project_category_id = c.cat OR (c.cat = 2 AND p.project_category_id = 5)) AND d.posted BETWEEN c.start_date AND c.end_date
+  WHERE {_info(26)} = 'On' AND (pr.rating_ind = 1 OR p.project_category_id = 5) AND {ELIGIBLE}),
+pts AS (
+  SELECT r.*, CASE WHEN st IN (7, 8) THEN CASE WHEN amount > 0 AND r.n > 0 AND placed BETWEEN 1 AND 5 THEN floor(amount * a.share * 100.0 + 0.5) / 100.0 ELSE 0 END ELSE 0 END AS got,
+         CASE WHEN st NOT IN (7, 8) AND valid = 1 AND amount > 0 AND r.n > 0 THEN floor(amount * b.share * 100.0 + 0.5) / 100.0 ELSE 0 END AS pot,
+         CASE WHEN class_name = 'top_performers' AND placed = 1 THEN factor::DOUBLE ELSE 1.0::DOUBLE END AS w
+  FROM r LEFT JOIN shares a ON a.n = least(r.n, 5) AND a.p = r.placed LEFT JOIN shares b ON b.n = least(r.n, 5) AND b.p = 1 WHERE valid = 1 OR st = 7),
+tot AS (SELECT contest_id, user_id, sum(CAST(got * w AS DECIMAL(18,2))) AS ini, sum(CAST((got + adj) * w AS DECIMAL(18,2))) AS fin, sum(CAST(pot * w AS DECIMAL(18,2))) AS pot FROM pts GROUP BY 1, 2),
+k AS (SELECT *, rank() OVER (PARTITION BY contest_id ORDER BY fin DESC) AS place FROM tot)
+SELECT k.contest_id, user_id, ini, fin, pot, k.place, CASE WHEN fin > 0 THEN z.prize_amount END FROM k LEFT JOIN src_contest_prize z ON z.contest_id = k.contest_id AND z.place = k.place""")
+
+job("tcd_project_stat", "direct_project_id project_category_id stat_date cost duration fulfillment total_project", """
+SELECT tc_direct_project_id, project_category_id, CAST(date_trunc('day', complete_date) AS TIMESTAMP), sum(admin_fee + contest_prizes_total),
+  sum(date_diff('second', posting_date, complete_date) // 60), sum(CASE WHEN status_id = 7 THEN 1 ELSE 0 END), count(*)
+FROM dw_project WHERE complete_date IS NOT NULL AND tc_direct_project_id > 0 AND posting_date IS NOT NULL GROUP BY 1, 2, 3""", targets={"project": "dw_project"})
+
+job("result_points", "dr_points_id track_id user_id amount application_date award_date reference_id is_potential", f"""
+WITH touched AS ({_with_component(True, _LOADED)}), shares AS ({_SHARES}),
+phases AS (SELECT project_id, coalesce(max(actual_start_time) FILTER (phase_type_id = 1), max(actual_start_time) FILTER (phase_type_id = 2)) AS posted,
+                  max(coalesce(actual_end_time, scheduled_end_time)) FILTER (phase_type_id IN (6, 21)) AS announced FROM src_project_phase GROUP BY 1),
+r AS (
+  SELECT pr.project_id, pr.user_id, pr.placed, pr.point_adjustment AS adj, pr.valid_submission_ind AS valid, p.project_status_id AS st, p.project_category_id AS cat, h.posted, h.announced,
+         coalesce(TRY_CAST({_info(30)} AS DECIMAL(18,2)), TRY_CAST({_info(16)} AS DECIMAL(18,2)))::DOUBLE AS amount,
+         (SELECT count(*) FROM src_submission s JOIN src_upload u ON u.upload_id = s.upload_id WHERE u.project_id = p.project_id AND s.submission_type_id = 1 AND s.submission_status_id IN (1, 4)) AS n
+  FROM src_project_result pr JOIN touched t ON t.project_id = pr.project_id JOIN src_project p ON p.project_id = pr.project_id JOIN phases h ON h.project_id = p.project_id
+  WHERE {_info(26)} = 'On' AND p.project_status_id IN (1, 7, 8)),
+k AS (
+  SELECT t.track_id, r.*, l.class_name FROM r JOIN src_track_project_category_xref x ON x.project_category_id = r.cat
+  JOIN src_track t ON t.track_id = x.track_id AND t.track_status_id = 1 AND r.posted BETWEEN t.track_start_date AND t.track_end_date
+  JOIN src_points_calculator_lu l ON l.points_calculator_id = t.points_calculator_id),
+g AS (
+  SELECT k.*, CASE WHEN class_name = 'winner_takes_all' THEN CASE WHEN placed = 1 OR st = 1 THEN amount ELSE 0 END
+                   WHEN amount > 0 AND k.n > 0 AND (st = 1 OR placed BETWEEN 1 AND 5) THEN floor(amount * s.share * 100.0 + 0.5) / 100.0 ELSE 0 END AS raw
+  FROM k LEFT JOIN shares s ON s.n = least(k.n, 5) AND s.p = CASE WHEN st = 1 THEN 1 ELSE placed END),
+f AS (SELECT *, CAST(raw + adj AS DECIMAL(10,2)) AS gain FROM (SELECT * REPLACE (CASE WHEN st = 1 AND valid <> 1 THEN 0 ELSE raw END AS raw) FROM g) y WHERE st <> 1 OR valid = 1)
+SELECT row_number() OVER (ORDER BY track_id, project_id, user_id), track_id, user_id, gain, posted, CASE WHEN st IN (7, 8) THEN announced END, project_id, st = 1
+FROM f WHERE gain > 0""")
+
+for _table, _key, _duck in (("project_result", "project_id", "dw_project_result"), ("user_rating", "last_rated_project_id", "dw_user_rating")):
+    _columns = {"project_result": "project_id user_id placed rating_ind", "user_rating": "user_id phase_id rating last_rated_project_id"}[_table]
+    job("deleted_projects", _columns, f"""
+SELECT {', '.join(_columns.split())} FROM {_duck} WHERE {_key} NOT IN (SELECT project_id FROM src_project WHERE project_status_id = 3)""",
+        table=_table, targets={_table: _duck}, name=f"load_deleted_{_table}")

@@ -16,6 +16,8 @@ import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loadstone.functions import fixed
+
 BASE = "nation region customer supplier part orders lineitem events documents".split()
 
 # A reviewer's resource id lies above every submitter's.
@@ -200,7 +202,7 @@ TABLES: dict[str, str] = {
     "src_user_contest_prize": "SELECT c_custkey AS user_id, (c_nationkey % 10) * 10 + 1 + c_custkey % 3 AS contest_prize_id, CAST(c_acctbal AS DECIMAL(10,2)) AS payment FROM customer",
     "src_contest_project_xref": "SELECT o_custkey % 10 AS contest_id, o_orderkey AS project_id, o_orderdate + INTERVAL '3' DAY AS create_date FROM orders WHERE o_totalprice > 100000",
     "src_contest_stage_xref": "SELECT s_suppkey AS contest_id, s_suppkey AS stage_id, 1.0 + s_nationkey % 2 AS top_performers_factor FROM supplier",
-    "src_contest_result_calculator_lu": "SELECT EACH(0, 1) AS contest_result_calculator_id FROM region WHERE r_regionkey = 0",
+    "src_contest_result_calculator_lu": "SELECT id AS contest_result_calculator_id, CASE id WHEN 0 THEN 'points' ELSE 'top_performers' END AS class_name FROM (SELECT EACH(0, 1) AS id FROM region WHERE r_regionkey = 0) x",
     "src_event": "SELECT s_suppkey AS event_id, s_name AS event_desc, o_orderdate AS modify_date FROM supplier JOIN orders ON o_orderkey = s_suppkey",
     "src_event_registration": """
         SELECT CAST(floor(value) AS BIGINT) AS event_id, user_id, max(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS eligible_ind, max(props) AS notes,
@@ -209,7 +211,7 @@ TABLES: dict[str, str] = {
     "src_dr_points": """
         SELECT event_id AS dr_points_id, user_id % 10 AS track_id, CASE event_type WHEN 'purchase' THEN 2 ELSE 1 END AS dr_points_reference_type_id,
                CASE event_type WHEN 'purchase' THEN 2 ELSE 1 END AS dr_points_operation_id, 1 AS dr_points_type_id, 1 AS dr_points_status_id, event_type AS dr_points_desc,
-               user_id % 10 AS user_id, CAST(value AS DECIMAL(10,2)) AS amount, ts AS application_date, ts AS award_date,
+               user_id, CAST(value AS DECIMAL(10,2)) AS amount, ts AS application_date, ts AS award_date,
                CASE event_type WHEN 'purchase' THEN event_id - 1 ELSE event_id END AS reference_id, event_type = 'view' AS is_potential, ts AS create_date,
                CASE WHEN event_type <> 'error' THEN ts END AS modify_date
         FROM events""",
@@ -220,8 +222,10 @@ TABLES: dict[str, str] = {
     "src_dr_points_reference_type_lu": "SELECT id AS dr_points_reference_type_id, descr || ' reference' AS dr_points_reference_type_desc FROM src_dr_points_lu",
     "src_track": """
         SELECT s_suppkey AS track_id, s_nationkey % 5 AS track_type_id, s_nationkey % 5 AS track_status_id, s_name AS track_desc,
-               o_orderdate AS track_start_date, o_orderdate + INTERVAL '300' DAY AS track_end_date, o_orderdate AS create_date
+               o_orderdate AS track_start_date, o_orderdate + INTERVAL '300' DAY AS track_end_date, o_orderdate AS create_date, s_nationkey % 2 AS points_calculator_id
         FROM supplier JOIN orders ON o_orderkey = s_suppkey""",
+    "src_track_project_category_xref": "SELECT s_suppkey AS track_id, CASE s_nationkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 38 ELSE 39 END AS project_category_id FROM supplier",
+    "src_points_calculator_lu": "SELECT id AS points_calculator_id, CASE id WHEN 0 THEN 'placement' ELSE 'winner_takes_all' END AS class_name FROM (SELECT EACH(0, 1) AS id FROM region WHERE r_regionkey = 0) x",
     "src_track_status_lu": "SELECT r_regionkey AS track_status_id, r_name AS track_status_desc FROM region",
     "src_track_type_lu": "SELECT r_regionkey AS track_type_id, r_name AS track_type_desc FROM region",
     "src_track_contest": """
@@ -229,7 +233,7 @@ TABLES: dict[str, str] = {
                s_nationkey % 2 AS track_contest_result_calculator_id, o_orderdate AS create_date
         FROM supplier JOIN orders ON o_orderkey = s_suppkey""",
     "src_track_contest_type_lu": "SELECT r_regionkey AS track_contest_type_id, r_name AS track_contest_type_desc FROM region",
-    "src_track_contest_result_calculator_lu": "SELECT EACH(0, 1) AS track_contest_result_calculator_id FROM region WHERE r_regionkey = 0",
+    "src_track_contest_result_calculator_lu": "SELECT id AS track_contest_result_calculator_id, CASE id WHEN 0 THEN 'points' ELSE 'top_performers' END AS class_name FROM (SELECT EACH(0, 1) AS id FROM region WHERE r_regionkey = 0) x",
     "src_user": """
         SELECT c_custkey AS user_id, c_name AS handle, lower(c_name) AS handle_lower, 'first' AS first_name, c_mktsegment AS last_name, CAST(NULL AS STRING) AS middle_name,
                'code' AS activation_code, CASE WHEN c_acctbal < 0 THEN 'I' ELSE 'A' END AS status, hi AS last_site_hit_date, 'web' AS reg_source, 'a' AS utm_source,
@@ -280,7 +284,7 @@ TABLES: dict[str, str] = {
     "src_component_inquiry": "SELECT l_orderkey AS project_id, l_suppkey AS user_id, l_shipdate AS create_time FROM lineitem WHERE l_returnflag = 'A'",
     "src_royalty": "SELECT l_suppkey AS user_id, l_shipdate AS royalty_date, max(CAST(floor(l_extendedprice / 100) AS DECIMAL(7,2))) AS amount, max(l_returnflag) AS description, max(l_shipdate) + INTERVAL '9' DAY AS modify_date FROM lineitem GROUP BY l_suppkey, l_shipdate",
     "src_season": "SELECT s_suppkey AS season_id, s_name AS name, s_nationkey % 2 AS rookie_competition_ind, s_suppkey + 1 AS next_rookie_season_id, o_orderdate AS modify_date FROM supplier JOIN orders ON o_orderkey = s_suppkey",
-    "src_stage": "SELECT c_custkey AS stage_id, c_nationkey AS season_id, c_name AS name, create_date AS start_date, create_date + INTERVAL '0' DAY AS end_date, last_login AS modify_date FROM customer JOIN src_user ON user_id = c_custkey",
+    "src_stage": "SELECT c_custkey AS stage_id, c_nationkey AS season_id, c_name AS name, create_date AS start_date, create_date + INTERVAL '30' DAY AS end_date, last_login AS modify_date FROM customer JOIN src_user ON user_id = c_custkey",
     "src_linked_project_xref": "SELECT o_orderkey AS source_project_id, o_orderkey + 1 AS dest_project_id, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 3 END AS link_type_id FROM orders",
     "src_user_rating": """
         SELECT user_id, phase_id, max(rating) AS rating, max(project_id) AS last_rated_project_id, count(*) AS num_ratings, 300 AS vol, 1200 AS rating_no_vol, max(modify_date) AS mod_date_time
@@ -298,7 +302,7 @@ TABLES: dict[str, str] = {
     "dw_calendar": """
         SELECT CAST(row_number() OVER (ORDER BY day) AS BIGINT) AS calendar_id, CAST(EXTRACT(YEAR FROM day) AS INT) AS year,
                CAST(EXTRACT(MONTH FROM day) AS INT) AS month_numeric, CAST(EXTRACT(DAY FROM day) AS INT) AS day_of_month, day AS date
-        FROM (SELECT o_orderdate AS day FROM orders UNION SELECT l_shipdate FROM lineitem) x""",
+        FROM (SELECT o_orderdate AS day FROM orders UNION SELECT l_shipdate FROM lineitem UNION SELECT end_date FROM src_stage) x""",
     "dw_time": "SELECT EACH(0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23) AS hour_24, minute FROM (SELECT DISTINCT CAST(o_custkey % 60 AS INT) AS minute FROM orders) x",
     "dw_project": """
         SELECT p.project_id, p.project_category_id, p.project_category_id + 111 AS phase_id, 'Application' AS category_desc, p.project_status_id AS status_id, p.tc_direct_project_id,
@@ -310,6 +314,8 @@ TABLES: dict[str, str] = {
     "dw_submission_review": """
         SELECT entry_project_id AS project_id, CAST(floor(submission_id / 1) AS BIGINT) % 1000000 - 500000 AS user_id, review_id,
                placement AS num_appeals, CASE WHEN placement > 3 THEN NULL ELSE placement - 1 END AS num_successful_appeals FROM src_review""",
+    "dw_user_rating": "SELECT user_id, phase_id, rating, last_rated_project_id FROM src_user_rating",
+    "dw_dr_points": "SELECT dr_points_id, track_id, dr_points_reference_type_id, user_id, amount, reference_id, is_potential FROM src_dr_points",
     "dw_submission": """
         SELECT resource_id + 500000 AS submission_id, user_id AS submitter_id, project_id, 'old' AS submission_url, 1 AS submission_type
         FROM src_entry WHERE q > 25 AND ln < 7""",
@@ -323,6 +329,15 @@ TABLES: dict[str, str] = {
 }
 TABLES["dw_time"] = "SELECT hour_24 * 60 + minute AS time_id, hour_24, minute FROM (" + TABLES["dw_time"] + ") y"
 
+# Attributes side by side, for the SQL of the loads.
+TABLES["src_attributes"] = (
+    "SELECT project_id, "
+    + ", ".join(
+        f"max(CASE WHEN project_info_type_id = {n} THEN value END) AS v{n}" for n in sorted(fixed.PROJECT_ATTRIBUTES.values())
+    )
+    + " FROM src_project_info GROUP BY project_id"
+)
+
 _NAME = re.compile(r"\b(?:src|dw)_[a-z_]+\b")
 _EACH = re.compile(r"EACH\(([^)]*)\)")
 

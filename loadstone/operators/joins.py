@@ -129,19 +129,22 @@ def latest_detail(headers: DataFrame, details: DataFrame, pointer: str, detail_i
     return headers.join(details.drop(*shared), headers[pointer] == details[detail_id])
 
 
-def parent_value(df: DataFrame, key: str, reference: str, value: str, name: str, when: Column) -> DataFrame:
+def parent_value(
+    df: DataFrame, key: str, reference: str, value: str, name: str, when: Column, parents: DataFrame | None = None
+) -> DataFrame:
     """Value of the row that ``reference`` points to in the same table, where the condition
-    holds (null if there is no such row); 0 elsewhere."""
-    parents = df.select(F.col(key).alias("_p"), F.col(value).alias("_pv"))
+    holds (null if there is no such row); 0 elsewhere. ``parents`` is the whole table
+    where ``df`` is a part of it."""
+    parents = (df if parents is None else parents).select(F.col(key).alias("_p"), F.col(value).alias("_pv"))
     pointed = df.withColumn("_ref", F.when(when, F.col(reference)))
     joined = pointed.join(parents, pointed["_ref"] == parents["_p"], "left")
     return joined.withColumn(name, F.when(when, F.col("_pv")).otherwise(F.lit(0))).drop("_ref", "_p", "_pv")
 
 
-def with_parent_amount(points: DataFrame) -> DataFrame:
+def with_parent_amount(points: DataFrame, parents: DataFrame | None = None) -> DataFrame:
     """Points whose percentage operations are resolved against the referenced points."""
     joined = parent_value(
-        points, "dr_points_id", "reference_id", "amount", "parent_amount", F.col("dr_points_reference_type_id") == 2
+        points, "dr_points_id", "reference_id", "amount", "parent_amount", F.col("dr_points_reference_type_id") == 2, parents
     )
     return joined.withColumn("amount", operation_amount("dr_points_operation_id", "amount", "parent_amount")).drop("parent_amount")
 

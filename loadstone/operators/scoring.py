@@ -98,11 +98,10 @@ def top_performers(results: DataFrame, factor: Column) -> DataFrame:
 
 def _totals(results: DataFrame, weight: Column) -> DataFrame:
     cents = lambda column: (F.col(column) * weight).cast("decimal(18,2)")
-    return results.groupBy("contest_id", "user_id").agg(
-        F.sum(cents("points_awarded")).alias("initial_points"),
-        F.sum(cents("final_points")).alias("final_points"),
-        F.sum(cents("potential_points")).alias("potential_points"),
-    )
+    sums = {"points_awarded": "initial_points", "final_points": "final_points", "potential_points": "potential_points"}
+    if "taxable_points" in results.columns:
+        sums["taxable_points"] = "taxable_points"
+    return results.groupBy("contest_id", "user_id").agg(*[F.sum(cents(c)).alias(n) for c, n in sums.items()])
 
 
 def rank_contests(
@@ -123,8 +122,9 @@ def rank_contests(
     offered = prizes.groupBy("contest_id", F.col("place").alias("current_place")).agg(
         F.max("prize_amount").alias("current_prize")
     )
+    extra = [c for c in ("taxable_points",) if c in ranked.columns]
     return ranked.join(offered, ["contest_id", "current_place"], "left").select(
-        "contest_id", "user_id", "initial_points", "final_points", "potential_points", "current_place",
+        "contest_id", "user_id", "initial_points", "final_points", "potential_points", *extra, "current_place",
         F.when(F.col("final_points") > 0, F.col("current_prize")).alias("current_prize"),
     )
 

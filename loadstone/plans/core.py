@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loadstone.functions import fixed
 from loadstone.operators import changes, joins, merge
+from loadstone.session import settle
 
 
 @dataclass
@@ -88,7 +89,7 @@ def upsert_load(
             target = ctx.target(table)
             if checked:
                 target = merge.assert_unique(target, keys)
-            return {table: Write(merge.upsert(target, rows(ctx), keys, order, update))}
+            return {table: Write(merge.upsert(target, change_set(target, rows(ctx)), keys, order, update))}
 
         _register(Load(table, stage, run))
         return rows
@@ -96,6 +97,15 @@ def upsert_load(
     return wrap
 
 
+def change_set(target: DataFrame, rows: DataFrame) -> DataFrame:
+    """The columns a target takes from the selected rows, computed once.
+
+    A merge reads its changes for the keys and for the rows; without this it
+    would run the joins behind them each time.
+    """
+    return settle(rows.select(*[c for c in target.columns if c in rows.columns]))
+
+
 # --- shared row sources ---------------------------------------------------------
 
 

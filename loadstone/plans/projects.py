@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loadstone.functions import fixed, scalar
 from loadstone.operators import aggregates, changes, joins, merge
 from loadstone.plans.core import LoadContext, Write, eligible, load
+from loadstone.session import settle
 
 # Phase types.
 REGISTRATION, SUBMISSION, REVIEW, FINAL_FIX, APPROVAL, CHECKPOINT, CHECKPOINT_END = 1, 2, 4, 10, 11, 15, 17
@@ -258,17 +259,21 @@ def project_rows(ctx: LoadContext, only: DataFrame, categories: Column) -> DataF
 
 
 def with_stage(ctx: LoadContext, rows: DataFrame, posted: str) -> DataFrame:
-    """Stage whose first and last day enclose the posting day; null without one."""
+    """Stage whose first and last day enclose the posting day; null without one.
+
+    Stages are spread over their days first, which makes this an equality on
+    the day with at most one row per calendar day.
+    """
     days = lambda name, alias: ctx.target("calendar").select(
-        F.col("calendar_id").alias(name), F.to_date(F.col("date")).cast("timestamp_ntz").alias(alias)
+        F.col("calendar_id").alias(name), F.to_date(F.col("date")).alias(alias)
     )
     spans = ctx.target("stage").join(days("start_calendar_id", "_from"), "start_calendar_id").join(
         days("end_calendar_id", "_to"), "end_calendar_id"
-    ).select("stage_id", "_from", "_to")
-    found = joins.range_join(
-        rows.select("project_id", F.to_date(posted).cast("timestamp_ntz").alias("_day")), spans, "_day", "_from", "_to", how="inner"
-    ).groupBy("project_id").agg(F.min("stage_id").alias("stage_id"))
-    return rows.join(found, "project_id", "left")
+    ).filter("_from <= _to")
+    by_day = spans.select("stage_id", F.explode(F.sequence("_from", "_to")).alias("_day")).groupBy("_day").agg(
+        F.min("stage_id").alias("stage_id")
+    )
+    return rows.join(by_day, F.to_date(rows[posted]) == by_day["_day"], "left").drop("_day")
 
 
 def refreshed(ctx: LoadContext, target: DataFrame) -> DataFrame:
@@ -290,12 +295,20 @@ def split_versions(rows: DataFrame) -> DataFrame:
 @load("project", 2)
 def project(ctx: LoadContext) -> dict[str, Write]:
     """Projects with a change anywhere; deleted ones leave the table."""
-    rows = project_rows(ctx, touched_projects(ctx), F.col("project_category_id").isin(*fixed.LOAD_CATEGORIES))
+    rows = project_rows(ctx, settle(touched_projects(ctx)), F.col("project_category_id").isin(*fixed.LOAD_CATEGORIES))
+    rows = settle(written(ctx, rows))
     gone = rows.filter(F.col("project_status_id") == fixed.STATUS_DELETED).select("project_id")
-    target = merge.upsert(ctx.target("project"), split_versions(rows), ["project_id"])
+    kept = split_versions(rows).drop("project_status_id")
+    target = merge.upsert(ctx.target("project"), kept, ["project_id"])
     return {"project": Write(refreshed(ctx, merge.delete_keys(target, gone, "project_id")))}
 
 
+def written(ctx: LoadContext, rows: DataFrame) -> DataFrame:
+    """The columns of the project table that the rows have, plus the state that routes them."""
+    have = [c for c in ctx.target("project").columns if c in rows.columns]
+    return rows.select(*have, "project_status_id")
+
+
 # Columns added to the project table later, with the projects each group is filled for.
 LATE_COLUMNS = {
     "people": (
@@ -322,12 +335,12 @@ def project_backfill(ctx: LoadContext) -> dict[str, Write]:
     The estimated review cost of this fill is the first of its two parts only.
     """
     target = ctx.target("project")
-    only = target.select("project_id")
+    only = settle(target.select("project_id"))
     for columns, which in LATE_COLUMNS.values():
         source = project_rows(ctx, only, which())
         if "estimated_review_cost" in columns:
             source = source.withColumn("estimated_review_cost", money_or_zero("a_review_cost"))
-        target = merge.backfill(target, source, ["project_id"], columns)
+        target = merge.backfill(target, settle(source.select("project_id", *columns)), ["project_id"], columns)
     return {"project": Write(target)}
 
 
@@ -341,8 +354,8 @@ def marathon_match(ctx: LoadContext) -> dict[str, Write]:
     first = target.filter(F.col("project_category_id") == MATCH_CATEGORY).isEmpty()
     if not first:
         rows = rows.join(touched_matches(ctx), "project_id", "left_semi")
-    rows = eligible(ctx, rows)
-    only = rows.select("project_id")
+    only = settle(eligible(ctx, rows).select("project_id"))
+    rows = rows.join(only, "project_id", "left_semi")
     names = ["version_ref", "component_ref", "complete_text", "admin_fee", "billing", "match_ref", "fee_percentage"]
     wide = attributes(ctx, names, only).withColumnsRenamed({n: f"a_{n}" for n in names if n not in ("version_ref", "component_ref")})
     rows = component_side(ctx, rows.join(wide, "project_id")).withColumn("round_id", scalar.to_long("a_match_ref")).filter("round_id IS NOT NULL")
@@ -382,13 +395,8 @@ def marathon_match(ctx: LoadContext) -> dict[str, Write]:
         "duration": scalar.duration_minutes("posted", "_done"),
         "last_modification_date": ctx.now(),
     })
-    written = split_versions(rows).select(
-        "project_id", "component_id", "component_name", "num_registrations", "num_submissions", "phase_id", "phase_desc", "category_id",
-        "category_desc", "posting_date", "submitby_date", "complete_date", "status_id", "status_desc", "level_id", "viewable_category_ind",
-        "version_id", "version_text", "project_category_id", "project_category_name", "tc_direct_project_id", "admin_fee",
-        "contest_prizes_total", "client_project_id", "duration", "last_modification_date", "first_place_prize", "total_prize",
-    )
-    return {"project": Write(refreshed(ctx, merge.upsert(target, written, ["project_id"])))}
+    kept = settle(split_versions(written(ctx, rows)).drop("project_status_id", "checkpoint_prize_amount", "checkpoint_prize_number", "suspended_ind"))
+    return {"project": Write(refreshed(ctx, merge.upsert(target, kept, ["project_id"])))}
 
 
 def touched_matches(ctx: LoadContext) -> DataFrame:

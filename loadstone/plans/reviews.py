@@ -9,8 +9,9 @@ from loadstone.functions.scalar import evaluation_id, path_prefix, ratio_part, s
 from loadstone.operators import changes, joins, merge, sequences
 from loadstone.operators.aggregates import tri_state_count, with_child_values
 from loadstone.plans.core import (
-    LoadContext, Write, load, loadable, review_changed, reviews, stamped, submissions, upsert_load, user_of,
+    LoadContext, Write, change_set, load, loadable, review_changed, reviews, stamped, submissions, upsert_load, user_of,
 )
+from loadstone.session import settle
 
 # Comment types and question types.
 APPEAL, APPEAL_RESPONSE = 4, 5
@@ -114,8 +115,9 @@ def subjective_response(ctx: LoadContext) -> dict[str, Write]:
         "response_type_desc": F.when(kind == 1, "Comment").when(kind == 3, "Required").otherwise("Recommended"),
     })
     keys = ["scorecard_question_id", "scorecard_id"]
-    numbered = sequences.number_in_group(rows, keys, ["review_item_comment_id"], "sort")
-    return {"subjective_response": Write(merge.replace_by_key(ctx.target("subjective_response"), numbered, keys))}
+    target = ctx.target("subjective_response")
+    rows = change_set(target, sequences.number_in_group(rows, keys, ["review_item_comment_id"], "sort"))
+    return {"subjective_response": Write(merge.replace_by_key(target, rows, keys))}
 
 
 @load("submission_review", 4)
@@ -139,10 +141,7 @@ def submission_review(ctx: LoadContext) -> dict[str, Write]:
         "review_resp_id": F.when(role == 7, 1).when(role == 6, 2).when(role == 5, 3).otherwise(4),
         "raw_score": F.col("initial_score"), "final_score": F.col("score"), "scorecard_id": F.col("review_id"),
     })
-    rows = rows.select(
-        "project_id", "user_id", "reviewer_id", "num_appeals", "num_successful_appeals", "final_score", "raw_score", "review_resp_id",
-        "scorecard_id", "scorecard_template_id",
-    )
+    rows = change_set(ctx.target("submission_review"), rows)
     target = merge.upsert(ctx.target("submission_review"), rows, ["project_id", "user_id", "reviewer_id"], ["scorecard_id"])
     slots = sequences.assign_slots(rows, "project_id", "reviewer_id", "review_resp_id")
     return {"submission_review": Write(merge.upsert_columns(target, slots, ["project_id", "reviewer_id"], ["review_resp_id"]))}
@@ -168,6 +167,7 @@ def submission(ctx: LoadContext) -> dict[str, Write]:
     if not changes.is_first_run(target):
         users = ["w_s", "w_u", "w_res", "w_ri"]
         rows = rows.filter(ctx.changed("m_s", "m_u", inclusive=["m_res", "m_ri"], users=users))
+    rows = settle(rows.select("submission_id", "submitter_id", "project_id", "parameter", "submission_status_id"))
     gone = rows.filter(F.col("submission_status_id") == DELETED)
     kept = rows.filter(F.col("submission_status_id") != DELETED).withColumns({
         "submission_url": path_prefix("parameter", ctx.options["submission_dir"]),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings; all of them can be set on a session that already runs.
 RUNTIME_CONF = {
@@ -58,3 +59,16 @@ def checkpoint_ready(spark: SparkSession) -> None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="loadstone-checkpoint-")
     context.setCheckpointDir(folder)
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write rows that many later joins use to the shared checkpoint folder and read them back.
+
+    They are computed once, the plans on top stay small, and their measured
+    size lets Spark decide whether to broadcast them.
+    """
+    spark = df.sparkSession
+    checkpoint_ready(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/rows-{uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
