@@ -27,33 +27,24 @@ def _literal_map(values: dict) -> Column:
 
 # --- text to timestamp -------------------------------------------------------
 
-# One pattern per accepted text form, in the order they are tried. Trailing
-# text is ignored and fields may overflow (month 13 is January of next year).
+# One pattern per accepted text form, in the order they are tried, and where
+# its groups go: year month day hour minute second clock zone. Trailing text is
+# ignored and fields may overflow (month 13 is January of next year).
 _CLOCK = r"\s*(\d+):(\d+)"
 _TEXT_FORMS = (
-    (r"^\s*(\d+)/(\d+)/(\d+) " + _CLOCK, "mdy12"),
-    (r"^\s*(\d+)\.(\d+)\.(\d+) " + _CLOCK + r"\s*([AaPp][Mm])", "mdy_ampm"),
+    (r"^\s*(\d+)/(\d+)/(\d+) " + _CLOCK, "$3 $1 $2 $4 $5 0 AM UTC"),
+    (r"^\s*(\d+)\.(\d+)\.(\d+) " + _CLOCK + r"\s*([AaPp][Mm])", "$3 $1 $2 $4 $5 0 $6 UTC"),
     (
         r"^(?:[Ss]un|[Mm]on|[Tt]ue|[Ww]ed|[Tt]hu|[Ff]ri|[Ss]at)[a-z]* ([A-Za-z]{3})[a-z]* \s*(\d+) "
         + _CLOCK
         + r":(\d+) (\S+) \s*(\d+)",
-        "unix",
+        "$7 $1 $2 $3 $4 $5 24 $6",
     ),
-    (r"^\s*(\d+)\.(\d+)\.(\d+) " + _CLOCK + r" (\S+)", "mdy_zone"),
-    (r"^\s*(\d+)-(\d+)-(\d+) " + _CLOCK + r":(\d+)", "ymd"),
+    (r"^\s*(\d+)\.(\d+)\.(\d+) " + _CLOCK + r" (\S+)", "$3 $1 $2 $4 $5 0 24 $6"),
+    (r"^\s*(\d+)-(\d+)-(\d+) " + _CLOCK + r":(\d+)", "$1 $2 $3 $4 $5 $6 24 UTC"),
 )
 
 
-def _moment(year, month, day, hour, minute, second=None, zone_minutes=None) -> Column:
-    """Timestamp from fields that may overflow, in UTC."""
-    first = F.make_date(year, F.lit(1), F.lit(1))
-    date = F.date_add(F.add_months(first, month - 1), day - 1)
-    seconds = hour * 3600 + minute * 60 + (second if second is not None else 0)
-    if zone_minutes is not None:
-        seconds = seconds - zone_minutes * 60
-    return F.timestamp_add("SECOND", seconds, date.cast("timestamp_ntz"))
-
-
 def _zone_minutes(zone: Column) -> Column:
     offset = r"^(?:GMT|UTC)?([+-])(\d{1,2}):?(\d{2})$"
     sign = F.when(F.regexp_extract(zone, offset, 1) == "-", -1).otherwise(1)
@@ -73,31 +64,20 @@ def parse_timestamp(text) -> Column:
     ``01.31.2009 21:30 EST`` and ``2009-01-31 21:30:15``.
     """
     text = _col(text)
-
-    def field(pattern: str, index: int) -> Column:
-        return F.regexp_extract(text, pattern, index).try_cast("int")
-
-    def clock12(hour: Column) -> Column:
-        return F.when(hour == 12, 0).otherwise(hour)
-
-    candidates = []
-    for pattern, form in _TEXT_FORMS:
-        get = lambda index, p=pattern: field(p, index)
-        raw = lambda index, p=pattern: F.regexp_extract(text, p, index)
-        if form == "mdy12":
-            moment = _moment(get(3), get(1), get(2), clock12(get(4)), get(5))
-        elif form == "mdy_ampm":
-            half = F.when(F.lower(raw(6)) == "pm", 12).otherwise(0)
-            moment = _moment(get(3), get(1), get(2), clock12(get(4)) + half, get(5))
-        elif form == "unix":
-            month = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(raw(1))).cast("int"), F.lit(0))
-            moment = _moment(get(7), month, get(2), get(3), get(4), get(5), _zone_minutes(raw(6)))
-        elif form == "mdy_zone":
-            moment = _moment(get(3), get(1), get(2), get(4), get(5), None, _zone_minutes(raw(6)))
-        else:
-            moment = _moment(get(1), get(2), get(3), get(4), get(5), get(6))
-        candidates.append(F.when(text.rlike(pattern), moment))
-    return F.coalesce(*candidates)
+    plain = F.lit(None).cast("string")
+    for pattern, order in reversed(_TEXT_FORMS):
+        plain = F.when(text.rlike(pattern), F.regexp_replace(text, "(?s)" + pattern + ".*$", order)).otherwise(plain)
+    # All fields come from one split of the rearranged text, read in every row,
+    # so that generated code splits it once.
+    parts = F.split(plain, " ")
+    number = lambda index: F.get(parts, F.lit(index)).try_cast("int")
+    named_month = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.get(parts, F.lit(1)))).cast("int"), F.lit(0))
+    month = F.coalesce(number(1), named_month)
+    clock = F.upper(F.get(parts, F.lit(6)))
+    hour = F.when((clock != "24") & (number(3) == 12), 0).otherwise(number(3)) + F.when(clock == "PM", 12).otherwise(0)
+    date = F.date_add(F.add_months(F.make_date(number(0), F.lit(1), F.lit(1)), month - 1), number(2) - 1)
+    seconds = hour * 3600 + number(4) * 60 + number(5) - _zone_minutes(F.get(parts, F.lit(7))) * 60
+    return F.timestamp_add("SECOND", seconds, date.cast("timestamp_ntz"))
 
 
 # --- review answers ----------------------------------------------------------

@@ -51,11 +51,12 @@ def upsert(
     not have keep their value on a match and are null on an insert.
     """
     keys = list(keys)
+    changed_keys = changes.select(*keys)
     changes = last_per_key(changes, keys, order)
     settable = [c for c in target.columns if c not in keys and c in changes.columns]
     update = settable if update is None else list(update)
     if set(update) == set(target.columns) - set(keys):
-        kept = target.join(changes.select(*keys), keys, "left_anti").select(*target.columns)
+        kept = target.join(changed_keys, keys, "left_anti").select(*target.columns)
         return kept.unionByName(_like(changes, target))
     new_values = changes.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_n_{c}") for c in update], F.lit(True).alias("_hit")
@@ -66,7 +67,7 @@ def upsert(
         F.when(F.col("_hit"), F.col(f"_n_{c}").cast(types[c])).otherwise(target[c]).alias(c) if c in update else target[c]
         for c in target.columns
     ])
-    present = target.select(*keys).join(changes.select(*keys), keys, "left_semi")
+    present = target.select(*keys).join(changed_keys, keys, "left_semi")
     inserted = changes.join(present, keys, "left_anti")
     return updated.unionByName(_like(inserted, target))
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from loadstone.functions.scalar import placement_points, taxable_share
 from loadstone.operators.sequences import MAX_GROUP_ROWS, rank_with_ties
+from loadstone.session import settle
 
 ResultPoints = Callable[[], tuple[Column, Column]]
 ContestRanking = Callable[..., DataFrame]
@@ -117,7 +118,8 @@ def rank_contests(
     contest's place goes to every user on it, users without points get none.
     """
     weight = factor if isinstance(factor, Column) else F.lit(float(factor))
-    totals = _rankings[calculator](results, weight)
+    # Ranking reads the totals three times, so they are summed up once.
+    totals = settle(_rankings[calculator](results, weight))
     ranked = rank_with_ties(totals, ["contest_id"], "final_points", rank="current_place", max_rows=max_rows)
     offered = prizes.groupBy("contest_id", F.col("place").alias("current_place")).agg(
         F.max("prize_amount").alias("current_prize")

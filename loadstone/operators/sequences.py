@@ -57,16 +57,20 @@ def scan(
     lags: dict[str, Column] | None = None,
     totals: dict[str, Column] | None = None,
     max_rows: int = MAX_GROUP_ROWS,
+    hot: tuple[DataFrame, int] | str | None = "count",
 ) -> DataFrame:
     """Add ordered columns per group of ``keys``; ``order`` must be total within a group.
 
     ``number``: 1-based position. ``sums``: running sum up to and including the
     row (null adds nothing). ``lags``: value of the row before, null on the
     first. ``totals``: sum over the whole group. No keys means one group.
+    ``hot`` takes what ``hot_keys`` found for the same groups before, which
+    saves counting them again.
     """
     sums, lags, totals = sums or {}, lags or {}, totals or {}
     keys, order = list(keys), _cols(order)
-    hot = hot_keys(df, keys, max_rows)
+    if hot == "count":
+        hot = hot_keys(df, keys, max_rows)
     if hot is None:
         return _scan_windows(df, keys, order, number, sums, lags, totals)
     hot_frame, hot_rows = hot
@@ -159,18 +163,21 @@ def rank_with_ties(
     size: str | None = None,
     percentile: str | None = None,
     max_rows: int = MAX_GROUP_ROWS,
+    hot: tuple[DataFrame, int] | str | None = "count",
 ) -> DataFrame:
     """Competition rank by descending value: equal values share the first position.
 
     Ranked over the counts per distinct value, which are pre-aggregated on the
     map side, so neither a large group nor a value half the rows share lands
-    in one task. ``percentile`` is 100 * (size - rank) / size.
+    in one task. ``percentile`` is 100 * (size - rank) / size. ``hot=None``
+    says that no group of rows is large, so none of counts can be.
     """
     keys = list(keys)
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     placed = scan(
         counts, keys, [F.col(value).desc()],
         sums={"_upto": F.col("_n")}, totals={"_size": F.col("_n")}, max_rows=max_rows,
+        hot=None if hot is None else "count",
     )
     names = [*keys, value]
     ranks = placed.select(
@@ -203,9 +210,14 @@ def rating_ranks(
         ),
     )
     groups = [*keys, "user_rank_type_id"]
+    # The groups over all users are the larger ones; the active are a part of them.
+    hot = hot_keys(ratings, keys, max_rows)
+    if hot is not None:
+        kinds = F.explode(F.array(F.lit(fixed.RANK_OVERALL), F.lit(fixed.RANK_ACTIVE))).alias("user_rank_type_id")
+        hot = hot[0].select(*keys, kinds), 2 * hot[1]
     if position:
-        typed = scan(typed, groups, [F.col("rating").desc(), "user_id"], number=position, max_rows=max_rows)
-    ranked = rank_with_ties(typed, groups, "rating", percentile="percentile", max_rows=max_rows)
+        typed = scan(typed, groups, [F.col("rating").desc(), "user_id"], number=position, max_rows=max_rows, hot=hot)
+    ranked = rank_with_ties(typed, groups, "rating", percentile="percentile", max_rows=max_rows, hot=hot)
     return ranked.withColumn("percentile", F.round("percentile", 4))
 
 
@@ -298,8 +310,8 @@ def streaks(
     """
     keys = [user, phase]
     place, points = F.coalesce(F.col(placed), F.lit(0)), F.coalesce(F.col(rating), F.lit(0))
-    # The passes share one sort, so the check for large groups runs on the first alone.
-    with_prev = scan(results, keys, order, lags={"_prev": points}, max_rows=max_rows)
+    hot = hot_keys(results, keys, max_rows)
+    with_prev = scan(results, keys, order, lags={"_prev": points}, max_rows=max_rows, hot=hot)
     known = F.col("_prev") >= 0
     kinds = {
         fixed.STREAK_WON: place == 1,
@@ -312,7 +324,7 @@ def streaks(
     )
     breaks = {f"_island{kind}": 1 - F.col(f"_in{kind}") for kind in kinds}
     last = {f"_end{kind}": 1 - F.col(f"_in{kind}") for kind in kinds}
-    islands = scan(flagged, keys, order, number="_at", sums=breaks, totals=last, max_rows=max_rows)
+    islands = scan(flagged, keys, order, number="_at", sums=breaks, totals=last, max_rows=max_rows, hot=hot)
     rows = islands.select(
         *keys, project, "_at",
         F.explode(F.array(*[
