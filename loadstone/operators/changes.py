@@ -43,12 +43,14 @@ def commit_hwm(run_log: DataFrame, calendar: DataFrame, start: datetime, log_typ
             F.col("calendar_id"), F.raise_error(F.lit(f"no calendar row for {start:%Y-%m-%d}")).cast("int")
         ).alias("calendar_id")
     ).first()["calendar_id"]
-    return run_log.agg(F.coalesce(F.max("log_id") + 1, F.lit(1)).alias("log_id")).select(
+    row = run_log.agg(F.coalesce(F.max("log_id") + 1, F.lit(1)).alias("log_id")).select(
         "log_id",
         F.lit(checked).alias("calendar_id"),
         _mark(start).alias("log_timestamp"),
         F.lit(log_type).alias("log_type_id"),
     )
+    types = {f.name: f.dataType for f in run_log.schema}
+    return row.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in row.columns])
 
 
 def mark_or_epoch(hwm: datetime | None) -> datetime:

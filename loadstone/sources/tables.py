@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
@@ -107,6 +109,7 @@ class Warehouse:
 
     def write(self, name: str, df: DataFrame, mode: str = "snapshot", partition_by: Sequence[str] = ()) -> None:
         """``snapshot`` replaces the table by a new version, ``append`` adds rows to the current one."""
+        df = self._typed(name, df)
         versions = self._versions(name)
         if mode == "append" and versions:
             write_table(df, f"{self.root}/{name}/v{versions[-1]}", "append", partition_by)
@@ -114,6 +117,16 @@ class Warehouse:
         # A crashed attempt may have left files without a marker: overwrite them.
         write_table(df, f"{self.root}/{name}/v{(versions or [0])[-1] + 1}", "overwrite", partition_by)
 
+    def _typed(self, name: str, df: DataFrame) -> DataFrame:
+        """Columns in the types the table declares, so that all its files agree."""
+        if name not in self.schemas:
+            return df
+        schema = self.schemas[name]
+        if isinstance(schema, str):
+            schema = StructType.fromDDL(schema)
+        types = {f.name: f.dataType for f in schema}
+        return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
     def split(self, rows: DataFrame, parts: dict[str, Sequence[str]], keys: Sequence[str] = ()) -> dict[str, DataFrame]:
         """One set of rows feeding several tables: a projection each."""
         return {name: rows.select(*columns) for name, columns in parts.items()}

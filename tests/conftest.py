@@ -15,7 +15,9 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     from loadstone.session import get_session
 
-    session = get_session("tests", 4)
+    # Tiny tables: compiling a stage takes longer than interpreting it.
+    session = get_session("tests", 4, **{"spark.sql.codegen.wholeStage": "false"})
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
