@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from loadstone.catalog.registry import query
 from loadstone.operators import sequences
+from loadstone.session import settle
 
 AS_OF = "2001-08-01 00:00:00"
 
@@ -24,7 +25,8 @@ def ratings(t):
         F.col("o_orderkey").alias("project_id"), "phase_id", F.col("o_orderdate").alias("posting_date")
     )
     active = sequences.active_users(rated, projects, AS_OF).withColumn("active", F.lit(1))
-    return rated.join(active, ["user_id", "phase_id"], "left").withColumn("active", F.coalesce("active", F.lit(0)))
+    flagged = rated.join(active, ["user_id", "phase_id"], "left").withColumn("active", F.coalesce("active", F.lit(0)))
+    return settle(flagged.select("user_id", "rating", "phase_id", "school_id", "country_code", "active"))
 
 
 _RATINGS = """

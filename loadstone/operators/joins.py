@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadstone.functions.scalar import operation_amount
-from loadstone.operators.sequences import same_keys
 
 
 def pivot_attributes(
@@ -163,14 +162,10 @@ def exists_flag(df: DataFrame, keys: DataFrame, on: Sequence[str], name: str) ->
     """1 where the keys occur in the other frame, else 0."""
     on = list(on)
     marks = keys.select(*[F.col(k).alias(f"_e_{k}") for k in on]).distinct().withColumn("_found", F.lit(1))
-    joined = df.join(marks, same_keys_strict(df, marks, on), "left")
+    joined = df.join(marks, [df[k] == marks[f"_e_{k}"] for k in on], "left")
     return joined.withColumn(name, F.coalesce(F.col("_found"), F.lit(0))).select(*dict.fromkeys([*df.columns, name]))
 
 
-def same_keys_strict(left: DataFrame, right: DataFrame, on: Sequence[str], prefix: str = "_e_") -> list[Column]:
-    return [left[k] == right[f"{prefix}{k}"] for k in on]
-
-
 def excluding(df: DataFrame, keys: DataFrame, on: dict[str, str], null_aware: bool = False) -> DataFrame:
     """Rows without a match. ``null_aware`` keeps the rule of NOT IN: one null key
     in the list rejects every row."""
@@ -178,19 +173,12 @@ def excluding(df: DataFrame, keys: DataFrame, on: dict[str, str], null_aware: bo
     side = keys.select(F.col(theirs).alias("_x")).distinct()
     if not null_aware:
         return df.join(side, df[own] == side["_x"], "left_anti")
-    kept = df.filter(F.col(own).isNotNull()).join(side, df[own] == side["_x"], "left_anti")
-    nulls = side.filter(F.col("_x").isNull()).select(F.lit(1).alias("_null"))
-    marked = kept.withColumn("_null", F.lit(1))
-    return marked.join(nulls, "_null", "left_anti").drop("_null")
+    if not side.filter(F.col("_x").isNull()).isEmpty():
+        return df.filter(F.lit(False))
+    return df.filter(F.col(own).isNotNull()).join(side, df[own] == side["_x"], "left_anti")
 
 
 def left_where(df: DataFrame, right: DataFrame, on: Sequence[str], where: Column | None = None) -> DataFrame:
     """Left join to the filtered right side: conditions on the optional side never drop rows."""
     side = right if where is None else right.filter(where)
     return df.join(side, list(on), "left")
-
-
-__all__ = [
-    "calendar_lookup", "excluding", "exists_flag", "first_related", "latest_detail", "left_where", "linked",
-    "lookup", "parent_value", "pivot_attributes", "range_join", "same_keys", "time_lookup", "with_parent_amount",
-]

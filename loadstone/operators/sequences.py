@@ -20,6 +20,8 @@ from loadstone.session import checkpoint_ready
 
 # Rows of one group that a single task may hold.
 MAX_GROUP_ROWS = 5_000_000
+# A numbering over a whole table is split far earlier: it would be one task.
+MAX_TABLE_ROWS = 5_000
 
 
 def _cols(items) -> list[Column]:
@@ -64,6 +66,7 @@ def scan(
     ``number``: 1-based position. ``sums``: running sum up to and including the
     row (null adds nothing). ``lags``: value of the row before, null on the
     first. ``totals``: sum over the whole group. No keys means one group.
+    A table without keys is always spread over the session's shuffle partitions.
     ``hot`` takes what ``hot_keys`` found for the same groups before, which
     saves counting them again.
     """
@@ -81,7 +84,10 @@ def scan(
         small = df.join(F.broadcast(marks), on, "left_anti")
     else:
         large, small = df, None
-    pieces = max(2, ceil(2 * hot_rows / max_rows))
+    pieces = ceil(2 * hot_rows / (max_rows if keys else max(max_rows, MAX_GROUP_ROWS)))
+    if not keys:
+        pieces = max(pieces, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pieces = max(pieces, 2)
     result = _scan_pieces(large, keys, order, number, sums, lags, totals, pieces)
     if small is None:
         return result
@@ -247,7 +253,7 @@ def number_in_group(
 
 
 def surrogate_keys(
-    df: DataFrame, order: Sequence[str | Column], name: str, last: int = 0, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, order: Sequence[str | Column], name: str, last: int = 0, max_rows: int = MAX_TABLE_ROWS
 ) -> DataFrame:
     """Running ids above ``last`` for a whole batch, in the given total order."""
     return scan(df, [], order, number=name, max_rows=max_rows).withColumn(name, F.col(name) + F.lit(last))

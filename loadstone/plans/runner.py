@@ -13,6 +13,7 @@ from loadstone.functions import fixed
 from loadstone.operators import changes
 from loadstone.operators.report import LoadReport
 from loadstone.plans.core import LOADS, Load, LoadContext
+from loadstone.session import release
 from loadstone.sources import Source, Warehouse
 
 log = logging.getLogger("loadstone")
@@ -53,6 +54,7 @@ def run_loads(
             warehouse.write(table, report.watch(write.rows), write.mode)
             log.info("%s", report.finish())
             reports.append(report)
+        release(spark)
     row = changes.commit_hwm(warehouse.table("update_log"), warehouse.table("calendar"), start, log_type)
     warehouse.write("update_log", row, "append")
     return reports

@@ -61,6 +61,9 @@ def checkpoint_ready(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+_settled: list[str] = []
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write rows that many later joins use to the shared checkpoint folder and read them back.
 
@@ -71,4 +74,13 @@ def settle(df: DataFrame) -> DataFrame:
     checkpoint_ready(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/rows-{uuid4()}"
     df.write.parquet(path)
+    _settled.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the settled rows once nothing reads them any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    while _settled:
+        path = hadoop(_settled.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
