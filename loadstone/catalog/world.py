@@ -300,7 +300,7 @@ TABLES: dict[str, str] = {
     "src_project_members": "SELECT resource_id AS id, user_id AS userId, CASE WHEN rf = 'A' THEN 'manager' ELSE 'member' END AS role, rf = 'A' AS isPrimary, CASE WHEN rf = 'R' THEN d END AS deletedAt, d AS createdAt, d AS updatedAt, user_id AS createdBy, user_id AS updatedBy FROM src_entry",
     # warehouse tables that other loads read
     "dw_calendar": """
-        SELECT CAST(row_number() OVER (ORDER BY day) AS BIGINT) AS calendar_id, CAST(EXTRACT(YEAR FROM day) AS INT) AS year,
+        SELECT CAST(EXTRACT(YEAR FROM day) * 10000 + EXTRACT(MONTH FROM day) * 100 + EXTRACT(DAY FROM day) AS BIGINT) AS calendar_id, CAST(EXTRACT(YEAR FROM day) AS INT) AS year,
                CAST(EXTRACT(MONTH FROM day) AS INT) AS month_numeric, CAST(EXTRACT(DAY FROM day) AS INT) AS day_of_month, day AS date
         FROM (SELECT o_orderdate AS day FROM orders UNION SELECT l_shipdate FROM lineitem UNION SELECT end_date FROM src_stage) x""",
     "dw_time": "SELECT EACH(0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23) AS hour_24, minute FROM (SELECT DISTINCT CAST(o_custkey % 60 AS INT) AS minute FROM orders) x",
