@@ -36,11 +36,12 @@ class Blocks:
 
 
 def into_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> Blocks:
-    """Spread documents over blocks by a hash of id and text. A document is never split."""
+    """Spread documents over blocks by a hash of the id (of the text where it is null). A document is never split."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     size, count = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     blocks = max(1, ceil(max(size or 0, count * 64) / block_bytes))
-    frame = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).alias("block"), "id", "text")
+    key = F.xxhash64("id", F.when(F.col("id").isNull(), F.col("text")))
+    frame = rows.select(F.pmod(key, F.lit(blocks)).alias("block"), "id", "text")
     return Blocks(frame, blocks, size or 0, count)
 
 
@@ -54,6 +55,14 @@ def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
 
 
+def squeeze(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Range of each key and, below it, 32 bits of its place inside the range; keeps the order of the keys."""
+    low = np.uint64(0xFFFFFFFF)
+    product = (keys >> np.uint64(32)) * np.uint64(ranges)
+    inside = (product & low) + (((keys & low) * np.uint64(ranges)) >> np.uint64(32))
+    return (product & ~low) | np.minimum(inside, low)
+
+
 def split_sorted(keys: np.ndarray, ranges: int) -> list[tuple[int, int, int]]:
     """(range, from, to) of the parts of sorted ``keys``."""
     where = range_of(keys, ranges)

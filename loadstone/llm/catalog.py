@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import sql, substrings
+from loadstone.llm import ngram_join, sql, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,3 +32,9 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of each document once windows of 13 words seen in an earlier document are gone."""
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_query(sql.NEAR)
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of each document: five-word shingles, Jaccard similarity of at least 0.8."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
