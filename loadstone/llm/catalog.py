@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import ngram_join, sql, substrings
+from loadstone.llm import ngram_join, packing, sql, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,6 +34,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@_query()
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    pieces = tokens.token_pieces(table(spark, sf_dir, "documents"))
+    digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digest, ["doc_id", "piece"])
+
+
 @_query(sql.NEAR)
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near duplicates of each document: five-word shingles, Jaccard similarity of at least 0.8."""
