@@ -98,7 +98,7 @@ def _usable(vector: Column, width: int) -> Column:
 
 def nearest(
     vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10,
-    probe_share: float = 0.75, sample_rows: int = SAMPLE_ROWS, seed: int = 7,
+    probe_share: float = 0.85, sample_rows: int = SAMPLE_ROWS, seed: int = 7,
 ) -> DataFrame:
     """Per query: its ``k`` nearest other rows found: ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``.
 
