@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import neighbours, ngram_join, packing, sql, substrings, tokens
+from loadstone.llm import neighbours, ngram_join, packing, quality_rules, sql, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -52,3 +52,9 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near duplicates of each document: five-word shingles, Jaccard similarity of at least 0.8."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query(sql.outliers())
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics of each document and the verdict of the base rules and of the robust distance."""
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("text_hash", "distance")

@@ -45,3 +45,46 @@ WITH RECURSIVE docs AS (
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id)
 """
+
+
+def outliers() -> str:
+    """The statistics in DuckDB's functions, then the estimate in the text both engines run."""
+    from loadstone.llm import quality_rules as rules
+
+    steps, estimate = [], "e0"
+    for k in range(1, rules.STEPS + 1):
+        steps.append(f"e{k} AS MATERIALIZED ({rules.STEP.format(rows='vectors', estimate=estimate)})")
+        estimate = f"e{k}"
+    start = rules.START.replace("{median}", "quantile_cont").replace("{rows}", "vectors")
+    vector = ", ".join(f"{text} AS x{i}" for i, text in rules.VECTOR.items())
+    return rf"""
+WITH docs AS MATERIALIZED (
+    SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, [words[i], words[i + 1], words[i + 2]] AS seq
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM docs)
+), repeats AS (
+    SELECT doc_id, count(DISTINCT place) AS n FROM (
+        SELECT doc_id, unnest(range(i, i + 3)) AS place
+        FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, seq) AS times FROM windows) WHERE times > 1
+    ) GROUP BY doc_id
+), stats AS MATERIALIZED (
+    SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words
+    FROM docs LEFT JOIN repeats USING (doc_id)
+), judged AS MATERIALIZED (SELECT *, {rules.BASE_FAILED} AS base_failed FROM stats),
+passed AS MATERIALIZED (SELECT *, {vector} FROM judged WHERE NOT base_failed),
+groups AS MATERIALIZED ({rules.GROUPS.replace("{rows}", "passed")}),
+vectors AS MATERIALIZED (SELECT p.*, grp FROM passed p JOIN groups USING (lang, source)),
+enough AS (SELECT grp FROM vectors GROUP BY grp HAVING count(*) >= {rules.LEAST}),
+e0 AS MATERIALIZED (SELECT * FROM ({start}) JOIN enough USING (grp)),
+{", ".join(steps)},
+scored AS ({rules.VERDICT.format(rows="vectors", estimate=estimate, columns="doc_id")})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND coalesce(distance, 0) <= {rules.CUTOFF} AS kept
+FROM judged LEFT JOIN scored USING (doc_id)
+"""
