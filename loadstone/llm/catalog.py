@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import neighbours, ngram_join, packing, quality_rules, sql, substrings, tokens
+from loadstone.llm import line_dedup, neighbours, ngram_join, packing, quality_rules, sql, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,3 +58,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text statistics of each document and the verdict of the base rules and of the robust distance."""
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("text_hash", "distance")
+
+
+@_query(sql.RUNS)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text left of each document once runs of three lines seen earlier are gone."""
+    kept = line_dedup.drop_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

@@ -46,6 +46,29 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id)
 """
 
+RUNS = r"""
+WITH parts AS MATERIALIZED (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS number
+    FROM documents WHERE text IS NOT NULL
+), lines AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY number) AS place
+    FROM parts WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), runs AS MATERIALIZED (
+    SELECT doc_id, place, [line, lead(line) OVER w, lead(line, 2) OVER w] AS seq, lead(line, 2) OVER w IS NOT NULL AS whole
+    FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY place)
+), ordered AS (
+    SELECT doc_id, place, row_number() OVER (PARTITION BY seq ORDER BY doc_id, place) AS nth FROM runs WHERE whole
+), gone AS MATERIALIZED (
+    SELECT DISTINCT lines.doc_id, lines.number FROM ordered JOIN lines
+    ON lines.doc_id = ordered.doc_id AND lines.place BETWEEN ordered.place AND ordered.place + 2 WHERE nth > 1
+), kept AS (
+    SELECT doc_id, string_agg(line, chr(10) ORDER BY number) AS text FROM parts ANTI JOIN gone USING (doc_id, number) GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(len(string_split(documents.text, chr(10))), 0) AS BIGINT) AS n_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_deleted, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)
+"""
+
 
 def outliers() -> str:
     """The statistics in DuckDB's functions, then the estimate in the text both engines run."""
