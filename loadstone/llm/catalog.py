@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import line_dedup, neighbours, ngram_join, packing, quality_rules, sql, substrings, tokens
+from loadstone.llm import line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, sql, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +65,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text left of each document once runs of three lines seen earlier are gone."""
     kept = line_dedup.drop_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@_query(sql.mixed())
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic, probability and draw of each document, raked to evened shares of sources, languages and topics."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "tokens", "topic", F.round("probability", 6).alias("probability"), "sampled")

@@ -111,3 +111,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     NOT base_failed AND coalesce(distance, 0) <= {rules.CUTOFF} AS kept
 FROM judged LEFT JOIN scored USING (doc_id)
 """
+
+
+def mixed() -> str:
+    """Cells, raking and draw; the iteration is the text both engines run."""
+    from loadstone.llm import mixing
+
+    steps, cells = [], "c0"
+    for number in range(mixing.ROUNDS):
+        for margin in mixing.MARGINS:
+            name = f"c{number}_{margin}"
+            scale = mixing.SCALE.format(cells=cells, targets=f"t_{margin}", margin=margin)
+            steps.append(f"{name} AS MATERIALIZED ({scale})")
+            cells = name
+    targets = ", ".join(
+        f"t_{m} AS MATERIALIZED ({mixing.TARGETS.format(cells='cells', margin=m, budget=mixing.BUDGET)})" for m in mixing.MARGINS
+    )
+    return rf"""
+WITH firsts AS (
+    SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens,
+        regexp_extract_all(regexp_extract(coalesce(text, ''), '[^\n]*[^\x20\x09-\x0D][^\n]*'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), best AS (
+    SELECT doc_id, first(word ORDER BY -length(word), encode(word)) AS word
+    FROM (SELECT doc_id, unnest(words) AS word FROM firsts) GROUP BY doc_id
+), rows AS MATERIALIZED (
+    SELECT doc_id, source, lang, CAST(tokens AS BIGINT) AS tokens,
+        'topic' || (CAST('0x' || substr(md5(coalesce(word, '')), 1, 8) AS BIGINT) % {mixing.TOPICS}) AS topic
+    FROM firsts LEFT JOIN best USING (doc_id)
+), cells AS MATERIALIZED ({mixing.CELLS.format(rows="rows")}),
+{targets},
+c0 AS MATERIALIZED (SELECT *, have AS weight FROM cells),
+{", ".join(steps)},
+chances AS (SELECT source, lang, topic, CASE WHEN have > 0 THEN weight / have ELSE 1 END AS probability FROM {cells})
+SELECT doc_id, tokens, topic, round(probability, 6) AS probability,
+    CAST(CAST('0x' || substr(md5('{mixing.SEED}:' || doc_id), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 < probability AS sampled
+FROM rows JOIN chances USING (source, lang, topic)
+"""
