@@ -1,5 +1,5 @@
 """Incremental warehouse loads on PySpark."""
 
-from loadstone.session import checkpoint_ready, get_session, tune
+from loadstone.session import get_session, scratch, tune
 
-__all__ = ["checkpoint_ready", "get_session", "tune"]
+__all__ = ["get_session", "scratch", "tune"]

@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadstone.functions.scalar import placement_points, taxable_share
-from loadstone.operators.sequences import MAX_GROUP_ROWS, rank_with_ties
+from loadstone.operators.sequences import rank_with_ties
 from loadstone.session import settle
 
 ResultPoints = Callable[[], tuple[Column, Column]]
-ContestRanking = Callable[..., DataFrame]
+ContestRanking = Callable[[Column], Column]
 
 _points: dict[str, ResultPoints] = {}
 _rankings: dict[str, ContestRanking] = {}
@@ -35,7 +35,7 @@ def points_calculator(name: str):
 
 
 def contest_ranking(name: str):
-    """Register a function (results, factor) -> points per contest and user."""
+    """Register a function that gives the weight of a result row's points, from the contest's factor."""
     def register(function: ContestRanking) -> ContestRanking:
         _rankings[name] = function
         return function
@@ -64,20 +64,27 @@ def winner_calculator() -> tuple[Column, Column]:
     return F.when(F.col("placed") == 1, amount).otherwise(0.0), amount
 
 
+def _by_name(name: Column, values: dict[str, Column]) -> Column:
+    """The value registered under a name; an unknown name fails the job."""
+    chosen = F
+    for key, value in values.items():
+        chosen = chosen.when(name == key, value)
+    return chosen.otherwise(F.raise_error(F.concat(F.lit("no calculator is registered as "), F.coalesce(name, F.lit("null")))))
+
+
 def score_results(results: DataFrame, calculator: str = "calculator", default: str = "placement") -> DataFrame:
     """Add points_awarded, final_points and potential_points by the calculator each row names.
 
     Closed projects (states 7 and 8) earn points plus their adjustment; open
-    ones with a valid submission have potential points.
+    ones with a valid submission have potential points. A calculator that is
+    not registered fails the job with its name.
     """
     closed = F.col("project_status_id").isin(7, 8)
     open_valid = ~closed & (F.coalesce(F.col("valid_submission_ind"), F.lit(0)) == 1)
-    awarded = potential = None
-    for name, build in _points.items():
-        gain, best = build()
-        named = F.coalesce(F.col(calculator), F.lit(default)) == name
-        awarded = F.when(named, gain) if awarded is None else awarded.when(named, gain)
-        potential = F.when(named, best) if potential is None else potential.when(named, best)
+    name = F.coalesce(F.col(calculator), F.lit(default))
+    pairs = {key: build() for key, build in _points.items()}
+    awarded = _by_name(name, {key: gain for key, (gain, _) in pairs.items()})
+    potential = _by_name(name, {key: best for key, (_, best) in pairs.items()})
     adjustment = F.coalesce(F.col("point_adjustment"), F.lit(0))
     return results.withColumns({
         "points_awarded": F.when(closed, awarded).otherwise(0.0),
@@ -86,45 +93,42 @@ def score_results(results: DataFrame, calculator: str = "calculator", default: s
 
 
 @contest_ranking("points")
-def sum_points(results: DataFrame, factor: Column) -> DataFrame:
+def every_point(factor: Column) -> Column:
     """Each user's points are the sum over the contest's results."""
-    return _totals(results, F.lit(1.0))
+    return F.lit(1.0)
 
 
 @contest_ranking("top_performers")
-def top_performers(results: DataFrame, factor: Column) -> DataFrame:
+def first_places(factor: Column) -> Column:
     """As ``points``, with first places counted ``factor`` times."""
-    return _totals(results, F.when(F.col("placed") == 1, factor).otherwise(F.lit(1.0)))
-
-
-def _totals(results: DataFrame, weight: Column) -> DataFrame:
-    cents = lambda column: (F.col(column) * weight).cast("decimal(18,2)")
-    sums = {"points_awarded": "initial_points", "final_points": "final_points", "potential_points": "potential_points"}
-    if "taxable_points" in results.columns:
-        sums["taxable_points"] = "taxable_points"
-    return results.groupBy("contest_id", "user_id").agg(*[F.sum(cents(c)).alias(n) for c, n in sums.items()])
+    return F.when(F.col("placed") == 1, factor).otherwise(F.lit(1.0))
 
 
 def rank_contests(
     results: DataFrame,
     prizes: DataFrame,
-    calculator: str = "points",
+    calculator: Column | str = "points",
     factor: Column | float = 1.0,
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Place, points and prize per contest and user.
 
+    ``calculator`` is a registered name, or a column that names one for each row's contest.
     Users rank by final points (equal points share a place); the prize of a
     contest's place goes to every user on it, users without points get none.
     """
-    weight = factor if isinstance(factor, Column) else F.lit(float(factor))
+    factor = factor if isinstance(factor, Column) else F.lit(float(factor))
+    name = calculator if isinstance(calculator, Column) else F.lit(calculator)
+    weight = _by_name(name, {key: build(factor) for key, build in _rankings.items()})
+    cents = lambda column: (F.col(column) * weight).cast("decimal(18,2)")
+    sums = {"points_awarded": "initial_points", "final_points": "final_points", "potential_points": "potential_points"}
+    extra = [c for c in ("taxable_points",) if c in results.columns]
+    sums |= {c: c for c in extra}
     # Ranking reads the totals three times, so they are summed up once.
-    totals = settle(_rankings[calculator](results, weight))
-    ranked = rank_with_ties(totals, ["contest_id"], "final_points", rank="current_place", max_rows=max_rows)
+    totals = settle(results.groupBy("contest_id", "user_id").agg(*[F.sum(cents(c)).alias(n) for c, n in sums.items()]))
+    ranked = rank_with_ties(totals, ["contest_id"], "final_points", rank="current_place")
     offered = prizes.groupBy("contest_id", F.col("place").alias("current_place")).agg(
         F.max("prize_amount").alias("current_prize")
     )
-    extra = [c for c in ("taxable_points",) if c in ranked.columns]
     return ranked.join(offered, ["contest_id", "current_place"], "left").select(
         "contest_id", "user_id", "initial_points", "final_points", "potential_points", *extra, "current_place",
         F.when(F.col("final_points") > 0, F.col("current_prize")).alias("current_prize"),

@@ -1,27 +1,21 @@
 """Ordered work inside groups: numbering, running sums, lags, ranks, streaks.
 
 A window puts a whole group into one task, which fails once one group holds a
-large part of the table. ``scan`` therefore counts the groups first. Groups
-up to ``max_rows`` rows run as ordinary windows. Larger ones are range
-partitioned by group and order, so that one group spreads over many tasks;
-each piece is worked on by itself and gets what the pieces before it add up to.
+large part of the table. ``scan`` therefore range partitions the rows by group and
+order, so that a group spreads over as many pieces as it needs. Each piece is worked on
+by itself, and groups that cross a border get what their pieces before it add up to.
+There is one path for groups of any size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadstone.functions import fixed
-from loadstone.session import checkpoint_ready
-
-# Rows of one group that a single task may hold.
-MAX_GROUP_ROWS = 5_000_000
-# A numbering over a whole table is split far earlier: it would be one task.
-MAX_TABLE_ROWS = 5_000
+from loadstone.session import settle
 
 
 def _cols(items) -> list[Column]:
@@ -37,18 +31,6 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], right_name
     return condition
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> tuple[DataFrame, int] | None:
-    """Keys of groups above ``max_rows`` rows and the rows they hold; None if there are none.
-
-    The frame has at most (rows of df) / max_rows rows, so it may be broadcast.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    row = counts.agg(F.max("_n"), F.sum(F.when(F.col("_n") > max_rows, F.col("_n")))).first()
-    if (row[0] or 0) <= max_rows:
-        return None
-    return counts.filter(F.col("_n") > max_rows).select(*keys), int(row[1])
-
-
 def scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -58,66 +40,21 @@ def scan(
     sums: dict[str, Column] | None = None,
     lags: dict[str, Column] | None = None,
     totals: dict[str, Column] | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
-    hot: tuple[DataFrame, int] | str | None = "count",
 ) -> DataFrame:
     """Add ordered columns per group of ``keys``; ``order`` must be total within a group.
 
     ``number``: 1-based position. ``sums``: running sum up to and including the
     row (null adds nothing). ``lags``: value of the row before, null on the
     first. ``totals``: sum over the whole group. No keys means one group.
-    A table without keys is always spread over the session's shuffle partitions.
-    ``hot`` takes what ``hot_keys`` found for the same groups before, which
-    saves counting them again.
+    The rows are spread over the session's shuffle partitions.
     """
     sums, lags, totals = sums or {}, lags or {}, totals or {}
     keys, order = list(keys), _cols(order)
-    if hot == "count":
-        hot = hot_keys(df, keys, max_rows)
-    if hot is None:
-        return _scan_windows(df, keys, order, number, sums, lags, totals)
-    hot_frame, hot_rows = hot
-    if keys:
-        marks = hot_frame.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-        on = same_keys(df, marks, keys, {k: f"_hot_{k}" for k in keys})
-        large = df.join(F.broadcast(marks), on, "left_semi")
-        small = df.join(F.broadcast(marks), on, "left_anti")
-    else:
-        large, small = df, None
-    pieces = ceil(2 * hot_rows / (max_rows if keys else max(max_rows, MAX_GROUP_ROWS)))
-    if not keys:
-        pieces = max(pieces, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    pieces = max(pieces, 2)
-    result = _scan_pieces(large, keys, order, number, sums, lags, totals, pieces)
-    if small is None:
-        return result
-    return _scan_windows(small, keys, order, number, sums, lags, totals).unionByName(result)
-
-
-def _scan_windows(df, keys, order, number, sums, lags, totals) -> DataFrame:
-    group = Window.partitionBy(*keys)
-    ordered = group.orderBy(*order)
-    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = {}
-    if number:
-        out[number] = F.row_number().over(ordered).cast("bigint")
-    for name, value in lags.items():
-        out[name] = F.lag(value).over(ordered)
-    for name, value in sums.items():
-        out[name] = F.coalesce(F.sum(value).over(running), F.lit(0))
-    for name, value in totals.items():
-        out[name] = F.coalesce(F.sum(value).over(group), F.lit(0))
-    return df.select("*", *[c.alias(n) for n, c in out.items()])
-
-
-def _scan_pieces(df, keys, order, number, sums, lags, totals, pieces) -> DataFrame:
-    checkpoint_ready(df.sparkSession)
-    # The piece number has to survive a lost executor: a range exchange that
-    # runs again may sample other bounds, so the placed rows are checkpointed.
-    placed = (
-        df.repartitionByRange(pieces, *keys, *order)
-        .withColumn("_piece", F.spark_partition_id())
-        .checkpoint()
+    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Settled before, as finding the borders reads the rows once more, and after, as a
+    # range exchange that runs again may put the borders elsewhere.
+    placed = settle(
+        settle(df).repartitionByRange(pieces, *keys, *order).withColumn("_piece", F.spark_partition_id())
     )
     group = Window.partitionBy("_piece", *keys)
     ordered = group.orderBy(*order)
@@ -128,32 +65,42 @@ def _scan_pieces(df, keys, order, number, sums, lags, totals, pieces) -> DataFra
         local[f"_own_{name}"] = value
     for name, value in sums.items():
         local[f"_sum_{name}"] = F.coalesce(F.sum(value).over(running), F.lit(0))
+    for name, value in totals.items():
+        local[f"_all_{name}"] = F.sum(value).over(group)
     inside = placed.select("*", *[c.alias(n) for n, c in local.items()])
 
+    # Groups that cross a border: fewer than there are pieces.
+    crossing = inside
+    if keys:
+        spans = placed.groupBy(*keys).agg(F.min("_piece").alias("_from"), F.max("_piece").alias("_to")).filter("_from < _to")
+        spans = spans.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+        on = same_keys(inside, spans, keys, {k: f"_key_{k}" for k in keys})
+        crossing = inside.join(F.broadcast(spans), on, "left_semi")
     piece_aggs = [F.max("_number").alias("_rows")]
     piece_aggs += [F.max_by(f"_own_{n}", "_number").alias(f"_last_{n}") for n in lags]
     piece_aggs += [F.max_by(f"_sum_{n}", "_number").alias(f"_add_{n}") for n in sums]
-    piece_aggs += [F.sum(v).alias(f"_all_{n}") for n, v in totals.items()]
-    per_piece = inside.groupBy("_piece", *keys).agg(*piece_aggs)
+    piece_aggs += [F.max(f"_all_{n}").alias(f"_part_{n}") for n in totals]
+    per_piece = crossing.groupBy("_piece", *keys).agg(*piece_aggs)
 
+    # At most two rows per piece, so this can be broadcast.
     whole = Window.partitionBy(*keys)
     by_piece = whole.orderBy("_piece")
     before = by_piece.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before")]
+    carried = [F.sum("_rows").over(before).alias("_rows_before")]
     carried += [F.lag(f"_last_{n}").over(by_piece).alias(f"_prev_{n}") for n in lags]
-    carried += [F.coalesce(F.sum(f"_add_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in sums]
-    carried += [F.coalesce(F.sum(f"_all_{n}").over(whole), F.lit(0)).alias(f"_total_{n}") for n in totals]
+    carried += [F.sum(f"_add_{n}").over(before).alias(f"_before_{n}") for n in sums]
+    carried += [F.sum(f"_part_{n}").over(whole).alias(f"_total_{n}") for n in totals]
     carry = per_piece.select(*[F.col(k).alias(f"_key_{k}") for k in ["_piece", *keys]], *carried)
 
     on = same_keys(inside, carry, ["_piece", *keys], {k: f"_key_{k}" for k in ["_piece", *keys]})
-    joined = inside.join(carry, on)
+    joined = inside.join(F.broadcast(carry), on, "left")
     out = []
     if number:
-        out.append((F.col("_number") + F.col("_rows_before")).alias(number))
+        out.append((F.col("_number") + F.coalesce("_rows_before", F.lit(0))).alias(number))
     for name in lags:
         out.append(F.when(F.col("_number") == 1, F.col(f"_prev_{name}")).otherwise(F.col(f"_lag_{name}")).alias(name))
-    out += [(F.col(f"_sum_{n}") + F.col(f"_before_{n}")).alias(n) for n in sums]
-    out += [F.col(f"_total_{n}").alias(n) for n in totals]
+    out += [(F.col(f"_sum_{n}") + F.coalesce(f"_before_{n}", F.lit(0))).alias(n) for n in sums]
+    out += [F.coalesce(f"_total_{n}", f"_all_{n}", F.lit(0)).alias(n) for n in totals]
     return joined.select(*[F.col(c) for c in df.columns], *out)
 
 
@@ -168,22 +115,18 @@ def rank_with_ties(
     rank: str = "rank",
     size: str | None = None,
     percentile: str | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
-    hot: tuple[DataFrame, int] | str | None = "count",
 ) -> DataFrame:
     """Competition rank by descending value: equal values share the first position.
 
     Ranked over the counts per distinct value, which are pre-aggregated on the
     map side, so neither a large group nor a value half the rows share lands
-    in one task. ``percentile`` is 100 * (size - rank) / size. ``hot=None``
-    says that no group of rows is large, so none of counts can be.
+    in one task. ``percentile`` is 100 * (size - rank) / size.
     """
     keys = list(keys)
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     placed = scan(
         counts, keys, [F.col(value).desc()],
-        sums={"_upto": F.col("_n")}, totals={"_size": F.col("_n")}, max_rows=max_rows,
-        hot=None if hot is None else "count",
+        sums={"_upto": F.col("_n")}, totals={"_size": F.col("_n")},
     )
     names = [*keys, value]
     ranks = placed.select(
@@ -200,9 +143,7 @@ def rank_with_ties(
     return joined.select(*[F.col(c) for c in df.columns], *out)
 
 
-def rating_ranks(
-    ratings: DataFrame, keys: Sequence[str], *, position: str | None = None, max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def rating_ranks(ratings: DataFrame, keys: Sequence[str], *, position: str | None = None) -> DataFrame:
     """Ranks of (user_id, rating, active) rows within ``keys``, for all users and for active ones.
 
     Both rank types come out of one pass: an active user's row counts once in
@@ -216,14 +157,9 @@ def rating_ranks(
         ),
     )
     groups = [*keys, "user_rank_type_id"]
-    # The groups over all users are the larger ones; the active are a part of them.
-    hot = hot_keys(ratings, keys, max_rows)
-    if hot is not None:
-        kinds = F.explode(F.array(F.lit(fixed.RANK_OVERALL), F.lit(fixed.RANK_ACTIVE))).alias("user_rank_type_id")
-        hot = hot[0].select(*keys, kinds), 2 * hot[1]
     if position:
-        typed = scan(typed, groups, [F.col("rating").desc(), "user_id"], number=position, max_rows=max_rows, hot=hot)
-    ranked = rank_with_ties(typed, groups, "rating", percentile="percentile", max_rows=max_rows, hot=hot)
+        typed = scan(typed, groups, [F.col("rating").desc(), "user_id"], number=position)
+    ranked = rank_with_ties(typed, groups, "rating", percentile="percentile")
     return ranked.withColumn("percentile", F.round("percentile", 4))
 
 
@@ -246,17 +182,15 @@ def high_low(df: DataFrame, keys: Sequence[str], value: str, high: str, low: str
 
 
 def number_in_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "sort", max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "sort"
 ) -> DataFrame:
     """0-based position in the group."""
-    return scan(df, keys, order, number=name, max_rows=max_rows).withColumn(name, F.col(name) - 1)
+    return scan(df, keys, order, number=name).withColumn(name, F.col(name) - 1)
 
 
-def surrogate_keys(
-    df: DataFrame, order: Sequence[str | Column], name: str, last: int = 0, max_rows: int = MAX_TABLE_ROWS
-) -> DataFrame:
+def surrogate_keys(df: DataFrame, order: Sequence[str | Column], name: str, last: int = 0) -> DataFrame:
     """Running ids above ``last`` for a whole batch, in the given total order."""
-    return scan(df, [], order, number=name, max_rows=max_rows).withColumn(name, F.col(name) + F.lit(last))
+    return scan(df, [], order, number=name).withColumn(name, F.col(name) + F.lit(last))
 
 
 def prior_count(
@@ -265,7 +199,6 @@ def prior_count(
     order: Sequence[str],
     counts: Column,
     name: str,
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Number of counted rows up to the row itself, itself included where it counts.
 
@@ -274,25 +207,23 @@ def prior_count(
     """
     dated = F.col(order[0]).isNotNull()
     own = F.when(counts, 1).otherwise(0)
-    seen = scan(df, keys, order, sums={name: F.when(dated, own).otherwise(0)}, max_rows=max_rows)
+    seen = scan(df, keys, order, sums={name: F.when(dated, own).otherwise(0)})
     return seen.withColumn(name, F.when(dated, F.col(name)).otherwise(own).cast("bigint"))
 
 
-def assign_slots(
-    df: DataFrame, parent: str, member: str, slot: str, free: int = 4, max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def assign_slots(df: DataFrame, parent: str, member: str, slot: str, free: int = 4) -> DataFrame:
     """One slot per member of a parent: a fixed slot below ``free`` stays, others get free, free + 1, ..."""
     members = df.groupBy(parent, member).agg(F.min(slot).alias(slot))
     fixed_slots = members.filter(F.col(slot) < free).select(parent, member, F.col(slot).cast("bigint").alias(slot))
     open_slots = scan(
-        members.filter(F.col(slot) >= free).select(parent, member), [parent], [member], number=slot, max_rows=max_rows
+        members.filter(F.col(slot) >= free).select(parent, member), [parent], [member], number=slot
     ).withColumn(slot, F.col(slot) + (free - 1))
     return fixed_slots.unionByName(open_slots)
 
 
-def place_gaps(df: DataFrame, keys: Sequence[str], place: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def place_gaps(df: DataFrame, keys: Sequence[str], place: str) -> DataFrame:
     """Ordered list of places per key with the expected place and a flag where they differ."""
-    ordered = scan(df, keys, [place], number="expected_place", max_rows=max_rows)
+    ordered = scan(df, keys, [place], number="expected_place")
     differs = F.coalesce(F.col(place) != F.col("expected_place"), F.lit(False))
     return ordered.withColumn("gap", F.when(differs, 1).otherwise(0))
 
@@ -306,7 +237,6 @@ def streaks(
     order: Sequence[str] = ("rating_order", "project_id"),
     placed: str = "placed",
     rating: str = "rating",
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Runs longer than one of won, paid, rising and falling results per user and phase.
 
@@ -316,8 +246,7 @@ def streaks(
     """
     keys = [user, phase]
     place, points = F.coalesce(F.col(placed), F.lit(0)), F.coalesce(F.col(rating), F.lit(0))
-    hot = hot_keys(results, keys, max_rows)
-    with_prev = scan(results, keys, order, lags={"_prev": points}, max_rows=max_rows, hot=hot)
+    with_prev = scan(results, keys, order, lags={"_prev": points})
     known = F.col("_prev") >= 0
     kinds = {
         fixed.STREAK_WON: place == 1,
@@ -330,7 +259,7 @@ def streaks(
     )
     breaks = {f"_island{kind}": 1 - F.col(f"_in{kind}") for kind in kinds}
     last = {f"_end{kind}": 1 - F.col(f"_in{kind}") for kind in kinds}
-    islands = scan(flagged, keys, order, number="_at", sums=breaks, totals=last, max_rows=max_rows, hot=hot)
+    islands = scan(flagged, keys, order, number="_at", sums=breaks, totals=last)
     rows = islands.select(
         *keys, project, "_at",
         F.explode(F.array(*[

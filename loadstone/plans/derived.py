@@ -81,26 +81,13 @@ def dr_points(ctx: LoadContext) -> dict[str, Write]:
 
 
 def named_calculator(ctx: LoadContext, column: str) -> Column:
-    """Registered ranking of a class name; ``calculators`` in the options maps names, others count as points."""
-    known = set(scoring.calculators()[1])
-    names = {**{n: n for n in known}, **ctx.options.get("calculators", {})}
-    value = F.lit("points")
-    for old, new in names.items():
+    """Registered ranking of a class name; ``calculators`` in the options maps names. Others fail when they are used."""
+    value = F.col(column)
+    for old, new in ctx.options.get("calculators", {}).items():
         value = F.when(F.col(column) == old, new).otherwise(value)
     return value
 
 
-def ranked_by_calculator(results: DataFrame, prizes: DataFrame, factor: Column | float) -> DataFrame:
-    """Every contest ranked by the calculator its rows name."""
-    parts = [
-        scoring.rank_contests(results.filter(F.col("ranking") == name), prizes, name, factor) for name in scoring.calculators()[1]
-    ]
-    ranked = parts[0]
-    for part in parts[1:]:
-        ranked = ranked.unionByName(part)
-    return ranked
-
-
 @load("track_contest_results", 7)
 def track_contest_results(ctx: LoadContext) -> dict[str, Write]:
     """Places and prizes in the contests of changed tracks.
@@ -137,7 +124,7 @@ def track_contest_results(ctx: LoadContext) -> dict[str, Write]:
     prizes = ctx.source(table) if table else ctx.target("track_contest_results").select(
         F.col("track_contest_id").alias("contest_id"), F.lit(1).alias("place"), F.col("track_contest_prize").alias("prize_amount")
     ).filter(F.lit(False))
-    ranked = ranked_by_calculator(in_contests, prizes, 2.0)
+    ranked = scoring.rank_contests(in_contests, prizes, F.col("ranking"), 2.0)
     rows = ranked.select(
         F.col("contest_id").alias("track_contest_id"), "user_id", F.col("current_place").alias("track_contest_placement"),
         F.col("current_prize").alias("track_contest_prize"),
@@ -217,7 +204,7 @@ def contest_result(ctx: LoadContext) -> dict[str, Write]:
     scored = settle(scoring.score_results(rows).select(
         "contest_id", "user_id", "placed", "points_awarded", "final_points", "potential_points", "ranking", "factor"
     ))
-    ranked = ranked_by_calculator(scored, checked_prizes(ctx), F.col("factor")).withColumnRenamed("user_id", "coder_id")
+    ranked = scoring.rank_contests(scored, checked_prizes(ctx), F.col("ranking"), F.col("factor")).withColumnRenamed("user_id", "coder_id")
     return {"contest_result": Write(merge.replace_by_key(target, ranked, ["contest_id"], contests.select("contest_id").distinct()))}
 
 

@@ -13,7 +13,7 @@ from loadstone.functions import fixed
 from loadstone.operators import changes
 from loadstone.operators.report import LoadReport
 from loadstone.plans.core import LOADS, Load, LoadContext
-from loadstone.session import release
+from loadstone.session import scratch
 from loadstone.sources import Source, Warehouse
 
 log = logging.getLogger("loadstone")
@@ -48,13 +48,12 @@ def run_loads(
     chosen = [known[name] for name in names] if names is not None else list(known.values())
     reports = []
     for item in sorted(chosen, key=lambda entry: entry.stage):
-        writes = item.run(ctx)
-        for table, write in writes.items():
-            report = LoadReport(table)
-            warehouse.write(table, report.watch(write.rows), write.mode)
-            log.info("%s", report.finish())
-            reports.append(report)
-        release(spark)
+        with scratch(spark):
+            for table, write in item.run(ctx).items():
+                report = LoadReport(table)
+                warehouse.write(table, report.watch(write.rows), write.mode)
+                log.info("%s", report.finish())
+                reports.append(report)
     row = changes.commit_hwm(warehouse.table("update_log"), warehouse.table("calendar"), start, log_type)
     warehouse.write("update_log", row, "append")
     return reports

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-import tempfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,43 +45,59 @@ def get_session(app: str = "loadstone", cores: int | None = None, **conf: str) -
     return tune(builder.getOrCreate())
 
 
-def checkpoint_ready(spark: SparkSession) -> None:
-    """Make sure reliable checkpoints have a folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: what the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the shared one the cluster names in ``spark.checkpoint.dir``.
-    Only a local session without that setting gets a folder of its own.
+    Where that is unset, a folder below the warehouse, which executors share as well.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="loadstone-checkpoint-")
-    context.setCheckpointDir(folder)
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    return folder.rstrip("/")
 
 
-_settled: list[str] = []
+def _files(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+# Folders written inside the innermost ``scratch`` block of this thread.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+def scratch_path(spark: SparkSession, kind: str = "rows") -> str:
+    """A new folder in the shared folder; it goes at the end of the ``scratch`` block or of the application."""
+    path = f"{shared_folder(spark)}/{kind}-{uuid4()}"
+    folder, files = _files(spark, path)
+    files.mkdirs(folder)
+    if (block := _written.get()) is not None:
+        block.append(path)
+    else:
+        files.deleteOnExit(folder)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Delete the rows that were settled inside, also after a failure."""
+    mine: list[str] = []
+    token = _written.set(mine)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in mine:
+            folder, files = _files(spark, path)
+            files.delete(folder, True)
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write rows that many later joins use to the shared checkpoint folder and read them back.
+    """Write rows that many later steps use to the shared folder and read them back.
 
-    They are computed once, the plans on top stay small, and their measured
-    size lets Spark decide whether to broadcast them.
+    They are computed once, the plans on top stay small, their measured size lets Spark
+    decide whether to broadcast them, and a lost executor does not repeat what is behind them.
     """
     spark = df.sparkSession
-    checkpoint_ready(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/rows-{uuid4()}"
+    path = f"{scratch_path(spark)}/data"
     df.write.parquet(path)
-    _settled.append(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Delete the settled rows once nothing reads them any more."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    while _settled:
-        path = hadoop(_settled.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -222,3 +222,13 @@ def test_report(spark, target):
     watched = report.LoadReport("t")
     watched.watch(target).write.format("noop").mode("overwrite").save()
     assert watched.finish().rows == 3 and "3 records of t" in str(watched)
+
+
+def test_unknown_calculator_fails(spark):
+    results = spark.createDataFrame(
+        [(1, 2, 1, 10.0, 10.0, 10.0, "no_such")],
+        "contest_id int, user_id int, placed int, points_awarded double, final_points double, potential_points double, ranking string",
+    )
+    prizes = spark.createDataFrame([], "contest_id int, place int, prize_amount double")
+    with pytest.raises(Exception, match="no_such"):
+        scoring.rank_contests(results, prizes, F.col("ranking")).collect()

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loadstone.operators import sequences
@@ -24,36 +25,55 @@ def skewed(spark):
     return spark.createDataFrame(data, "g int, t int, id int, placed int, rating int").cache()
 
 
-def test_split_groups_equal_plain_windows(skewed):
-    def run(limit):
-        return sequences.scan(
-            skewed, ["g"], ["t", "id"], number="n", lags={"before": F.col("placed")},
-            sums={"running": F.col("placed")}, totals={"total": F.col("placed")}, max_rows=limit,
-        )
+PIECES = [1, 2, 7, 40]
 
+
+@pytest.fixture(params=PIECES)
+def pieces(spark, request):
+    """The same result for any number of pieces: whole groups in one, groups over many."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_scan_equals_plain_windows(skewed, pieces):
+    got = sequences.scan(
+        skewed, ["g"], ["t", "id"], number="n", lags={"before": F.col("placed")},
+        sums={"running": F.col("placed")}, totals={"total": F.col("placed")},
+    )
+    order = Window.partitionBy("g").orderBy("t", "id")
+    whole = Window.partitionBy("g")
+    plain = skewed.select(
+        "g", "id", F.row_number().over(order).alias("n"), F.lag("placed").over(order).alias("before"),
+        F.coalesce(F.sum("placed").over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)).alias("running"),
+        F.coalesce(F.sum("placed").over(whole), F.lit(0)).alias("total"),
+    )
     names = ["g", "id", "n", "before", "running", "total"]
-    plain = rows(run(10 ** 6), *names)
-    assert len(plain) == 3000
-    assert rows(run(100), *names) == plain
-    assert rows(run(15), *names) == plain
+    assert got.count() == 3000
+    assert rows(got, *names) == rows(plain, *names)
+
+
+def test_no_keys(skewed, pieces):
+    numbered = rows(sequences.surrogate_keys(skewed, ["t", "id"], "k", 500), "id", "k")
+    expected = sorted(enumerate_from(sorted((t, i) for t, i in rows(skewed, "t", "id")), 501))
+    assert sorted(numbered) == expected
 
 
-def test_no_keys_split(skewed):
-    plain = rows(sequences.surrogate_keys(skewed, ["t", "id"], "k", 500), "id", "k")
-    assert rows(sequences.surrogate_keys(skewed, ["t", "id"], "k", 500, max_rows=200), "id", "k") == plain
-    assert sorted(k for _, k in plain) == list(range(501, 3501))
+def enumerate_from(ordered, first):
+    return [(row[1], first + k) for k, row in enumerate(ordered)]
 
 
-def test_descending_order_split(skewed):
-    run = lambda limit: sequences.scan(skewed, ["g"], [F.col("rating").desc(), "id"], number="n", max_rows=limit)
-    assert rows(run(60), "id", "n") == rows(run(10 ** 6), "id", "n")
+def test_descending_order(skewed, pieces):
+    got = sequences.scan(skewed, ["g"], [F.col("rating").desc(), "id"], number="n")
+    plain = skewed.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(F.col("rating").desc(), "id")))
+    assert rows(got, "id", "n") == rows(plain, "id", "n")
 
 
-def test_hot_group_is_spread(skewed):
-    hot, held = sequences.hot_keys(skewed, ["g"], 500)
-    assert [tuple(r) for r in hot.collect()] == [(0,)] and held == 1000
-    placed = sequences._scan_pieces(skewed.filter("g = 0"), ["g"], [F.col("t"), F.col("id")], "n", {}, {}, {}, 8)
-    assert placed.count() == 1000
+def test_empty_input(skewed):
+    none = skewed.filter("id < 0")
+    assert sequences.scan(none, ["g"], ["t"], number="n", totals={"s": F.col("placed")}).count() == 0
+    assert sequences.surrogate_keys(none, ["t"], "k").count() == 0
 
 
 def test_ranks_with_ties(spark):
@@ -65,13 +85,12 @@ def test_ranks_with_ties(spark):
     ]
 
 
-def test_rating_ranks_split(spark):
+def test_rating_ranks(spark, pieces):
     rng = random.Random(3)
     data = [(i, rng.randrange(40), rng.choice([112, 112, 113]), rng.choice([0, 1])) for i in range(800)]
     frame = spark.createDataFrame(data, "user_id int, rating int, phase_id int, active int")
     names = ["user_id", "user_rank_type_id", "rank", "rank_no_tie", "percentile"]
     plain = rows(sequences.rating_ranks(frame, ["phase_id"], position="rank_no_tie"), *names)
-    assert rows(sequences.rating_ranks(frame, ["phase_id"], position="rank_no_tie", max_rows=50), *names) == plain
     for kind in (1, 2):
         for phase in (112, 113):
             members = [(u, r) for u, r, p, a in data if p == phase and (kind == 1 or a)]
@@ -108,8 +127,7 @@ KINDS = {
 }
 
 
-@pytest.mark.parametrize("limit", [10 ** 6, 25])
-def test_streaks_equal_state_machine(spark, limit):
+def test_streaks_equal_state_machine(spark, pieces):
     rng = random.Random(11)
     data, table = defaultdict(list), []
     for project in range(1500):
@@ -119,7 +137,7 @@ def test_streaks_equal_state_machine(spark, limit):
         table.append((user, phase, project, project, placed, rating))
     frame = spark.createDataFrame(table, "user_id int, phase_id int, project_id int, rating_order int, placed int, rating int")
     got = rows(
-        sequences.streaks(frame, max_rows=limit),
+        sequences.streaks(frame),
         "streak_type_id", "user_id", "phase_id", "start_project_id", "end_project_id", "length", "is_current",
     )
     expected = sorted(((kind, *row) for kind, accept in KINDS.items() for row in state_machine(data, accept)), key=repr)
