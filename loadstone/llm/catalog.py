@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, sql, substrings, tokens
+from loadstone.llm import line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, sql, substrings, token_rollup, tokens
+from loadstone.session import scratch_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -60,6 +62,45 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("text_hash", "distance")
 
 
+@_query()
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and tokens by source, language and tokenizer version after four batches, two of them delivered twice.
+
+    All documents come in under the first tokenizer; exact copies of an earlier document are
+    deleted; documents with repeated lines are revised to the count of their distinct
+    lines; then what is left comes in under a second tokenizer.
+    """
+    docs = table(spark, sf_dir, "documents")
+    lines = F.split("text", "\n")
+    texts = docs.select(
+        "doc_id", "source", "lang", "text", F.md5("text").alias("same"),
+        F.array_join(F.array_distinct(lines), "\n").alias("cleaned"), (F.size(F.array_distinct(lines)) < F.size(lines)).alias("repeats"),
+    )
+    first, second = "byte_bpe_50k", "byte_bpe_multi_50k"
+    paths = {v: public_tokenizers.path(f"{v}.tiktoken") for v in (first, second)}
+    counted = token_rollup.count_tokens(texts.drop("cleaned"), paths)
+    revised = token_rollup.count_tokens(
+        texts.filter("repeats").select("doc_id", F.col("cleaned").alias("text")), {"cleaned": paths[first]}
+    )
+    counted = settle(counted.join(revised, "doc_id", "left"))
+    earliest = counted.groupBy("same").agg(F.min("doc_id").alias("earliest"))
+    counted = settle(counted.join(earliest, "same", "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("earliest"), F.lit(False))))
+
+    def batch(rows: DataFrame, op: str, version: str, new: str, old: str) -> DataFrame:
+        return rows.selectExpr("source", "lang", f"'{version}' AS version", f"'{op}' AS op", f"{new} AS tokens", f"{old} AS old_tokens")
+
+    deliveries = [
+        ("1 insert", batch(counted, "insert", first, first, "NULL")),
+        ("2 delete", batch(counted.filter("copy"), "delete", first, "NULL", first)),
+        ("3 revise", batch(counted.filter("NOT copy AND cleaned IS NOT NULL"), "revise", first, "cleaned", first)),
+        ("4 insert", batch(counted.filter("NOT copy"), "insert", second, second, "NULL")),
+    ]
+    rollup = token_rollup.TokenRollup(spark, scratch_path(spark, "rollup"))
+    for name, changes in [*deliveries, deliveries[0], deliveries[2]]:
+        rollup.apply(name, changes)
+    return rollup.totals()
+
+
 @_query(sql.RUNS)
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text left of each document once runs of three lines seen earlier are gone."""
