@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, sql, substrings, token_rollup, tokens
+from loadstone.llm import licences, line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, sql, substrings, token_rollup, tokens
 from loadstone.session import scratch_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,17 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic, probability and draw of each document, raked to evened shares of sources, languages and topics."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "tokens", "topic", F.round("probability", 6).alias("probability"), "sampled")
+
+
+@_query(sql.licences())
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of each document, found in its text or taken from the nearest directory above.
+
+    The tables hold no paths; a document lies below its source in one folder per digit of
+    its id but the last: 4321 is src0/4/3/2/4321.
+    """
+    docs = table(spark, sf_dir, "documents")
+    digits = F.col("doc_id").cast("string")
+    folders = F.regexp_replace(F.substring(digits, F.lit(1), F.length(digits) - 1), "(.)", "$1/")
+    found = licences.scan(docs.withColumn("path", F.concat(F.col("source"), F.lit("/"), folders, digits)))
+    return found.withColumn("score", F.round("score", 6))

@@ -149,3 +149,66 @@ SELECT doc_id, tokens, topic, round(probability, 6) AS probability,
     CAST(CAST('0x' || substr(md5('{mixing.SEED}:' || doc_id), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 < probability AS sampled
 FROM rows JOIN chances USING (source, lang, topic)
 """
+
+
+def licences() -> str:
+    """TF-IDF of every line and text against the templates, then the nearest licensed folder."""
+    from loadstone.llm import licences as rules
+
+    templates = ", ".join(
+        "({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(rules.TEMPLATES)
+    )
+    fold = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH docs AS MATERIALIZED (
+    SELECT doc_id, source || '/' || regexp_replace(CAST(doc_id // 10 AS VARCHAR), '(.)', '\1/', 'g') AS folder_below, doc_id < 10 AS top,
+        source, string_split({fold.format('text')}, chr(10)) AS lines
+    FROM documents
+), placed AS MATERIALIZED (
+    SELECT doc_id, lines, CASE WHEN top THEN source ELSE rtrim(folder_below, '/') END AS folder FROM docs
+), segments AS MATERIALIZED (
+    SELECT doc_id, number, term, count(*) AS tf FROM (
+        SELECT doc_id, number, unnest(regexp_extract_all(line, '[a-z0-9]+')) AS term
+        FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS number FROM placed)
+    ) GROUP BY ALL
+), wholes AS MATERIALIZED (
+    SELECT doc_id, -1 AS number, term, sum(tf) AS tf FROM segments GROUP BY doc_id, term
+), templates(k, name, body) AS (VALUES {templates}
+), vocabulary AS MATERIALIZED (
+    SELECT k, name, term, count(*) AS tf
+    FROM (SELECT k, name, unnest(regexp_extract_all({fold.format('body')}, '[a-z0-9]+')) AS term FROM templates) GROUP BY ALL
+), total AS (SELECT count(*) AS n FROM documents WHERE text IS NOT NULL
+), idf AS MATERIALIZED (
+    SELECT term, ln((any_value(total.n) + 1.0) / (count(DISTINCT wholes.doc_id) + 1)) + 1 AS idf
+    FROM (SELECT DISTINCT term FROM vocabulary) LEFT JOIN wholes USING (term) CROSS JOIN total GROUP BY term
+), weights AS MATERIALIZED (
+    SELECT k, name, term, tf * idf AS w, sqrt(sum(power(tf * idf, 2)) OVER (PARTITION BY k)) AS norm FROM vocabulary JOIN idf USING (term)
+), vectors AS MATERIALIZED (
+    SELECT doc_id, number, term, tf * coalesce(idf, (SELECT ln(n + 1) + 1 FROM total)) AS w
+    FROM (SELECT * FROM segments UNION ALL SELECT * FROM wholes) LEFT JOIN idf USING (term)
+), norms AS MATERIALIZED (
+    SELECT doc_id, number, sqrt(sum(w * w)) AS norm FROM vectors GROUP BY doc_id, number
+), scores AS MATERIALIZED (
+    SELECT doc_id, number, name, dot / (norms.norm * tnorm) AS score FROM (
+        SELECT doc_id, number, k, name, sum(vectors.w * weights.w) AS dot, any_value(weights.norm) AS tnorm
+        FROM vectors JOIN weights USING (term) GROUP BY doc_id, number, k, name
+    ) JOIN norms USING (doc_id, number)
+), notices AS MATERIALIZED (
+    SELECT doc_id, arg_max(name, score) AS licence, max(score) AS score FROM scores
+    WHERE number >= 0 GROUP BY doc_id HAVING max(score) >= {rules.NOTICE_SCORE}
+), given AS MATERIALIZED (
+    SELECT folder, first(name ORDER BY round(score, 9) DESC, doc_id) AS licence, max(score) AS score FROM (
+        SELECT doc_id, arg_max(name, score) AS name, max(score) AS score FROM scores
+        WHERE number < 0 GROUP BY doc_id HAVING max(score) >= {rules.FILE_SCORE}
+    ) JOIN placed USING (doc_id) GROUP BY folder
+), nearest AS (
+    SELECT doc_id, arg_max(given.licence, len(given.folder)) AS licence, arg_max(given.score, len(given.folder)) AS score,
+        arg_max(given.folder, len(given.folder)) AS folder
+    FROM placed JOIN given ON placed.folder = given.folder OR starts_with(placed.folder, given.folder || '/') GROUP BY doc_id
+)
+SELECT doc_id, placed.folder || '/' || doc_id AS path, coalesce(notices.licence, nearest.licence) AS licence,
+    CASE WHEN notices.licence IS NOT NULL THEN 'notice' WHEN nearest.licence IS NOT NULL THEN 'inherited' END AS how,
+    round(coalesce(notices.score, nearest.score), 6) AS score,
+    CASE WHEN notices.licence IS NOT NULL THEN placed.folder || '/' || doc_id ELSE nearest.folder END AS source_path
+FROM placed LEFT JOIN notices USING (doc_id) LEFT JOIN nearest USING (doc_id)
+"""
