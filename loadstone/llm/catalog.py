@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import licences, line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, sql, substrings, token_rollup, tokens
+from loadstone.llm import cotraining, licences, line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, sql, substrings, token_rollup, tokens
 from loadstone.session import scratch_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@_query()
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is good, from its text and from its page, and whether it is kept.
+
+    The number in a page's address is the id of its document.
+    """
+    pages = table(spark, sf_dir, "pages").select(
+        F.expr("try_cast(regexp_extract(url, '^[a-z]+://[^/]+/[^/]+/([0-9]+)', 1) AS bigint)").alias("doc_id"), "url"
+    )
+    return cotraining.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), pages)
+
+
 @_query()
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest rows found for every hundredth vector."""

@@ -74,8 +74,11 @@ class Words:
         return np.flatnonzero(room >= size)
 
 
-def read_words(texts, lower: bool = False) -> Words:
-    """Words of an Arrow string column; a null text has none. ``lower`` folds A-Z only."""
+def read_words(texts, lower: bool = False, blank: np.ndarray = _BLANK) -> Words:
+    """Words of an Arrow string column; a null text has none. ``lower`` folds A-Z only.
+
+    ``blank`` says of each byte value whether it separates words.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if isinstance(texts, pa.ChunkedArray):  # no chunks at all
@@ -91,7 +94,7 @@ def read_words(texts, lower: bool = False) -> Words:
     body = texts.buffers()[2]
     raw = np.frombuffer(body, dtype=np.uint8) if body is not None else np.empty(0, dtype=np.uint8)
     data, offsets = raw[offsets[0] : offsets[-1]], offsets - offsets[0]
-    solid = ~_BLANK[data]
+    solid = ~blank[data]
     edges = offsets[1:-1][offsets[1:-1] < len(data)]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
