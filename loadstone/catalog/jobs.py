@@ -346,7 +346,7 @@ def _reviewed(roles: str) -> str:
     return f"""
 src_review r JOIN src_submission s ON s.submission_id = r.submission_id AND s.submission_type_id = 1
 JOIN src_upload u ON u.upload_id = s.upload_id
-JOIN src_project p ON p.project_id = u.project_id AND p.project_status_id <> 3 AND p.project_category_id IN {_CATEGORIES} AND {ELIGIBLE}
+JOIN (SELECT * FROM src_project p WHERE p.project_status_id <> 3 AND p.project_category_id IN {_CATEGORIES} AND {ELIGIBLE}) p ON p.project_id = u.project_id
 JOIN src_resource res ON res.resource_id = r.resource_id AND res.resource_role_id IN {roles}
 JOIN src_resource_info res1 ON res1.resource_id = u.resource_id AND res1.resource_info_type_id = 1
 JOIN src_resource_info res2 ON res2.resource_id = r.resource_id AND res2.resource_info_type_id = 1"""

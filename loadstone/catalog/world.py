@@ -356,8 +356,8 @@ def needed(sql: str) -> list[str]:
     return order
 
 
-def _query(sql: str, each: str) -> str:
-    tables = ",\n".join(f"{name} AS ({TABLES[name]})" for name in needed(sql))
+def _query(sql: str, each: str, kept: str = "") -> str:
+    tables = ",\n".join(f"{name} AS {kept}({TABLES[name]})" for name in needed(sql))
     if not tables:
         return sql
     body = sql.strip()
@@ -366,7 +366,8 @@ def _query(sql: str, each: str) -> str:
 
 
 def duck_sql(sql: str) -> str:
-    return _query(sql, r"unnest([\1])")
+    # Without this DuckDB works each table out anew wherever it is named.
+    return _query(sql, r"unnest([\1])", "MATERIALIZED ")
 
 
 def spark_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
