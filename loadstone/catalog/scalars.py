@@ -7,7 +7,7 @@ from loadstone.functions import fixed, scalar
 
 # Forms the source writes dates in, chosen by the order key.
 _TEXT_DATES = """
-CASE CAST(o_orderkey % 8 AS INTEGER)
+CASE CAST(o_orderkey % 12 AS INTEGER)
   WHEN 0 THEN strftime(o_orderdate, '%m/%d/%Y') || ' 09:30'
   WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y') || ' 13:15'
   WHEN 2 THEN strftime(o_orderdate, '%m.%d.%Y') || ' 12:05 PM'
@@ -15,6 +15,10 @@ CASE CAST(o_orderkey % 8 AS INTEGER)
   WHEN 4 THEN strftime(o_orderdate, '%m.%d.%Y') || ' 21:30 GMT+02:00'
   WHEN 5 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 04:05:06'
   WHEN 6 THEN strftime(o_orderdate, '%m/%d/%Y') || ' 12:40 tail'
+  WHEN 7 THEN strftime(o_orderdate, '%a %b %d') || ' 23:10:09 CET ' || strftime(o_orderdate, '%Y')
+  WHEN 8 THEN strftime(o_orderdate, '%m.%d.%Y') || ' 01:30 IST'
+  WHEN 9 THEN strftime(o_orderdate, '%m.%d.%Y') || ' 21:30 America/New_York'
+  WHEN 10 THEN strftime(o_orderdate, '%m.%d.%Y') || ' 21:30 No/Where'
   ELSE 'on ' || o_orderpriority END
 """
 
@@ -29,18 +33,24 @@ def text_dates(t):
         F.concat(date("MM.dd.yyyy"), F.lit(" 21:30 GMT+02:00")),
         F.concat(date("yyyy-MM-dd"), F.lit(" 04:05:06")),
         F.concat(date("MM/dd/yyyy"), F.lit(" 12:40 tail")),
+        F.concat(date("EEE MMM dd"), F.lit(" 23:10:09 CET "), date("yyyy")),
+        F.concat(date("MM.dd.yyyy"), F.lit(" 01:30 IST")),
+        F.concat(date("MM.dd.yyyy"), F.lit(" 21:30 America/New_York")),
+        F.concat(date("MM.dd.yyyy"), F.lit(" 21:30 No/Where")),
     ]
     text = F.concat(F.lit("on "), F.col("o_orderpriority"))
     for number, form in enumerate(forms):
-        text = F.when(F.col("o_orderkey") % 8 == number, form).otherwise(text)
+        text = F.when(F.col("o_orderkey") % 12 == number, form).otherwise(text)
     return t.orders.withColumn("text", text)
 
 
 @query(f"""
 SELECT o_orderkey, {_TEXT_DATES} AS text,
-       o_orderdate + to_seconds(CASE CAST(o_orderkey % 8 AS INTEGER)
+       CASE WHEN o_orderkey % 12 = 9 THEN timezone('UTC', timezone('America/New_York', CAST(o_orderdate AS TIMESTAMP) + to_seconds(1290 * 60)))
+         ELSE o_orderdate + to_seconds(CASE CAST(o_orderkey % 12 AS INTEGER)
          WHEN 0 THEN 570 * 60 WHEN 1 THEN 795 * 60 WHEN 2 THEN 725 * 60 WHEN 3 THEN 23 * 3600 + 609 + 5 * 3600
-         WHEN 4 THEN 1290 * 60 - 7200 WHEN 5 THEN 4 * 3600 + 306 WHEN 6 THEN 40 * 60 END) AS stamp
+         WHEN 4 THEN 1290 * 60 - 7200 WHEN 5 THEN 4 * 3600 + 306 WHEN 6 THEN 40 * 60
+         WHEN 7 THEN 23 * 3600 + 609 - 3600 WHEN 8 THEN 90 * 60 - 330 * 60 END) END AS stamp
 FROM orders
 """)
 def parse_timestamps(t):

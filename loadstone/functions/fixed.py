@@ -65,9 +65,11 @@ MIGRATION_CUTOVER = "2006-11-11 00:00:00"
 
 # Time zone names in the source's date texts, hours from UTC.
 ZONE_HOURS = {
-    "UTC": 0, "GMT": 0, "Z": 0,
-    "EST": -5, "EDT": -4, "CST": -6, "CDT": -5,
-    "MST": -7, "MDT": -6, "PST": -8, "PDT": -7,
+    "UTC": 0.0, "GMT": 0.0, "Z": 0.0,
+    "EST": -5.0, "EDT": -4.0, "CST": -6.0, "CDT": -5.0, "MST": -7.0, "MDT": -6.0, "PST": -8.0, "PDT": -7.0,
+    "AKST": -9.0, "AKDT": -8.0, "HST": -10.0,
+    "WET": 0.0, "WEST": 1.0, "BST": 1.0, "CET": 1.0, "CEST": 2.0, "EET": 2.0, "EEST": 3.0, "MSK": 3.0,
+    "IST": 5.5, "SGT": 8.0, "HKT": 8.0, "JST": 9.0, "KST": 9.0, "AEST": 10.0, "AEDT": 11.0, "NZST": 12.0, "NZDT": 13.0,
 }
 
 # Run log type of the main load.

@@ -33,7 +33,7 @@ def _literal_map(values: dict) -> Column:
 _CLOCK = r"\s*(\d+):(\d+)"
 _TEXT_FORMS = (
     (r"^\s*(\d+)/(\d+)/(\d+) " + _CLOCK, "$3 $1 $2 $4 $5 0 AM UTC"),
-    (r"^\s*(\d+)\.(\d+)\.(\d+) " + _CLOCK + r"\s*([AaPp][Mm])", "$3 $1 $2 $4 $5 0 $6 UTC"),
+    (r"^\s*(\d+)\.(\d+)\.(\d+) " + _CLOCK + r"\s*([AaPp][Mm])(?![A-Za-z])", "$3 $1 $2 $4 $5 0 $6 UTC"),
     (
         r"^(?:[Ss]un|[Mm]on|[Tt]ue|[Ww]ed|[Tt]hu|[Ff]ri|[Ss]at)[a-z]* ([A-Za-z]{3})[a-z]* \s*(\d+) "
         + _CLOCK
@@ -52,12 +52,19 @@ def _zone_minutes(zone: Column) -> Column:
         F.regexp_extract(zone, offset, 2).try_cast("int") * 60
         + F.regexp_extract(zone, offset, 3).try_cast("int")
     )
-    named = F.element_at(_literal_map(fixed.ZONE_HOURS), F.upper(zone)) * 60
+    named = (F.element_at(_literal_map(fixed.ZONE_HOURS), F.upper(zone)) * 60).cast("int")
     return F.coalesce(named, numeric)
 
 
+def _to_utc(wall: Column, zone: Column) -> Column:
+    """A wall clock time in UTC: by offset or abbreviation, else by the rules of any zone Spark knows."""
+    known = F.try_make_timestamp(*[F.lit(n) for n in (2000, 1, 1, 0, 0, 0)], zone).isNotNull()
+    region = F.when(known, F.to_utc_timestamp(wall.cast("timestamp"), zone).cast("timestamp_ntz"))
+    return F.coalesce(F.timestamp_add("MINUTE", -_zone_minutes(zone), wall), region)
+
+
 def parse_timestamp(text) -> Column:
-    """Timestamp of a text in one of five forms, null for any other text.
+    """Timestamp of a text in one of five forms, null for any other text or an unknown zone.
 
     ``01/31/2009 09:30`` (12-hour clock, no half of day given: morning),
     ``01.31.2009 09:30 PM``, ``Sat Jan 31 09:30:15 EST 2009``,
@@ -76,8 +83,8 @@ def parse_timestamp(text) -> Column:
     clock = F.upper(F.get(parts, F.lit(6)))
     hour = F.when((clock != "24") & (number(3) == 12), 0).otherwise(number(3)) + F.when(clock == "PM", 12).otherwise(0)
     date = F.date_add(F.add_months(F.make_date(number(0), F.lit(1), F.lit(1)), month - 1), number(2) - 1)
-    seconds = hour * 3600 + number(4) * 60 + number(5) - _zone_minutes(F.get(parts, F.lit(7))) * 60
-    return F.timestamp_add("SECOND", seconds, date.cast("timestamp_ntz"))
+    seconds = hour * 3600 + number(4) * 60 + number(5)
+    return _to_utc(F.timestamp_add("SECOND", seconds, date.cast("timestamp_ntz")), F.get(parts, F.lit(7)))
 
 
 # --- review answers ----------------------------------------------------------
