@@ -33,33 +33,33 @@ def with_child_values(
 
 
 def payment_costs(
-    payments: DataFrame, details: DataFrame, classes: dict[str, Sequence[int] | None], name: str = "project_id"
+    payments: DataFrame, details: DataFrame, classes: dict[str, Sequence[int] | None], name: str = "project_id",
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Cost columns per project: own payments plus the payments hanging below them.
 
     A payment counts by its latest detail, on its first installment and outside
     the excluded states. ``classes`` maps a column to payment types (None: all).
-    Every column comes from the same two passes over the latest details.
+    ``only`` names the projects wanted; their own payments are looked up first,
+    then what hangs below those, so nothing else is joined or grouped.
     """
-    latest = payments.select("payment_id", "most_recent_detail_id").join(
-        details.select(
-            F.col("payment_detail_id").alias("most_recent_detail_id"), "parent_payment_id", "component_project_id",
-            "payment_type_id", "payment_status_id", "installment_number", "total_amount",
-        ),
-        "most_recent_detail_id",
+    details = details.select(
+        F.col("payment_detail_id").alias("most_recent_detail_id"), "parent_payment_id", F.col("component_project_id").alias(name),
+        "payment_type_id", "payment_status_id", "installment_number", "total_amount",
     )
-    counted = latest.filter((F.col("installment_number") == 1) & ~F.col("payment_status_id").isin(*fixed.PAYMENT_EXCLUDED))
-    own = counted.filter(F.col("component_project_id").isNotNull()).select(
-        F.col("component_project_id").alias(name), "payment_type_id", "total_amount"
-    )
-    parents = latest.filter(F.col("component_project_id").isNotNull()).select(
-        F.col("payment_id").alias("parent_payment_id"), F.col("component_project_id").alias(name)
-    )
-    below = counted.select("parent_payment_id", "payment_type_id", "total_amount").join(parents, "parent_payment_id").select(
-        name, "payment_type_id", "total_amount"
+    payments = payments.select("payment_id", "most_recent_detail_id")
+    counts = (F.col("installment_number") == 1) & ~F.col("payment_status_id").isin(*fixed.PAYMENT_EXCLUDED)
+    of_projects = details.filter(F.col(name).isNotNull())
+    if only is not None:
+        of_projects = of_projects.join(only.select(F.col(only.columns[0]).alias(name)), name, "left_semi")
+    own = payments.join(of_projects, "most_recent_detail_id")
+    parents = own.select(F.col("payment_id").alias("parent_payment_id"), name)
+    below = details.filter(counts).drop(name).join(parents, "parent_payment_id").join(
+        payments.select("most_recent_detail_id"), "most_recent_detail_id"
     )
+    columns = (name, "payment_type_id", "total_amount")
     amount = F.col("total_amount")
-    return own.unionByName(below).groupBy(name).agg(*[
+    return own.filter(counts).select(*columns).unionByName(below.select(*columns)).groupBy(name).agg(*[
         F.coalesce(
             F.sum(amount if types is None else F.when(F.col("payment_type_id").isin(*types), amount)),
             F.lit(0).cast("decimal(18,2)"),

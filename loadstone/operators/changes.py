@@ -60,18 +60,15 @@ def mark_or_epoch(hwm: datetime | None) -> datetime:
 def is_changed(hwm, *stamps: str | Column, inclusive: Sequence[str | Column] = ()) -> Column:
     """True where any stamp is after the mark (at or after it for the inclusive ones).
 
-    A single stamp is a plain comparison, which the scan takes as a pushed filter.
+    Plain comparisons joined with OR, which a scan takes as a pushed filter. Null,
+    which a filter takes as false, where a stamp is missing and no other is late.
     """
-    parts = []
-    if stamps:
-        cols = [F.col(s) if isinstance(s, str) else s for s in stamps]
-        parts.append((F.greatest(*cols) if len(cols) > 1 else cols[0]) > _mark(hwm))
-    for stamp in inclusive:
-        parts.append((F.col(stamp) if isinstance(stamp, str) else stamp) >= _mark(hwm))
+    column = lambda stamp: F.col(stamp) if isinstance(stamp, str) else stamp
+    parts = [column(s) > _mark(hwm) for s in stamps] + [column(s) >= _mark(hwm) for s in inclusive]
     condition = parts[0]
     for part in parts[1:]:
         condition = condition | part
-    return F.coalesce(condition, F.lit(False)) if len(parts) > 1 else condition
+    return condition
 
 
 def needs_migrated(hwm, cutover: str = fixed.MIGRATION_CUTOVER) -> bool:

@@ -136,9 +136,12 @@ def backfill(target: DataFrame, source: DataFrame, keys: Sequence[str], columns:
     Rows the source does not know keep what they have.
     """
     keys, columns = list(keys), list(columns)
-    if not target.filter(F.col(columns[0]).isNotNull()).isEmpty():
-        return target
-    return upsert_columns(target, source, keys, columns)
+    return upsert_columns(target, source, keys, columns) if is_unfilled(target, columns[0]) else target
+
+
+def is_unfilled(target: DataFrame, column: str) -> bool:
+    """True while no row has a value in the column; ask before computing what would fill it."""
+    return target.filter(F.col(column).isNotNull()).isEmpty()
 
 
 def upsert_columns(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -208,7 +208,7 @@ def project_rows(ctx: LoadContext, only: DataFrame, categories: Column) -> DataF
         rows, ctx.source("project_result").join(only, "project_id", "left_semi"), "project_id",
         {"avg_raw_score": F.avg("raw_score"), "avg_final_score": F.avg("final_score")},
     )
-    costs = aggregates.payment_costs(ctx.source("payment"), ctx.source("payment_detail"), COST_CLASSES)
+    costs = aggregates.payment_costs(ctx.source("payment"), ctx.source("payment_detail"), COST_CLASSES, only=only)
     rows = joins.left_where(rows, costs, ["project_id"])
     rows = joins.exists_flag(
         rows, ctx.source("contest_eligibility").withColumnRenamed("contest_id", "project_id"), ["project_id"], "is_private"
@@ -335,12 +335,18 @@ def project_backfill(ctx: LoadContext) -> dict[str, Write]:
     The estimated review cost of this fill is the first of its two parts only.
     """
     target = ctx.target("project")
-    only = settle(target.select("project_id"))
-    for columns, which in LATE_COLUMNS.values():
-        source = project_rows(ctx, only, which())
+    empty = [group for group in LATE_COLUMNS.values() if merge.is_unfilled(target, group[0][0])]
+    if not empty:
+        return {}
+    rows = project_rows(ctx, settle(target.select("project_id")), F.lit(True))
+    rows = rows.withColumn("_first_estimate", money_or_zero("a_review_cost"))
+    names = dict.fromkeys(c for columns, _ in empty for c in columns)
+    source = settle(rows.select("project_id", "project_status_id", "project_category_id", "_first_estimate", *names))
+    for columns, which in empty:
+        part = source.filter(which())
         if "estimated_review_cost" in columns:
-            source = source.withColumn("estimated_review_cost", money_or_zero("a_review_cost"))
-        target = merge.backfill(target, settle(source.select("project_id", *columns)), ["project_id"], columns)
+            part = part.withColumn("estimated_review_cost", F.col("_first_estimate"))
+        target = merge.upsert_columns(target, part, ["project_id"], columns)
     return {"project": Write(target)}
 
 
@@ -359,6 +365,7 @@ def marathon_match(ctx: LoadContext) -> dict[str, Write]:
     names = ["version_ref", "component_ref", "complete_text", "admin_fee", "billing", "match_ref", "fee_percentage"]
     wide = attributes(ctx, names, only).withColumnsRenamed({n: f"a_{n}" for n in names if n not in ("version_ref", "component_ref")})
     rows = component_side(ctx, rows.join(wide, "project_id")).withColumn("round_id", scalar.to_long("a_match_ref")).filter("round_id IS NOT NULL")
+    rows = settle(rows)
     rounds = rows.select("round_id").distinct()
 
     registered = ctx.source("round_registration").join(rounds, "round_id", "left_semi")
@@ -375,7 +382,7 @@ def marathon_match(ctx: LoadContext) -> dict[str, Write]:
     latest = ctx.source("payment").select(F.col("most_recent_detail_id").alias("payment_detail_id")).join(
         ctx.source("payment_detail").filter(
             (F.col("installment_number") == 1) & F.col("component_project_id").isNull() & ~F.col("payment_status_id").isin(*fixed.PAYMENT_EXCLUDED)
-        ), "payment_detail_id",
+        ).join(rounds.withColumnRenamed("round_id", "algorithm_round_id"), "algorithm_round_id", "left_semi"), "payment_detail_id",
     )
     rows = aggregates.with_child_values(
         rows, latest, "round_id", {"contest_prizes_total": F.sum("total_amount")}, child_key="algorithm_round_id"

@@ -126,27 +126,28 @@ def result_rows(ctx: LoadContext, only: DataFrame) -> DataFrame:
 def project_result(ctx: LoadContext) -> dict[str, Write]:
     """Results of changed projects replace the old ones; then rating counts and appeals are added.
 
-    Ratings are counted over the finished table, so the count of a row does
-    not depend on the order in which projects were loaded.
+    Ratings are counted over the finished table, and written back to every row of the
+    users concerned: a late result also moves the counts of the rows after it. So
+    steps give what one load of everything gives.
     """
     target = ctx.target("project_result")
     touched = settle(changed_with_component(ctx, loadable(ctx), ctx.source("project_result")))
     rows = change_set(target, result_rows(ctx, touched))
+    keys = ["project_id", "user_id"]
+    appeals = ctx.target("submission_review").join(touched, "project_id", "left_semi").groupBy(*keys).agg(
+        F.sum("num_appeals").alias("num_appeals"), F.sum("num_successful_appeals").alias("num_successful_appeals")
+    )
+    rows = merge.annotate(rows, appeals, keys, ["num_appeals", "num_successful_appeals"])
+    state = merge.replace_by_key(target, rows, ["project_id"], touched)
 
-    rated = target.select("project_id", "user_id", "rating_ind").join(touched, "project_id", "left_anti").unionByName(
-        rows.select("project_id", "user_id", F.col("rating_ind").cast(target.schema["rating_ind"].dataType).alias("rating_ind"))
-    ).join(rows.select("user_id").distinct(), "user_id", "left_semi")
-    dated = rated.join(ctx.target("project").select("project_id", "phase_id", "rating_date"), "project_id", "left")
+    users = target.join(touched, "project_id", "left_semi").select("user_id").unionByName(rows.select("user_id")).distinct()
+    dated = state.select(*keys, "rating_ind").join(users, "user_id", "left_semi").join(
+        ctx.target("project").select("project_id", "phase_id", "rating_date"), "project_id", "left"
+    )
     counted = sequences.prior_count(
         dated, ["user_id", "phase_id"], ["rating_date", "project_id"], F.col("rating_ind") == 1, "num_ratings"
-    ).select("project_id", "user_id", "num_ratings")
-    appeals = ctx.target("submission_review").groupBy("project_id", "user_id").agg(
-        F.sum("num_appeals").alias("num_appeals"), F.sum("num_successful_appeals").alias("num_successful_appeals")
     )
-    keys = ["project_id", "user_id"]
-    rows = rows.join(counted, keys, "left")
-    rows = merge.annotate(rows, appeals, keys, ["num_appeals", "num_successful_appeals"])
-    return {"project_result": Write(merge.replace_by_key(target, rows, ["project_id"], touched))}
+    return {"project_result": Write(merge.upsert_columns(state, counted.select(*keys, "num_ratings"), keys, ["num_ratings"]))}
 
 
 @load("result_points", 6)

@@ -122,7 +122,11 @@ def subjective_response(ctx: LoadContext) -> dict[str, Write]:
 
 @load("submission_review", 4)
 def submission_review(ctx: LoadContext) -> dict[str, Write]:
-    """Reviews with their appeals, then one response slot per reviewer of a project."""
+    """Reviews with their appeals, then one response slot per reviewer of a project.
+
+    The slots of a project with a change are given over all its reviewers, those
+    that were there before included.
+    """
     appeals = ctx.source("review_item").select("review_item_id", "review_id").join(
         comments(ctx, "ric", APPEAL), "review_item_id"
     )
@@ -143,7 +147,10 @@ def submission_review(ctx: LoadContext) -> dict[str, Write]:
     })
     rows = change_set(ctx.target("submission_review"), rows)
     target = merge.upsert(ctx.target("submission_review"), rows, ["project_id", "user_id", "reviewer_id"], ["scorecard_id"])
-    slots = sequences.assign_slots(rows, "project_id", "reviewer_id", "review_resp_id")
+    members = target.join(rows.select("project_id").distinct(), "project_id", "left_semi")
+    slots = sequences.assign_slots(
+        members.select("project_id", "reviewer_id", "review_resp_id"), "project_id", "reviewer_id", "review_resp_id"
+    )
     return {"submission_review": Write(merge.upsert_columns(target, slots, ["project_id", "reviewer_id"], ["review_resp_id"]))}
 
 
