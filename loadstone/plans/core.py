@@ -33,6 +33,10 @@ class LoadContext:
     def now(self) -> Column:
         return F.lit(self.as_of).cast("timestamp_ntz")
 
+    def migrating(self) -> bool:
+        """True while rows that the migration did not write count as changed."""
+        return changes.needs_migrated(self.hwm, self.options.get("migration_cutover", fixed.MIGRATION_CUTOVER))
+
     def changed(self, *stamps: str, users: Sequence[str] = (), inclusive: Sequence[str] = ()) -> Column:
         """Any stamp after the mark, or a row the migration did not write while that is open."""
         cutover = self.options.get("migration_cutover", fixed.MIGRATION_CUTOVER)
@@ -149,11 +153,74 @@ def submissions(ctx: LoadContext, kind: int = 1) -> DataFrame:
 REVIEW_TAGS = ("r", "s", "u", "res", "ri1", "ri2")
 
 
-def reviews(ctx: LoadContext, roles: Sequence[int]) -> DataFrame:
+def touched_submissions(ctx: LoadContext) -> DataFrame | None:
+    """Ids of submissions with a change in themselves, their upload, its resource or that resource's user.
+
+    Each table is read with its own pushed filter and only ids are joined. None while
+    rows of an open migration count as changed, which only whole rows can tell.
+    """
+    if ctx.migrating():
+        return None
+    late = lambda table, key: ctx.source(table).filter(F.col("modify_date") >= F.lit(ctx.mark()).cast("timestamp_ntz")).select(key)
+    resources = late("resource", "resource_id").unionByName(late_users(ctx))
+    uploads = late("upload", "upload_id").unionByName(
+        ctx.source("upload").join(resources.distinct(), "resource_id", "left_semi").select("upload_id")
+    )
+    return late("submission", "submission_id").unionByName(
+        ctx.source("submission").join(uploads.distinct(), "upload_id", "left_semi").select("submission_id")
+    ).distinct()
+
+
+def late_users(ctx: LoadContext) -> DataFrame:
+    """Ids of resources whose user changed."""
+    info = ctx.source("resource_info").filter(F.col("resource_info_type_id") == 1)
+    return info.filter(F.col("modify_date") >= F.lit(ctx.mark()).cast("timestamp_ntz")).select("resource_id")
+
+
+def touched_reviews(ctx: LoadContext, *more: str) -> DataFrame | None:
+    """Ids of reviews with a change in any table on their way; ``more`` are tags as in ``review_changed``.
+
+    A superset, cheap to find: the rows themselves are filtered once they are joined.
+    None while rows of an open migration count as changed.
+    """
+    submissions_late = touched_submissions(ctx)
+    if submissions_late is None:
+        return None
+    late = lambda table, key: changes.changed_rows(ctx.source(table), ctx.mark(), "modify_date").select(key)
+    review, item = ctx.source("review"), ctx.source("review_item")
+    reviewers = late("resource", "resource_id").unionByName(late_users(ctx)).distinct()
+    parts = [
+        late("review", "review_id"),
+        review.join(submissions_late, "submission_id", "left_semi").select("review_id"),
+        review.join(reviewers, "resource_id", "left_semi").select("review_id"),
+    ]
+    if "ri" in more:
+        parts.append(late("review_item", "review_id"))
+    if {"ric", "resp"} & set(more):
+        items = late("review_item_comment", "review_item_id").distinct()
+        parts.append(item.join(items, "review_item_id", "left_semi").select("review_id"))
+    if "sq" in more:
+        asked = late("scorecard_question", "scorecard_question_id").distinct()
+        parts.append(item.join(asked, "scorecard_question_id", "left_semi").select("review_id"))
+    ids = parts[0]
+    for part in parts[1:]:
+        ids = ids.unionByName(part)
+    return settle(ids.distinct())
+
+
+def only_keys(df: DataFrame, ids: DataFrame | None, key: str) -> DataFrame:
+    """Rows whose key is among the ids; all rows without ids."""
+    return df if ids is None else df.join(ids, key, "left_semi")
+
+
+def reviews(ctx: LoadContext, roles: Sequence[int], only: DataFrame | None = None) -> DataFrame:
     """Reviews by resources of the given roles on submissions of loadable projects,
-    with submitter, reviewer and the stamps of every table on the way."""
+    with submitter, reviewer and the stamps of every table on the way.
+
+    ``only`` names the reviews wanted; the chain starts from them.
+    """
     review = stamped(
-        ctx.source("review"), "r", "review_id", "submission_id", F.col("resource_id").alias("review_resource_id"),
+        only_keys(ctx.source("review"), only, "review_id"), "r", "review_id", "submission_id", F.col("resource_id").alias("review_resource_id"),
         F.col("scorecard_id").alias("scorecard_template_id"), "score", "initial_score",
     )
     resource = stamped(

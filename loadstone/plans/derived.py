@@ -174,17 +174,21 @@ def contest_result(ctx: LoadContext) -> dict[str, Write]:
     )
     contests = settle(contests)
 
+    # Projects of the touched contests first; everything below is cut down to them.
+    categories = contests.select("project_category_id").distinct()
+    projects = eligible(ctx, ctx.source("project")).select("project_id", F.col("project_category_id").cast("int").alias("project_category_id"), "project_status_id")
+    projects = projects.join(categories, "project_category_id", "left_semi").join(posted, "project_id")
+    projects = joins.range_join(projects, contests, "posted", "start_date", "end_date", on=["project_category_id"], how="inner")
+    projects = settle(projects)
+    only = projects.select("project_id").distinct()
     attributes = joins.pivot_attributes(
-        ctx.source("project_info"), "project_id", {n: fixed.PROJECT_ATTRIBUTES[n] for n in ("run_points", "amount", "run_flag")}, "project_info_type_id"
+        ctx.source("project_info").join(only, "project_id", "left_semi"), "project_id", {n: fixed.PROJECT_ATTRIBUTES[n] for n in ("run_points", "amount", "run_flag")}, "project_info_type_id"
     ).filter(F.col("run_flag") == "On").select(
         "project_id", F.coalesce(scalar.to_money("run_points"), scalar.to_money("amount")).alias("amount")
     )
-    categories = contests.select("project_category_id").distinct()
-    projects = eligible(ctx, ctx.source("project")).select("project_id", F.col("project_category_id").cast("int").alias("project_category_id"), "project_status_id")
-    projects = projects.join(categories, "project_category_id", "left_semi").join(attributes, "project_id").join(posted, "project_id")
-    in_contest = joins.range_join(projects, contests, "posted", "start_date", "end_date", on=["project_category_id"], how="inner")
+    in_contest = projects.join(attributes, "project_id")
 
-    sent = ctx.source("upload").select("upload_id", "project_id", "resource_id").join(
+    sent = ctx.source("upload").select("upload_id", "project_id", "resource_id").join(only, "project_id", "left_semi").join(
         ctx.source("submission").filter(F.col("submission_type_id") == 1).select("upload_id", "submission_status_id"), "upload_id"
     )
     status = F.col("submission_status_id")
@@ -194,7 +198,7 @@ def contest_result(ctx: LoadContext) -> dict[str, Write]:
     )
     named = ctx.source("resource_info").filter(F.col("resource_info_type_id") == 1).select("resource_id", scalar.to_long("value").alias("user_id"))
     submitters = sent.filter(status.isin(1, 2, 3, 4)).select("project_id", "resource_id").join(named, "resource_id").select("project_id", "user_id")
-    scores = results.select("project_id", "user_id", "placed", "point_adjustment", "final_score", "valid_submission_ind", "rating_ind")
+    scores = results.join(only, "project_id", "left_semi").select("project_id", "user_id", "placed", "point_adjustment", "final_score", "valid_submission_ind", "rating_ind")
     scores = joins.exists_flag(scores, submitters, ["project_id", "user_id"], "submitted")
     scores = scores.withColumn("valid_submission_ind", F.when(F.col("submitted") == 1, F.col("valid_submission_ind")).otherwise(0))
     rows = rows.join(scores, "project_id").filter(

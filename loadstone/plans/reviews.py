@@ -9,7 +9,8 @@ from loadstone.functions.scalar import evaluation_id, path_prefix, ratio_part, s
 from loadstone.operators import changes, joins, merge, sequences
 from loadstone.operators.aggregates import tri_state_count, with_child_values
 from loadstone.plans.core import (
-    LoadContext, Write, change_set, load, loadable, review_changed, reviews, stamped, submissions, upsert_load, user_of,
+    LoadContext, Write, change_set, load, loadable, only_keys, review_changed, reviews, stamped, submissions, touched_reviews,
+    touched_submissions, upsert_load, user_of,
 )
 from loadstone.session import settle
 
@@ -23,10 +24,11 @@ REVIEWERS, SCREENERS, ALL_REVIEWERS = (4, 5, 6, 7), (2, 3), (2, 3, 4, 5, 6, 7)
 DELETED = 5
 
 
-def items(ctx: LoadContext, roles) -> DataFrame:
-    """Review items with their review."""
-    rows = stamped(ctx.source("review_item"), "ri", "review_item_id", "review_id", "scorecard_question_id", "answer")
-    return rows.join(reviews(ctx, roles), "review_id").withColumnRenamed("review_id", "scorecard_id")
+def items(ctx: LoadContext, roles, *more: str) -> DataFrame:
+    """Review items with their review, of reviews with a change in it or in the tables tagged ``more``."""
+    only = touched_reviews(ctx, *more)
+    rows = stamped(only_keys(ctx.source("review_item"), only, "review_id"), "ri", "review_item_id", "review_id", "scorecard_question_id", "answer")
+    return rows.join(reviews(ctx, roles, only), "review_id").withColumnRenamed("review_id", "scorecard_id")
 
 
 def comments(ctx: LoadContext, tag: str, *kinds: int) -> DataFrame:
@@ -54,7 +56,7 @@ def with_results(ctx: LoadContext, rows: DataFrame) -> DataFrame:
 
 @upsert_load("appeal", 4, ["appeal_id"])
 def appeal(ctx):
-    rows = comments(ctx, "ric", APPEAL).join(items(ctx, REVIEWERS), "review_item_id").join(questions(ctx), "scorecard_question_id")
+    rows = comments(ctx, "ric", APPEAL).join(items(ctx, REVIEWERS, "ric", "ri"), "review_item_id").join(questions(ctx), "scorecard_question_id")
     rows = rows.filter(review_changed(ctx, "ric", "ri"))
     rows = joins.left_where(rows, responses(ctx), ["review_item_id"])
     kind = F.col("scorecard_question_type_id")
@@ -68,7 +70,7 @@ def appeal(ctx):
 
 @upsert_load("testcase_appeal", 4, ["appeal_id"])
 def testcase_appeal(ctx):
-    rows = comments(ctx, "ric", APPEAL).join(items(ctx, REVIEWERS), "review_item_id")
+    rows = comments(ctx, "ric", APPEAL).join(items(ctx, REVIEWERS, "ric", "ri", "sq", "resp"), "review_item_id")
     rows = rows.join(questions(ctx).filter(F.col("scorecard_question_type_id") == TEST_CASE), "scorecard_question_id")
     rows = with_results(ctx, rows.join(responses(ctx), "review_item_id"))
     rows = rows.filter(review_changed(ctx, "ric", "ri", "sq", "resp"))
@@ -87,7 +89,7 @@ def testcase_appeal(ctx):
 
 @upsert_load("testcase_response", 4, ["scorecard_question_id", "scorecard_id"])
 def testcase_response(ctx):
-    rows = items(ctx, REVIEWERS).join(questions(ctx).filter(F.col("scorecard_question_type_id") == TEST_CASE), "scorecard_question_id")
+    rows = items(ctx, REVIEWERS, "ri", "sq").join(questions(ctx).filter(F.col("scorecard_question_type_id") == TEST_CASE), "scorecard_question_id")
     return rows.filter(review_changed(ctx, "ri", "sq")).select(
         "scorecard_question_id", "scorecard_id", "user_id", "reviewer_id", "project_id",
         ratio_part("answer", 2).alias("num_tests"), ratio_part("answer", 1).alias("num_passed"),
@@ -96,7 +98,7 @@ def testcase_response(ctx):
 
 @upsert_load("scorecard_response", 4, ["scorecard_question_id", "scorecard_id"])
 def scorecard_response(ctx):
-    rows = items(ctx, ALL_REVIEWERS).filter(F.col("answer") != "")
+    rows = items(ctx, ALL_REVIEWERS, "ri").filter(F.col("answer") != "")
     rows = rows.join(questions(ctx).filter(F.col("scorecard_question_type_id").isin(*RATED_QUESTIONS)), "scorecard_question_id")
     rows = with_results(ctx, rows.filter(review_changed(ctx, "ri")))
     return rows.withColumn("evaluation_id", evaluation_id("scorecard_question_type_id", "answer"))
@@ -106,7 +108,7 @@ def scorecard_response(ctx):
 def subjective_response(ctx: LoadContext) -> dict[str, Write]:
     """Comments of changed reviews replace those of their question and scorecard."""
     rows = comments(ctx, "ric", 1, 2, 3).join(ctx.source("comment_type_lu").select("comment_type_id"), "comment_type_id", "left_semi")
-    rows = with_results(ctx, rows.join(items(ctx, ALL_REVIEWERS), "review_item_id"))
+    rows = with_results(ctx, rows.join(items(ctx, ALL_REVIEWERS, "ric", "ri"), "review_item_id"))
     rows = rows.filter(review_changed(ctx, "ric", "ri"))
     kind = F.col("comment_type_id")
     rows = rows.withColumns({
@@ -127,11 +129,12 @@ def submission_review(ctx: LoadContext) -> dict[str, Write]:
     The slots of a project with a change are given over all its reviewers, those
     that were there before included.
     """
-    appeals = ctx.source("review_item").select("review_item_id", "review_id").join(
+    only = touched_reviews(ctx, "ric")
+    appeals = only_keys(ctx.source("review_item"), only, "review_id").select("review_item_id", "review_id").join(
         comments(ctx, "ric", APPEAL), "review_item_id"
     )
     rows = with_child_values(
-        reviews(ctx, REVIEWERS), appeals, "review_id",
+        reviews(ctx, REVIEWERS, only), appeals, "review_id",
         {
             "num_appeals": F.count(F.lit(1)),
             "num_successful_appeals": tri_state_count(F.col("extra_info").isNotNull(), F.col("extra_info") == "Succeeded"),
@@ -156,7 +159,7 @@ def submission_review(ctx: LoadContext) -> dict[str, Write]:
 
 @upsert_load("submission_screening", 4, ["project_id", "user_id"], ["scorecard_id"])
 def submission_screening(ctx):
-    rows = reviews(ctx, SCREENERS).filter(review_changed(ctx))
+    rows = reviews(ctx, SCREENERS, touched_reviews(ctx)).filter(review_changed(ctx))
     return rows.withColumns({"final_score": F.col("score"), "scorecard_id": F.col("review_id")})
 
 
@@ -166,12 +169,14 @@ def submission(ctx: LoadContext) -> dict[str, Write]:
     target = ctx.target("submission")
     resource = stamped(ctx.source("resource"), "res", F.col("resource_id").alias("upload_resource_id"))
     submitter = user_of(ctx, "ri", "submitter_id").withColumnRenamed("ri_resource_id", "upload_resource_id")
+    first = changes.is_first_run(target)
+    only = None if first else touched_submissions(ctx)
     rows = (
-        submissions(ctx).filter(F.col("upload_type_id") == 1)
+        only_keys(submissions(ctx), only, "submission_id").filter(F.col("upload_type_id") == 1)
         .join(loadable(ctx).select("project_id"), "project_id", "left_semi")
         .join(resource, "upload_resource_id").join(submitter, "upload_resource_id")
     )
-    if not changes.is_first_run(target):
+    if not first:
         users = ["w_s", "w_u", "w_res", "w_ri"]
         rows = rows.filter(ctx.changed("m_s", "m_u", inclusive=["m_res", "m_ri"], users=users))
     rows = settle(rows.select("submission_id", "submitter_id", "project_id", "parameter", "submission_status_id"))
