@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from loadstone.catalog.registry import query
 from loadstone.operators import changes, report
-from loadstone.sources import Source, Warehouse
+from loadstone.session import scratch_path
+from loadstone.sources import Source, Warehouse, write_table
 
 MARK = datetime(1999, 6, 1)
 STEP = datetime(2000, 1, 15)
@@ -180,3 +181,17 @@ UNION ALL SELECT 'lineitem', count(*) FROM lineitem
 def load_report(t):
     """Rows per table."""
     return report.row_counts({"customer": t.customer, "orders": t.orders, "lineitem": t.lineitem})
+
+
+@query("""
+SELECT 'customer' AS table_name, count(*) AS rows FROM customer
+UNION ALL SELECT 'orders', count(*) FROM orders
+""")
+def load_report_written(t):
+    """The rows a load reports, counted while they were written."""
+    counted = []
+    for name in ("customer", "orders"):
+        watched = report.LoadReport(name)
+        write_table(watched.watch(getattr(t, name)), f"{scratch_path(t._spark, 'report')}/{name}")
+        counted.append((name, watched.finish().rows))
+    return t._spark.createDataFrame(counted, "table_name string, rows long")

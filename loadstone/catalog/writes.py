@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from loadstone.catalog.registry import query
 from loadstone.operators import merge
 from loadstone.operators.joins import calendar_lookup
+from loadstone.session import scratch_path
+from loadstone.sources import Warehouse
 
 _EARLY = "TIMESTAMP '1997-01-01'"
 _LATE = "TIMESTAMP '1999-06-01'"
@@ -263,3 +265,18 @@ def last_row_wins(t):
     return merge.last_per_key(t.lineitem.select(*LINE), LINE[:2], LINE[2:])
 
 
+@query(f"""
+SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS price, CASE WHEN o_orderdate > {_LATE} THEN 'late' ELSE 'early' END AS state FROM orders
+UNION ALL SELECT -o_orderkey, CAST(0 AS DOUBLE), 'added' FROM orders WHERE o_orderstatus = 'P'
+""")
+def warehouse_writes(t):
+    """A table written whole, merged into the buckets that changed, appended to, and read back."""
+    rows = t.orders.select("o_orderkey", F.col("o_totalprice").cast("double").alias("price"), "o_orderdate", "o_orderstatus")
+    late = F.col("o_orderdate") > F.expr(_LATE)
+    house = Warehouse(t._spark, scratch_path(t._spark, "warehouse"), buckets={"prices": (["o_orderkey"], 16)})
+    house.write("prices", rows.filter(~late).select("o_orderkey", "price", F.lit("early").alias("state")))
+    fresh = rows.filter(late).select("o_orderkey", "price", F.lit("late").alias("state"))
+    house.write("prices", merge.upsert(house.table("prices"), fresh, ["o_orderkey"]), touched=fresh.select("o_orderkey"))
+    added = rows.filter("o_orderstatus = 'P'").select((-F.col("o_orderkey")).alias("o_orderkey"), F.lit(0.0).alias("price"), F.lit("added").alias("state"))
+    house.write("prices", added, "append")
+    return house.table("prices")

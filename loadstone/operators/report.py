@@ -15,6 +15,7 @@ class LoadReport:
 
     name: str
     seconds: float = 0.0
+    written: bool = True
     _observation: Observation = field(default_factory=Observation)
     _start: float = field(default_factory=time.monotonic)
 
@@ -27,7 +28,8 @@ class LoadReport:
 
     @property
     def rows(self) -> int:
-        return int(self._observation.get["rows"])
+        # What was never written was never counted, and asking would wait for it.
+        return int(self._observation.get["rows"]) if self.written else 0
 
     def __str__(self) -> str:
         return f"loaded {self.rows} records of {self.name} in {self.seconds:.1f} seconds"

@@ -47,10 +47,14 @@ class LoadContext:
 
 @dataclass
 class Write:
-    """New state of a table, or rows to append to it."""
+    """New state of a table, or rows to append to it.
+
+    ``touched`` holds the keys of all rows that may differ from the old state, where they are known.
+    """
 
     rows: DataFrame
     mode: str = "snapshot"
+    touched: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -93,7 +97,8 @@ def upsert_load(
             target = ctx.target(table)
             if checked:
                 target = merge.assert_unique(target, keys)
-            return {table: Write(merge.upsert(target, change_set(target, rows(ctx)), keys, order, update))}
+            changed = change_set(target, rows(ctx))
+            return {table: Write(merge.upsert(target, changed, keys, order, update), touched=changed.select(*keys))}
 
         _register(Load(table, stage, run))
         return rows

@@ -147,7 +147,9 @@ def project_result(ctx: LoadContext) -> dict[str, Write]:
     counted = sequences.prior_count(
         dated, ["user_id", "phase_id"], ["rating_date", "project_id"], F.col("rating_ind") == 1, "num_ratings"
     )
-    return {"project_result": Write(merge.upsert_columns(state, counted.select(*keys, "num_ratings"), keys, ["num_ratings"]))}
+    moved = touched.unionByName(state.join(users, "user_id", "left_semi").select("project_id"))
+    counts = counted.select(*keys, "num_ratings")
+    return {"project_result": Write(merge.upsert_columns(state, counts, keys, ["num_ratings"]), touched=moved)}
 
 
 @load("result_points", 6)

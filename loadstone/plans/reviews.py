@@ -119,7 +119,7 @@ def subjective_response(ctx: LoadContext) -> dict[str, Write]:
     keys = ["scorecard_question_id", "scorecard_id"]
     target = ctx.target("subjective_response")
     rows = change_set(target, sequences.number_in_group(rows, keys, ["review_item_comment_id"], "sort"))
-    return {"subjective_response": Write(merge.replace_by_key(target, rows, keys))}
+    return {"subjective_response": Write(merge.replace_by_key(target, rows, keys), touched=rows.select(*keys))}
 
 
 @load("submission_review", 4)
@@ -154,7 +154,8 @@ def submission_review(ctx: LoadContext) -> dict[str, Write]:
     slots = sequences.assign_slots(
         members.select("project_id", "reviewer_id", "review_resp_id"), "project_id", "reviewer_id", "review_resp_id"
     )
-    return {"submission_review": Write(merge.upsert_columns(target, slots, ["project_id", "reviewer_id"], ["review_resp_id"]))}
+    target = merge.upsert_columns(target, slots, ["project_id", "reviewer_id"], ["review_resp_id"])
+    return {"submission_review": Write(target, touched=rows.select("project_id"))}
 
 
 @upsert_load("submission_screening", 4, ["project_id", "user_id"], ["scorecard_id"])

@@ -51,7 +51,7 @@ def run_loads(
         with scratch(spark):
             for table, write in item.run(ctx).items():
                 report = LoadReport(table)
-                warehouse.write(table, report.watch(write.rows), write.mode)
+                report.written = warehouse.write(table, report.watch(write.rows), write.mode, touched=write.touched)
                 log.info("%s", report.finish())
                 reports.append(report)
     row = changes.commit_hwm(warehouse.table("update_log"), warehouse.table("calendar"), start, log_type)

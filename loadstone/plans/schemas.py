@@ -130,3 +130,10 @@ SCHEMAS: dict[str, str] = {
     "project_members": "id bigint, role string, userId bigint, isPrimary boolean, deletedAt timestamp_ntz, createdAt timestamp_ntz, "
     "updatedAt timestamp_ntz, createdBy bigint, updatedBy bigint",
 }
+
+# Large fact tables in buckets of their key, for ``Warehouse``: a load rewrites the buckets of the keys it touched.
+BUCKETS: dict[str, tuple[list[str], int]] = {
+    "appeal": (["appeal_id"], 64), "testcase_appeal": (["appeal_id"], 64),
+    "testcase_response": (["scorecard_id"], 64), "scorecard_response": (["scorecard_id"], 64), "subjective_response": (["scorecard_id"], 64),
+    "submission_review": (["project_id"], 64), "submission_screening": (["project_id"], 64), "project_result": (["project_id"], 64),
+}

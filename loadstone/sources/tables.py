@@ -1,13 +1,16 @@
 """Table sources and sinks.
 
-A warehouse table is a folder of versions. A load writes a new version beside
-the one it reads and the version counts only once its commit marker is there,
-so a load that fails half way leaves the old table in place.
+A warehouse table is a folder of versions. A write goes to a folder of its own and is
+moved into place in one step, so a load that fails half way, or a retry, leaves the
+table as it was. A version holds a whole table, rows added to the version before, or
+the buckets of keys in which rows changed; reading follows the versions back.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,27 +76,60 @@ class Source:
             self.table(name).createOrReplaceTempView(name.replace(".", "__"))
 
 
+BUCKET = "_bucket"
+
+
 class Warehouse:
-    """Target tables under one folder on any file system Spark can reach."""
+    """Target tables under one folder on any file system Spark can reach.
+
+    ``buckets`` maps tables to (key columns, number of buckets): their rows lie in
+    folders by a hash of the key, and a write that says which keys it touched rewrites
+    their buckets only. ``keep`` is the number of last versions that stay readable; what none
+    of them needs is deleted after a write. After ``chain`` partial versions comes a whole one.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict | None = None):
+    def __init__(
+        self, spark: SparkSession, root: str, schemas: dict | None = None,
+        buckets: dict[str, tuple[Sequence[str], int]] | None = None, keep: int = 2, chain: int = 20,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = schemas or {}
+        self.buckets = buckets or {}
+        self.keep, self.chain = keep, chain
+
+    def _path(self, path: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def _versions(self, name: str) -> list[int]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        path, files = self._path(f"{self.root}/{name}")
         if not files.exists(path):
             return []
-        found = []
-        for status in files.listStatus(path):
-            folder = status.getPath()
-            if folder.getName().startswith("v") and files.exists(
-                self.spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-            ):
-                found.append(int(folder.getName()[1:]))
-        return sorted(found)
+        names = [status.getPath().getName() for status in files.listStatus(path)]
+        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+
+    def _note(self, name: str, version: int) -> dict:
+        """What a version says of itself: kind, base and, for buckets, which."""
+        path, files = self._path(f"{self.root}/{name}/v{version}/_NOTE")
+        stream = files.open(path)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _parts(self, name: str, version: int) -> tuple[list[str], list[int]]:
+        """Folders that make up a version, and the versions they belong to."""
+        folders, used, hidden = [], [], set()
+        at: int | None = version
+        while at is not None:
+            note, folder = self._note(name, at), f"{self.root}/{name}/v{at}"
+            own = [b for b in note["buckets"] or () if b not in hidden]
+            folders += [folder] if note["buckets"] is None else [f"{folder}/{BUCKET}={b}" for b in own if b in note["filled"]]
+            hidden |= set(own)
+            used.append(at)
+            at = note["base"]
+        return folders, used
 
     def exists(self, name: str) -> bool:
         return bool(self._versions(name))
@@ -105,17 +141,75 @@ class Warehouse:
             if name not in self.schemas:
                 raise LookupError(f"no table {name} in {self.root}")
             return self.spark.createDataFrame([], self.schemas[name])
-        return self.spark.read.parquet(f"{self.root}/{name}/v{versions[-1]}")
-
-    def write(self, name: str, df: DataFrame, mode: str = "snapshot", partition_by: Sequence[str] = ()) -> None:
-        """``snapshot`` replaces the table by a new version, ``append`` adds rows to the current one."""
+        return self._read(name, versions[-1])
+
+    def _read(self, name: str, version: int) -> DataFrame:
+        schema = StructType.fromJson(self._note(name, version)["schema"])
+        folders, _ = self._parts(name, version)
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    def write(
+        self, name: str, df: DataFrame, mode: str = "snapshot", partition_by: Sequence[str] = (), touched: DataFrame | None = None
+    ) -> bool:
+        """``snapshot`` replaces the table by ``df``, ``append`` adds its rows.
+
+        ``touched`` names (in its key columns) all keys whose rows may differ from the
+        current version; of a table in buckets, a snapshot then writes their buckets only.
+        False if there are none, then nothing is written.
+        """
         df = self._typed(name, df)
         versions = self._versions(name)
-        if mode == "append" and versions:
-            write_table(df, f"{self.root}/{name}/v{versions[-1]}", "append", partition_by)
-            return
-        # A crashed attempt may have left files without a marker: overwrite them.
-        write_table(df, f"{self.root}/{name}/v{(versions or [0])[-1] + 1}", "overwrite", partition_by)
+        base = versions[-1] if versions else None
+        note = {"base": None, "buckets": None, "filled": None, "schema": df.schema.jsonValue()}
+        whole = base is None or len(self._parts(name, base)[1]) > self.chain
+        if mode == "append":
+            if whole and base is not None:
+                df = self._read(name, base).unionByName(df)
+            elif base is not None:
+                note["base"] = base
+        elif name in self.buckets:
+            keys, count = self.buckets[name]
+            bucket = lambda frame: F.pmod(F.xxhash64(*[frame[k].cast("string") for k in keys]), F.lit(count)).cast("int")
+            note["buckets"] = list(range(count))
+            if touched is not None and not whole and self._bucketed(name, base):
+                # At most one number per bucket.
+                note["buckets"] = sorted(r[0] for r in touched.select(bucket(touched)).distinct().collect())
+                note["base"] = base
+                if not note["buckets"]:
+                    return False
+                df = df.filter(bucket(df).isin(note["buckets"]))
+            df, partition_by = df.withColumn(BUCKET, bucket(df)), [BUCKET]
+        staged = f"{self.root}/{name}/_staged-{uuid4()}"
+        write_table(df, staged, "errorifexists", partition_by)
+        self._commit(name, staged, (base or 0) + 1, note)
+        return True
+
+    def _bucketed(self, name: str, version: int | None) -> bool:
+        while version is not None:
+            note = self._note(name, version)
+            if note["buckets"] is None:
+                return False
+            version = note["base"]
+        return True
+
+    def _commit(self, name: str, staged: str, version: int, note: dict) -> None:
+        folder, files = self._path(staged)
+        if note["buckets"] is not None:
+            names = [s.getPath().getName() for s in files.listStatus(folder)]
+            note["filled"] = sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{BUCKET}="))
+        stream = files.create(self._path(f"{staged}/_NOTE")[0])
+        stream.write(bytearray(json.dumps(note).encode()))
+        stream.close()
+        final, _ = self._path(f"{self.root}/{name}/v{version}")
+        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), self.spark._jsc.hadoopConfiguration())
+        none = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        # Fails if another writer was first, which keeps its version.
+        context.rename(folder, final, none)
+        versions = self._versions(name)
+        needed = {v for kept in versions[-self.keep :] for v in self._parts(name, kept)[1]}
+        for old in set(versions) - needed:
+            path, files = self._path(f"{self.root}/{name}/v{old}")
+            files.delete(path, True)
 
     def _typed(self, name: str, df: DataFrame) -> DataFrame:
         """Columns in the types the table declares, so that all its files agree."""

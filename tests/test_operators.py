@@ -197,12 +197,60 @@ def test_warehouse_versions(spark, tmp_path, target):
     assert rows(house.table("t"), "k") == [(2,), (3,)]
     house.write("t", target.limit(1), "append")
     assert house.table("t").count() == 3
-    (tmp_path / "house" / "t" / "v9").mkdir()
+    (tmp_path / "house" / "t" / "_staged-of-a-crash").mkdir()
     assert house.table("t").count() == 3
     with pytest.raises(LookupError):
         house.table("unknown")
 
 
+def versions(folder):
+    return sorted(int(p.name[1:]) for p in folder.iterdir() if p.name.startswith("v"))
+
+
+def test_old_versions_go(spark, tmp_path, target):
+    house = Warehouse(spark, str(tmp_path), {"t": target.schema}, keep=2)
+    for _ in range(4):
+        house.write("t", target)
+    assert versions(tmp_path / "t") == [3, 4]
+    for _ in range(3):
+        house.write("t", target.limit(1), "append")
+    # Appends need the version they add to.
+    assert versions(tmp_path / "t") == [4, 5, 6, 7] and house.table("t").count() == 6
+
+
+def test_buckets_of_touched_keys_are_rewritten(spark, tmp_path):
+    frame = lambda pairs: spark.createDataFrame(pairs, "k int, v string")
+    house = Warehouse(spark, str(tmp_path), buckets={"t": (["k"], 8)}, chain=5)
+    state = {k: "a" for k in range(100)}
+    assert house.write("t", frame(list(state.items())), touched=frame([(1, "")]))
+    whole = len(list((tmp_path / "t" / "v1").glob("_bucket=*")))
+    assert whole == 8
+    for step in range(9):
+        state[step] = f"s{step}"
+        state.pop(50 + step)
+        changed = frame([(step, ""), (50 + step, "")])
+        assert house.write("t", frame(list(state.items())), touched=changed)
+        assert dict(rows(house.table("t"))) == state
+        written = len(list((tmp_path / "t" / f"v{step + 2}").glob("_bucket=*")))
+        # A whole version comes after five partial ones.
+        assert written <= 2 or (written == 8 and step % 6 == 5)
+    assert not house.write("t", frame([]), touched=frame([]))
+    house.write("t", frame([(7, "more")]), "append")
+    assert sorted(rows(house.table("t"))) == sorted([*state.items(), (7, "more")])
+    house.write("t", frame([(1, "only")]), touched=frame([(1, "")]))
+    assert rows(house.table("t")) == [(1, "only")]
+
+
+def test_two_writers_of_one_version(spark, tmp_path, target):
+    house = Warehouse(spark, str(tmp_path), {"t": target.schema})
+    house.write("t", target)
+    house._versions, real = lambda name: [], house._versions
+    with pytest.raises(Exception, match="v1|exist"):
+        house.write("t", target.limit(1))
+    house._versions = real
+    assert house.table("t").count() == target.count()
+
+
 def test_sources(spark, tmp_path, target):
     for fmt in ("parquet", "orc", "json", "csv"):
         path = str(tmp_path / fmt)
