@@ -14,6 +14,7 @@ from loadstone.functions import fixed
 from loadstone.plans import all_loads
 from loadstone.plans.core import LoadContext
 from loadstone.plans.schemas import SCHEMAS
+from loadstone.session import settle
 
 MARK = datetime(1999, 6, 1)
 AS_OF = datetime(2001, 8, 1)
@@ -32,7 +33,8 @@ def context(spark, folder: str, hwm, targets: dict[str, str], options: dict) ->
 
     def target(name: str):
         if name in targets:
-            return world.spark_table(spark, folder, targets[name])
+            state = targets[name]
+            return state(spark, folder) if callable(state) else world.spark_table(spark, folder, state)
         return spark.createDataFrame([], SCHEMAS[name])
 
     return LoadContext(source, target, hwm, AS_OF, options)
@@ -55,6 +57,9 @@ def _spark_column(name: str, kind: str):
     return F.col(name).cast("int" if kind == "boolean" else kind).alias(name)
 
 
+JOBS: dict[str, dict] = {}
+
+
 def job(load: str, columns: str, sql: str, table: str | None = None, hwm=MARK, targets: dict | None = None, options: dict | None = None, name: str | None = None):
     """Register a load; ``columns`` names the SQL's columns in order."""
     table = table or load
@@ -69,6 +74,35 @@ def job(load: str, columns: str, sql: str, table: str | None = None, hwm=MARK, t
     run.__doc__ = f"The {table} table after the load."
     listed = ", ".join(_duck_column(c, types[c]) for c in names)
     add(run.__name__, run, world.duck_sql(f"SELECT {listed} FROM ({sql}) AS result({', '.join(names)})"))
+    JOBS[run.__name__] = {"load": load, "names": names, "types": types, "sql": sql, "table": table, "hwm": hwm, "targets": targets or {}, "options": CLOSED if options is None else options}
+
+
+def on_older_state(name: str, keys: str):
+    """Register ``name`` once more, as update_<table>, on a target that holds an older state.
+
+    Every third row by the first key is there without its values, to be updated, and
+    once more under a key of its own, to be kept; the others are to be inserted.
+    """
+    known, key = JOBS[name], keys.split()[0]
+    load, table, names, types = (known[k] for k in ("load", "table", "names", "types"))
+
+    def older(spark, folder):
+        full = context(spark, folder, known["hwm"], known["targets"], known["options"])
+        rows = settle(all_loads()[load].run(full)[table].rows).filter(F.col(key) % 3 == 0)
+        stale = rows.select(*[F.col(f.name) if f.name in keys.split() else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+        return stale.unionByName(rows.withColumn(key, (-F.col(key) - 1).cast(rows.schema[key].dataType)))
+
+    def run(spark, folder):
+        ctx = context(spark, folder, known["hwm"], {**known["targets"], table: older}, known["options"])
+        rows = all_loads()[load].run(ctx)[table].rows
+        return rows.select(*[_spark_column(c, types[c]) for c in names])
+
+    run.__name__ = name.replace("load_", "update_")
+    run.__doc__ = f"The {table} table after the load, from an older state of it."
+    listed = ", ".join(_duck_column(c, types[c]) for c in names)
+    moved = ", ".join(f"-{c} - 1 AS {c}" if c == key else c for c in names)
+    result = f"SELECT * FROM ({known['sql']}) AS result({', '.join(names)})"
+    add(run.__name__, run, world.duck_sql(f"SELECT {listed} FROM (SELECT * FROM ({result}) UNION ALL SELECT {moved} FROM ({result}) WHERE {key} % 3 = 0)"))
 
 
 H = "TIMESTAMP '1999-06-01'"
@@ -694,3 +728,24 @@ for _table, _key, _duck in (("project_result", "project_id", "dw_project_result"
     job("deleted_projects", _columns, f"""
 SELECT {', '.join(_columns.split())} FROM {_duck} WHERE {_key} NOT IN (SELECT project_id FROM src_project WHERE project_status_id = 3)""",
         table=_table, targets={_table: _duck}, name=f"load_deleted_{_table}")
+
+# --- loads on older states -------------------------------------------------------
+
+# Left out: loads that replace a whole table, look at changed projects only once they have run, or change rows beside.
+for _name, _keys in {
+    "load_contest": "contest_id", "load_contest_prize": "contest_prize_id", "load_track": "track_id", "load_track_contest": "track_contest_id",
+    "load_coder": "coder_id", "load_client_project_dim": "billing_project_id client_project_id", "load_direct_project_dim": "direct_project_id",
+    "load_evaluation_lu": "evaluation_id", "load_event": "event_id", "load_event_registration": "event_id user_id",
+    "load_user_event_xref": "event_id user_id", "load_season": "season_id", "load_stage": "stage_id",
+    "load_scorecard_template": "scorecard_template_id", "load_scorecard_question": "scorecard_question_id",
+    "load_user_contest_prize": "user_id contest_id prize_type_id place", "load_user_reliability": "user_id phase_id",
+    "load_royalty": "user_id royalty_date description",
+    "load_projects": "id", "load_project_members": "id", "load_project": "project_id",
+    "load_appeal": "appeal_id", "load_testcase_appeal": "appeal_id", "load_testcase_response": "scorecard_id scorecard_question_id",
+    "load_scorecard_response": "scorecard_id scorecard_question_id", "load_subjective_response": "scorecard_id scorecard_question_id",
+    "load_submission_review": "project_id user_id reviewer_id", "load_submission_screening": "project_id user_id",
+    "load_payment": "payment_id", "load_user_payment": "payment_id user_id",
+    "load_dr_points": "track_id dr_points_id", "load_contest_result": "contest_id coder_id",
+    "load_track_contest_results": "track_contest_id user_id",
+}.items():
+    on_older_state(_name, _keys)
