@@ -85,19 +85,20 @@ def drop_repeats(
     text = docs[text_col].cast("string")
     kept = [c for c in docs.columns if not counts or c not in ("n_lines", "n_deleted")]
     joined = docs.join(gone, (docs[id_col].cast("long") == gone["_id"]) & (F.xxhash64(text) == gone["_hash"]), "left")
-    parts = joined.select(
-        *[docs[c] for c in kept], F.split(text, "\n").alias("_parts"), "_starts"
-    ).withColumn("_numbers", F.expr(
-        "CASE WHEN _starts IS NOT NULL THEN filter(sequence(0, size(_parts) - 1), k -> _parts[k] rlike '[^ \\\\t-\\\\r]') END"
-    ))
-    parts = parts.withColumn("_gone", F.expr(
-        "CASE WHEN size(_numbers) > 0 THEN transform(array_distinct(flatten(transform(_starts, "
-        f"s -> sequence(s, s + {window - 1})))), k -> _numbers[k]) END"
+    numbered = "transform(_parts, (line, at) -> struct(line, at))"
+    parts = joined.select(*[docs[c] for c in kept], F.split(text, "\n").alias("_parts"), F.expr(
+        f"array_distinct(flatten(transform(_starts, s -> sequence(s, s + {window - 1}))))"
+    ).alias("_places")).withColumn("_numbers", F.expr(
+        f"CASE WHEN _places IS NOT NULL THEN transform(filter({numbered}, x -> x.line rlike '[^ \\\\t-\\\\r]'), x -> x.at) END"
     ))
+    # Filters on the result stop at a number per row: pushed further down, they would split the text anew for every line.
+    parts = parts.withColumn("_gone", F.expr("transform(_places, k -> _numbers[k])")).withColumn(
+        "_row", F.monotonically_increasing_id()
+    ).filter("_row >= 0")
+    if not emptied:
+        parts = parts.filter("_places IS NULL OR size(_numbers) > size(_places)")
     left = F.expr("array_join(transform(array_except(sequence(0, size(_parts) - 1), _gone), k -> _parts[k]), '\\n')")
     parts = parts.withColumn("_left", F.when(F.col("_gone").isNotNull(), left).otherwise(F.col(f"`{text_col}`").cast("string")))
-    if not emptied:
-        parts = parts.filter(F.col("_gone").isNull() | F.col("_left").rlike("[^ \\t-\\r]"))
     out = [F.col("_left").alias(c) if c == text_col else F.col(f"`{c}`") for c in kept]
     if counts:
         out.append(F.coalesce(F.size("_parts"), F.lit(0)).cast("long").alias("n_lines"))
