@@ -47,14 +47,16 @@ def _fingerprints(docs: DataFrame, id_col: str, text_col: str, window: int) -> D
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 3) -> DataFrame:
     """(id, hash, starts): per text the windows that also begin at an earlier place, by number among lines with words."""
+    # Settled sides let the joins see sizes and split a hot line or window at run time.
     prints = settle(_fingerprints(docs, id_col, text_col, window))
-    twice = prints.groupBy("line").agg(F.count(F.lit(1)).alias("places")).filter("places > 1").select("line")
+    twice = settle(prints.groupBy("line").agg(F.count(F.lit(1)).alias("places")).filter("places > 1").select("line"))
     found = prints.join(twice, "line", "left_semi").select("id", "hash", F.explode("around").alias("x")).select(
         "id", "hash", "x.start", "x.w", "x.c"
     )
     # A text's own places of one window first, then the smallest id that holds it.
-    own = found.groupBy("w", "c", "id", "hash").agg(F.array_sort(F.collect_set("start")).alias("starts"))
-    first = own.groupBy("w", "c").agg(F.min("id").alias("first"))
+    own = settle(found.groupBy("w", "c", "id", "hash").agg(F.array_sort(F.collect_set("start")).alias("starts")))
+    first = own.groupBy("w", "c").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("texts"), F.max(F.size("starts")).alias("most"))
+    first = settle(first.filter("texts > 1 OR most > 1").select("w", "c", "first"))
     later = own.join(first, ["w", "c"]).withColumn(
         "starts", F.when(F.col("id") > F.col("first"), F.col("starts")).otherwise(F.expr("slice(starts, 2, size(starts))"))
     ).filter(F.size("starts") > 0)
