@@ -63,6 +63,8 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "CASE WHEN size(_starts) = 0 THEN 0 ELSE 3 + aggregate(zip_with(slice(_starts, 2, size(_starts) - 1), "
         "slice(_starts, 1, size(_starts) - 1), (b, a) -> least(3, b - a)), 0, (x, y) -> x + y) END"
     )
+    # Filters on the result stop at a number per row: pushed further down, they would split the text anew for every word.
+    starts = starts.withColumn("_row", F.monotonically_increasing_id()).filter("_row >= 0")
     return starts.select(
         *[F.col(f"`{c}`") for c in docs.columns],
         F.size("_words").cast("long").alias("n_words"),
@@ -107,13 +109,12 @@ _CENTRE = ", ".join(f"{{median}}(floor(1000 * x{i}) / 1000, 0.5) AS m{i}" for i
 _SPREAD = ", ".join(
     f"pow(1.4826 * {{median}}(abs(floor(1000 * x{i}) / 1000 - m{i}), 0.5), 2) + {FLOORS[i - 1] ** 2!r} AS c{i}{i}" for i in _DIMS
 )
+CENTRE = f"SELECT grp, {_CENTRE} FROM {{rows}} GROUP BY grp"
 START = f"""
-WITH centre AS (SELECT grp, {_CENTRE} FROM {{rows}} GROUP BY grp),
-spread AS (SELECT r.grp, {_SPREAD}, {', '.join(f'min(m{i}) AS m{i}' for i in _DIMS)}
-    FROM {{rows}} r JOIN centre c ON r.grp = c.grp GROUP BY r.grp)
 SELECT grp, {_MEANS}, {', '.join(f'sqrt(c{i}{i}) AS l{i}{i}' for i in _DIMS)},
     {', '.join(f'CAST(0 AS DOUBLE) AS l{i}{j}' for i, j in _PAIRS if i != j)}
-FROM spread
+FROM (SELECT r.grp, {_SPREAD}, {', '.join(f'min(m{i}) AS m{i}' for i in _DIMS)}
+    FROM {{rows}} r JOIN {{centre}} c ON r.grp = c.grp GROUP BY r.grp) spread
 """
 
 
@@ -179,7 +180,9 @@ def judge(
     groups = spark.sql(GROUPS, rows=passed)
     vectors = settle(passed.join(groups, ["lang", "source"]))
     enough = vectors.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST).select("grp")
-    estimate = settle(spark.sql(START.replace("{median}", "percentile"), rows=vectors).join(enough, "grp"))
+    # Settled, so that a small estimate is seen to be small and large groups are not moved to it.
+    centre = settle(spark.sql(CENTRE.replace("{median}", "percentile"), rows=vectors).join(enough, "grp"))
+    estimate = settle(spark.sql(START.replace("{median}", "percentile"), rows=vectors, centre=centre))
     for _ in range(STEPS):
         estimate = settle(spark.sql(STEP, rows=vectors, estimate=estimate))
     columns = [id_col, "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]

@@ -78,7 +78,8 @@ def outliers() -> str:
     for k in range(1, rules.STEPS + 1):
         steps.append(f"e{k} AS MATERIALIZED ({rules.STEP.format(rows='vectors', estimate=estimate)})")
         estimate = f"e{k}"
-    start = rules.START.replace("{median}", "quantile_cont").replace("{rows}", "vectors")
+    centre = rules.CENTRE.replace("{median}", "quantile_cont").replace("{rows}", "vectors")
+    start = rules.START.replace("{median}", "quantile_cont").format(rows="vectors", centre="centre")
     vector = ", ".join(f"{text} AS x{i}" for i, text in rules.VECTOR.items())
     return rf"""
 WITH docs AS MATERIALIZED (
@@ -104,7 +105,8 @@ passed AS MATERIALIZED (SELECT *, {vector} FROM judged WHERE NOT base_failed),
 groups AS MATERIALIZED ({rules.GROUPS.replace("{rows}", "passed")}),
 vectors AS MATERIALIZED (SELECT p.*, grp FROM passed p JOIN groups USING (lang, source)),
 enough AS (SELECT grp FROM vectors GROUP BY grp HAVING count(*) >= {rules.LEAST}),
-e0 AS MATERIALIZED (SELECT * FROM ({start}) JOIN enough USING (grp)),
+centre AS MATERIALIZED (SELECT * FROM ({centre}) JOIN enough USING (grp)),
+e0 AS MATERIALIZED ({start}),
 {", ".join(steps)},
 scored AS ({rules.VERDICT.format(rows="vectors", estimate=estimate, columns="doc_id")})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
