@@ -21,7 +21,8 @@ def _state(links: DataFrame) -> tuple[int, int]:
 
 def _to_minimum(links: DataFrame) -> DataFrame:
     """(a, b, m): each link with the smallest of a and all its b."""
-    lowest = links.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # Settled, so that the join sees two plain sides and can split a hot node.
+    lowest = settle(links.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     return links.join(lowest, "a")
 
 
@@ -35,7 +36,7 @@ def components(links: DataFrame) -> DataFrame:
     state = _state(links)
     while state[0]:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _to_minimum(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = settle(_to_minimum(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         near = _to_minimum(large)
         small = near.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         links = settle(small.unionByName(near.select("a", F.col("m").alias("b"))).distinct())

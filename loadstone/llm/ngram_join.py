@@ -34,7 +34,7 @@ from loadstone.llm.words import Words, mix, read_words
 from loadstone.session import settle
 
 # Shingles that one chunk of a hub's texts holds.
-CHUNK_SHINGLES = 400_000
+CHUNK_SHINGLES = 60_000
 ROWS = "kind int, id long, n long, text binary, shingle long, place int, members binary"
 _ARROW = pa.schema([
     ("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("text", pa.binary()),
@@ -202,9 +202,10 @@ def _verify(percent: int):
 
 def _star_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Verified links (a, b) of each text with the smallest text of one of its shingles."""
-    lowest = entries.groupBy("shingle").agg(
+    # Settled, here and below: a join of two plain sides is broadcast by measured size or splits a hot key at run time.
+    lowest = settle(entries.groupBy("shingle").agg(
         F.min(F.struct("text", "n", "place")).alias("first"), F.count(F.lit(1)).alias("texts")
-    ).filter("texts > 1")
+    ).filter("texts > 1"))
     both = F.col("n") + F.col("first.n")
     need = F.ceil(F.lit(percent) * both / F.lit(100 + percent))
     bound = (
@@ -284,11 +285,11 @@ def _compare(percent: int):
 
 def _hub_links(entries: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Links between components whose texts share a shingle, each text compared at the hubs of its shingles."""
-    placed = entries.select("shingle", "text", "n").join(
+    placed = settle(entries.select("shingle", "text", "n").join(
         roots.select(F.col("node").alias("text"), "root"), "text", "left"
-    ).select("shingle", "text", "n", F.coalesce("root", "text").alias("comp"))
+    ).select("shingle", "text", "n", F.coalesce("root", "text").alias("comp")))
     parts = placed.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("texts"))
-    hubs = (
+    hubs = settle(
         parts.groupBy("shingle")
         .agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("texts", "comp")).alias("most"))
         .filter("comps > 1")
@@ -296,10 +297,10 @@ def _hub_links(entries: DataFrame, sets: DataFrame, roots: DataFrame, percent: i
     )
     attached = settle(placed.join(hubs, "shingle").groupBy("hub", "text", "comp").agg(F.max("n").alias("n")))
     inner = F.col("comp") == F.col("hub")
-    pieces = attached.groupBy("hub").agg(
+    pieces = settle(attached.groupBy("hub").agg(
         F.ceil(F.sum(F.when(inner, F.col("n"))) / CHUNK_SHINGLES).cast("int").alias("own"),
         F.ceil(F.sum(F.when(~inner, F.col("n"))) / CHUNK_SHINGLES).cast("int").alias("other"),
-    )
+    ))
     chunked = attached.join(pieces, "hub").withColumn("inner", inner)
     chunk = F.pmod(F.xxhash64("text"), F.when(F.col("inner"), F.col("own")).otherwise(F.col("other"))).cast("int")
     chunked = chunked.withColumn("chunk", chunk)
@@ -354,13 +355,13 @@ def near_duplicates(
 
     found = rows.filter(F.col("kind") == DOCUMENT).select("id", "n", "text")
     texts = found.filter("n > 0 AND id IS NOT NULL").groupBy("text").agg(F.min("id").alias("lowest"))
-    placed = (
+    placed = settle(
         texts.join(roots.withColumnRenamed("node", "text"), "text", "left")
         .withColumn("root", F.coalesce("root", "text"))
         .join(merged, "root", "left")
         .select("text", "lowest", F.coalesce("final", "root").alias("comp"))
     )
-    lowest = placed.groupBy("comp").agg(F.min("lowest").alias("component"))
+    lowest = settle(placed.groupBy("comp").agg(F.min("lowest").alias("component")))
     named = placed.join(lowest, "comp").select("text", "component")
     component = F.when(F.col("n") == 0, F.col("id")).when(F.col("id").isNotNull(), F.col("component"))
     return found.join(named, "text", "left").select(
