@@ -8,8 +8,9 @@ trained on, and a logistic model over the two calibrated logits scores all docum
 
 Distribution. Models are fitted on the driver on at most ``LABELLED_ROWS`` labelled rows
 plus ``ROUNDS`` * 2 * ``PSEUDO_ROWS`` pseudo-labelled ones; everything else runs over all
-documents. Texts are read where they lie and never shuffled: a pass gives one number per
-document, and only such narrow rows are joined with pages and labels.
+documents. Texts are read once, where they lie, and turned into feature numbers that are
+written to the shared folder; every round reads those. A pass gives one number per
+document, and only such narrow rows are shuffled to meet pages and labels.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ ROUNDS = 3
 # Calibrated confidence a pseudo-label needs.
 SURE = 0.95
 KEEP = 0.5
+# Texts that are turned into features at a time.
+SLICE_DOCS = 256
 _WORD_BITS = 18
 _SHAPES = 1 << 12
 # Everything in ASCII but letters and digits separates the words of the text view.
@@ -46,18 +49,25 @@ def _bins(name: str, values: np.ndarray) -> np.ndarray:
 
 def text_features(texts: pa.Array) -> list[np.ndarray]:
     """Features of each text: its words (hashed), and bins of how it is built."""
+    out: list[np.ndarray] = []
+    for at in range(0, len(texts), SLICE_DOCS):
+        out += _slice_features(texts.slice(at, SLICE_DOCS))
+    return out
+
+
+def _slice_features(texts: pa.Array) -> list[np.ndarray]:
     words = read_words(texts, lower=True, blank=_SEPARATORS)
     docs, count = words.documents(), len(words.counts)
-    keys = np.unique((docs << _WORD_BITS) | (words.hashes >> np.uint64(64 - _WORD_BITS)).astype(np.int64))
+    buckets = (words.hashes >> np.uint64(64 - _WORD_BITS)).astype(np.int32)
+    keys = np.unique((docs.astype(np.int32) << _WORD_BITS) | buckets)
     owner, feature = keys >> _WORD_BITS, keys & ((1 << _WORD_BITS) - 1)
     total = np.maximum(words.counts, 1)
     distinct = np.bincount(owner, minlength=count)
     letters = np.bincount(docs, weights=words.ends - words.starts, minlength=count)
     three = words.complete(3)
-    marked = mix(words.windows(3)[three] + docs[three].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    first = np.unique(marked, return_index=True)[1]
+    marked = np.unique((docs[three].astype(np.uint64) << np.uint64(56)) | (words.windows(3)[three] >> np.uint64(8)))
     windows = np.bincount(docs[three], minlength=count)
-    fresh = np.bincount(docs[three][first], minlength=count)
+    fresh = np.bincount((marked >> np.uint64(56)).astype(np.int64), minlength=count)
     raw = [(t.as_py() or "") for t in texts]
     symbols = np.array([int(_SYMBOLS[np.frombuffer(t.encode(), dtype=np.uint8)].sum()) for t in raw])
     lines = [[x for x in t.split("\n") if x.strip()] for t in raw]
@@ -69,9 +79,9 @@ def text_features(texts: pa.Array) -> list[np.ndarray]:
         _bins("fresh", 10 * fresh / np.maximum(windows, 1)),
         _bins("symbols", np.minimum(10 * np.sqrt(symbols / total), 20)),
         _bins("lines", 10 * repeated / np.maximum([len(x) for x in lines], 1)),
-    ], axis=1) if count else np.empty((0, 6), dtype=np.int64)
+    ], axis=1).astype(np.int32)
     cuts = np.searchsorted(owner, np.arange(1, count))
-    return [np.concatenate([own, shape]) for own, shape in zip(np.split(feature, cuts), shapes)] if count else []
+    return [np.concatenate([own, shape]) for own, shape in zip(np.split(feature, cuts), shapes)]
 
 
 def page_features(source, lang, n_chars, url) -> list[int]:
@@ -187,7 +197,7 @@ class _View:
 
     def add(self, rows: DataFrame) -> None:
         """Rows (id, good) become training rows."""
-        for feature, good, _, _ in self.collect(rows):
+        for feature, good, _ in self.collect(rows):
             self.features.append(feature)
             self.good.append(good)
 
@@ -227,53 +237,47 @@ def quality_scores(
         .withColumn("fold", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)))
     )
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                rows = [r.astype("<i8").tobytes() for r in text_features(batch.column("text"))]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.binary())], names=["id", "features"])
-
-    def pages_of(batch: pa.RecordBatch) -> list[np.ndarray]:
-        columns = [batch.column(c).to_pylist() for c in ("source", "lang", "n_chars", "url")]
-        return [np.array(page_features(*row), dtype=np.int64) for row in zip(*columns)]
+    def describer(features):
+        """Rows (id, features) of a batch, some at a time."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, SLICE_DOCS):
+                    part = batch.slice(at, SLICE_DOCS)
+                    raw = [np.asarray(r, dtype="<i4").tobytes() for r in features(part)]
+                    yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(raw, pa.binary())], names=["id", "features"])
 
-    def collected(frame: DataFrame):
-        """(features, good, fold, id) by id; an id that repeats counts once, so both views have the same rows."""
-        found = frame.toPandas().sort_values(["id", "features"]).drop_duplicates("id")
-        columns = zip(found["features"], found["good"], found["fold"], found["id"])
-        return [(np.frombuffer(f, dtype="<i8"), int(g), int(k), int(i)) for f, g, k, i in columns]
+        return run
 
-    def text_rows(rows: DataFrame):
-        return collected(texts.join(F.broadcast(rows.select("id")), "id", "left_semi").mapInArrow(extract, "id long, features binary").join(F.broadcast(rows), "id"))
+    def of_page(batch: pa.RecordBatch) -> list[list[int]]:
+        return [page_features(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_chars", "url")))]
 
-    def page_rows(rows: DataFrame):
-        def describe(batches):
-            for batch in batches:
-                raw = [r.tobytes() for r in pages_of(batch)]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(raw, pa.binary())], names=["id", "features"])
+    def view(frame: DataFrame, features, name: str) -> _View:
+        described = settle(frame.mapInArrow(describer(features), "id long, features binary"))
 
-        return collected(metadata.join(F.broadcast(rows.select("id")), "id", "left_semi").mapInArrow(describe, "id long, features binary").join(F.broadcast(rows), "id"))
+        def collect(rows: DataFrame):
+            """(features, good, fold) by id; an id that repeats counts once, so both views have the same rows."""
+            found = described.join(F.broadcast(rows), "id").toPandas().sort_values(["id", "features"]).drop_duplicates("id")
+            return [(np.frombuffer(f, dtype="<i4"), int(g), int(k)) for f, g, k in zip(found["features"], found["good"], found["fold"])]
 
-    def scorer(frame: DataFrame, features, name: str):
-        def scores(model: Model) -> DataFrame:
-            def run(batches):
+        def score(model: Model) -> DataFrame:
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
-                    logits = model.logits(features(batch))
+                    logits = model.logits([np.frombuffer(f.as_py(), dtype="<i4") for f in batch.column("features")])
                     yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(logits, pa.float64())], names=["id", name])
 
-            return frame.mapInArrow(run, f"id long, {name} double")
+            return described.mapInArrow(run, f"id long, {name} double")
 
-        return scores
+        return _View(collect, score)
 
-    text = _View(text_rows, scorer(texts, lambda batch: text_features(batch.column("text")), "text_logit"))
-    page = _View(page_rows, scorer(metadata, pages_of, "page_logit"))
-    for view in (text, page):
-        rows = view.collect(sample)
+    text = view(texts, lambda batch: text_features(batch.column("text")), "text_logit")
+    page = view(metadata, of_page, "page_logit")
+    for each in (text, page):
+        rows = each.collect(sample)
         train = [r for r in rows if r[2] != 0] or rows
         check = [r for r in rows if r[2] == 0] or rows
-        view.features, view.good = [r[0] for r in train], [r[1] for r in train]
-        view.check = ([r[0] for r in check], np.array([r[1] for r in check], dtype=float))
-        view.train()
+        each.features, each.good = [r[0] for r in train], [r[1] for r in train]
+        each.check = ([r[0] for r in check], np.array([r[1] for r in check], dtype=float))
+        each.train()
 
     limit = float(np.log(SURE / (1 - SURE)))
     used = sample.select("id")
