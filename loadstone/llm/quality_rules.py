@@ -132,14 +132,17 @@ _TOTALS = ", ".join([f"sum(s{i}) / sum(n) AS m{i}" for i in _DIMS] + [f"sum(s{i}
 _COVARIANCE = ", ".join(
     f"{CONSISTENCY} * (q{i}{j} - m{i} * m{j}){f' + {FLOORS[i - 1] ** 2!r}' if i == j else ''} AS c{i}{j}" for i, j in _PAIRS
 )
-STEP = f"""
-WITH scored AS (
+# Moments per group and bin of distance.
+BINS = f"""
+SELECT grp, bin, count(*) AS n, {_SUMS} FROM (
     SELECT grp, {', '.join(f'x{i}' for i in _DIMS)}, CAST(floor(16 * log2({_SQUARES} + 1e-6)) AS INT) AS bin
     FROM (SELECT r.grp, {', '.join(f'x{i}' for i in _DIMS)}, {_distance()} FROM {{rows}} r JOIN {{estimate}} e ON r.grp = e.grp) placed
-), bins AS (
-    SELECT grp, bin, count(*) AS n, {_SUMS} FROM scored GROUP BY grp, bin
-), ordered AS (
-    SELECT *, sum(n) OVER (PARTITION BY grp ORDER BY bin) - n AS before, sum(n) OVER (PARTITION BY grp) AS total FROM bins
+) scored GROUP BY grp, bin
+"""
+# The estimate from the nearest bins that hold the share.
+NEXT = f"""
+WITH ordered AS (
+    SELECT *, sum(n) OVER (PARTITION BY grp ORDER BY bin) - n AS before, sum(n) OVER (PARTITION BY grp) AS total FROM {{bins}}
 ), moments AS (
     SELECT grp, {_TOTALS} FROM ordered WHERE before < ceil({SHARE} * total) GROUP BY grp
 )
@@ -184,7 +187,9 @@ def judge(
     centre = settle(spark.sql(CENTRE.replace("{median}", "percentile"), rows=vectors).join(enough, "grp"))
     estimate = settle(spark.sql(START.replace("{median}", "percentile"), rows=vectors, centre=centre))
     for _ in range(STEPS):
-        estimate = settle(spark.sql(STEP, rows=vectors, estimate=estimate))
+        # Settled bins: else what all tasks hold of a group would meet in one task before it is summed up.
+        bins = settle(spark.sql(BINS, rows=vectors, estimate=estimate))
+        estimate = settle(spark.sql(NEXT, bins=bins))
     columns = [id_col, "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     names = ", ".join(f"`{c}`" for c in columns)
     scored = spark.sql(VERDICT.replace("{columns}", names), rows=vectors, estimate=estimate)

@@ -76,7 +76,8 @@ def outliers() -> str:
 
     steps, estimate = [], "e0"
     for k in range(1, rules.STEPS + 1):
-        steps.append(f"e{k} AS MATERIALIZED ({rules.STEP.format(rows='vectors', estimate=estimate)})")
+        steps.append(f"b{k} AS MATERIALIZED ({rules.BINS.format(rows='vectors', estimate=estimate)})")
+        steps.append(f"e{k} AS MATERIALIZED ({rules.NEXT.format(bins=f'b{k}')})")
         estimate = f"e{k}"
     centre = rules.CENTRE.replace("{median}", "quantile_cont").replace("{rows}", "vectors")
     start = rules.START.replace("{median}", "quantile_cont").format(rows="vectors", centre="centre")
