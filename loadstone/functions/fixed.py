@@ -83,3 +83,13 @@ PROJECT_ATTRIBUTES = {
     "reliability_flag": 45, "copilot_cost": 49, "viewable_flag": 53, "match_ref": 56,
     "fee_percentage": 57, "launcher": 58, "task_flag": 82,
 }
+
+# Tables that hold rows of a project, with the column that names it.
+PROJECT_TABLES = (
+    ("appeal", "project_id"), ("contest_project_xref", "project_id"), ("design_project_result", "project_id"),
+    ("project", "project_id"), ("project_platform", "project_id"), ("project_result", "project_id"), ("project_review", "project_id"),
+    ("project_spec_review_xref", "project_id"), ("project_technology", "project_id"), ("scorecard_response", "project_id"),
+    ("streak", "end_project_id"), ("streak", "start_project_id"), ("subjective_response", "project_id"), ("submission", "project_id"),
+    ("submission_review", "project_id"), ("submission_screening", "project_id"), ("testcase_appeal", "project_id"),
+    ("testcase_response", "project_id"), ("user_rating", "last_rated_project_id"),
+)

@@ -222,26 +222,15 @@ def direct_project_stats(ctx: LoadContext) -> dict[str, Write]:
     return {"tcd_project_stat": Write(rows.select(*[F.col(f.name).cast(f.dataType) for f in target.schema]))}
 
 
-# Tables that hold rows of a project, with the column that names it.
-PROJECT_TABLES = [
-    ("appeal", "project_id"), ("contest_project_xref", "project_id"), ("design_project_result", "project_id"),
-    ("project", "project_id"), ("project_platform", "project_id"), ("project_result", "project_id"), ("project_review", "project_id"),
-    ("project_spec_review_xref", "project_id"), ("project_technology", "project_id"), ("scorecard_response", "project_id"),
-    ("streak", "end_project_id"), ("streak", "start_project_id"), ("subjective_response", "project_id"), ("submission", "project_id"),
-    ("submission_review", "project_id"), ("submission_screening", "project_id"), ("testcase_appeal", "project_id"),
-    ("testcase_response", "project_id"), ("user_rating", "last_rated_project_id"),
-]
-
-
 @load("deleted_projects", 8)
 def deleted_projects(ctx: LoadContext) -> dict[str, Write]:
     """Rows of deleted projects leave every table; tables without such rows are not rewritten."""
     gone = settle(ctx.source("project").filter(F.col("project_status_id") == fixed.STATUS_DELETED).select("project_id"))
-    tables = {name: ctx.target(name) for name, _ in PROJECT_TABLES}
-    left = merge.cascade_delete(tables, PROJECT_TABLES, gone)
+    tables = {name: ctx.target(name) for name, _ in fixed.PROJECT_TABLES}
+    left = merge.cascade_delete(tables, fixed.PROJECT_TABLES, gone)
     writes = {}
     for name, table in tables.items():
-        columns = [c for t, c in PROJECT_TABLES if t == name]
+        columns = [c for t, c in fixed.PROJECT_TABLES if t == name]
         found = False
         for column in columns:
             hit = table.select(column).join(gone.withColumnRenamed("project_id", column), column, "left_semi")

@@ -36,7 +36,6 @@ def source(spark, sf_dir, tmp_path_factory):
 
 def new_warehouse(spark, sf_dir, folder, start):
     house = Warehouse(spark, str(folder), SCHEMAS)
-    days = world.spark_table(spark, sf_dir, "dw_calendar")
     # The season and stage loads look up every day strictly.
     wanted = spark.sql("SELECT explode(sequence(DATE'1994-01-01', DATE'2002-12-31')) AS day")
     calendar = wanted.select(
@@ -48,7 +47,6 @@ def new_warehouse(spark, sf_dir, folder, start):
     house.write("time", world.spark_table(spark, sf_dir, "dw_time"))
     log = spark.createDataFrame([(1, 1, start, 8)], SCHEMAS["update_log"])
     house.write("update_log", log)
-    assert days.count() > 0
     return house
 
 
@@ -100,7 +98,7 @@ def test_second_run_with_the_same_mark_changes_nothing(spark, loaded, source):
     log = house.table("update_log")
     house.write("update_log", spark.createDataFrame([(log.count() + 1, 1, MARK, 8)], SCHEMAS["update_log"]), "append")
     run_loads(spark, source, house, names, start=datetime(2001, 8, 1), options=OPTIONS)
-    gone = {"submission_review", "submission"}
+    gone = {"submission"}
     for table in tables:
         if table not in gone:
             assert contents(house, table) == before[table], table
