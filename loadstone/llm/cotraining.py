@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from loadstone.llm.words import mix, read_words
 from loadstone.session import settle
 
-LABELLED_ROWS = 20_000
+LABELLED_ROWS = 10_000
 PSEUDO_ROWS = 500
 ROUNDS = 3
 # Calibrated confidence a pseudo-label needs.
@@ -160,14 +160,15 @@ def fit(rows: list[np.ndarray], good: np.ndarray, least: int = 5, tilt: float =
     if len(set(good.tolist())) < 2:
         return Model(bias=bias)
     sizes = np.array([len(r) for r in rows])
-    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), sizes)
+    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
     names, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
     hits = np.bincount(inverse, weights=good[owner], minlength=len(names))
     error = np.sqrt(share * (1 - share) / counts)
     chosen = (counts >= least) & ((np.abs(hits / counts - share) >= tilt * error) | (names >= 1 << _WORD_BITS))
-    place = np.cumsum(chosen) - 1
+    place = (np.cumsum(chosen) - 1).astype(np.int32)
     keep = chosen[inverse]
     owner, column = owner[keep], place[inverse[keep]]
+    del flat, inverse, keep
     width = int(chosen.sum())
     weights, moment, square = np.zeros(width), np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, steps + 1):
