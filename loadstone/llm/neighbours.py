@@ -210,7 +210,8 @@ def nearest(
     ids = kept.join(distinct.select("head", F.col("vector").alias("_vector")), F.col("vector") == F.col("_vector")).select("head", "id")
     spread = top.join(ids, F.col("member") == F.col("head")).select("query", "id", "score")
     by_query = Window.partitionBy("query").orderBy("score", "id")
-    spread = spread.withColumn("at", F.row_number().over(by_query)).filter(F.col("at") <= k + 1).drop("at")
+    # Settled, so that the join can split a vector that very many queries ask for.
+    spread = settle(spread.withColumn("at", F.row_number().over(by_query)).filter(F.col("at") <= k + 1).drop("at"))
     answers = asking.select(F.col("id").alias("query_id"), "head").join(
         spread.withColumnRenamed("query", "head"), "head"
     ).filter("query_id <> id")
