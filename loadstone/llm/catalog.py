@@ -95,7 +95,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         texts.filter("repeats").select("doc_id", F.col("cleaned").alias("text")), {"cleaned": paths[first]}
     )
     counted = settle(counted.join(revised, "doc_id", "left"))
-    earliest = counted.groupBy("same").agg(F.min("doc_id").alias("earliest"))
+    earliest = settle(counted.groupBy("same").agg(F.min("doc_id").alias("earliest")))
     counted = settle(counted.join(earliest, "same", "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("earliest"), F.lit(False))))
 
     def batch(rows: DataFrame, op: str, version: str, new: str, old: str) -> DataFrame:
