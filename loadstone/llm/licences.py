@@ -141,9 +141,11 @@ def scan(
         score, "id long, path string, score double, licence string, file_score double, file_licence string"
     )).withColumn("folder", F.regexp_replace("path", "/?[^/]*$", ""))
     noticed = F.coalesce(F.col("score") >= notice_score, F.lit(False))
+    # Settled, here and below: joins of plain sides are broadcast by size or split a hot directory.
     given = scored.filter((F.col("file_score") >= file_score) & F.col("path").isNotNull()).groupBy("folder").agg(
         F.min(F.struct((-F.col("file_score")).alias("down"), "id", "file_licence")).alias("best")
     ).select(F.col("folder").alias("above"), F.col("best.file_licence").alias("taken"), (-F.col("best.down")).alias("taken_score"))
+    given = settle(given)
     # Each directory that needs a licence once, with all directories above it and itself.
     needy = scored.filter(~noticed & F.col("path").isNotNull()).select("folder").distinct()
     parts = F.split("folder", "/")
@@ -154,6 +156,7 @@ def scan(
     nearest = above.join(given, "above").groupBy("folder").agg(
         F.max(F.struct("depth", "above", "taken", "taken_score")).alias("near")
     ).select("folder", "near.above", "near.taken", "near.taken_score")
+    nearest = settle(nearest)
     joined = scored.join(nearest, "folder", "left")
     inherited = ~noticed & F.col("taken").isNotNull() & F.col("path").isNotNull()
     pick = lambda own, other: F.when(noticed, own).when(inherited, other)
