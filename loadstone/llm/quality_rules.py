@@ -2,10 +2,11 @@
 
 Statistics come from array functions over the whole text, without a shuffle. The
 verdict is a minimum-covariance-determinant estimate per group: starting from
-medians, each concentration step takes the three quarters of a group's documents
-nearest to the last estimate and estimates mean and covariance from them.
+medians, each concentration step takes the half of a group's documents nearest to
+the last estimate and estimates mean and covariance from them, so junk may be
+almost half of a group.
 Distances are counted in bins 4 % wide, so a step is one pass that sums moments per
-group and bin, combined on the map side; the nearest bins that hold three quarters
+group and bin, combined on the map side; the nearest bins that hold half
 make the next estimate. No group is ever sorted or collected.
 
 The estimate lives in SQL text that Spark and the check in ``sql`` both run.
@@ -25,9 +26,10 @@ LEAST = 50
 # Robust standard deviations beyond which a document is rejected. Shares of repeated
 # words have long tails in good text too; this leaves them alone.
 CUTOFF = 10.0
-SHARE = 0.75
-# Makes the covariance of the nearest three quarters that of all, for five normal dimensions.
-CONSISTENCY = 1.41
+# What a concentration step holds of a group. Junk beyond the rest would be forced into the estimate.
+SHARE = 0.5
+# Makes the covariance of the nearest half that of all, for five normal dimensions.
+CONSISTENCY = 1.91
 # Smallest spread of each dimension: a statistic that is nearly always zero still has a scale.
 FLOORS = (0.25, 0.05, 0.05, 0.02, 0.05)
 # Length comes first: it is conditioned on, never itself a reason.

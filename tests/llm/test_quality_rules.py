@@ -107,3 +107,16 @@ def test_small_groups_reject_nothing(spark, odd):
 def test_empty_table(frame):
     none = frame.filter("doc_id < 0")
     assert quality_rules.judge(none).count() == 0 and quality_rules.keep_documents(none).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.35, 0.45])
+def test_junk_of_nearly_half_a_group_goes(spark, share):
+    rng = random.Random(21)
+    rows = []
+    for i in range(400):
+        words = prose(rng, rng.randrange(60, 300))
+        junk = i < share * 400
+        rows.append((i, " ".join(w + "#$%|&"[: rng.randrange(3, 6)] if junk else w for w in words), "en", "s"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(frame).collect()}
+    assert [i for i in range(400) if kept[i] != (i >= share * 400)] == []
