@@ -1,7 +1,8 @@
 """Licences of files: sparse TF-IDF cosine of their text to templates, then inheritance along directories.
 
-Every line of a text is a possible notice, and the text as a whole a possible licence
-file. Both become sparse vectors of term frequency times inverse document frequency, the
+Every line of a text is a possible notice, as is every run of lines up to twice the
+longest template (headers are wrapped over lines), and the text as a whole is a possible
+licence file. All become sparse vectors of term frequency times inverse document frequency, the
 latter counted over all documents; terms that no template uses only lengthen a
 vector and count as never seen. A file without a notice of its own takes the licence
 of the nearest directory above it that holds a licence file: distinct directories are
@@ -56,6 +57,7 @@ class Scorer:
         self.idf = {t: log((documents + 1) / (n + 1)) + 1 for t, n in frequency.items()}
         self.by_term: dict[str, list[tuple[int, float]]] = {}
         self.names, self.norms = [], []
+        self.longest = max((len(terms(text)) for _, text in templates), default=0)
         for k, (name, text) in enumerate(templates):
             weights = {t: n * self.idf.get(t, self.unseen) for t, n in Counter(terms(text)).items()}
             self.names.append(name)
@@ -75,6 +77,52 @@ class Scorer:
         norm = sqrt(sum((n * self.idf.get(t, self.unseen)) ** 2 for t, n in counts.items()))
         return min((-dot / (norm * self.norms[k]), self.names[k]) for k, dot in dots.items())
 
+    def masses(self, counts: Counter) -> tuple[float, float]:
+        """Length of the part of a vector that templates share terms with, and squared length of the rest."""
+        inside = outside = 0.0
+        for term, n in counts.items():
+            if term in self.by_term:
+                inside += (n * self.idf.get(term, self.unseen)) ** 2
+            else:
+                outside += n * n
+        return sqrt(inside), outside * self.unseen**2
+
+    def notice(self, lines: list[Counter], least: float) -> tuple[float, str] | None:
+        """(-score, licence) of the nearest line or run of lines, if its score may reach ``least``.
+
+        Lines without terms are passed over. A score is at most the cosine between a vector and
+        its part inside the vocabulary; of a run, that part is no longer than those of
+        its lines together and the squared rest no shorter, so most runs need no count.
+        """
+        lines = [counts for counts in lines if counts]
+        masses = [self.masses(counts) for counts in lines]
+        sizes = [counts.total() for counts in lines]
+        floor = max(least, 0.0) ** 2
+        may = lambda inside, outside: inside * inside >= floor * (inside * inside + outside) * (1 - 1e-9)
+        best = None
+        for counts, mass in zip(lines, masses):
+            if may(*mass) and (found := self.best(counts)) and (best is None or found < best):
+                best = found
+        for start, (inside, outside) in enumerate(masses):
+            # A run that begins or ends with a line no template shares a term with is better without that line.
+            if not inside:
+                continue
+            size, merged, taken = sizes[start], Counter(lines[start]), start + 1
+            for end in range(start + 1, len(lines)):
+                size += sizes[end]
+                if size > 2 * self.longest:
+                    break
+                inside, outside = inside + masses[end][0], outside + masses[end][1]
+                if not masses[end][0] or not may(inside, outside):
+                    continue
+                for counts in lines[taken : end + 1]:
+                    merged.update(counts)
+                taken = end + 1
+                # Of equal scores, which rounding parts, a single line is the notice.
+                if (found := self.best(merged)) and (best is None or found[0] < best[0] - 1e-9):
+                    best = found
+        return best
+
 
 def _frequencies(rows: DataFrame, templates) -> tuple[dict[str, int], int]:
     """Document frequency of each template term, and the number of documents with a text."""
@@ -102,7 +150,7 @@ def scan(
 ) -> DataFrame:
     """Per file: ``id_col``, ``path``, ``licence``, ``how`` ("notice", "inherited" or null), ``score`` and ``source_path``.
 
-    A notice is the line nearest to a template if its cosine reaches ``notice_score``; a
+    A notice is the line or run of lines nearest to a template if its cosine reaches ``notice_score``; a
     file whose whole text reaches ``file_score`` is its directory's licence file. Several in
     one directory: the highest score, then the smallest id. ``source_path`` is the file
     itself or the directory a licence is taken from; inherited ones carry the licence file's score.
@@ -121,14 +169,10 @@ def scan(
         for batch in batches:
             notices, wholes = [], []
             for text in batch.column("text"):
-                best, whole = None, Counter()
-                for line in (text.as_py() or "").split("\n"):
-                    counts = Counter(terms(line))
+                lines, whole = [Counter(terms(line)) for line in (text.as_py() or "").split("\n")], Counter()
+                for counts in lines:
                     whole.update(counts)
-                    found = scorer.best(counts)
-                    if found and (best is None or found < best):
-                        best = found
-                notices.append(best)
+                notices.append(scorer.notice(lines, notice_score))
                 wholes.append(scorer.best(whole))
             column = lambda items, k, kind: pa.array([x and (-x[0] if k == 0 else x[1]) for x in items], kind)
             yield pa.RecordBatch.from_arrays(

@@ -73,3 +73,39 @@ def test_odd_rows_and_empty_table(spark, odd):
     frame = odd.withColumnRenamed("source", "path")
     assert licences.scan(frame).count() == odd.count()
     assert licences.scan(frame.filter("doc_id < 0")).count() == 0
+
+
+def test_wrapped_headers_are_notices(spark):
+    rng = random.Random(4)
+    body = "\n".join(" ".join(prose(rng, 12)) for _ in range(6))
+    wanted, rows = {}, []
+    for k, (name, text) in enumerate(licences.TEMPLATES):
+        words = text.split()
+        for step in (4, 9, 15):
+            if len(words) > step:
+                header = "".join(f" * {' '.join(words[i : i + step])}\n" + " *\n" * (i == step) for i in range(0, len(words), step))
+                wanted[100 * k + step] = name
+                rows.append((100 * k + step, f"f{k}/{step}/x", f"{body}\n/*\n{header} */\n{body}"))
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(wanted) > 15 and {i: (r.licence, r.how) for i, r in got.items()} == {i: (name, "notice") for i, name in wanted.items()}
+
+
+def test_best_run_equals_all_runs():
+    rng = random.Random(9)
+    vocabulary = sorted({w for _, t in licences.TEMPLATES for w in licences.terms(t)})
+    scorer = licences.Scorer(licences.TEMPLATES, {w: rng.randrange(50) for w in vocabulary}, 60)
+    found = 0
+    for _ in range(150):
+        words = rng.choice(licences.TEMPLATES)[1].split()
+        at = sorted(rng.randrange(len(words)) for _ in range(3))
+        lines = [words[a:b] for a, b in zip([0, *at], [*at, len(words)])]
+        lines.insert(rng.randrange(5), prose(rng, rng.randrange(4)))
+        lines = [Counter(licences.terms(" ".join(x))) for x in lines]
+        every = [scorer.best(sum(lines[a:b], Counter())) for a in range(5) for b in range(a + 1, 6)]
+        best = min((x for x in every if x), default=(0, ""))
+        got = scorer.notice(lines, 0.8)
+        assert (got is not None and -got[0] >= 0.8) == (-best[0] >= 0.8)
+        if -best[0] >= 0.8:
+            found += 1
+            assert got[0] == pytest.approx(best[0])
+    assert found > 50
