@@ -29,10 +29,20 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near duplicates."""
+    """One row of each class of near duplicates, with the smallest id; rows are judged by id and text."""
     tune(spark)
-    copies = ngram_join.near_duplicates(docs).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")).alias("_key")
+    keyed = docs.select(*docs.columns, key)
+    classes = settle(ngram_join.near_duplicates(keyed, "_key").filter("n_shingles > 0 AND _key IS NOT NULL").groupBy("_key").agg(
+        F.min("component_id").alias("_class"), F.count(F.lit(1)).alias("_rows")
+    ))
+    ids = keyed.select("_key", "doc_id").join(classes, "_key")
+    first = settle(ids.groupBy("_class").agg(F.min(F.struct("doc_id", "_key")).alias("_first")))
+    copies = settle(classes.join(first, "_class").filter("_key <> _first._key").select("_key"))
+    repeated = settle(classes.filter("_rows > 1").select("_key"))
+    left = keyed.join(copies, "_key", "left_anti")
+    once = left.join(repeated, "_key", "left_semi").dropDuplicates(["_key"])
+    return left.join(repeated, "_key", "left_anti").unionByName(once).select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
