@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import cotraining, licences, line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, sql, substrings, token_rollup, tokens
+from loadstone.llm import cotraining, licences, line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, simhash, sql, substrings, token_rollup, tokens
 from loadstone.session import scratch_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,9 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     folders = F.regexp_replace(F.substring(digits, F.lit(1), F.length(digits) - 1), "(.)", "$1/")
     found = licences.scan(docs.withColumn("path", F.concat(F.col("source"), F.lit("/"), folders, digits)))
     return found.withColumn("score", F.round("score", 6))
+
+
+@_query()
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint of each document and the smallest id reachable over fingerprints at 2 or fewer differing bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))

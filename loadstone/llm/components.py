@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from loadstone.session import settle
 
 
-def _state(links: DataFrame) -> tuple[int, int]:
-    row = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
-    return row[0], row[1] or 0
+def _is_open(links: DataFrame) -> bool:
+    """Whether some node has two links down, or a link down to a node that has one itself."""
+    several = links.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a")
+    onward = links.join(links.select(F.col("a").alias("b")), "b", "left_semi").select("a")
+    return bool(several.unionByName(onward).take(1))
 
 
 def _to_minimum(links: DataFrame) -> DataFrame:
@@ -30,19 +32,16 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of the links (a, b); root is the smallest node of its component.
 
     Null nodes and links of a node with itself are ignored; repeated links count once.
+    The rounds end once every node has one link, and that to a node without one: then each
+    component is a star around its smallest node.
     """
     links = links.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     links = settle(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = _state(links)
-    while state[0]:
+    while _is_open(links):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = settle(_to_minimum(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         near = _to_minimum(large)
         small = near.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         links = settle(small.unionByName(near.select("a", F.col("m").alias("b"))).distinct())
-        new = _state(links)
-        if new == state:
-            break
-        state = new
     roots = links.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
