@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import cotraining, licences, line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, simhash, sql, substrings, token_rollup, tokens
+from loadstone.llm import cotraining, lexical, licences, line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, simhash, sql, substrings, token_rollup, tokens
 from loadstone.session import scratch_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,9 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint of each document and the smallest id reachable over fingerprints at 2 or fewer differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query(sql.SEARCH)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 highest-scoring documents of each benchmark item."""
+    return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), 50)

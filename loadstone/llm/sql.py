@@ -215,3 +215,34 @@ SELECT doc_id, placed.folder || '/' || doc_id AS path, coalesce(notices.licence,
     CASE WHEN notices.licence IS NOT NULL THEN placed.folder || '/' || doc_id ELSE nearest.folder END AS source_path
 FROM placed LEFT JOIN notices USING (doc_id) LEFT JOIN nearest USING (doc_id)
 """
+
+# ``m`` and the scores are integers; only the weight of a term is rounded down from a double.
+SEARCH = r"""
+WITH words AS MATERIALIZED (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents WHERE text IS NOT NULL
+), lengths AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+), totals AS MATERIALIZED (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths
+), asked AS MATERIALIZED (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark WHERE text IS NOT NULL
+), held AS MATERIALIZED (
+    SELECT doc_id, term, count(*) AS tf FROM words SEMI JOIN asked USING (term) GROUP BY doc_id, term
+), weights AS MATERIALIZED (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM held, totals GROUP BY term, docs
+), impacts AS MATERIALIZED (
+    SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))) AS part
+    FROM held JOIN lengths USING (doc_id) JOIN weights USING (term), totals
+), scores AS (
+    SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
