@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm import cotraining, lexical, licences, line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, simhash, sql, substrings, token_rollup, tokens
+from loadstone.llm import conversations, cotraining, lexical, licences, line_dedup, mixing, neighbours, ngram_join, packing, quality_rules, simhash, sql, substrings, token_rollup, tokens
 from loadstone.session import scratch_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,18 @@ def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 highest-scoring documents of each benchmark item."""
     return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), 50)
+
+
+@_query(sql.repairs())
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and hash of the repaired rows of each damaged conversation."""
+    turns = table(spark, sf_dir, "conversations")
+    repair = conversations.Repair(conversations.damage(turns))
+    report, hashes = settle(repair.report()), settle(conversations.digests(repair.repaired()))
+    ids = turns.select("conv_id").distinct()
+    report, hashes = report.withColumnRenamed("conv_id", "_conv"), hashes.withColumnRenamed("conv_id", "_hashed")
+    rows = ids.join(report, ids["conv_id"].eqNullSafe(report["_conv"]), "left")
+    rows = rows.join(hashes, rows["conv_id"].eqNullSafe(hashes["_hashed"]), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", *conversations.REPORT, "cost")]
+    nothing = F.sha2(F.lit(""), 256)
+    return rows.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", nothing).alias("repaired_sha256"))

@@ -246,3 +246,76 @@ WITH words AS MATERIALIZED (
 )
 SELECT * FROM ranked WHERE rank <= 50
 """
+
+
+def repairs() -> str:
+    """Faults and cheapest repair of conversations: a fold over the rows with the best (cost, audit, text) per state."""
+    def edit(state: str, cost: str, initial: str, line: str | None = None) -> str:
+        out = f"{state}.out" + (f" || chr(10) || {line}" if line else "")
+        return f"{{'cost': {state}.cost + {cost}, 'audit': {state}.audit || '{initial}', 'out': {out}}}"
+
+    def row(states: str, stay: str, role: str, end: str) -> str:
+        """Best ways into a state by a row that stays: kept or given the role."""
+        ways = []
+        for state in states:
+            kept = f"CASE WHEN r.initial = '{stay}' AND NOT r.gone THEN 0 ELSE 1000000000 END + r.extra"
+            ways.append(edit(f"a.{state}", kept, "K", "r.role || ':' || r.text"))
+            if role:
+                ways.append(edit(f"a.{state}", "CASE WHEN r.gone THEN 1000000000 ELSE 1 END + r.extra", "R", f"'{role}:' || r.text"))
+        return f"least({edit(f'a.{end}', '2', 'D')}, {', '.join(ways)})"
+
+    def insertions(states: str) -> str:
+        """Insertions after the best ways into n, s, u and a of ``states``."""
+        user = f"least(t.u, {', '.join(edit(f't.{s}', '5', 'I', chr(39) + 'user:' + chr(39)) for s in 'nsa')})"
+        return (
+            f"list_transform([{states}], lambda t: {{'n': t.n, 's': t.s, 'u': {user}, 'a': t.a}})[1]"
+        )
+
+    def last(states: str) -> str:
+        assistant = edit("t.u", "5", "I", "'assistant:'")
+        return f"list_transform([{states}], lambda t: {{'n': t.n, 's': t.s, 'u': t.u, 'a': least(t.a, {assistant})}})[1]"
+
+    never = "{'cost': 1000000000000::BIGINT, 'audit': '', 'out': ''}"
+    start = f"{{'n': {{'cost': 0::BIGINT, 'audit': '', 'out': ''}}, 's': {never}, 'u': {never}, 'a': {never}}}"
+    step = (
+        f"{{'n': {edit('a.n', '2', 'D')}, 's': {row('n', 's', '', 's')}, 'u': {row('nsa', 'u', 'user', 'u')}, 'a': {row('u', 'a', 'assistant', 'a')}}}"
+    )
+    return rf"""
+WITH coded AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+        list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+        lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(c, b)), CAST(4294967295 AS BIGINT)
+    ), 4294967295) % 20 AS kind
+    FROM conversations
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM coded WHERE kind <> 0
+), placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS number FROM damaged
+), judged AS MATERIALIZED (
+    SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY number) > 1 AS again,
+        NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY number) || left(role, 1) AS pair
+    FROM placed
+), folded AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+        count(*) FILTER (NOT blank AND NOT again AND cut) AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+        list_reduce(
+            list({{'initial': initial, 'gone': blank OR again, 'extra': CASE WHEN cut THEN 5 ELSE 0 END, 'role': role, 'text': text}} ORDER BY number),
+            lambda a, r: {last(insertions(step))}, {last(insertions(start))}
+        ) AS best
+    FROM judged GROUP BY conv_id
+), chosen AS (
+    SELECT *, least(best.n, best.a) AS way FROM folded
+)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+    CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+    CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(way.cost, 0) AS BIGINT) AS cost,
+    coalesce(way.audit, '') AS audit, sha256(coalesce(substr(way.out, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN chosen ON ids.conv_id IS NOT DISTINCT FROM chosen.conv_id
+"""
