@@ -1,10 +1,12 @@
-"""Ordered work inside groups: numbering, running sums, lags, ranks, streaks.
+"""Ordered work inside groups: numbering, running sums, lags, runs, ranks, streaks.
 
 A window puts a whole group into one task, which fails once one group holds a
 large part of the table. ``scan`` therefore range partitions the rows by group and
-order, so that a group spreads over as many pieces as it needs. Each piece is worked on
-by itself, and groups that cross a border get what their pieces before it add up to.
-There is one path for groups of any size.
+order, once, so that a group spreads over as many pieces as it needs. Each piece is worked on
+by itself. Only its first and its last group can go on in other pieces, so these are
+summed up: rows, sums, last values, first row, start of the last run. The summaries
+combine from piece to piece, and the groups at the borders get what their pieces
+before them add up to. There is one path for groups of any size.
 """
 
 from __future__ import annotations
@@ -31,6 +33,14 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], right_name
     return condition
 
 
+def _zero(value: Column) -> Column:
+    return F.coalesce(value, F.lit(0))
+
+
+# What a row is to its piece.
+FIRST_OF_PIECE, LAST_OF_FIRST_GROUP, LAST_OF_PIECE = 1, 2, 4
+
+
 def scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -40,73 +50,118 @@ def scan(
     sums: dict[str, Column] | None = None,
     lags: dict[str, Column] | None = None,
     totals: dict[str, Column] | None = None,
+    runs: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add ordered columns per group of ``keys``; ``order`` must be total within a group.
 
-    ``number``: 1-based position. ``sums``: running sum up to and including the
-    row (null adds nothing). ``lags``: value of the row before, null on the
-    first. ``totals``: sum over the whole group. No keys means one group.
+    ``number``: 1-based position. ``lags``: value of the row before, null on the first.
+    ``sums``: running sum up to and including the row (null adds nothing).
+    ``totals``: sum over the whole group. ``runs``: number of the row that began the row's
+    run; a run begins with the group and where the condition holds. Sums, totals and
+    runs may refer to the columns that ``lags`` adds. No keys means one group.
     The rows are spread over the session's shuffle partitions.
     """
-    sums, lags, totals = sums or {}, lags or {}, totals or {}
+    sums, lags, totals, runs = sums or {}, lags or {}, totals or {}, runs or {}
     keys, order = list(keys), _cols(order)
     pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Settled before, as finding the borders reads the rows once more, and after, as a
-    # range exchange that runs again may put the borders elsewhere.
-    placed = settle(
-        settle(df).repartitionByRange(pieces, *keys, *order).withColumn("_piece", F.spark_partition_id())
-    )
+    values, first = {**sums, **totals}, F.col("_number") == 1
+    through = Window.partitionBy("_piece").orderBy(*keys, *order)
     group = Window.partitionBy("_piece", *keys)
     ordered = group.orderBy(*order)
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = {"_number": F.row_number().over(ordered).cast("bigint")}
-    for name, value in lags.items():
-        local[f"_lag_{name}"] = F.lag(value).over(ordered)
-        local[f"_own_{name}"] = value
-    for name, value in sums.items():
-        local[f"_sum_{name}"] = F.coalesce(F.sum(value).over(running), F.lit(0))
-    for name, value in totals.items():
-        local[f"_all_{name}"] = F.sum(value).over(group)
-    inside = placed.select("*", *[c.alias(n) for n, c in local.items()])
-
-    # Groups that cross a border: fewer than there are pieces.
-    crossing = inside
-    if keys:
-        spans = placed.groupBy(*keys).agg(F.min("_piece").alias("_from"), F.max("_piece").alias("_to")).filter("_from < _to")
-        spans = spans.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
-        on = same_keys(inside, spans, keys, {k: f"_key_{k}" for k in keys})
-        crossing = inside.join(F.broadcast(spans), on, "left_semi")
-    piece_aggs = [F.max("_number").alias("_rows")]
-    piece_aggs += [F.max_by(f"_own_{n}", "_number").alias(f"_last_{n}") for n in lags]
-    piece_aggs += [F.max_by(f"_sum_{n}", "_number").alias(f"_add_{n}") for n in sums]
-    piece_aggs += [F.max(f"_all_{n}").alias(f"_part_{n}") for n in totals]
-    per_piece = crossing.groupBy("_piece", *keys).agg(*piece_aggs)
-
-    # At most two rows per piece, so this can be broadcast.
+    # The second exchange only hands each piece on as it is; both windows share its one sort.
+    rows = df.repartitionByRange(pieces, *keys, *order).withColumn("_piece", F.spark_partition_id())
+    rows = rows.repartitionById(pieces, "_piece").select(
+        "*", F.row_number().over(through).alias("_at"), F.lead(F.lit(1)).over(through).isNull().alias("_end")
+    ).select(
+        "*", F.row_number().over(ordered).cast("bigint").alias("_number"), F.count(F.lit(1)).over(group).alias("_size"),
+        *[F.lag(value).over(ordered).alias(name) for name, value in lags.items()],
+    )
+    edge = [
+        (F.col("_at") == 1, FIRST_OF_PIECE), ((F.col("_at") == F.col("_number")) & (F.col("_number") == F.col("_size")), LAST_OF_FIRST_GROUP),
+        (F.col("_end"), LAST_OF_PIECE),
+    ]
+    rows = rows.select(
+        *df.columns, "_piece", "_number", *lags, sum((F.when(c, v).otherwise(0) for c, v in edge), F.lit(0)).alias("_edge"),
+        *[_zero(value).alias(f"_value_{n}") for n, value in values.items()],
+        *[F.when(first | F.coalesce(starts, F.lit(False)), F.col("_number")).alias(f"_start_{n}") for n, starts in runs.items()],
+    )
+    # Settled, as a range exchange that runs again may put the borders elsewhere.
+    local = settle(rows.select(
+        *df.columns, "_piece", "_number", *lags, "_edge",
+        *[F.sum(f"_value_{n}").over(running).alias(f"_sum_{n}") for n in sums],
+        *[F.sum(f"_value_{n}").over(group).alias(f"_sum_{n}") for n in totals],
+        *[F.max(f"_start_{n}").over(running).alias(f"_from_{n}") for n in runs],
+    ))
+
+    # At most two rows per piece from here on: the last rows of its first and of its last group.
+    carry = local.filter(F.col("_edge") >= LAST_OF_FIRST_GROUP)
     whole = Window.partitionBy(*keys)
     by_piece = whole.orderBy("_piece")
     before = by_piece.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [F.sum("_rows").over(before).alias("_rows_before")]
-    carried += [F.lag(f"_last_{n}").over(by_piece).alias(f"_prev_{n}") for n in lags]
-    carried += [F.sum(f"_add_{n}").over(before).alias(f"_before_{n}") for n in sums]
-    carried += [F.sum(f"_part_{n}").over(whole).alias(f"_total_{n}") for n in totals]
-    carry = per_piece.select(*[F.col(k).alias(f"_key_{k}") for k in ["_piece", *keys]], *carried)
-
-    on = same_keys(inside, carry, ["_piece", *keys], {k: f"_key_{k}" for k in ["_piece", *keys]})
-    joined = inside.join(F.broadcast(carry), on, "left")
-    out = []
-    if number:
-        out.append((F.col("_number") + F.coalesce("_rows_before", F.lit(0))).alias(number))
-    for name in lags:
-        out.append(F.when(F.col("_number") == 1, F.col(f"_prev_{name}")).otherwise(F.col(f"_lag_{name}")).alias(name))
-    out += [(F.col(f"_sum_{n}") + F.coalesce(f"_before_{n}", F.lit(0))).alias(n) for n in sums]
-    out += [F.coalesce(f"_total_{n}", f"_all_{n}", F.lit(0)).alias(n) for n in totals]
+    carry = carry.select(
+        *keys, "_piece", _zero(F.sum("_number").over(before)).alias("_done"), *[f"_sum_{n}" for n in values],
+        *[F.lag(value).over(by_piece).alias(f"_prev_{n}") for n, value in lags.items()],
+        *[f"_from_{n}" for n in runs], F.col("_edge").bitwiseAND(LAST_OF_FIRST_GROUP).alias("_heads"),
+    )
+    if lags and (values or runs):
+        # The first row of a piece is judged anew, with the value of the piece before.
+        heads = local.filter(F.col("_edge") % 2 == FIRST_OF_PIECE).select(
+            F.col("_piece").alias("_head_piece"), *[c for c in df.columns if c not in keys], F.lit(True).alias("_head")
+        )
+        carry = carry.join(F.broadcast(heads), (F.col("_piece") == F.col("_head_piece")) & (F.col("_heads") > 0), "left")
+        nothing = [F.lit(None).cast(local.schema[n].dataType).alias(n) for n in lags]
+        carry = carry.select("*", *nothing)
+        carry = carry.select("*", *[_zero(v).alias(f"_alone_{n}") for n, v in values.items()]).withColumns({n: F.col(f"_prev_{n}") for n in lags})
+        moved = {n: F.when(F.col("_head"), _zero(v) - F.col(f"_alone_{n}")).otherwise(0) for n, v in values.items()}
+    else:
+        moved = {n: F.lit(0) for n in values}
+    one, opens = F.col("_done") + 1, F.col("_done") == 0
+    carry = carry.select(
+        *keys, "_piece", "_done", *[F.col(f"_prev_{n}") for n in lags],
+        *[m.alias(f"_move_{n}") for n, m in moved.items()], *[(F.col(f"_sum_{n}") + m).alias(f"_sum_{n}") for n, m in moved.items()],
+        *[F.when(opens | F.coalesce(starts, F.lit(False)), one).alias(f"_opens_{n}") for n, starts in runs.items()],
+        *[f"_from_{n}" for n in runs],
+    ).select(
+        "*", *[F.when(F.col(f"_from_{n}") > 1, F.col("_done") + F.col(f"_from_{n}")).otherwise(F.col(f"_opens_{n}")).alias(f"_latest_{n}") for n in runs]
+    )
+    carry = carry.select(
+        *[F.col(k).alias(f"_key_{k}") for k in ["_piece", *keys]], "_done", *[f"_prev_{n}" for n in lags],
+        *[(_zero(F.sum(f"_sum_{n}").over(before)) + F.col(f"_move_{n}")).alias(f"_add_{n}") for n in sums],
+        *[F.sum(f"_sum_{n}").over(whole).alias(f"_total_{n}") for n in totals],
+        *[F.coalesce(f"_opens_{n}", F.last(f"_latest_{n}", ignorenulls=True).over(before)).alias(f"_since_{n}") for n in runs],
+    )
+
+    on = same_keys(local, carry, ["_piece", *keys], {k: f"_key_{k}" for k in ["_piece", *keys]})
+    joined = local.join(F.broadcast(carry), on, "left")
+    out = [(F.col("_number") + _zero(F.col("_done"))).alias(number)] if number else []
+    out += [F.when(first, F.col(f"_prev_{n}")).otherwise(F.col(n)).alias(n) for n in lags]
+    out += [(F.col(f"_sum_{n}") + _zero(F.col(f"_add_{n}"))).alias(n) for n in sums]
+    out += [F.coalesce(f"_total_{n}", f"_sum_{n}").alias(n) for n in totals]
+    out += [
+        F.when(F.col(f"_from_{n}") == 1, F.coalesce(f"_since_{n}", F.lit(1)))
+        .otherwise(F.col(f"_from_{n}") + _zero(F.col("_done"))).cast("bigint").alias(n)
+        for n in runs
+    ]
     return joined.select(*[F.col(c) for c in df.columns], *out)
 
 
 # --- ranks ---------------------------------------------------------------------
 
 
+def _percentile(rank: str, size: str) -> Column:
+    return 100 * ((F.col(size) - F.col(rank)).cast("double") / F.col(size))
+
+
+def _ranked(df: DataFrame, keys: Sequence[str], value: str, ties: Sequence[str | Column], rank: str, size: str, number: str | None) -> DataFrame:
+    """Competition rank, size of the group and, by ``ties``, the place without ties, all from one scan."""
+    differs = ~F.col(value).eqNullSafe(F.col("_before"))
+    return scan(
+        df, keys, [F.col(value).desc(), *ties], number=number,
+        lags={"_before": F.col(value)}, runs={rank: differs}, totals={size: F.lit(1)},
+    ).drop("_before")
+
+
 def rank_with_ties(
     df: DataFrame,
     keys: Sequence[str],
@@ -118,29 +173,47 @@ def rank_with_ties(
 ) -> DataFrame:
     """Competition rank by descending value: equal values share the first position.
 
-    Ranked over the counts per distinct value, which are pre-aggregated on the
-    map side, so neither a large group nor a value half the rows share lands
-    in one task. ``percentile`` is 100 * (size - rank) / size.
+    The rank is the number of the row that began the run of equal values. Equal values
+    are spread by a hash of their rows, so neither a large group nor a value half the rows share
+    lands in one task. ``percentile`` is 100 * (size - rank) / size.
     """
-    keys = list(keys)
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    placed = scan(
-        counts, keys, [F.col(value).desc()],
-        sums={"_upto": F.col("_n")}, totals={"_size": F.col("_n")},
-    )
-    names = [*keys, value]
-    ranks = placed.select(
-        *[F.col(k).alias(f"_r_{k}") for k in names],
-        (F.col("_upto") - F.col("_n") + 1).alias("_rank"),
-        "_size",
-    )
-    joined = df.join(ranks, same_keys(df, ranks, names, {k: f"_r_{k}" for k in names}))
-    out = [F.col("_rank").alias(rank)]
-    if size:
-        out.append(F.col("_size").alias(size))
+    ranked = _ranked(df, list(keys), value, [F.xxhash64(*df.columns)], rank, size or "_size", None)
     if percentile:
-        out.append((100 * ((F.col("_size") - F.col("_rank")).cast("double") / F.col("_size"))).alias(percentile))
-    return joined.select(*[F.col(c) for c in df.columns], *out)
+        ranked = ranked.withColumn(percentile, _percentile(rank, size or "_size"))
+    return ranked if size else ranked.drop("_size")
+
+
+def _rank_types() -> Column:
+    """Overall for everybody, active for active users."""
+    both = F.array(F.lit(fixed.RANK_OVERALL), F.lit(fixed.RANK_ACTIVE))
+    return F.when(F.col("active") == 1, both).otherwise(F.array(F.lit(fixed.RANK_OVERALL)))
+
+
+def rating_ranks_by(ratings: DataFrame, sets: dict[str, tuple[Sequence[str], Column | None]], position: str = "rank_no_tie") -> dict[str, DataFrame]:
+    """Ranks of (user_id, rating, active) rows for several sets of keys, from one pass over the rows.
+
+    ``sets`` names each set's keys and which rows belong to it (None: all). As in grouping
+    sets a row counts once per set and rank type, with the keys of the other sets left out.
+    ``position`` is the place without ties, by user id where ratings are equal.
+    """
+    columns = list(dict.fromkeys(k for keys, _ in sets.values() for k in keys))
+    types = {f.name: f.dataType for f in ratings.schema}
+    members = [
+        F.when(F.lit(True) if where is None else where, F.struct(
+            F.lit(name).alias("_set"),
+            *[(F.col(c) if c in keys else F.lit(None).cast(types[c])).alias(f"_set_{c}") for c in columns],
+        ))
+        for name, (keys, where) in sets.items()
+    ]
+    rows = ratings.select("*", F.explode(F.array_compact(F.array(*members))).alias("_member")).select(
+        *ratings.columns, "_member.*", F.explode(_rank_types()).alias("user_rank_type_id")
+    )
+    groups = ["_set", *[f"_set_{c}" for c in columns], "user_rank_type_id"]
+    ranked = _ranked(rows, groups, "rating", ["user_id"], "rank", "_size", position)
+    ranked = ranked.withColumn("percentile", F.round(_percentile("rank", "_size"), 4)).drop("_size", *groups[1:-1])
+    if len(sets) > 1:
+        ranked = settle(ranked)
+    return {name: ranked.filter(F.col("_set") == name).drop("_set") for name in sets}
 
 
 def rating_ranks(ratings: DataFrame, keys: Sequence[str], *, position: str | None = None) -> DataFrame:
@@ -149,18 +222,8 @@ def rating_ranks(ratings: DataFrame, keys: Sequence[str], *, position: str | Non
     Both rank types come out of one pass: an active user's row counts once in
     each. ``position`` adds the place without ties (by user id where equal).
     """
-    typed = ratings.withColumn(
-        "user_rank_type_id",
-        F.explode(
-            F.when(F.col("active") == 1, F.array(F.lit(fixed.RANK_OVERALL), F.lit(fixed.RANK_ACTIVE)))
-            .otherwise(F.array(F.lit(fixed.RANK_OVERALL)))
-        ),
-    )
-    groups = [*keys, "user_rank_type_id"]
-    if position:
-        typed = scan(typed, groups, [F.col("rating").desc(), "user_id"], number=position)
-    ranked = rank_with_ties(typed, groups, "rating", percentile="percentile")
-    return ranked.withColumn("percentile", F.round("percentile", 4))
+    ranked = rating_ranks_by(ratings, {"all": (keys, None)}, position or "_position")["all"]
+    return ranked if position else ranked.drop("_position")
 
 
 def active_users(ratings: DataFrame, projects: DataFrame, as_of, days: int = 180) -> DataFrame:
@@ -241,12 +304,11 @@ def streaks(
     """Runs longer than one of won, paid, rising and falling results per user and phase.
 
     Gaps and islands: a row that does not extend a run starts the next island.
-    All four kinds share the ordered passes and are told apart only when the
+    All four kinds share one ordered pass and are told apart only when the
     islands are summed up.
     """
     keys = [user, phase]
     place, points = F.coalesce(F.col(placed), F.lit(0)), F.coalesce(F.col(rating), F.lit(0))
-    with_prev = scan(results, keys, order, lags={"_prev": points})
     known = F.col("_prev") >= 0
     kinds = {
         fixed.STREAK_WON: place == 1,
@@ -254,24 +316,23 @@ def streaks(
         fixed.STREAK_RATING_UP: F.coalesce(known & (points > F.col("_prev")), F.lit(False)),
         fixed.STREAK_RATING_DOWN: F.coalesce(known & (points < F.col("_prev")), F.lit(False)),
     }
-    flagged = with_prev.select(
-        "*", *[accept.cast("int").alias(f"_in{kind}") for kind, accept in kinds.items()]
+    breaks = {kind: F.when(accept, 0).otherwise(1) for kind, accept in kinds.items()}
+    islands = scan(
+        results.select(*dict.fromkeys([*keys, project, *order, placed, rating])), keys, order, number="_at", lags={"_prev": points},
+        sums={f"_island{kind}": value for kind, value in breaks.items()}, totals={f"_end{kind}": value for kind, value in breaks.items()},
     )
-    breaks = {f"_island{kind}": 1 - F.col(f"_in{kind}") for kind in kinds}
-    last = {f"_end{kind}": 1 - F.col(f"_in{kind}") for kind in kinds}
-    islands = scan(flagged, keys, order, number="_at", sums=breaks, totals=last)
     rows = islands.select(
         *keys, project, "_at",
         F.explode(F.array(*[
             F.struct(
                 F.lit(kind).alias("streak_type_id"),
-                F.col(f"_in{kind}").alias("accept"),
+                accept.alias("accept"),
                 F.col(f"_island{kind}").alias("island"),
                 (F.col(f"_island{kind}") == F.col(f"_end{kind}")).cast("int").alias("is_current"),
             )
-            for kind in kinds
+            for kind, accept in kinds.items()
         ])).alias("run"),
-    ).filter("run.accept = 1")
+    ).filter("run.accept")
     return (
         rows.groupBy(*keys, "run.streak_type_id", "run.island")
         .agg(

@@ -39,11 +39,11 @@ def user_rank(ctx: LoadContext) -> dict[str, Write]:
     ratings = settle(current_ratings(ctx))
     wanted = [(c + fixed.PHASE_OFFSET, t) for c in fixed.RATED_CATEGORIES for t in (fixed.RANK_OVERALL, fixed.RANK_ACTIVE)]
     touched = ratings.sparkSession.createDataFrame(wanted, "phase_id bigint, user_rank_type_id bigint")
-    ranked = {
-        "user_rank": sequences.rating_ranks(ratings, ["phase_id"]),
-        "school_user_rank": sequences.rating_ranks(ratings.filter("school_id > 0"), ["phase_id", "school_id"], position="rank_no_tie"),
-        "country_user_rank": sequences.rating_ranks(ratings, ["phase_id", "country_code"], position="rank_no_tie"),
-    }
+    ranked = sequences.rating_ranks_by(ratings, {
+        "user_rank": (["phase_id"], None),
+        "school_user_rank": (["phase_id", "school_id"], F.col("school_id") > 0),
+        "country_user_rank": (["phase_id", "country_code"], None),
+    })
     return {
         name: Write(merge.replace_by_key(ctx.target(name), rows, ["phase_id", "user_rank_type_id"], touched))
         for name, rows in ranked.items()

@@ -38,6 +38,8 @@ def get_session(app: str = "loadstone", cores: int | None = None, **conf: str) -
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Plans have hundreds of column expressions; noting where each was written takes longer than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("LOADSTONE_DRIVER_MEMORY", "8g"))
     )
     for key, value in conf.items():

@@ -54,6 +54,46 @@ def test_scan_equals_plain_windows(skewed, pieces):
     assert rows(got, *names) == rows(plain, *names)
 
 
+def test_runs_and_sums_over_lags(skewed, pieces):
+    """Runs and sums whose condition looks at the row before, also where that lies in an earlier piece."""
+    changed = ~F.col("placed").eqNullSafe(F.col("before"))
+    rises = F.when(F.col("rating") > F.col("rated"), 1)
+    got = sequences.scan(
+        skewed, ["g"], ["t", "id"], number="n", lags={"before": F.col("placed"), "rated": F.col("rating")},
+        runs={"since": changed}, sums={"risen": rises}, totals={"rises": rises},
+    )
+    order = Window.partitionBy("g").orderBy("t", "id")
+    plain = skewed.select(
+        "g", "id", F.row_number().over(order).alias("n"), "placed", "rating",
+        F.lag("placed").over(order).alias("before"), F.lag("rating").over(order).alias("rated"),
+    ).select("*", F.when((F.col("n") == 1) | changed, F.col("n")).alias("begun"), F.coalesce(rises, F.lit(0)).alias("rise"))
+    upto, whole = Window.partitionBy("g").orderBy("n").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("g")
+    plain = plain.select(
+        "*", F.max("begun").over(upto).alias("since"), F.sum("rise").over(upto).alias("risen"), F.sum("rise").over(whole).alias("rises")
+    )
+    names = ["g", "id", "n", "before", "rated", "since", "risen", "rises"]
+    assert rows(got, *names) == rows(plain, *names)
+
+
+def test_runs_over_many_pieces(spark, pieces):
+    """One run longer than a piece, in the only group."""
+    frame = spark.createDataFrame([(k, 7 if 50 <= k < 950 else k) for k in range(1000)], "id int, v int")
+    got = sequences.scan(frame, [], ["id"], lags={"b": F.col("v")}, runs={"since": F.col("v") != F.col("b")}, number="n")
+    expected = [(k, k + 1, 51 if 50 <= k < 950 else k + 1) for k in range(1000)]
+    assert rows(got, "id", "n", "since") == sorted(expected, key=repr)
+
+
+def test_one_range_exchange_and_one_settled_copy(spark, monkeypatch):
+    frame = spark.createDataFrame([(u % 5, 112, u, u, u % 3, 1000 + u % 7) for u in range(300)], "user_id int, phase_id int, project_id int, rating_order int, placed int, rating int")
+    settled = []
+    real = sequences.settle
+    monkeypatch.setattr(sequences, "settle", lambda df: settled.append(df) or real(df))
+    sequences.streaks(frame).collect()
+    assert len(settled) == 1
+    plan = settled[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 1
+
+
 def test_no_keys(skewed, pieces):
     numbered = rows(sequences.surrogate_keys(skewed, ["t", "id"], "k", 500), "id", "k")
     expected = sorted(enumerate_from(sorted((t, i) for t, i in rows(skewed, "t", "id")), 501))
