@@ -36,11 +36,11 @@ class Blocks:
 
 
 def into_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> Blocks:
-    """Spread documents over blocks by a hash of the id (of the text where it is null). A document is never split."""
+    """Spread documents over blocks by a hash of id and text. A document is never split."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     size, count = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     blocks = max(1, ceil(max(size or 0, count * 64) / block_bytes))
-    key = F.xxhash64("id", F.when(F.col("id").isNull(), F.col("text")))
+    key = F.xxhash64("id", "text")
     frame = rows.select(F.pmod(key, F.lit(blocks)).alias("block"), "id", "text")
     return Blocks(frame, blocks, size or 0, count)
 

@@ -1,10 +1,13 @@
 """Quality classifier by co-training of two views: what a text says, and what is known about its page.
 
 Each view has a logistic model over sparse yes/no features. In every round both
-models score all documents; the unlabelled documents one view is most sure of, a
-bounded number per class and only above a confidence, become training rows of
-the other view. Then each view is calibrated on labelled rows it was not
-trained on, and a logistic model over the two calibrated logits scores all documents.
+models score all documents, and each view hands the unlabelled documents at the top and at
+the bottom of its own ranking to the other view as training rows. How sure it is there is measured:
+the share of good rows that the labelled rows it was not trained on have in that part of
+the ranking is the target of the pseudo-label, and a part that is no better
+(or worse, at the bottom) than all rows together is not handed over; rows weigh as much as
+their target differs from that of all. So a weak view teaches what it knows, and no more. Each view is calibrated on the same held-out rows, and a
+logistic model over the two calibrated logits scores all documents.
 
 Distribution. Models are fitted on the driver on at most ``LABELLED_ROWS`` labelled rows
 plus ``ROUNDS`` * 2 * ``PSEUDO_ROWS`` pseudo-labelled ones; everything else runs over all
@@ -16,10 +19,12 @@ document, and only such narrow rows are shuffled to meet pages and labels.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +33,11 @@ from loadstone.session import settle
 
 LABELLED_ROWS = 10_000
 PSEUDO_ROWS = 500
+# Top and bottom share of the distinct unlabelled rows that a view hands over in a round, up to PSEUDO_ROWS each.
+PSEUDO_SHARE = 0.05
+# Held-out rows that measure a part of the ranking; where fewer lie in it, the nearest ones do.
+MEASURED_ROWS = 20
 ROUNDS = 3
-# Calibrated confidence a pseudo-label needs.
-SURE = 0.95
 KEEP = 0.5
 # Texts that are turned into features at a time.
 SLICE_DOCS = 256
@@ -148,23 +155,27 @@ def _descend(columns: np.ndarray, good: np.ndarray, ridge: float, steps: int = 5
     return beta
 
 
-def fit(rows: list[np.ndarray], good: np.ndarray, least: int = 5, tilt: float = 2.5, ridge: float = 1.0, steps: int = 300) -> Model:
-    """Logistic model of the features that tell the classes apart.
+def fit(
+    rows: list[np.ndarray], good: np.ndarray, weight: np.ndarray | None = None, least: int = 5, tilt: float = 2.5, ridge: float = 1.0, steps: int = 300
+) -> Model:
+    """Logistic model of the features that tell the classes apart; ``good`` is 0, 1 or a share between.
 
     A feature takes part if ``least`` rows have it and its share of good rows is ``tilt``
     standard errors from the overall share; bins of measures always do. With one class only
     the model is a constant.
     """
-    share = (good.sum() + 1) / (len(good) + 2)
+    weight = np.ones(len(good)) if weight is None else weight
+    share = ((weight * good).sum() + 1) / (weight.sum() + 2)
     bias = float(np.log(share / (1 - share)))
     if len(set(good.tolist())) < 2:
         return Model(bias=bias)
     sizes = np.array([len(r) for r in rows])
     flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
     names, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    hits = np.bincount(inverse, weights=good[owner], minlength=len(names))
-    error = np.sqrt(share * (1 - share) / counts)
-    chosen = (counts >= least) & ((np.abs(hits / counts - share) >= tilt * error) | (names >= 1 << _WORD_BITS))
+    mass = np.bincount(inverse, weights=weight[owner], minlength=len(names))
+    hits = np.bincount(inverse, weights=(weight * good)[owner], minlength=len(names))
+    error = np.sqrt(share * (1 - share) / mass)
+    chosen = (counts >= least) & ((np.abs(hits / mass - share) >= tilt * error) | (names >= 1 << _WORD_BITS))
     place = (np.cumsum(chosen) - 1).astype(np.int32)
     keep = chosen[inverse]
     owner, column = owner[keep], place[inverse[keep]]
@@ -173,7 +184,7 @@ def fit(rows: list[np.ndarray], good: np.ndarray, least: int = 5, tilt: float =
     weights, moment, square = np.zeros(width), np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, steps + 1):
         logits = bias + np.bincount(owner, weights=weights[column], minlength=len(rows))
-        miss = _sigmoid(logits) - good
+        miss = weight * (_sigmoid(logits) - good)
         slope = np.append(np.bincount(column, weights=miss[owner], minlength=width) + ridge * weights, miss.sum())
         moment = 0.9 * moment + 0.1 * slope
         square = 0.999 * square + 0.001 * slope**2
@@ -188,31 +199,52 @@ class _View:
     def __init__(self, collect, score):
         self.collect, self.score = collect, score
         self.features: list[np.ndarray] = []
-        self.good: list[int] = []
+        self.good: list[float] = []
+        self.weight: list[float] = []
         self.check: tuple[list[np.ndarray], np.ndarray] = ([], np.empty(0))
         self.model = Model()
 
     def train(self) -> None:
-        good = np.array(self.good, dtype=float)
-        self.model = fit(self.features, good).calibrate(*self.check) if self.features else Model()
+        good, weight = np.array(self.good, dtype=float), np.array(self.weight)
+        self.model = fit(self.features, good, weight).calibrate(*self.check) if self.features else Model()
 
-    def add(self, rows: DataFrame) -> None:
-        """Rows (id, good) become training rows."""
-        for feature, good, _ in self.collect(rows):
+    def add(self, rows: DataFrame) -> int:
+        """Rows (id, good) become training rows; how many there were.
+
+        They weigh as much as their target tells: nothing at the share of good rows among all, 1 where all are sure.
+        """
+        found, base = self.collect(rows), float(np.mean(self.check[1]))
+        for feature, good, _ in found:
             self.features.append(feature)
             self.good.append(good)
+            self.weight.append(abs(good - base) / (1 - base if good > base else base))
+        return len(found)
+
+    def measured(self, cut: float, top: bool) -> float | None:
+        """Share of good rows among the held-out ones beyond ``cut``, or None where it is not beyond that of all."""
+        rows, good = self.check
+        if not len(good):
+            return None
+        logits = self.model.logits(rows)
+        order = np.argsort(-logits if top else logits, kind="stable")
+        inside = int(np.count_nonzero(logits >= cut if top else logits <= cut))
+        part = good[order[: max(inside, min(MEASURED_ROWS, len(good)))]]
+        share, base = (part.sum() + 1) / (len(part) + 2), (good.sum() + 1) / (len(good) + 2)
+        return float(share) if (share > base if top else share < base) else None
 
 
 def quality_scores(
     docs: DataFrame, labels: DataFrame, pages: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label: Column | None = None, rounds: int = ROUNDS, labelled_rows: int = LABELLED_ROWS, pseudo_rows: int = PSEUDO_ROWS,
+    trace: list[dict] | None = None,
 ) -> DataFrame:
     """Per document: ``id_col``, ``text_score``, ``page_score``, ``score`` (calibrated probabilities of good) and ``kept``.
 
     ``labels``: ``id_col`` and what ``label`` (by default quality is 1 and toxic is not 1) is true
     or false of; a null label does not count. ``pages``: ``id_col`` and ``url``; of several the smallest url counts.
-    Two thirds of the labelled sample train the models, one third calibrates them. Where
+    Two thirds of the labelled sample train the models, one third measures and calibrates them. Where
     all labels are of one class, or there are none, all scores are the class's smoothed share.
+    ``trace`` takes a dict (round, view, top, rows, target, ids) for everything a view hands over.
 
     Null text counts as empty, null metadata as a value of its own. Null ids are scored
     without page or label; repeated rows are scored alike, and an id whose labels
@@ -245,7 +277,10 @@ def quality_scores(
                 for at in range(0, batch.num_rows, SLICE_DOCS):
                     part = batch.slice(at, SLICE_DOCS)
                     raw = [np.asarray(r, dtype="<i4").tobytes() for r in features(part)]
-                    yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(raw, pa.binary())], names=["id", "features"])
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("id"), pa.array(raw, pa.binary()), pa.array([xxhash.xxh3_64_intdigest(r) >> 1 for r in raw], pa.int64())],
+                        names=["id", "features", "same"],
+                    )
 
         return run
 
@@ -253,20 +288,22 @@ def quality_scores(
         return [page_features(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_chars", "url")))]
 
     def view(frame: DataFrame, features, name: str) -> _View:
-        described = settle(frame.mapInArrow(describer(features), "id long, features binary"))
+        described = settle(frame.mapInArrow(describer(features), "id long, features binary, same long"))
 
         def collect(rows: DataFrame):
             """(features, good, fold) by id; an id that repeats counts once, so both views have the same rows."""
-            found = described.join(F.broadcast(rows), "id").toPandas().sort_values(["id", "features"]).drop_duplicates("id")
-            return [(np.frombuffer(f, dtype="<i4"), int(g), int(k)) for f, g, k in zip(found["features"], found["good"], found["fold"])]
+            found = described.drop("same").join(F.broadcast(rows), "id").toPandas().sort_values(["id", "features"]).drop_duplicates("id")
+            return [(np.frombuffer(f, dtype="<i4"), float(g), int(k)) for f, g, k in zip(found["features"], found["good"], found["fold"])]
 
         def score(model: Model) -> DataFrame:
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
                     logits = model.logits([np.frombuffer(f.as_py(), dtype="<i4") for f in batch.column("features")])
-                    yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(logits, pa.float64())], names=["id", name])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("id"), batch.column("same"), pa.array(logits, pa.float64())], names=["id", "same", name]
+                    )
 
-            return described.mapInArrow(run, f"id long, {name} double")
+            return described.mapInArrow(run, f"id long, same long, {name} double")
 
         return _View(collect, score)
 
@@ -276,25 +313,30 @@ def quality_scores(
         rows = each.collect(sample)
         train = [r for r in rows if r[2] != 0] or rows
         check = [r for r in rows if r[2] == 0] or rows
-        each.features, each.good = [r[0] for r in train], [r[1] for r in train]
+        each.features, each.good, each.weight = [r[0] for r in train], [r[1] for r in train], [1.0] * len(train)
         each.check = ([r[0] for r in check], np.array([r[1] for r in check], dtype=float))
         each.train()
 
-    limit = float(np.log(SURE / (1 - SURE)))
     used = sample.select("id")
-    for _ in range(rounds):
-        scored = {
-            name: settle(view.score(view.model).filter("id IS NOT NULL").join(judged, "id", "left_anti"))
-            for name, view in (("text_logit", text), ("page_logit", page))
-        }
-        for name, other in (("text_logit", page), ("page_logit", text)):
-            free = scored[name].join(used, "id", "left_anti")
-            best = free.filter(F.col(name) >= limit).orderBy(F.desc(name), "id").limit(pseudo_rows).selectExpr("id", "1 AS good", "1 AS fold")
-            worst = free.filter(F.col(name) <= -limit).orderBy(name, "id").limit(pseudo_rows).selectExpr("id", "0 AS good", "1 AS fold")
-            # Bounded by 2 * pseudo_rows.
-            sure = settle(best.unionByName(worst).dropDuplicates(["id"]))
-            other.add(sure)
-            used = used.unionByName(sure.select("id"))
+    for number in range(rounds):
+        handed = []
+        for name, view, other in (("text_logit", text, page), ("page_logit", page, text)):
+            # Rows of equal features are one: copies of a text must not use up a round.
+            free = view.score(view.model).filter("id IS NOT NULL").join(judged, "id", "left_anti").join(used, "id", "left_anti")
+            free = settle(free.groupBy("same").agg(F.min("id").alias("id"), F.max(name).alias(name)).drop("same"))
+            most = min(pseudo_rows, ceil(PSEUDO_SHARE * free.count()))
+            for top in (True, False):
+                # Bounded by pseudo_rows.
+                part = settle(free.orderBy(F.col(name).desc() if top else F.col(name), "id").limit(most))
+                cut = part.agg(F.min(name) if top else F.max(name)).first()[0]
+                target = None if cut is None else view.measured(cut, top)
+                if target is not None:
+                    handed.append((name, other, top, target, part.select("id", F.lit(target).alias("good"), F.lit(1).alias("fold"))))
+        for name, other, top, target, part in handed:
+            rows = other.add(part)
+            used = used.unionByName(part.select("id"))
+            if trace is not None:
+                trace.append({"round": number, "view": name, "top": top, "rows": rows, "target": target, "ids": part})
         text.train()
         page.train()
 
@@ -308,7 +350,7 @@ def _combined(text: _View, page: _View, id_col: str) -> DataFrame:
     both = [view.model.logits(view.check[0]) for view in (text, page)]
     if len(set(good.tolist())) == 2 and len(both[0]) == len(both[1]):
         weights = _descend(np.stack(both, axis=1), good, 1e-3)
-    texts, facts = text.score(text.model), page.score(page.model)
+    texts, facts = text.score(text.model).drop("same"), page.score(page.model).drop("same")
     # One row per document row on the left; the page view is the same for all rows of an id.
     joined = texts.join(facts.filter("id IS NOT NULL").groupBy("id").agg(F.max("page_logit").alias("page_logit")), "id", "left")
     page_logit = F.coalesce("page_logit", F.lit(float(page.model.scale * page.model.bias + page.model.shift)))

@@ -84,25 +84,29 @@ def drop_repeats(
     gone = repeated_windows(docs, id_col, text_col, window).select(
         F.col("id").alias("_id"), F.col("hash").alias("_hash"), F.col("starts").alias("_starts")
     )
-    text = docs[text_col].cast("string")
     kept = [c for c in docs.columns if not counts or c not in ("n_lines", "n_deleted")]
-    joined = docs.join(gone, (docs[id_col].cast("long") == gone["_id"]) & (F.xxhash64(text) == gone["_hash"]), "left")
-    numbered = "transform(_parts, (line, at) -> struct(line, at))"
-    parts = joined.select(*[docs[c] for c in kept], F.split(text, "\n").alias("_parts"), F.expr(
+    # The caller's other columns travel in one struct, so no name of theirs can meet one of these.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept if c != text_col]).alias("doc"),
+        F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+    )
+    joined = rows.join(gone, (rows["id"] == gone["_id"]) & (F.xxhash64(rows["text"]) == gone["_hash"]), "left")
+    numbered = "transform(parts, (line, at) -> struct(line, at))"
+    parts = joined.select("doc", "text", F.split("text", "\n").alias("parts"), F.expr(
         f"array_distinct(flatten(transform(_starts, s -> sequence(s, s + {window - 1}))))"
-    ).alias("_places")).withColumn("_numbers", F.expr(
-        f"CASE WHEN _places IS NOT NULL THEN transform(filter({numbered}, x -> x.line rlike '[^ \\\\t-\\\\r]'), x -> x.at) END"
+    ).alias("places")).withColumn("numbers", F.expr(
+        f"CASE WHEN places IS NOT NULL THEN transform(filter({numbered}, x -> x.line rlike '[^ \\\\t-\\\\r]'), x -> x.at) END"
     ))
     # Filters on the result stop at a number per row: pushed further down, they would split the text anew for every line.
-    parts = parts.withColumn("_gone", F.expr("transform(_places, k -> _numbers[k])")).withColumn(
-        "_row", F.monotonically_increasing_id()
-    ).filter("_row >= 0")
+    parts = parts.withColumn("gone", F.expr("transform(places, k -> numbers[k])")).withColumn(
+        "row", F.monotonically_increasing_id()
+    ).filter("row >= 0")
     if not emptied:
-        parts = parts.filter("_places IS NULL OR size(_numbers) > size(_places)")
-    left = F.expr("array_join(transform(array_except(sequence(0, size(_parts) - 1), _gone), k -> _parts[k]), '\\n')")
-    parts = parts.withColumn("_left", F.when(F.col("_gone").isNotNull(), left).otherwise(F.col(f"`{text_col}`").cast("string")))
-    out = [F.col("_left").alias(c) if c == text_col else F.col(f"`{c}`") for c in kept]
+        parts = parts.filter("places IS NULL OR size(numbers) > size(places)")
+    left = F.expr("array_join(transform(array_except(sequence(0, size(parts) - 1), gone), k -> parts[k]), '\\n')")
+    parts = parts.withColumn("left", F.when(F.col("gone").isNotNull(), left).otherwise(F.col("text")))
+    out = [F.col("left").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in kept]
     if counts:
-        out.append(F.coalesce(F.size("_parts"), F.lit(0)).cast("long").alias("n_lines"))
-        out.append(F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_deleted"))
+        out.append(F.coalesce(F.size("parts"), F.lit(0)).cast("long").alias("n_lines"))
+        out.append(F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_deleted"))
     return parts.select(*out)

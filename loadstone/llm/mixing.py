@@ -6,8 +6,9 @@ never above the tokens a cell has, so that no document is asked for more than on
 document is kept with the probability of its cell (weight / tokens), decided by a
 hash of its id, so the same documents are kept on every run and on every machine.
 
-Only cells are iterated over, in SQL text that Spark and the check in ``sql`` both run.
-Cell sums and marginal totals are grouped sums, combined on the map side.
+Only cells are iterated over, in SQL text that Spark and the check in ``sql`` both run, a round (all
+marginals in turn) at a time, until a round changes nothing any more. Cell sums are grouped
+sums, combined on the map side.
 """
 
 from __future__ import annotations
@@ -18,12 +19,16 @@ from pyspark.sql import functions as F
 from loadstone.session import settle
 
 MARGINS = ("source", "lang", "topic")
-ROUNDS = 8
+# Rounds at most, and the change of a cell, as a share of its tokens, below which raking has settled.
+ROUNDS = 16
+SETTLED = 1e-9
 # Exponent that evens out natural shares to targets: 1 leaves them, 0 makes all equal.
 EVENNESS = 0.7
 # Tokens to keep, as a share of all tokens.
 BUDGET = 0.85
 TOPICS = 8
+# Letters of the words that stand for a topic.
+TOPIC_LETTERS = 6
 BLANK = "[ \\t-\\r]+"
 
 CELLS = "SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS have FROM {rows} GROUP BY source, lang, topic"
@@ -35,36 +40,42 @@ SELECT {{margin}} AS value, pow(sum(have), {EVENNESS}) * {{budget}}
 FROM {{cells}} GROUP BY {{margin}}
 """
 SCALE = """
-SELECT c.source, c.lang, c.topic, c.have, CASE WHEN w.now > 0 THEN least(c.have, c.weight * t.target / w.now) ELSE 0 END AS weight
-FROM {cells} c JOIN (SELECT {margin} AS value, sum(weight) AS now FROM {cells} GROUP BY {margin}) w ON c.{margin} = w.value
-JOIN {targets} t ON c.{margin} = t.value
+SELECT c.source, c.lang, c.topic, c.have, CASE WHEN c.now > 0 THEN least(c.have, c.weight * t.target / c.now) ELSE 0 END AS weight
+FROM (SELECT *, sum(weight) OVER (PARTITION BY {margin}) AS now FROM {cells}) c JOIN {targets} t ON c.{margin} = t.value
 """
 # 52 bits of a hash of the id, as a share of 2^52.
 CHANCE = "CAST(conv(substr(md5(concat('{seed}:', {id})), 1, 13), 16, 10) AS DOUBLE) / 4503599627370496D"
 SEED = 11
 
 
-def with_topic(docs: DataFrame, text_col: str = "text", topics: int = TOPICS) -> DataFrame:
-    """``docs`` with ``tokens`` (words of the text) and ``topic``.
+def _with_topic(rows: DataFrame, topics: int = TOPICS) -> DataFrame:
+    """``rows`` with ``tokens`` (words of column ``text``) and ``topic``.
 
-    The tables carry no topics, so a stand-in is used that SQL can express: the
-    hash class of the longest word of the first line with a word (the first
-    such word in byte order). ``mix`` takes a column of real topics in its place.
+    The tables carry no topics, so a stand-in is used that SQL can express: the hash class of the word
+    of at least ``TOPIC_LETTERS`` characters that the whole text has most often (of equals the first in
+    byte order). ``mix`` takes a column of real topics in its place.
     """
-    words = F.array_remove(F.split(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), BLANK), "")
-    line = F.regexp_extract(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), "[^\\n]*[^ \\t-\\r][^\\n]*", 0)
-    first = F.array_remove(F.split(line, BLANK), "")
-    best = F.array_min(F.transform(first, lambda w: F.struct((-F.char_length(w)).alias("size"), w.alias("word"))))["word"]
-    topic = F.conv(F.substring(F.md5(F.coalesce(best, F.lit(""))), 1, 8), 16, 10).cast("long") % topics
-    return docs.withColumn("tokens", F.size(words).cast("long")).withColumn("topic", F.concat(F.lit("topic"), topic.cast("string")))
+    words = F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), BLANK), "")
+    # Each step is kept apart by a number per row: merged into one, they would split the text anew for every word.
+    step = lambda frame: frame.withColumn("step", F.monotonically_increasing_id()).filter("step >= 0").drop("step")
+    rows = step(rows.withColumn("words", words))
+    rows = step(rows.select(
+        "*", F.size("words").cast("long").alias("tokens"), F.sort_array(F.filter("words", lambda w: F.char_length(w) >= TOPIC_LETTERS)).alias("long")
+    ).drop("words"))
+    begins = F.expr("CASE WHEN size(long) > 0 THEN filter(sequence(0, size(long) - 1), i -> i = 0 OR long[i] <> long[i - 1]) END")
+    rows = step(rows.withColumn("begins", begins))
+    most = F.expr("array_min(transform(begins, (i, k) -> struct(i - coalesce(get(begins, k + 1), size(long)) AS fewer, long[i] AS word))).word")
+    topic = F.conv(F.substring(F.md5(F.coalesce(most, F.lit(""))), 1, 8), 16, 10).cast("long") % topics
+    return rows.withColumn("topic", F.concat(F.lit("topic"), topic.cast("string"))).drop("long", "begins")
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """Cells (source, lang, topic, have) with ``weight``, raked to the targets (value, target) of each marginal.
 
+    Ends after ``rounds`` rounds, or as soon as a round moves no cell by more than ``SETTLED`` of its tokens.
     Targets of a value without cells cannot be met and are left out; a value without
     a target gets weight 0. Where cells are full, the other cells of the marginal
-    take what they can, so totals may stay below the targets.
+    take what they can, so totals may stay below the targets; ``misses`` tells by how much.
     """
     spark = cells.sparkSession
     cells = settle(cells.withColumn("weight", F.col("have")))
@@ -74,12 +85,26 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
         values = cells.select(F.col(margin).alias("value")).distinct().join(known, "value", "left")
         fixed[margin] = settle(values.select("value", F.coalesce(F.col("target").cast("double"), F.lit(0.0)).alias("target")))
     for _ in range(rounds):
+        old, step = cells.select("source", "lang", "topic", F.col("weight").alias("before")), cells
         for margin in MARGINS:
-            # Each step reads its input twice; a chain of steps would double the plan again and again.
-            cells = settle(spark.sql(SCALE.replace("{margin}", margin), cells=cells, targets=fixed[margin]))
+            step = spark.sql(SCALE.replace("{margin}", margin), cells=step, targets=fixed[margin])
+        cells = settle(step)
+        moved = cells.join(old, ["source", "lang", "topic"]).agg(F.max(F.abs(F.col("weight") - F.col("before")) / F.greatest("have", F.lit(1.0)))).first()[0]
+        if moved is None or moved <= SETTLED:
+            break
     return cells
 
 
+def misses(raked: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """(margin, value, target, weight): what raking gave each value that has cells; null target where none was given."""
+    parts = []
+    for margin in MARGINS:
+        sums = raked.groupBy(F.col(margin).alias("value")).agg(F.sum("weight").alias("weight"))
+        given = targets[margin].select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"), F.col("target").cast("double").alias("target"))
+        parts.append(sums.join(given, "value", "left").select(F.lit(margin).alias("margin"), "value", "target", "weight"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def natural_targets(cells: DataFrame, budget: float = BUDGET) -> dict[str, DataFrame]:
     """Targets of each marginal: natural token shares to the power of ``EVENNESS``, as shares of the budget."""
     spark = cells.sparkSession
@@ -97,7 +122,7 @@ def mix(
     ``targets`` maps "source", "lang" and "topic" to frames (value, target tokens); by default
     they are the natural shares evened out (see ``natural_targets``). Documents of a value
     without a target stay in the result with probability 0. ``topic_col`` names a column of
-    topics, which is ``topic`` in the result as it is; without it ``with_topic`` derives a stand-in.
+    topics, which is ``topic`` in the result as it is; without it a stand-in is derived from the text.
 
     Null source, language or topic is a value of its own, written as '' in targets; null or empty text has no
     tokens. A cell without tokens has probability 1: such documents change no total.
@@ -106,18 +131,23 @@ def mix(
     """
     spark = docs.sparkSession
     new = ("tokens", "topic", "probability", "sampled")
-    if topic_col is None:
-        rows = with_topic(docs.drop(*new), text_col)
-    else:
-        given = docs.withColumn("_given", F.col(f"`{topic_col}`")).drop(*new)
-        rows = with_topic(given, text_col).withColumn("topic", F.col("_given")).drop("_given")
-    clean = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    cells = settle(spark.sql(CELLS, rows=rows.select(clean("source").alias("source"), clean("lang").alias("lang"), clean("topic").alias("topic"), "tokens")))
+    clean = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) if c in docs.columns else F.lit("")
+    # The caller's columns travel in one struct, so no name of theirs can meet one of these.
+    rows = _with_topic(docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in new]).alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"),
+        clean("source").alias("source"), clean("lang").alias("lang"), clean(id_col).alias("id"),
+        *([F.col(f"`{topic_col}`").alias("given")] if topic_col else []),
+    )).drop("text")
+    if topic_col:
+        rows = rows.withColumn("topic", F.col("given")).drop("given")
+    rows = rows.withColumn("cell_topic", F.coalesce(F.col("topic").cast("string"), F.lit("")))
+    cells = settle(spark.sql(CELLS, rows=rows.select("source", "lang", F.col("cell_topic").alias("topic"), "tokens")))
     raked = rake(cells, targets or natural_targets(cells, budget), rounds)
     chances = raked.select(
-        F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"),
+        "source", "lang", F.col("topic").alias("cell_topic"),
         F.when(F.col("have") > 0, F.col("weight") / F.col("have")).otherwise(1.0).alias("probability"),
     )
-    same = (clean("source") == F.col("_source")) & (clean("lang") == F.col("_lang")) & (clean("topic") == F.col("_topic"))
-    drawn = F.expr(CHANCE.format(seed=seed, id=f"coalesce(CAST(`{id_col}` AS STRING), '')"))
-    return rows.join(chances, same).drop("_source", "_lang", "_topic").withColumn("sampled", drawn < F.col("probability"))
+    drawn = F.expr(CHANCE.format(seed=seed, id="id"))
+    return rows.join(chances, ["source", "lang", "cell_topic"]).select(
+        "doc.*", "tokens", "topic", "probability", (drawn < F.col("probability")).alias("sampled")
+    )

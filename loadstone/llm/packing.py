@@ -81,31 +81,29 @@ def pack(pieces: DataFrame, order: list[str], length: str = "length", capacity:
     """
     spark = pieces.sparkSession
     pieces = settle(pieces.drop("sequence_id", "offset"))
-    kept = pieces.columns
     histogram = {row[0]: row[1] for row in pieces.groupBy(length).agg(F.count(F.lit(1))).collect()}
     if None in histogram:
         raise ValueError("a piece has no length")
     slots = plan(histogram, capacity)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The caller's columns travel in one struct, so no name of theirs can meet one of these.
+    ranks = [f"order_{i}" for i in range(len(order))]
+    rows = pieces.select(
+        F.struct(*[F.col(f"`{c}`") for c in pieces.columns]).alias("piece"), F.col(f"`{length}`").cast("long").alias("size"),
+        *[F.col(f"`{c}`").alias(r) for c, r in zip(order, ranks)],
+    )
     # Written down, as a range partitioning that runs again may cut elsewhere.
     placed = settle(
-        pieces.repartitionByRange(parts, length, *order)
-        .sortWithinPartitions(length, *order)
-        .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at"))
+        rows.repartitionByRange(parts, "size", *ranks).sortWithinPartitions("size", *ranks)
+        .select("piece", "size", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
     )
     # Each part holds a stretch of lengths: at most parts + capacity rows.
-    starts = placed.groupBy("_part", length).agg(F.min("_at").alias("_low"), F.count(F.lit(1)).alias("_count"))
-    before = Window.partitionBy(length).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.select(
-        "_part", F.col(length).alias("_length"),
-        (F.coalesce(F.sum("_count").over(before), F.lit(0)) - F.col("_low")).alias("_base"),
-    )
-    ranked = placed.join(
-        F.broadcast(starts), (placed["_part"] == starts["_part"]) & (placed[length] == starts["_length"])
-    ).select(*[placed[c] for c in kept], (F.col("_at") + F.col("_base")).alias("_rank"))
+    starts = placed.groupBy("part", "size").agg(F.min("at").alias("low"), F.count(F.lit(1)).alias("count"))
+    before = Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("part", "size", (F.coalesce(F.sum("count").over(before), F.lit(0)) - F.col("low")).alias("base"))
+    ranked = placed.join(F.broadcast(starts), ["part", "size"]).select("piece", "size", (F.col("at") + F.col("base")).alias("rank"))
     # Bounded by the capacity, see plan.
-    table = spark.createDataFrame(slots, "_len long, _from long, _to long, _first long, offset long")
+    table = spark.createDataFrame(slots, "len long, from long, to long, first long, offset long")
     return ranked.join(
-        F.broadcast(table),
-        (F.col(length) == F.col("_len")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")),
-    ).select(*[ranked[c] for c in kept], (F.col("_first") + F.col("_rank") - F.col("_from")).alias("sequence_id"), "offset")
+        F.broadcast(table), (F.col("size") == F.col("len")) & (F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("to"))
+    ).select("piece.*", (F.col("first") + F.col("rank") - F.col("from")).alias("sequence_id"), "offset")

@@ -185,13 +185,14 @@ def judge(
     groups = spark.sql(GROUPS, rows=passed)
     vectors = settle(passed.join(groups, ["lang", "source"]))
     enough = vectors.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST).select("grp")
-    # Settled, so that a small estimate is seen to be small and large groups are not moved to it.
-    centre = settle(spark.sql(CENTRE.replace("{median}", "percentile"), rows=vectors).join(enough, "grp"))
-    estimate = settle(spark.sql(START.replace("{median}", "percentile"), rows=vectors, centre=centre))
+    # Settled in one file (a row per group), so that a small estimate is seen to be small and large groups are not moved to it.
+    single = lambda frame: settle(frame.repartition(1))
+    centre = single(spark.sql(CENTRE.replace("{median}", "percentile"), rows=vectors).join(enough, "grp"))
+    estimate = single(spark.sql(START.replace("{median}", "percentile"), rows=vectors, centre=centre))
     for _ in range(STEPS):
         # Settled bins: else what all tasks hold of a group would meet in one task before it is summed up.
         bins = settle(spark.sql(BINS, rows=vectors, estimate=estimate))
-        estimate = settle(spark.sql(NEXT, bins=bins))
+        estimate = single(spark.sql(NEXT, bins=bins))
     columns = [id_col, "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     names = ", ".join(f"`{c}`" for c in columns)
     scored = spark.sql(VERDICT.replace("{columns}", names), rows=vectors, estimate=estimate)

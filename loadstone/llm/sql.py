@@ -131,14 +131,17 @@ def mixed() -> str:
         f"t_{m} AS MATERIALIZED ({mixing.TARGETS.format(cells='cells', margin=m, budget=mixing.BUDGET)})" for m in mixing.MARGINS
     )
     return rf"""
-WITH firsts AS (
+WITH texts AS MATERIALIZED (
     SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
-        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens,
-        regexp_extract_all(regexp_extract(coalesce(text, ''), '[^\n]*[^\x20\x09-\x0D][^\n]*'), '[^\x20\x09-\x0D]+') AS words
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
     FROM documents
+), firsts AS (
+    SELECT doc_id, source, lang, len(words) AS tokens FROM texts
+), counted AS (
+    SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(words) AS word FROM texts)
+    WHERE length(word) >= {mixing.TOPIC_LETTERS} GROUP BY doc_id, word
 ), best AS (
-    SELECT doc_id, first(word ORDER BY -length(word), encode(word)) AS word
-    FROM (SELECT doc_id, unnest(words) AS word FROM firsts) GROUP BY doc_id
+    SELECT doc_id, first(word ORDER BY -n, encode(word)) AS word FROM counted GROUP BY doc_id
 ), rows AS MATERIALIZED (
     SELECT doc_id, source, lang, CAST(tokens AS BIGINT) AS tokens,
         'topic' || (CAST('0x' || substr(md5(coalesce(word, '')), 1, 8) AS BIGINT) % {mixing.TOPICS}) AS topic

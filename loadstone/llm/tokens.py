@@ -42,6 +42,13 @@ def _json_encoder(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=1)
+def _split():
+    import regex
+
+    return regex.compile(public_tokenizers.PATTERN)
+
+
 def encode(text: str, rank_path: str, json_path: str) -> list[int]:
     """Ids of ``tokenizers`` with ``json_path`` and add_special_tokens=False."""
     try:
@@ -52,6 +59,17 @@ def encode(text: str, rank_path: str, json_path: str) -> list[int]:
         return _json_encoder(json_path).encode(text, add_special_tokens=False).ids
 
 
+def count_ordinary(text: str, rank_path: str) -> int:
+    """Number of ids of a text, special tokens read as ordinary text."""
+    encoder = _rank_encoder(rank_path, ())
+    try:
+        return len(encoder.encode_ordinary(text))
+    except BaseException as error:  # as in ``encode``
+        if isinstance(error, (KeyboardInterrupt, SystemExit, MemoryError)):
+            raise
+        return sum(len(encoder._encode_single_piece(piece.encode())) for piece in _split().findall(text))
+
+
 def token_pieces(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 2048,
     rank_path: str | None = None, json_path: str | None = None,

@@ -61,6 +61,58 @@ def test_scores_are_calibrated(spark, corpus):
     assert np.mean([r.score for r in rows]) == pytest.approx(np.mean([truth[r.doc_id] for r in rows]), abs=0.05)
 
 
+def check_exchange(trace, truth, rounds):
+    """Both views hand over rows in every round, and their targets say how many of them are good."""
+    for number in range(rounds):
+        assert {t["view"] for t in trace if t["round"] == number and t["rows"]} == {"text_logit", "page_logit"}
+    for view in ("text_logit", "page_logit"):
+        parts = [t for t in trace if t["view"] == view]
+        ids = [[r.id for r in t["ids"].collect()] for t in parts]
+        known = [(t["target"], truth[i]) for t, rows in zip(parts, ids) for i in rows if i in truth]
+        if len(known) >= 30:
+            assert np.mean([k[0] for k in known]) == pytest.approx(np.mean([k[1] for k in known]), abs=0.15)
+    every = [r.id for t in trace for r in t["ids"].collect() if t["view"] == "text_logit"]
+    assert len(every) == len(set(every))
+
+
+def test_both_views_teach_each_other(spark, corpus, monkeypatch):
+    docs, labels, pages, truth = corpus
+    trace, models = [], []
+    real = cotraining._View.train
+    monkeypatch.setattr(cotraining._View, "train", lambda self: (real(self), models.append((len(self.features), self.model.weights.copy())))[0])
+    cotraining.quality_scores(*frames(spark, docs, labels, pages), trace=trace).collect()
+    check_exchange(trace, truth, cotraining.ROUNDS)
+    text, page = models[::2], models[1::2]
+    for steps in (text, page):
+        assert all(a < b for (a, _), (b, _) in zip(steps, steps[1:]))
+        assert all(len(v) != len(w) or not np.allclose(v, w) for (_, v), (_, w) in zip(steps, steps[1:]))
+
+
+def test_exchange_on_the_tables(spark, sf_dir):
+    """Held-out labels (all but every third) against targets; the page view hands over rows too."""
+    folder = sf_dir.replace("sf0.001", "sf0.01")  # the smallest tables have too few labels to measure anything
+    read = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
+    labels = read("labels")
+    pages = read("pages").selectExpr("try_cast(regexp_extract(url, '^[a-z]+://[^/]+/[^/]+/([0-9]+)', 1) AS bigint) AS doc_id", "url")
+    trace = []
+    some = labels.filter("doc_id % 3 <> 0")
+    truth = {r.doc_id: r.quality == 1 and r.toxic == 0 for r in labels.filter("doc_id % 3 = 0").collect()}
+    rows = cotraining.quality_scores(read("documents"), some, pages, trace=trace).collect()
+    check_exchange(trace, truth, cotraining.ROUNDS)
+    kept = {r.doc_id: r.kept for r in rows}
+    good = [kept[i] for i, g in truth.items() if g]
+    assert np.mean(good) >= 0.9
+
+
+def test_copies_do_not_use_up_a_round(spark, corpus):
+    docs, labels, pages, _ = corpus
+    copies = [(10_000 + k, "sure and very good prose of one kind", "en", "s1", 30) for k in range(600)]
+    trace = []
+    cotraining.quality_scores(*frames(spark, docs + copies, labels, pages), rounds=1, trace=trace).collect()
+    taken = [r.id for t in trace for r in t["ids"].collect() if t["view"] == "text_logit"]
+    assert sum(i >= 10_000 for i in taken) <= 1
+
+
 def test_same_result_twice(spark, corpus):
     docs, labels, pages, _ = corpus
     run = lambda n: {r.doc_id: r.score for r in cotraining.quality_scores(*(f.repartition(n) for f in frames(spark, docs, labels, pages)), rounds=1).collect()}

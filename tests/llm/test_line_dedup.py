@@ -79,3 +79,15 @@ def test_odd_rows(odd):
 
 def test_empty_table(frame):
     assert drop_repeats(frame.filter("doc_id < 0")).count() == 0
+
+
+def test_columns_called_like_the_inner_ones(frame):
+    from pyspark.sql import functions as F
+
+    names = ["_parts", "_places", "_row", "_gone", "_id", "_hash", "_starts", "doc", "parts", "places", "numbers", "gone", "row", "left", "id"]
+    clashing = frame.select("*", *[F.lit(n).alias(n) for n in names])
+    got, expected = drop_repeats(clashing), drop_repeats(frame)
+    assert got.columns == [*clashing.columns, "n_lines", "n_deleted"]
+    key = ("doc_id", "text", "n_lines", "n_deleted")
+    assert sorted((tuple(r[k] for k in key) for r in got.collect()), key=repr) == sorted((tuple(r[k] for k in key) for r in expected.collect()), key=repr)
+    assert all(r[n] == n for r in got.collect() for n in names)

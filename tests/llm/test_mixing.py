@@ -96,3 +96,45 @@ def test_given_topics_and_values_without_a_target(spark):
         assert sum(r.tokens * r.probability for r in got.values() if r.topic == topic) == pytest.approx(expected, rel=1e-3)
     plain = mixing.mix(frame.withColumnRenamed("topic", "kind"), targets=targets | {"source": target(s1=900.0)}, topic_col="kind").collect()
     assert len(plain) == 400 and all((r.probability == 0) == (r.source == "s2" or r.kind == "news") for r in plain)
+
+
+def test_topic_comes_from_the_whole_text(spark):
+    """Texts that differ in their last lines only; a word in the middle of a long text decides."""
+    start = "a line that all of them begin with\n" * 3
+    rows = [(1, start + "harbour harbour"), (2, start + "mountain mountain"), (3, start + "x " * 5000 + "orchard orchard" + " y" * 5000)]
+    got = {r.doc_id: r.topic for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' lang", "'s' source")).collect()}
+    expected = {i: f"topic{int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % mixing.TOPICS}" for i, w in ((1, "harbour"), (2, "mountain"), (3, "orchard"))}
+    assert got == expected
+
+
+def test_marginals_meet_their_targets_after_settling(corpus, spark):
+    """Raked weights against the targets themselves, not against another run of the loop."""
+    rows = mixing.mix(corpus)
+    cells = rows.groupBy("source", "lang", "topic").agg(F.sum("tokens").cast("double").alias("have"))
+    targets = {m: rows.groupBy(F.col(m).alias("value")).agg((F.sum("tokens") * 0.5).alias("target")) for m in mixing.MARGINS}
+    tilted = targets | {"source": rows.groupBy(F.col("source").alias("value")).agg((F.sum("tokens") * F.when(F.col("source") == "big", 0.4).otherwise(0.6)).alias("target"))}
+    total = rows.agg(F.sum("tokens")).first()[0]
+    scale = tilted["source"].agg(F.sum("target")).first()[0] / (0.5 * total)
+    tilted["source"] = tilted["source"].withColumn("target", F.col("target") / scale)
+    left = mixing.misses(mixing.rake(cells, tilted, 100), tilted).collect()
+    assert {r.margin for r in left} == set(mixing.MARGINS)
+    assert all(r.weight == pytest.approx(r.target, rel=1e-6) for r in left)
+
+
+def test_raking_stops_when_nothing_moves(spark, monkeypatch):
+    cells = spark.createDataFrame([("a", "x", "p", 10.0), ("b", "x", "p", 30.0)], "source string, lang string, topic string, have double")
+    half = lambda **v: spark.createDataFrame(list(v.items()), "value string, target double")
+    settled = []
+    real = mixing.settle
+    monkeypatch.setattr(mixing, "settle", lambda df: settled.append(1) or real(df))
+    mixing.rake(cells, {"source": half(a=5.0, b=15.0), "lang": half(x=20.0), "topic": half(p=20.0)}, 50)
+    assert len(settled) <= 7
+
+
+def test_columns_called_like_the_inner_ones(corpus):
+    names = ["_source", "_lang", "_topic", "doc", "given", "id", "step", "words", "long", "begins", "cell_topic", "_given"]
+    frame = corpus.limit(40).select("*", *[F.lit(n).alias(n) for n in names], F.lit("law").alias("kind"))
+    for topic_col in (None, "kind"):
+        rows = mixing.mix(frame, topic_col=topic_col).collect()
+        assert len(rows) == 40 and all(r[n] == n for r in rows for n in names)
+        assert topic_col is None or all(r.topic == r.kind == "law" for r in rows)

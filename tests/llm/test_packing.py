@@ -121,3 +121,15 @@ def test_empty_table(frame):
 def test_a_piece_has_to_fit(spark):
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(1, 9)], "doc_id long, length long"), ["doc_id"], capacity=8)
+
+
+def test_columns_called_like_the_inner_ones(spark):
+    names = ["_rank", "_part", "_len", "_base", "part", "at", "low", "count", "rank", "size", "len", "from", "to", "first", "base", "order_0"]
+    rows = spark.createDataFrame([(i, 1 + i % 7) for i in range(60)], "doc_id long, length long")
+    from pyspark.sql import functions as F
+
+    got = packing.pack(rows.select("*", *[F.lit(n).alias(n) for n in names]), ["doc_id"], capacity=16).collect()
+    assert len(got) == 60 and all(r[n] == n for r in got for n in names)
+    places = sorted((r.sequence_id, r.offset, r.length) for r in got)
+    for (s, o, n), (t, p, _) in zip(places, places[1:]):
+        assert (t == s and p == o + n) or (t > s and p == 0)

@@ -18,3 +18,12 @@ def test_ngram_stage_decides_per_row(spark):
     assert got.columns == frame.columns
     left = sorted((r.doc_id or 0, r.text or "") for r in got.collect())
     assert left == sorted([(1, text), (2, own), (3, other), (5, ""), (5, ""), (0, text), (6, "")])
+
+
+def test_ngram_stage_with_a_column_called_like_its_key(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, "one two three four five six", "a"), (2, "one two three four five six", "b"), (3, "seven eight nine ten eleven", "c")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").select("*", *[F.lit(n).alias(n) for n in ("_key", "class", "first", "rows")])
+    got = corpus_pipeline.ngram_join_stage(spark, frame, "").collect()
+    assert sorted((r.doc_id, r._key, r["class"], r.rows) for r in got) == [(1, "_key", "class", "rows"), (3, "_key", "class", "rows")]
