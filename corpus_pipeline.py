@@ -31,18 +31,19 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near duplicates, with the smallest id; rows are judged by id and text."""
     tune(spark)
-    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")).alias("_key")
-    keyed = docs.select(*docs.columns, key)
-    classes = settle(ngram_join.near_duplicates(keyed, "_key").filter("n_shingles > 0 AND _key IS NOT NULL").groupBy("_key").agg(
-        F.min("component_id").alias("_class"), F.count(F.lit(1)).alias("_rows")
+    # A name that no column of the documents has.
+    key = "_key" + "_" * max([len(c) for c in docs.columns])
+    keyed = docs.select(*docs.columns, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")).alias(key))
+    classes = settle(ngram_join.near_duplicates(keyed, key).filter(f"n_shingles > 0 AND {key} IS NOT NULL").groupBy(key).agg(
+        F.min("component_id").alias("class"), F.count(F.lit(1)).alias("rows")
     ))
-    ids = keyed.select("_key", "doc_id").join(classes, "_key")
-    first = settle(ids.groupBy("_class").agg(F.min(F.struct("doc_id", "_key")).alias("_first")))
-    copies = settle(classes.join(first, "_class").filter("_key <> _first._key").select("_key"))
-    repeated = settle(classes.filter("_rows > 1").select("_key"))
-    left = keyed.join(copies, "_key", "left_anti")
-    once = left.join(repeated, "_key", "left_semi").dropDuplicates(["_key"])
-    return left.join(repeated, "_key", "left_anti").unionByName(once).select(*docs.columns)
+    ids = keyed.select(key, "doc_id").join(classes, key)
+    first = settle(ids.groupBy("class").agg(F.min(F.struct("doc_id", key)).alias("first")))
+    copies = settle(classes.join(first, "class").filter(F.col(key) != F.col(f"first.{key}")).select(key))
+    repeated = settle(classes.filter("rows > 1").select(key))
+    left = keyed.join(copies, key, "left_anti")
+    once = left.join(repeated, key, "left_semi").dropDuplicates([key])
+    return left.join(repeated, key, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -276,7 +276,7 @@ def warehouse_writes(t):
     house = Warehouse(t._spark, scratch_path(t._spark, "warehouse"), buckets={"prices": (["o_orderkey"], 16)})
     house.write("prices", rows.filter(~late).select("o_orderkey", "price", F.lit("early").alias("state")))
     fresh = rows.filter(late).select("o_orderkey", "price", F.lit("late").alias("state"))
-    house.write("prices", merge.upsert(house.table("prices"), fresh, ["o_orderkey"]), touched=fresh.select("o_orderkey"))
+    house.write("prices", merge.upsert(house.near("prices", fresh), fresh, ["o_orderkey"]), touched=fresh.select("o_orderkey"))
     added = rows.filter("o_orderstatus = 'P'").select((-F.col("o_orderkey")).alias("o_orderkey"), F.lit(0.0).alias("price"), F.lit("added").alias("state"))
     house.write("prices", added, "append")
     return house.table("prices")

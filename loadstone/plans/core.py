@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,12 @@ class LoadContext:
     hwm: datetime | None
     as_of: datetime
     options: dict = field(default_factory=dict)
+    # Reads the rows of a table that lie near some keys, where the target can tell.
+    near: Callable[[str, DataFrame], DataFrame] | None = None
+
+    def around(self, table: str, touched: DataFrame) -> DataFrame:
+        """At least all rows of the table whose key is touched; what a merge of these keys has to read."""
+        return self.target(table) if self.near is None else self.near(table, touched)
 
     def first_run(self, table: str) -> bool:
         return changes.is_first_run(self.target(table))
@@ -49,7 +56,8 @@ class LoadContext:
 class Write:
     """New state of a table, or rows to append to it.
 
-    ``touched`` holds the keys of all rows that may differ from the old state, where they are known.
+    ``touched`` holds the keys of all rows that may differ from the old state, where they are known;
+    ``rows`` are then the new state of at least these keys, as merged with ``LoadContext.around``.
     """
 
     rows: DataFrame
@@ -94,10 +102,10 @@ def upsert_load(
 
     def wrap(rows: Callable[[LoadContext], DataFrame]) -> Callable:
         def run(ctx: LoadContext) -> dict[str, Write]:
-            target = ctx.target(table)
+            changed = change_set(ctx.target(table), rows(ctx))
+            target = ctx.around(table, changed)
             if checked:
                 target = merge.assert_unique(target, keys)
-            changed = change_set(target, rows(ctx))
             return {table: Write(merge.upsert(target, changed, keys, order, update), touched=changed.select(*keys))}
 
         _register(Load(table, stage, run))
@@ -158,59 +166,56 @@ def submissions(ctx: LoadContext, kind: int = 1) -> DataFrame:
 REVIEW_TAGS = ("r", "s", "u", "res", "ri1", "ri2")
 
 
-def touched_submissions(ctx: LoadContext) -> DataFrame | None:
-    """Ids of submissions with a change in themselves, their upload, its resource or that resource's user.
+def late(ctx: LoadContext, table: str, key: str, where: Column | None = None) -> DataFrame:
+    """Keys of a table's rows changed at or after the mark or, while a migration is open, not written by it.
 
-    Each table is read with its own pushed filter and only ids are joined. None while
-    rows of an open migration count as changed, which only whole rows can tell.
+    Plain comparisons of the table's own columns, so they reach its scan.
     """
+    changed = F.col("modify_date") >= F.lit(ctx.mark()).cast("timestamp_ntz")
     if ctx.migrating():
-        return None
-    late = lambda table, key: ctx.source(table).filter(F.col("modify_date") >= F.lit(ctx.mark()).cast("timestamp_ntz")).select(key)
-    resources = late("resource", "resource_id").unionByName(late_users(ctx))
-    uploads = late("upload", "upload_id").unionByName(
-        ctx.source("upload").join(resources.distinct(), "resource_id", "left_semi").select("upload_id")
-    )
-    return late("submission", "submission_id").unionByName(
-        ctx.source("submission").join(uploads.distinct(), "upload_id", "left_semi").select("submission_id")
-    ).distinct()
+        changed = changed | (F.col("modify_user") != fixed.MIGRATION_USER)
+    return ctx.source(table).filter(changed if where is None else where & changed).select(key)
 
 
 def late_users(ctx: LoadContext) -> DataFrame:
-    """Ids of resources whose user changed."""
-    info = ctx.source("resource_info").filter(F.col("resource_info_type_id") == 1)
-    return info.filter(F.col("modify_date") >= F.lit(ctx.mark()).cast("timestamp_ntz")).select("resource_id")
+    """Ids of resources that changed, or whose user did."""
+    users = late(ctx, "resource_info", "resource_id", F.col("resource_info_type_id") == 1)
+    return late(ctx, "resource", "resource_id").unionByName(users).distinct()
+
+
+def touched_submissions(ctx: LoadContext) -> DataFrame:
+    """Ids of submissions with a change in themselves, their upload, its resource or that resource's user.
+
+    Each table is read with its own pushed filter and only ids are joined.
+    """
+    uploads = late(ctx, "upload", "upload_id").unionByName(
+        ctx.source("upload").join(late_users(ctx), "resource_id", "left_semi").select("upload_id")
+    )
+    return late(ctx, "submission", "submission_id").unionByName(
+        ctx.source("submission").join(uploads.distinct(), "upload_id", "left_semi").select("submission_id")
+    ).distinct()
 
 
-def touched_reviews(ctx: LoadContext, *more: str) -> DataFrame | None:
+def touched_reviews(ctx: LoadContext, *more: str) -> DataFrame:
     """Ids of reviews with a change in any table on their way; ``more`` are tags as in ``review_changed``.
 
     A superset, cheap to find: the rows themselves are filtered once they are joined.
-    None while rows of an open migration count as changed.
     """
-    submissions_late = touched_submissions(ctx)
-    if submissions_late is None:
-        return None
-    late = lambda table, key: changes.changed_rows(ctx.source(table), ctx.mark(), "modify_date").select(key)
     review, item = ctx.source("review"), ctx.source("review_item")
-    reviewers = late("resource", "resource_id").unionByName(late_users(ctx)).distinct()
     parts = [
-        late("review", "review_id"),
-        review.join(submissions_late, "submission_id", "left_semi").select("review_id"),
-        review.join(reviewers, "resource_id", "left_semi").select("review_id"),
+        late(ctx, "review", "review_id"),
+        review.join(touched_submissions(ctx), "submission_id", "left_semi").select("review_id"),
+        review.join(late_users(ctx), "resource_id", "left_semi").select("review_id"),
     ]
     if "ri" in more:
-        parts.append(late("review_item", "review_id"))
+        parts.append(late(ctx, "review_item", "review_id"))
     if {"ric", "resp"} & set(more):
-        items = late("review_item_comment", "review_item_id").distinct()
+        items = late(ctx, "review_item_comment", "review_item_id").distinct()
         parts.append(item.join(items, "review_item_id", "left_semi").select("review_id"))
     if "sq" in more:
-        asked = late("scorecard_question", "scorecard_question_id").distinct()
+        asked = late(ctx, "scorecard_question", "scorecard_question_id").distinct()
         parts.append(item.join(asked, "scorecard_question_id", "left_semi").select("review_id"))
-    ids = parts[0]
-    for part in parts[1:]:
-        ids = ids.unionByName(part)
-    return settle(ids.distinct())
+    return settle(reduce(DataFrame.unionByName, parts).distinct())
 
 
 def only_keys(df: DataFrame, ids: DataFrame | None, key: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -228,13 +230,10 @@ def deleted_projects(ctx: LoadContext) -> dict[str, Write]:
     gone = settle(ctx.source("project").filter(F.col("project_status_id") == fixed.STATUS_DELETED).select("project_id"))
     tables = {name: ctx.target(name) for name, _ in fixed.PROJECT_TABLES}
     left = merge.cascade_delete(tables, fixed.PROJECT_TABLES, gone)
-    writes = {}
-    for name, table in tables.items():
-        columns = [c for t, c in fixed.PROJECT_TABLES if t == name]
-        found = False
-        for column in columns:
-            hit = table.select(column).join(gone.withColumnRenamed("project_id", column), column, "left_semi")
-            found = found or not hit.isEmpty()
-        if found:
-            writes[name] = Write(left[name])
-    return writes
+    # One job asks all tables, each for the keys it refers to by; at most one row per table comes back.
+    hits = [
+        tables[name].select(column).join(gone.withColumnRenamed("project_id", column), column, "left_semi").select(F.lit(name).alias("name"))
+        for name, column in fixed.PROJECT_TABLES
+    ]
+    found = {r.name for r in reduce(DataFrame.unionByName, hits).distinct().collect()}
+    return {name: Write(left[name]) for name in tables if name in found}

@@ -117,8 +117,8 @@ def subjective_response(ctx: LoadContext) -> dict[str, Write]:
         "response_type_desc": F.when(kind == 1, "Comment").when(kind == 3, "Required").otherwise("Recommended"),
     })
     keys = ["scorecard_question_id", "scorecard_id"]
-    target = ctx.target("subjective_response")
-    rows = change_set(target, sequences.number_in_group(rows, keys, ["review_item_comment_id"], "sort"))
+    rows = change_set(ctx.target("subjective_response"), sequences.number_in_group(rows, keys, ["review_item_comment_id"], "sort"))
+    target = ctx.around("subjective_response", rows)
     return {"subjective_response": Write(merge.replace_by_key(target, rows, keys), touched=rows.select(*keys))}
 
 
@@ -149,13 +149,16 @@ def submission_review(ctx: LoadContext) -> dict[str, Write]:
         "raw_score": F.col("initial_score"), "final_score": F.col("score"), "scorecard_id": F.col("review_id"),
     })
     rows = change_set(ctx.target("submission_review"), rows)
-    target = merge.upsert(ctx.target("submission_review"), rows, ["project_id", "user_id", "reviewer_id"], ["scorecard_id"])
-    members = target.join(rows.select("project_id").distinct(), "project_id", "left_semi")
+    projects = settle(rows.select("project_id").distinct())
+    # Only the rows of these projects are merged and numbered; they replace the old ones in one step.
+    target = ctx.around("submission_review", projects)
+    old = target.join(projects, "project_id", "left_semi").select(*target.columns)
+    merged = settle(merge.upsert(old, rows, ["project_id", "user_id", "reviewer_id"], ["scorecard_id"]))
     slots = sequences.assign_slots(
-        members.select("project_id", "reviewer_id", "review_resp_id"), "project_id", "reviewer_id", "review_resp_id"
+        merged.select("project_id", "reviewer_id", "review_resp_id"), "project_id", "reviewer_id", "review_resp_id"
     )
-    target = merge.upsert_columns(target, slots, ["project_id", "reviewer_id"], ["review_resp_id"])
-    return {"submission_review": Write(target, touched=rows.select("project_id"))}
+    new = merge.upsert_columns(merged, slots, ["project_id", "reviewer_id"], ["review_resp_id"])
+    return {"submission_review": Write(merge.replace_by_key(target, new, ["project_id"], projects), touched=projects)}
 
 
 @upsert_load("submission_screening", 4, ["project_id", "user_id"], ["scorecard_id"])
@@ -186,7 +189,8 @@ def submission(ctx: LoadContext) -> dict[str, Write]:
         "submission_url": path_prefix("parameter", ctx.options["submission_dir"]),
         "submission_type": F.lit(1),
     })
-    target = merge.delete_keys(target, gone.select("submission_id"), "submission_id")
-    return {"submission": Write(merge.upsert(target, kept, ["submission_id"], update=["submission_url"]))}
+    touched = rows.select("submission_id")
+    target = merge.delete_keys(ctx.around("submission", touched), gone.select("submission_id"), "submission_id")
+    return {"submission": Write(merge.upsert(target, kept, ["submission_id"], update=["submission_url"]), touched=touched)}
 
 

@@ -43,17 +43,23 @@ def run_loads(
     """
     start = start or datetime.now(timezone.utc).replace(tzinfo=None)
     hwm = changes.read_hwm(warehouse.table("update_log"), log_type)
-    ctx = LoadContext(source.table, warehouse.table, hwm, start, options or {})
+    ctx = LoadContext(source.table, warehouse.table, hwm, start, options or {}, warehouse.near)
     known = all_loads()
     chosen = [known[name] for name in names] if names is not None else list(known.values())
     reports = []
     for item in sorted(chosen, key=lambda entry: entry.stage):
         with scratch(spark):
+            # All tables of a load are computed before one is replaced: they may read each other.
+            done = []
             for table, write in item.run(ctx).items():
                 report = LoadReport(table)
-                report.written = warehouse.write(table, report.watch(write.rows), write.mode, touched=write.touched)
+                staged = warehouse.stage(table, report.watch(write.rows), write.mode, write.touched)
+                report.written = staged is not None
                 log.info("%s", report.finish())
+                done.append(staged)
                 reports.append(report)
+            for staged in filter(None, done):
+                warehouse.commit(staged)
     row = changes.commit_hwm(warehouse.table("update_log"), warehouse.table("calendar"), start, log_type)
     warehouse.write("update_log", row, "append")
     return reports

@@ -50,15 +50,20 @@ def get_session(app: str = "loadstone", cores: int | None = None, **conf: str) -
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: what the cluster names in ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder below the warehouse, which executors share as well.
+    Where that is unset, a folder below the warehouse. Fails where that is on the machine's own
+    disk and the executors are on other machines: each would write to its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+        scheme = files_of(spark, folder)[1].getUri().getScheme()
+        if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share; the warehouse folder is a local one")
     return folder.rstrip("/")
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
+    """A path and the file system it lies on."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -70,7 +75,7 @@ _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 def scratch_path(spark: SparkSession, kind: str = "rows") -> str:
     """A new folder in the shared folder; it goes at the end of the ``scratch`` block or of the application."""
     path = f"{shared_folder(spark)}/{kind}-{uuid4()}"
-    folder, files = _files(spark, path)
+    folder, files = files_of(spark, path)
     files.mkdirs(folder)
     if (block := _written.get()) is not None:
         block.append(path)
@@ -89,7 +94,7 @@ def scratch(spark: SparkSession):
     finally:
         _written.reset(token)
         for path in mine:
-            folder, files = _files(spark, path)
+            folder, files = files_of(spark, path)
             files.delete(folder, True)
 
 

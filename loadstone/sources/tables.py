@@ -1,20 +1,22 @@
 """Table sources and sinks.
 
-A warehouse table is a folder of versions. A write goes to a folder of its own and is
-moved into place in one step, so a load that fails half way, or a retry, leaves the
-table as it was. A version holds a whole table, rows added to the version before, or
-the buckets of keys in which rows changed; reading follows the versions back.
+A warehouse table is a folder of Parquet files, partitioned by a bucket of the key where
+the table is large. New rows of a table are staged before anything is replaced, as a load may read the
+table it writes: a whole table is swapped for its staged folder, touched buckets are
+overwritten by Spark's dynamic partition overwrite. A load that fails leaves the table as it was.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
+
+from loadstone.session import files_of, settle
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
@@ -79,145 +81,141 @@ class Source:
 BUCKET = "_bucket"
 
 
+@dataclass
+class Staged:
+    """New rows of a table, computed but not yet visible: a folder to swap in, or rows for some buckets."""
+
+    name: str
+    mode: str
+    folder: str | None = None
+    rows: DataFrame | None = None
+    buckets: list[int] | None = None
+
+
 class Warehouse:
     """Target tables under one folder on any file system Spark can reach.
 
     ``buckets`` maps tables to (key columns, number of buckets): their rows lie in
-    folders by a hash of the key, and a write that says which keys it touched rewrites
-    their buckets only. ``keep`` is the number of last versions that stay readable; what none
-    of them needs is deleted after a write. After ``chain`` partial versions comes a whole one.
+    partitions by a hash of the key. A write that says which keys it touched rewrites
+    their buckets only, and ``near`` reads these only.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, schemas: dict | None = None,
-        buckets: dict[str, tuple[Sequence[str], int]] | None = None, keep: int = 2, chain: int = 20,
+        self, spark: SparkSession, root: str, schemas: dict | None = None, buckets: dict[str, tuple[Sequence[str], int]] | None = None
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = schemas or {}
         self.buckets = buckets or {}
-        self.keep, self.chain = keep, chain
-
-    def _path(self, path: str):
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _versions(self, name: str) -> list[int]:
-        path, files = self._path(f"{self.root}/{name}")
-        if not files.exists(path):
-            return []
-        names = [status.getPath().getName() for status in files.listStatus(path)]
-        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
-
-    def _note(self, name: str, version: int) -> dict:
-        """What a version says of itself: kind, base and, for buckets, which."""
-        path, files = self._path(f"{self.root}/{name}/v{version}/_NOTE")
-        stream = files.open(path)
-        try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
-
-    def _parts(self, name: str, version: int) -> tuple[list[str], list[int]]:
-        """Folders that make up a version, and the versions they belong to."""
-        folders, used, hidden = [], [], set()
-        at: int | None = version
-        while at is not None:
-            note, folder = self._note(name, at), f"{self.root}/{name}/v{at}"
-            own = [b for b in note["buckets"] or () if b not in hidden]
-            folders += [folder] if note["buckets"] is None else [f"{folder}/{BUCKET}={b}" for b in own if b in note["filled"]]
-            hidden |= set(own)
-            used.append(at)
-            at = note["base"]
-        return folders, used
+
+    def _path(self, name: str) -> str | None:
+        """Folder of a table; the one set aside if a swap was cut short."""
+        for path in (f"{self.root}/{name}", f"{self.root}/_old_{name}"):
+            folder, files = files_of(self.spark, path)
+            if files.exists(folder):
+                return path
+        return None
+
+    def _schema(self, name: str) -> StructType | None:
+        schema = self.schemas.get(name)
+        return StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    def _bucket(self, name: str, frame: DataFrame):
+        keys, count = self.buckets[name]
+        return F.pmod(F.xxhash64(*[frame[k].cast("string") for k in keys]), F.lit(count)).cast("int")
 
     def exists(self, name: str) -> bool:
-        return bool(self._versions(name))
+        return self._path(name) is not None
+
+    def _read(self, name: str) -> DataFrame:
+        """The table with its bucket column, if it has buckets."""
+        path, schema = self._path(name), self._schema(name)
+        if schema is not None and name in self.buckets:
+            schema = StructType(list(schema.fields)).add(BUCKET, IntegerType())
+        if path is None:
+            if schema is None:
+                raise LookupError(f"no table {name} in {self.root}")
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read
+        return (reader if schema is None else reader.schema(schema)).parquet(path)
 
     def table(self, name: str) -> DataFrame:
-        """The current version; an empty table if it was never written and its schema is known."""
-        versions = self._versions(name)
-        if not versions:
-            if name not in self.schemas:
-                raise LookupError(f"no table {name} in {self.root}")
-            return self.spark.createDataFrame([], self.schemas[name])
-        return self._read(name, versions[-1])
-
-    def _read(self, name: str, version: int) -> DataFrame:
-        schema = StructType.fromJson(self._note(name, version)["schema"])
-        folders, _ = self._parts(name, version)
-        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
-
-    def write(
-        self, name: str, df: DataFrame, mode: str = "snapshot", partition_by: Sequence[str] = (), touched: DataFrame | None = None
-    ) -> bool:
-        """``snapshot`` replaces the table by ``df``, ``append`` adds its rows.
-
-        ``touched`` names (in its key columns) all keys whose rows may differ from the
-        current version; of a table in buckets, a snapshot then writes their buckets only.
-        False if there are none, then nothing is written.
+        """The whole table; an empty one if it was never written and its schema is known."""
+        return self._read(name).drop(BUCKET)
+
+    def near(self, name: str, touched: DataFrame) -> DataFrame:
+        """The rows in the buckets of the touched keys, by a partition filter; all rows of a table without buckets.
+
+        ``touched`` has the key columns of the table.
+        """
+        if name not in self.buckets:
+            return self.table(name)
+        return self._read(name).filter(F.col(BUCKET).isin(self._hit(name, touched))).drop(BUCKET)
+
+    def _hit(self, name: str, touched: DataFrame) -> list[int]:
+        """Buckets of the touched keys: at most as many numbers as the table has buckets."""
+        return sorted(r[0] for r in touched.select(self._bucket(name, touched)).distinct().collect())
+
+    def stage(self, name: str, df: DataFrame, mode: str = "snapshot", touched: DataFrame | None = None) -> Staged | None:
+        """Compute new rows without making them visible; ``commit`` does.
+
+        ``snapshot`` replaces the table by ``df``, ``append`` adds its rows. ``touched`` names (in its key columns)
+        all keys whose rows may differ from the current ones; of a table in buckets only their buckets are then
+        taken from ``df``, which need not hold others. None if there are none.
         """
         df = self._typed(name, df)
-        versions = self._versions(name)
-        base = versions[-1] if versions else None
-        note = {"base": None, "buckets": None, "filled": None, "schema": df.schema.jsonValue()}
-        whole = base is None or len(self._parts(name, base)[1]) > self.chain
+        if name in self.buckets:
+            df = df.withColumn(BUCKET, self._bucket(name, df))
+            if mode != "append" and touched is not None and self.exists(name):
+                hit = self._hit(name, touched)
+                return Staged(name, mode, rows=settle(df.filter(F.col(BUCKET).isin(hit))), buckets=hit) if hit else None
         if mode == "append":
-            if whole and base is not None:
-                df = self._read(name, base).unionByName(df)
-            elif base is not None:
-                note["base"] = base
-        elif name in self.buckets:
-            keys, count = self.buckets[name]
-            bucket = lambda frame: F.pmod(F.xxhash64(*[frame[k].cast("string") for k in keys]), F.lit(count)).cast("int")
-            note["buckets"] = list(range(count))
-            if touched is not None and not whole and self._bucketed(name, base):
-                # At most one number per bucket.
-                note["buckets"] = sorted(r[0] for r in touched.select(bucket(touched)).distinct().collect())
-                note["base"] = base
-                if not note["buckets"]:
-                    return False
-                df = df.filter(bucket(df).isin(note["buckets"]))
-            df, partition_by = df.withColumn(BUCKET, bucket(df)), [BUCKET]
-        staged = f"{self.root}/{name}/_staged-{uuid4()}"
-        write_table(df, staged, "errorifexists", partition_by)
-        self._commit(name, staged, (base or 0) + 1, note)
-        return True
-
-    def _bucketed(self, name: str, version: int | None) -> bool:
-        while version is not None:
-            note = self._note(name, version)
-            if note["buckets"] is None:
-                return False
-            version = note["base"]
-        return True
-
-    def _commit(self, name: str, staged: str, version: int, note: dict) -> None:
-        folder, files = self._path(staged)
-        if note["buckets"] is not None:
-            names = [s.getPath().getName() for s in files.listStatus(folder)]
-            note["filled"] = sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{BUCKET}="))
-        stream = files.create(self._path(f"{staged}/_NOTE")[0])
-        stream.write(bytearray(json.dumps(note).encode()))
-        stream.close()
-        final, _ = self._path(f"{self.root}/{name}/v{version}")
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), self.spark._jsc.hadoopConfiguration())
-        none = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        # Fails if another writer was first, which keeps its version.
-        context.rename(folder, final, none)
-        versions = self._versions(name)
-        needed = {v for kept in versions[-self.keep :] for v in self._parts(name, kept)[1]}
-        for old in set(versions) - needed:
-            path, files = self._path(f"{self.root}/{name}/v{old}")
-            files.delete(path, True)
+            return Staged(name, mode, rows=settle(df))
+        folder = f"{self.root}/_staged_{name}-{uuid4()}"
+        write_table(df, folder, "errorifexists", self._partitions(name))
+        return Staged(name, mode, folder=folder)
+
+    def _partitions(self, name: str) -> list[str]:
+        return [BUCKET] if name in self.buckets else []
+
+    def commit(self, staged: Staged) -> None:
+        final = f"{self.root}/{staged.name}"
+        if staged.folder is not None:
+            self._swap(staged.folder, staged.name)
+        elif staged.mode == "append":
+            write_table(staged.rows, final, "append", self._partitions(staged.name))
+        else:
+            write_table(staged.rows, final, "replace_partitions", [BUCKET])
+            # Overwriting leaves a bucket alone that has no rows any more.
+            filled = {r[0] for r in staged.rows.select(BUCKET).distinct().collect()}
+            for bucket in set(staged.buckets) - filled:
+                folder, files = files_of(self.spark, f"{final}/{BUCKET}={bucket}")
+                files.delete(folder, True)
+
+    def _swap(self, staged: str, name: str) -> None:
+        new, files = files_of(self.spark, staged)
+        final, _ = files_of(self.spark, f"{self.root}/{name}")
+        old, _ = files_of(self.spark, f"{self.root}/_old_{name}")
+        if files.exists(final):
+            files.delete(old, True)
+            if not files.rename(final, old):
+                raise OSError(f"{name} was not set aside")
+        if not files.rename(new, final):
+            raise OSError(f"{name} was not put in place")
+        files.delete(old, True)
+
+    def write(self, name: str, df: DataFrame, mode: str = "snapshot", touched: DataFrame | None = None) -> bool:
+        """Stage and commit; False if no key was touched, then nothing is written."""
+        staged = self.stage(name, df, mode, touched)
+        if staged is not None:
+            self.commit(staged)
+        return staged is not None
 
     def _typed(self, name: str, df: DataFrame) -> DataFrame:
         """Columns in the types the table declares, so that all its files agree."""
-        if name not in self.schemas:
+        schema = self._schema(name)
+        if schema is None:
             return df
-        schema = self.schemas[name]
-        if isinstance(schema, str):
-            schema = StructType.fromDDL(schema)
         types = {f.name: f.dataType for f in schema}
         return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 

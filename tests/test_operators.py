@@ -188,67 +188,81 @@ def test_calculator_registry(spark):
     scoring._points.pop("test_flat")
 
 
-def test_warehouse_versions(spark, tmp_path, target):
+def test_warehouse_tables(spark, tmp_path, target):
     house = Warehouse(spark, str(tmp_path / "house"), {"t": target.schema})
     assert house.table("t").count() == 0 and not house.exists("t")
     house.write("t", target)
-    old = house.table("t")
-    house.write("t", merge.delete_keys(old, spark.createDataFrame([(1,)], "k int"), "k"))
+    house.write("t", merge.delete_keys(house.table("t"), spark.createDataFrame([(1,)], "k int"), "k"))
     assert rows(house.table("t"), "k") == [(2,), (3,)]
     house.write("t", target.limit(1), "append")
     assert house.table("t").count() == 3
-    (tmp_path / "house" / "t" / "_staged-of-a-crash").mkdir()
+    (tmp_path / "house" / "_staged_t-of-a-crash").mkdir()
     assert house.table("t").count() == 3
     with pytest.raises(LookupError):
         house.table("unknown")
 
 
-def versions(folder):
-    return sorted(int(p.name[1:]) for p in folder.iterdir() if p.name.startswith("v"))
+def test_staged_rows_show_after_the_commit(spark, tmp_path, target):
+    house = Warehouse(spark, str(tmp_path), {"t": target.schema}, {"t": (["k"], 4)})
+    house.write("t", target)
+    staged = house.stage("t", house.table("t").filter("k <> 1"), touched=spark.createDataFrame([(1,)], "k int"))
+    assert house.table("t").count() == 3
+    house.commit(staged)
+    assert rows(house.table("t"), "k") == [(2,), (3,)]
+    with pytest.raises(PySparkException):
+        house.write("t", house.table("t").withColumn("k", F.raise_error(F.lit("broken")).cast("int")))
+    assert rows(house.table("t"), "k") == [(2,), (3,)]
 
 
-def test_old_versions_go(spark, tmp_path, target):
-    house = Warehouse(spark, str(tmp_path), {"t": target.schema}, keep=2)
-    for _ in range(4):
-        house.write("t", target)
-    assert versions(tmp_path / "t") == [3, 4]
-    for _ in range(3):
-        house.write("t", target.limit(1), "append")
-    # Appends need the version they add to.
-    assert versions(tmp_path / "t") == [4, 5, 6, 7] and house.table("t").count() == 6
+def test_a_swap_cut_short(spark, tmp_path, target):
+    """The old folder was set aside, the new one is not in place yet."""
+    house = Warehouse(spark, str(tmp_path), {"t": target.schema})
+    house.write("t", target)
+    (tmp_path / "t").rename(tmp_path / "_old_t")
+    assert house.table("t").count() == 3
+    house.write("t", house.table("t").filter("k = 2"))
+    assert rows(house.table("t"), "k") == [(2,)] and not (tmp_path / "_old_t").exists()
 
 
 def test_buckets_of_touched_keys_are_rewritten(spark, tmp_path):
     frame = lambda pairs: spark.createDataFrame(pairs, "k int, v string")
-    house = Warehouse(spark, str(tmp_path), buckets={"t": (["k"], 8)}, chain=5)
+    house = Warehouse(spark, str(tmp_path), buckets={"t": (["k"], 8)})
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "t").glob("_bucket=*/*.parquet")}
     state = {k: "a" for k in range(100)}
     assert house.write("t", frame(list(state.items())), touched=frame([(1, "")]))
-    whole = len(list((tmp_path / "t" / "v1").glob("_bucket=*")))
-    assert whole == 8
-    for step in range(9):
+    assert len(list((tmp_path / "t").glob("_bucket=*"))) == 8
+    for step in range(5):
+        before = files()
+        changed = frame([(step, f"s{step}")])
+        gone = frame([(50 + step, "")])
+        touched = changed.unionByName(gone)
+        near = house.near("t", touched)
+        # Only the buckets of the two keys are read; rows of others are not needed for the merge.
+        assert near.count() < 50
+        assert house.write("t", merge.delete_keys(merge.upsert(near, changed, ["k"]), gone, "k"), touched=touched)
         state[step] = f"s{step}"
         state.pop(50 + step)
-        changed = frame([(step, ""), (50 + step, "")])
-        assert house.write("t", frame(list(state.items())), touched=changed)
         assert dict(rows(house.table("t"))) == state
-        written = len(list((tmp_path / "t" / f"v{step + 2}").glob("_bucket=*")))
-        # A whole version comes after five partial ones.
-        assert written <= 2 or (written == 8 and step % 6 == 5)
+        kept = {p.rsplit("/", 2)[1] for p in before.keys() & files().keys()}
+        assert len(kept) >= 6
     assert not house.write("t", frame([]), touched=frame([]))
     house.write("t", frame([(7, "more")]), "append")
     assert sorted(rows(house.table("t"))) == sorted([*state.items(), (7, "more")])
-    house.write("t", frame([(1, "only")]), touched=frame([(1, "")]))
+    # All rows of the touched buckets are gone: their folders go too.
+    everything = frame([(k, "") for k in range(100)])
+    house.write("t", frame([(1, "only")]), touched=everything)
     assert rows(house.table("t")) == [(1, "only")]
 
 
-def test_two_writers_of_one_version(spark, tmp_path, target):
-    house = Warehouse(spark, str(tmp_path), {"t": target.schema})
-    house.write("t", target)
-    house._versions, real = lambda name: [], house._versions
-    with pytest.raises(Exception, match="v1|exist"):
-        house.write("t", target.limit(1))
-    house._versions = real
-    assert house.table("t").count() == target.count()
+def test_merges_prune_to_the_touched_buckets(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path), {"t": "k int, v string"}, {"t": (["k"], 16)})
+    house.write("t", spark.range(1000).selectExpr("CAST(id AS int) AS k", "'a' AS v"))
+    changed = spark.createDataFrame([(5, "b")], "k int, v string")
+    merged = merge.upsert(house.near("t", changed), changed, ["k"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "Scan parquet" in line and "_bucket" in line)
+    assert "_bucket#" in scan.split("PartitionFilters: [")[1] and merged.count() < 200
+
 
 
 def test_sources(spark, tmp_path, target):
