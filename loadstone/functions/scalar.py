@@ -58,9 +58,12 @@ def _zone_minutes(zone: Column) -> Column:
 
 def _to_utc(wall: Column, zone: Column) -> Column:
     """A wall clock time in UTC: by offset or abbreviation, else by the rules of any zone Spark knows."""
+    minutes = _zone_minutes(zone)
+    # Only a zone that is neither is tried by name; failing to make a time with it is slow.
+    other = minutes.isNull() & wall.isNotNull() & zone.isNotNull()
     known = F.try_make_timestamp(*[F.lit(n) for n in (2000, 1, 1, 0, 0, 0)], zone).isNotNull()
-    region = F.when(known, F.to_utc_timestamp(wall.cast("timestamp"), zone).cast("timestamp_ntz"))
-    return F.coalesce(F.timestamp_add("MINUTE", -_zone_minutes(zone), wall), region)
+    region = F.when(other, F.when(known, F.to_utc_timestamp(wall.cast("timestamp"), zone).cast("timestamp_ntz")))
+    return F.when(minutes.isNotNull(), F.timestamp_add("MINUTE", -minutes, wall)).otherwise(region)
 
 
 def parse_timestamp(text) -> Column:

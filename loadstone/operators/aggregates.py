@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,16 +33,24 @@ def with_child_values(
     return joined.select(*[c for c in parents.columns if c not in values], *out)
 
 
-def payment_costs(
-    payments: DataFrame, details: DataFrame, classes: dict[str, Sequence[int] | None], name: str = "project_id",
-    only: DataFrame | None = None,
-) -> DataFrame:
-    """Cost columns per project: own payments plus the payments hanging below them.
+def union_children(parts: dict[str, DataFrame], key: str, values: dict[str, Column]) -> DataFrame:
+    """Aggregates over several child tables of one parent key, with a single exchange for all of them.
+
+    The children are put below each other, each with its own columns and the others' null,
+    under its name in column ``child``; ``values`` are aggregates over that union. ``key`` is the only
+    column that children may share.
+    """
+    tagged = [frame.withColumn("child", F.lit(name)) for name, frame in parts.items()]
+    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tagged)
+    return rows.groupBy(key).agg(*[v.alias(n) for n, v in values.items()])
+
+
+def payment_rows(payments: DataFrame, details: DataFrame, name: str = "project_id", only: DataFrame | None = None) -> DataFrame:
+    """(project, payment_type_id, total_amount) of own payments and of the payments hanging below them.
 
     A payment counts by its latest detail, on its first installment and outside
-    the excluded states. ``classes`` maps a column to payment types (None: all).
-    ``only`` names the projects wanted; their own payments are looked up first,
-    then what hangs below those, so nothing else is joined or grouped.
+    the excluded states. ``only`` names the projects wanted; their own payments are looked up first,
+    then what hangs below those, so nothing else is joined.
     """
     details = details.select(
         F.col("payment_detail_id").alias("most_recent_detail_id"), "parent_payment_id", F.col("component_project_id").alias(name),
@@ -58,14 +67,27 @@ def payment_costs(
         payments.select("most_recent_detail_id"), "most_recent_detail_id"
     )
     columns = (name, "payment_type_id", "total_amount")
+    return own.filter(counts).select(*columns).unionByName(below.select(*columns))
+
+
+def cost_columns(classes: dict[str, Sequence[int] | None]) -> dict[str, Column]:
+    """Sums over payment rows; ``classes`` maps a column to payment types (None: all)."""
     amount = F.col("total_amount")
-    return own.filter(counts).select(*columns).unionByName(below.select(*columns)).groupBy(name).agg(*[
-        F.coalesce(
-            F.sum(amount if types is None else F.when(F.col("payment_type_id").isin(*types), amount)),
-            F.lit(0).cast("decimal(18,2)"),
-        ).alias(column)
+    return {
+        column: F.coalesce(
+            F.sum(amount if types is None else F.when(F.col("payment_type_id").isin(*types), amount)), F.lit(0).cast("decimal(18,2)")
+        )
         for column, types in classes.items()
-    ])
+    }
+
+
+def payment_costs(
+    payments: DataFrame, details: DataFrame, classes: dict[str, Sequence[int] | None], name: str = "project_id",
+    only: DataFrame | None = None,
+) -> DataFrame:
+    """Cost columns per project, see ``payment_rows`` and ``cost_columns``."""
+    rows = payment_rows(payments, details, name, only)
+    return rows.groupBy(name).agg(*[v.alias(n) for n, v in cost_columns(classes).items()])
 
 
 def tri_state_count(known: Column, counted: Column) -> Column:

@@ -11,16 +11,31 @@ are name calculators but publish none.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadstone.functions.scalar import placement_points, taxable_share
-from loadstone.operators.sequences import rank_with_ties
-from loadstone.session import settle
+from loadstone.operators.sequences import rank_with_ties, scan
 
 ResultPoints = Callable[[], tuple[Column, Column]]
-ContestRanking = Callable[[Column], Column]
+
+
+@dataclass(frozen=True)
+class ContestRanking:
+    """How a contest's results become a user's points, in three steps that Spark can spread.
+
+    ``row(points, factor)``: what a result is worth. It may use the result's columns and, if ``ordered``, ``nth``: the
+    place of the result among the user's in the contest, best first. ``merge(worth)``: aggregate over a user's results, combined on
+    the map side. ``finish(points, contest)``: the user's points, given the ``merge`` of all results of the contest.
+    """
+
+    row: Callable[[Column, Column], Column]
+    merge: Callable[[Column], Column]
+    finish: Callable[[Column, Column], Column] | None = None
+    ordered: bool = False
+
 
 _points: dict[str, ResultPoints] = {}
 _rankings: dict[str, ContestRanking] = {}
@@ -34,10 +49,10 @@ def points_calculator(name: str):
     return register
 
 
-def contest_ranking(name: str):
-    """Register a function that gives the weight of a result row's points, from the contest's factor."""
-    def register(function: ContestRanking) -> ContestRanking:
-        _rankings[name] = function
+def contest_ranking(name: str, merge: Callable[[Column], Column] = F.sum, finish=None, ordered: bool = False):
+    """Register a function as the ``row`` step of a ranking; the other steps are given here."""
+    def register(function: Callable[[Column, Column], Column]) -> Callable[[Column, Column], Column]:
+        _rankings[name] = ContestRanking(function, merge, finish, ordered)
         return function
     return register
 
@@ -93,15 +108,15 @@ def score_results(results: DataFrame, calculator: str = "calculator", default: s
 
 
 @contest_ranking("points")
-def every_point(factor: Column) -> Column:
+def every_point(points: Column, factor: Column) -> Column:
     """Each user's points are the sum over the contest's results."""
-    return F.lit(1.0)
+    return points
 
 
 @contest_ranking("top_performers")
-def first_places(factor: Column) -> Column:
+def first_places(points: Column, factor: Column) -> Column:
     """As ``points``, with first places counted ``factor`` times."""
-    return F.when(F.col("placed") == 1, factor).otherwise(F.lit(1.0))
+    return F.when(F.col("placed") == 1, points * factor).otherwise(points)
 
 
 def rank_contests(
@@ -117,14 +132,34 @@ def rank_contests(
     contest's place goes to every user on it, users without points get none.
     """
     factor = factor if isinstance(factor, Column) else F.lit(float(factor))
-    name = calculator if isinstance(calculator, Column) else F.lit(calculator)
-    weight = _by_name(name, {key: build(factor) for key, build in _rankings.items()})
-    cents = lambda column: (F.col(column) * weight).cast("decimal(18,2)")
+    fixed_name = calculator if isinstance(calculator, str) else None
+    used = _rankings if fixed_name is None else {fixed_name: _rankings[fixed_name]} if fixed_name in _rankings else _rankings
     sums = {"points_awarded": "initial_points", "final_points": "final_points", "potential_points": "potential_points"}
-    extra = [c for c in ("taxable_points",) if c in results.columns]
-    sums |= {c: c for c in extra}
-    # Ranking reads the totals three times, so they are summed up once.
-    totals = settle(results.groupBy("contest_id", "user_id").agg(*[F.sum(cents(c)).alias(n) for c, n in sums.items()]))
+    sums |= {c: c for c in ("taxable_points",) if c in results.columns}
+    rows = results.withColumns({"_how": F.lit(calculator) if fixed_name else calculator, "_factor": factor})
+    if any(ranking.ordered for ranking in used.values()):
+        rows = scan(rows, ["contest_id", "user_id"], [F.col("final_points").desc(), F.xxhash64(*results.columns)], number="nth")
+    money = "decimal(18,2)"
+    worth = lambda column, name: (
+        F.when(F.col("_how") == name, used[name].row(F.col(column), F.col("_factor")).cast(money))
+    )
+    partial = [used[name].merge(worth(column, name)).alias(f"{as_name}:{name}") for column, as_name in sums.items() for name in used]
+    per_user = rows.groupBy("contest_id", "user_id", "_how").agg(*partial)
+    finishing = [name for name, ranking in used.items() if ranking.finish]
+    if finishing:
+        # One row per contest, from the same partial aggregates over all its results.
+        whole = rows.groupBy(F.col("contest_id").alias("_contest")).agg(
+            *[used[name].merge(worth(column, name)).alias(f"all:{as_name}:{name}") for column, as_name in sums.items() for name in finishing]
+        )
+        per_user = per_user.join(whole, F.col("contest_id") == F.col("_contest"), "left")
+    done = lambda name, as_name: (
+        F.col(f"{as_name}:{name}") if name not in finishing
+        else used[name].finish(F.col(f"{as_name}:{name}"), F.col(f"all:{as_name}:{name}"))
+    )
+    totals = per_user.select(
+        "contest_id", "user_id", *[_by_name(F.col("_how"), {name: done(name, as_name) for name in used}).alias(as_name) for as_name in sums.values()]
+    )
+    extra = [c for c in sums if c == "taxable_points"]
     ranked = rank_with_ties(totals, ["contest_id"], "final_points", rank="current_place")
     offered = prizes.groupBy("contest_id", F.col("place").alias("current_place")).agg(
         F.max("prize_amount").alias("current_prize")

@@ -87,54 +87,25 @@ def touched_projects(ctx: LoadContext) -> DataFrame:
     return keys
 
 
-def phase_dates(ctx: LoadContext, only: DataFrame) -> DataFrame:
-    """Phase dates per project, one row, from one pass over the phases."""
-    phases = ctx.source("project_phase").join(only, "project_id", "left_semi")
+def _phase_values() -> dict[str, Column]:
+    """Phase dates of a project over its phase rows."""
     of = lambda kind, column: F.max(F.when(F.col("phase_type_id") == kind, F.col(column)))
     actual_or_planned = lambda kind, side: F.coalesce(of(kind, f"actual_{side}_time"), of(kind, f"scheduled_{side}_time"))
-    closed = F.col("phase_status_id") == 3
-    dates = phases.groupBy("project_id").agg(
-        actual_or_planned(REGISTRATION, "start").alias("posted"),
-        of(SUBMISSION, "actual_end_time").alias("submitby_date"),
-        actual_or_planned(CHECKPOINT, "start").alias("checkpoint_start_date"),
-        actual_or_planned(CHECKPOINT_END, "end").alias("checkpoint_end_date"),
-        actual_or_planned(REGISTRATION, "end").alias("registration_end_date"),
-        F.max("scheduled_end_time").alias("scheduled_end_date"),
-        F.max(F.when((F.col("phase_type_id") == REVIEW) & closed, F.col("actual_end_time"))).alias("review_end"),
-    )
-    fixes = aggregates.cutoff_max(
-        phases, "project_id", F.col("actual_end_time"), (F.col("phase_type_id") == FINAL_FIX) & closed,
-        F.coalesce("actual_start_time", "scheduled_start_time"), F.col("phase_type_id") == APPROVAL, "fix_end",
-    )
-    current = joins.first_related(
-        phases.filter(F.col("phase_status_id") == 2), "project_id", "project_phase_id", {"review_phase_id": "phase_type_id"}
-    )
-    named = joins.lookup(current, ctx.source("phase_type_lu"), {"review_phase_id": "phase_type_id"}, {"review_phase_name": "name"}, "left")
-    return dates.join(fixes, "project_id", "left").join(named, "project_id", "left")
-
-
-def people(ctx: LoadContext, only: DataFrame) -> DataFrame:
-    """Manager and copilot: the first resource of the role, if it is a known user."""
-    resources = ctx.source("resource").join(only, "project_id", "left_semi")
-    users = ctx.source("common.user").select("user_id")
-    named = ctx.source("resource_info").filter(F.col("resource_info_type_id") == 1).select(
-        "resource_id", scalar.to_long("value").alias("info_user")
-    )
-    managers = resources.filter(F.col("resource_role_id") == MANAGER).join(named, "resource_id").filter(~F.col("info_user").isin(*NO_MANAGER))
-    manager = joins.first_related(managers, "project_id", "resource_id", {"challenge_manager": "info_user"})
-    copilot = joins.first_related(
-        resources.filter(F.col("resource_role_id") == COPILOT), "project_id", "resource_id", {"copilot": "user_id"}
-    )
-    return (
-        manager.join(users.withColumnRenamed("user_id", "challenge_manager"), "challenge_manager", "left_semi")
-        .join(copilot.join(users.withColumnRenamed("user_id", "copilot"), "copilot", "left_semi"), "project_id", "full")
-    )
+    closed = (F.col("phase_type_id") == REVIEW) & (F.col("phase_status_id") == 3)
+    open_phase = F.when(F.col("phase_status_id") == 2, F.struct("project_phase_id", "phase_type_id"))
+    return {
+        "posted": actual_or_planned(REGISTRATION, "start"),
+        "submitby_date": of(SUBMISSION, "actual_end_time"),
+        "checkpoint_start_date": actual_or_planned(CHECKPOINT, "start"),
+        "checkpoint_end_date": actual_or_planned(CHECKPOINT_END, "end"),
+        "registration_end_date": actual_or_planned(REGISTRATION, "end"),
+        "scheduled_end_date": F.max("scheduled_end_time"),
+        "review_end": F.max(F.when(closed, F.col("actual_end_time"))),
+        "_open_phase": F.min(open_phase),
+    }
 
 
-def submission_counts(ctx: LoadContext, base: DataFrame, only: DataFrame) -> DataFrame:
-    rows = ctx.source("upload").select("upload_id", "project_id").join(only, "project_id", "left_semi").join(
-        ctx.source("submission").select("upload_id", "submission_type_id", "submission_status_id"), "upload_id"
-    )
+def _submission_values() -> dict[str, Column]:
     status = F.col("submission_status_id")
     contest, checkpoint = (F.col("submission_type_id") == kind for kind in (CONTEST_SUBMISSION, CHECKPOINT_SUBMISSION))
     counts = {
@@ -144,25 +115,73 @@ def submission_counts(ctx: LoadContext, base: DataFrame, only: DataFrame) -> Dat
         "num_checkpoint_submissions": checkpoint & (status != 5),
         "num_valid_checkpoint_submissions": checkpoint & status.isin(1, 3, 4, 7),
     }
-    return aggregates.with_child_values(
-        base, rows, "project_id", {n: aggregates.count_where(c) for n, c in counts.items()}, zero=list(counts)
+    return {n: aggregates.count_where(c) for n, c in counts.items()}
+
+
+def _prize_values() -> dict[str, Column]:
+    kind, amount, number = F.col("prize_type_id"), F.col("prize_amount"), F.col("number_of_submissions")
+    return {
+        "first_place_prize": F.sum(F.when((kind == PRIZE) & (F.col("place") == 1), amount)),
+        "total_prize": F.sum(F.when(kind.isin(PRIZE, CHECKPOINT_PRIZE), number * amount)),
+        "checkpoint_prize_number": F.sum(F.when(kind == CHECKPOINT_PRIZE, number)),
+        "checkpoint_prize_amount": F.max(F.when(kind == CHECKPOINT_PRIZE, amount)),
+    }
+
+
+def project_children(ctx: LoadContext, only: DataFrame, names: list[str]) -> DataFrame:
+    """Everything the child tables say about the given projects, one row per project.
+
+    Attributes, phases, resources, submissions, prizes, results and payments are cut down to
+    these projects and aggregated together: one exchange in place of one per table.
+    """
+    near = lambda table: ctx.source(table).join(only, "project_id", "left_semi")
+    chosen = {name: fixed.PROJECT_ATTRIBUTES[name] for name in names}
+    phases, role = near("project_phase"), F.col("resource_role_id")
+    named = ctx.source("resource_info").filter(F.col("resource_info_type_id") == 1).select("resource_id", scalar.to_long("value").alias("user"))
+    resources = near("resource")
+    managers = resources.filter(role == MANAGER).select("project_id", "resource_id").join(named, "resource_id").filter(~F.col("user").isin(*NO_MANAGER))
+    parts = {
+        "attribute": near("project_info").filter(F.col("project_info_type_id").isin(*chosen.values())).select("project_id", "project_info_type_id", "value"),
+        "phase": phases.select(
+            "project_id", "project_phase_id", "phase_type_id", "phase_status_id",
+            *[f"{kind}_{side}_time" for kind in ("actual", "scheduled") for side in ("start", "end")],
+        ),
+        "resource": resources.filter(role.isin(SUBMITTER, COPILOT)).select(
+            "project_id", "resource_role_id", F.struct(F.col("resource_id").alias("id"), F.col("user_id").alias("user")).alias("copilot_at")
+        ),
+        "manager": managers.select("project_id", F.struct(F.col("resource_id").alias("id"), "user").alias("manager_at")),
+        "submission": ctx.source("upload").select("upload_id", "project_id").join(only, "project_id", "left_semi").join(
+            ctx.source("submission").select("upload_id", "submission_type_id", "submission_status_id"), "upload_id"
+        ).drop("upload_id"),
+        "prize": near("prize").select("project_id", "prize_type_id", "place", "prize_amount", "number_of_submissions"),
+        "result": near("project_result").select("project_id", "raw_score", "final_score"),
+        "payment": aggregates.payment_rows(ctx.source("payment"), ctx.source("payment_detail"), only=only),
+    }
+    renamed = {n: n if n in ("version_ref", "component_ref") else f"a_{n}" for n in names}
+    values = {
+        **{renamed[n]: F.max(F.when(F.col("project_info_type_id") == kind, F.col("value"))) for n, kind in chosen.items()},
+        **_phase_values(), **_submission_values(), **_prize_values(), **aggregates.cost_columns(COST_CLASSES),
+        "num_registrations": aggregates.count_where(role == SUBMITTER),
+        "_copilot_at": F.min(F.when(role == COPILOT, F.col("copilot_at"))),
+        "_manager_at": F.min("manager_at"),
+        "avg_raw_score": F.avg("raw_score"),
+        "avg_final_score": F.avg("final_score"),
+    }
+    children = aggregates.union_children(parts, "project_id", values)
+    fixes = aggregates.cutoff_max(
+        phases, "project_id", F.col("actual_end_time"), (F.col("phase_type_id") == FINAL_FIX) & (F.col("phase_status_id") == 3),
+        F.coalesce("actual_start_time", "scheduled_start_time"), F.col("phase_type_id") == APPROVAL, "fix_end",
     )
+    children = children.join(fixes, "project_id", "left").withColumns({
+        "_manager": F.col("_manager_at.user"), "_copilot": F.col("_copilot_at.user"), "review_phase_id": F.col("_open_phase.phase_type_id"),
+    })
+    return joins.lookup(children, ctx.source("phase_type_lu"), {"review_phase_id": "phase_type_id"}, {"review_phase_name": "name"}, "left")
 
 
 def prize_totals(ctx: LoadContext, base: DataFrame, only: DataFrame) -> DataFrame:
     prizes = ctx.source("prize").join(only, "project_id", "left_semi")
-    kind, amount, number = F.col("prize_type_id"), F.col("prize_amount"), F.col("number_of_submissions")
-    return aggregates.with_child_values(
-        base, prizes, "project_id",
-        {
-            "first_place_prize": F.sum(F.when((kind == PRIZE) & (F.col("place") == 1), amount)),
-            "total_prize": F.sum(F.when(kind.isin(PRIZE, CHECKPOINT_PRIZE), number * amount)),
-            "checkpoint_prize_number": F.sum(F.when(kind == CHECKPOINT_PRIZE, number)),
-            "checkpoint_prize_amount": F.max(F.when(kind == CHECKPOINT_PRIZE, amount)),
-        },
-    ).withColumns({
-        c: scalar.or_zero(c) for c in ("first_place_prize", "total_prize", "checkpoint_prize_number", "checkpoint_prize_amount")
-    })
+    values = _prize_values()
+    return aggregates.with_child_values(base, prizes, "project_id", values).withColumns({c: scalar.or_zero(c) for c in values})
 
 
 def component_side(ctx: LoadContext, base: DataFrame) -> DataFrame:
@@ -194,28 +213,17 @@ def project_rows(ctx: LoadContext, only: DataFrame, categories: Column) -> DataF
         "billing", "review_cost", "review_cost_more", "reliability_cost", "reliability_flag", "copilot_cost", "viewable_flag",
         "fee_percentage", "launcher", "task_flag",
     ]
-    wide = attributes(ctx, names, only).withColumnsRenamed({n: f"a_{n}" for n in names if n not in ("version_ref", "component_ref")})
-    rows = component_side(ctx, project.join(wide, "project_id"))
-    rows = joins.left_where(rows, phase_dates(ctx, only), ["project_id"])
-    rows = joins.left_where(rows, people(ctx, only), ["project_id"])
-    rows = aggregates.with_child_values(
-        rows, ctx.source("resource").filter(F.col("resource_role_id") == SUBMITTER).join(only, "project_id", "left_semi"),
-        "project_id", {"num_registrations": F.count(F.lit(1))}, zero=["num_registrations"],
-    )
-    rows = submission_counts(ctx, rows, only)
-    rows = prize_totals(ctx, rows, only)
-    rows = aggregates.with_child_values(
-        rows, ctx.source("project_result").join(only, "project_id", "left_semi"), "project_id",
-        {"avg_raw_score": F.avg("raw_score"), "avg_final_score": F.avg("final_score")},
-    )
-    costs = aggregates.payment_costs(ctx.source("payment"), ctx.source("payment_detail"), COST_CLASSES, only=only)
-    rows = joins.left_where(rows, costs, ["project_id"])
+    # Settled, as the columns below are computed from it over and over.
+    children = settle(project_children(ctx, only, names))
+    rows = component_side(ctx, project.join(children, "project_id"))
+    rows = rows.withColumns({c: scalar.or_zero(c) for c in _prize_values()})
     rows = joins.exists_flag(
         rows, ctx.source("contest_eligibility").withColumnRenamed("contest_id", "project_id"), ["project_id"], "is_private"
     )
     users = ctx.source("common.user").select("user_id")
     rows = rows.withColumn("_launcher", scalar.to_long("a_launcher"))
-    for name, column in (("challenge_creator", "create_user"), ("challenge_launcher", "_launcher")):
+    known = (("challenge_creator", "create_user"), ("challenge_launcher", "_launcher"), ("challenge_manager", "_manager"), ("copilot", "_copilot"))
+    for name, column in known:
         rows = joins.lookup(rows, users, {column: "user_id"}, {name: "user_id"}, "left")
     rows = with_stage(ctx, rows, "posted")
 

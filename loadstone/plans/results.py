@@ -81,11 +81,16 @@ def result_rows(ctx: LoadContext, only: DataFrame) -> DataFrame:
     versions = reference(ctx, 1, "comp_vers_id").join(ctx.source("comp_versions").select("comp_vers_id"), "comp_vers_id", "left_semi")
     info = ctx.source("resource_info")
     named = info.filter(F.col("resource_info_type_id") == 1).select("resource_id", scalar.to_long("value").alias("user_id"))
-    registered = info.filter(F.col("resource_info_type_id") == 6).groupBy("resource_id").agg(F.max("value").alias("registered_text"))
-    submitters = (
+    submitters = settle(
         ctx.source("resource").filter(F.col("resource_role_id") == 1).select("resource_id", "project_id")
         .join(only, "project_id", "left_semi").join(named, "resource_id")
     )
+    # Parsed in a step of its own: reading a text in five forms is more code than fits beside an aggregate.
+    texts = settle(
+        info.filter(F.col("resource_info_type_id") == 6).join(submitters, "resource_id", "left_semi")
+        .groupBy("resource_id").agg(F.max("value").alias("registered_text"))
+    )
+    registered = settle(texts.select("resource_id", scalar.parse_timestamp("registered_text").alias("registered")))
     inquiries = ctx.source("component_inquiry").groupBy("project_id", "user_id").agg(F.max("create_time").alias("inquired"))
     reliability = ctx.source("project_reliability").select(
         "project_id", "user_id", F.col("reliability_before_resolution").alias("old_reliability"),
@@ -109,7 +114,7 @@ def result_rows(ctx: LoadContext, only: DataFrame) -> DataFrame:
         "valid_submission_ind": F.when(scored, won).when(F.col("submitted") == 1, F.col("valid_submission_ind")).otherwise(0),
         "raw_score": F.when(scored, F.col("top_initial")).otherwise(F.col("raw_score")),
         "final_score": F.when(scored, F.col("top_final")).otherwise(F.col("final_score")),
-        "inquire_timestamp": F.coalesce("inquired", scalar.parse_timestamp("registered_text")),
+        "inquire_timestamp": F.coalesce("inquired", "registered"),
         "payment": F.when(scored, F.col("top_prize")).otherwise(F.col("payment")),
         "passed_review_ind": passed,
         "placed": F.when(F.col("placed").isNull() & scored & (won == 1), 1).otherwise(F.col("placed")),

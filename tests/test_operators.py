@@ -1,6 +1,7 @@
 """Change capture, write modes, joins and aggregates on hand-made rows."""
 
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import PySparkException
@@ -124,6 +125,26 @@ def test_calendar_strict(spark):
         joins.calendar_lookup(late, calendar, {"c": "t"}, strict=True).collect()
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_range_join_of_a_minute_and_of_500_years(spark, how):
+    """Short and open-ended spans in one table, against all pairs; no span takes more than a few rows."""
+    rng = random.Random(12)
+    day = lambda d, s=0: datetime(1900, 1, 1) + timedelta(days=d, seconds=s)
+    spans = [("minute", k % 3, day(100 * k), day(100 * k, 60)) for k in range(200)]
+    spans += [("year", k % 3, day(365 * k), day(365 * k + 364)) for k in range(60)]
+    spans += [("era", 0, datetime(1700, 1, 1), datetime(2200, 1, 1)), ("open", 1, day(5000), datetime(9999, 12, 31)), ("none", 1, day(9), day(8)), ("null", 1, None, day(8))]
+    points = [(i, rng.randrange(3), day(100 * rng.randrange(250), rng.choice([0, 30, 60, 61]))) for i in range(300)] + [(-1, 0, None), (-2, 5, day(4))]
+    found = joins.range_join(
+        spark.createDataFrame(points, "i int, g int, t timestamp_ntz"), spark.createDataFrame(spans, "name string, g int, a timestamp_ntz, b timestamp_ntz"),
+        "t", "a", "b", on=["g"], how=how,
+    )
+    expected = []
+    for i, g, t in points:
+        hits = [(i, name) for name, h, a, b in spans if t and a and g == h and a <= t <= b]
+        expected += hits or ([(i, None)] if how == "left" else [])
+    assert sorted(rows(found, "i", "name"), key=repr) == sorted(expected, key=repr)
+
+
 def test_range_join_bounds(spark):
     spans = spark.createDataFrame(
         [(1, datetime(2009, 1, 10), datetime(2009, 3, 5)), (2, datetime(2009, 3, 6), datetime(2009, 3, 6)), (3, DAY[5], DAY[2])],
@@ -163,6 +184,31 @@ def test_tri_state(spark):
     assert rows(counted) == [(1, None), (2, 1), (3, 0)]
 
 
+def test_rankings_that_look_at_all_results(spark):
+    """Best two results of a user, and a user's share of the contest's points."""
+    scoring.contest_ranking("best_two", ordered=True)(lambda points, factor: F.when(F.col("nth") <= 2, points).otherwise(0))
+    scoring.contest_ranking("share", finish=lambda mine, whole: F.try_divide(100 * mine, whole).cast("decimal(18,2)"))(lambda points, factor: points)
+    try:
+        rng = random.Random(2)
+        data = [(c, rng.randrange(6), rng.randrange(1, 4), float(rng.randrange(100))) for c in (1, 2) for _ in range(60)]
+        frame = spark.createDataFrame(data, "contest_id int, user_id int, placed int, final_points double").withColumns(
+            {"points_awarded": F.col("final_points"), "potential_points": F.lit(0.0)}
+        )
+        prizes = spark.createDataFrame([(1, 1, 50)], "contest_id int, place int, prize_amount int")
+        by_user = {}
+        for c, u, _, p in data:
+            by_user.setdefault((c, u), []).append(p)
+        best = {(r.contest_id, r.user_id): float(r.final_points) for r in scoring.rank_contests(frame, prizes, "best_two").collect()}
+        assert best == {k: sum(sorted(v)[-2:]) for k, v in by_user.items()}
+        shares = {(r.contest_id, r.user_id): float(r.final_points) for r in scoring.rank_contests(frame, prizes, "share").collect()}
+        whole = {c: sum(p for d, _, _, p in data if d == c) for c in (1, 2)}
+        assert shares == {k: pytest.approx(100 * sum(v) / whole[k[0]], abs=0.006) for k, v in by_user.items()}
+        mixed = scoring.rank_contests(frame, prizes, F.when(F.col("contest_id") == 1, "best_two").otherwise("points")).collect()
+        assert {(r.contest_id, r.user_id): float(r.final_points) for r in mixed} == {k: sum(sorted(v)[-2:]) if k[0] == 1 else sum(v) for k, v in by_user.items()}
+    finally:
+        scoring._rankings.pop("best_two"), scoring._rankings.pop("share")
+
+
 def test_contest_ranking(spark):
     results = spark.createDataFrame(
         [(1, 10, 1, 5.0), (1, 11, 2, 9.0), (1, 12, 3, 9.0), (1, 13, 4, 0.0), (1, 10, 2, 3.0)], "contest_id int, user_id int, placed int, p double"
