@@ -100,9 +100,47 @@ def on_older_state(name: str, keys: str):
     run.__name__ = name.replace("load_", "update_")
     run.__doc__ = f"The {table} table after the load, from an older state of it."
     listed = ", ".join(_duck_column(c, types[c]) for c in names)
-    moved = ", ".join(f"-{c} - 1 AS {c}" if c == key else c for c in names)
-    result = f"SELECT * FROM ({known['sql']}) AS result({', '.join(names)})"
-    add(run.__name__, run, world.duck_sql(f"SELECT {listed} FROM (SELECT * FROM ({result}) UNION ALL SELECT {moved} FROM ({result}) WHERE {key} % 3 = 0)"))
+    # The load is worked out once and named twice.
+    add(run.__name__, run, world.duck_sql(
+        f"WITH result({', '.join(names)}) AS MATERIALIZED ({known['sql']}) "
+        f"SELECT {listed} FROM (SELECT * FROM result UNION ALL SELECT {_moved(names, key)} FROM result WHERE {key} % 3 = 0)"
+    ))
+
+
+def _moved(names: list[str], key: str) -> str:
+    return ", ".join(f"-{c} - 1 AS {c}" if c == key else c for c in names)
+
+
+def on_filled_target(name: str, keys: str, touched: str):
+    """Register ``name`` once more, as update_<load>, on a target that already holds rows, so that its later run is taken.
+
+    Every third row by the first key is there without its values, and once more under a
+    key of its own. Only the keys ``touched`` selects are loaded; the others keep what they have.
+    """
+    known, key = JOBS[name], keys.split()[0]
+    load, table, names, types = (known[k] for k in ("load", "table", "names", "types"))
+
+    def older(spark, folder):
+        full = context(spark, folder, known["hwm"], known["targets"], known["options"])
+        rows = settle(all_loads()[load].run(full)[table].rows).filter(F.col(key) % 3 == 0)
+        stale = rows.select(*[F.col(f.name) if f.name in keys.split() else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+        return stale.unionByName(rows.withColumn(key, (-F.col(key) - 1).cast(rows.schema[key].dataType)))
+
+    def run(spark, folder):
+        ctx = context(spark, folder, known["hwm"], {**known["targets"], table: older}, known["options"])
+        rows = all_loads()[load].run(ctx)[table].rows
+        return rows.select(*[_spark_column(c, types[c]) for c in names])
+
+    run.__name__ = f"update_{load}"
+    run.__doc__ = f"The {table} table after a later run of the load {load}."
+    listed = ", ".join(_duck_column(c, types[c]) for c in names)
+    stale = ", ".join(c if c in keys.split() else f"NULL AS {c}" for c in names)
+    add(run.__name__, run, world.duck_sql(
+        f"WITH result({', '.join(names)}) AS MATERIALIZED ({known['sql']}), changed AS MATERIALIZED ({touched}) "
+        f"SELECT {listed} FROM (SELECT * FROM result WHERE {key} IN (SELECT {key} FROM changed) "
+        f"UNION ALL SELECT {stale} FROM result WHERE {key} % 3 = 0 AND {key} NOT IN (SELECT {key} FROM changed) "
+        f"UNION ALL SELECT {_moved(names, key)} FROM result WHERE {key} % 3 = 0)"
+    ))
 
 
 H = "TIMESTAMP '1999-06-01'"
@@ -239,23 +277,39 @@ def _phase(number: int, column: str, extra: str = "") -> str:
     return f"(SELECT {column} FROM src_project_phase h WHERE h.project_id = p.project_id AND h.phase_type_id = {number}{extra})"
 
 
+_SENT_STATES = {(1, "<> 5"): "all1", (1, "IN (1, 3, 4)"): "valid1", (1, "IN (1, 4)"): "passed1", (3, "<> 5"): "all3", (3, "IN (1, 3, 4, 7)"): "valid3"}
+
+
 def _submitted(kind: int, states: str) -> str:
-    return (
-        "(SELECT count(*) FROM src_submission s JOIN src_upload u ON u.upload_id = s.upload_id "
-        f"WHERE u.project_id = p.project_id AND s.submission_type_id = {kind} AND s.submission_status_id {states})"
+    return f"coalesce((SELECT k.{_SENT_STATES[kind, states]} FROM sent_counts k WHERE k.project_id = p.project_id), 0)"
+
+
+def _sent_steps() -> str:
+    counts = ", ".join(
+        f"count(*) FILTER (s.submission_type_id = {kind} AND s.submission_status_id {states}) AS {name}" for (kind, states), name in _SENT_STATES.items()
     )
+    return f"sent_counts AS MATERIALIZED (SELECT u.project_id, {counts} FROM src_submission s JOIN src_upload u ON u.upload_id = s.upload_id GROUP BY 1)"
+
+
+_COST_TYPES = {None: "paid", (24,): "reliability", (7, 26, 28, 36): "review", fixed.PRIZE_PAYMENTS: "prize", (45, 57): "copilot"}
 
 
 def _cost(types: tuple[int, ...] | None) -> str:
-    def kind(alias: str) -> str:
-        return "" if types is None else f" AND {alias}.payment_type_id IN ({', '.join(map(str, types))})"
+    return f"coalesce((SELECT k.{_COST_TYPES[types]} FROM costs k WHERE k.project_id = p.project_id), 0)"
+
 
+def _cost_steps() -> str:
     counted = "{a}.installment_number = 1 AND {a}.payment_status_id NOT IN (65, 68, 69)"
-    return (
-        f"(coalesce((SELECT sum(l.total_amount) FROM latest l WHERE l.component_project_id = p.project_id AND {counted.format(a='l')}{kind('l')}), 0)"
-        f" + coalesce((SELECT sum(c.total_amount) FROM latest c JOIN latest l ON l.payment_id = c.parent_payment_id"
-        f" WHERE l.component_project_id = p.project_id AND {counted.format(a='c')}{kind('c')}), 0))"
+    sums = ", ".join(
+        f"sum(total_amount){'' if types is None else ' FILTER (payment_type_id IN (' + ', '.join(map(str, types)) + '))'} AS {name}"
+        for types, name in _COST_TYPES.items()
     )
+    return f"""
+spent AS MATERIALIZED (
+  SELECT l.component_project_id AS project_id, l.payment_type_id, l.total_amount FROM latest l WHERE {counted.format(a='l')}
+  UNION ALL
+  SELECT l.component_project_id, c.payment_type_id, c.total_amount FROM latest c JOIN latest l ON l.payment_id = c.parent_payment_id WHERE {counted.format(a='c')}),
+costs AS MATERIALIZED (SELECT project_id, {sums} FROM spent WHERE project_id IS NOT NULL GROUP BY 1)"""
 
 
 def _money(text: str) -> str:
@@ -275,7 +329,7 @@ touched AS (
         WHERE d.payment_status_id NOT IN (65, 69) AND (d.create_date > {H} OR d.date_modified > {H} OR m.create_date > {H} OR m.modify_date > {H}))"""
 
 _LATEST = """
-latest AS (SELECT m.payment_id, d.* FROM src_payment m JOIN src_payment_detail d ON d.payment_detail_id = m.most_recent_detail_id)"""
+latest AS MATERIALIZED (SELECT m.payment_id, d.* FROM src_payment m JOIN src_payment_detail d ON d.payment_detail_id = m.most_recent_detail_id)"""
 
 job("project",
     "project_id component_id component_name num_registrations num_submissions num_valid_submissions num_submissions_passed_review "
@@ -286,7 +340,7 @@ job("project",
     "checkpoint_start_date checkpoint_end_date registration_end_date scheduled_end_date dr_points reliability_cost review_cost actual_total_prize copilot_cost "
     "forum_id submission_viewable is_private estimated_reliability_cost estimated_review_cost estimated_copilot_cost estimated_admin_fee task_ind "
     "stage_id fulfillment start_date_calendar_id", f"""
-WITH {_TOUCHED}, {_LATEST},
+WITH {_TOUCHED}, {_LATEST}, {_cost_steps()}, {_sent_steps()},
 spans AS (SELECT s.stage_id, a.date AS lo, b.date AS hi FROM dw_stage s JOIN dw_calendar a ON a.calendar_id = s.start_calendar_id JOIN dw_calendar b ON b.calendar_id = s.end_calendar_id),
 firsts AS (SELECT r.project_id, min(r.resource_id) FILTER (r.resource_role_id = 13) AS m, min(r.resource_id) FILTER (r.resource_role_id = 14) AS c FROM src_resource r GROUP BY 1),
 live AS (SELECT project_id, min(project_phase_id) AS phase FROM src_project_phase WHERE phase_status_id = 2 GROUP BY 1),
@@ -376,26 +430,36 @@ JOIN src_comp_technology t ON CAST(t.comp_vers_id AS VARCHAR) = i.value JOIN src
 # --- reviews --------------------------------------------------------------------
 
 
-def _reviewed(roles: str) -> str:
-    return f"""
-src_review r JOIN src_submission s ON s.submission_id = r.submission_id AND s.submission_type_id = 1
-JOIN src_upload u ON u.upload_id = s.upload_id
-JOIN (SELECT * FROM src_project p WHERE p.project_status_id <> 3 AND p.project_category_id IN {_CATEGORIES} AND {ELIGIBLE}) p ON p.project_id = u.project_id
-JOIN src_resource res ON res.resource_id = r.resource_id AND res.resource_role_id IN {roles}
-JOIN src_resource_info res1 ON res1.resource_id = u.resource_id AND res1.resource_info_type_id = 1
-JOIN src_resource_info res2 ON res2.resource_id = r.resource_id AND res2.resource_info_type_id = 1"""
+def _review_steps(roles: str) -> str:
+    """Reviews on open projects, one small join at a time; ``latest`` is the last change on the way."""
+    return f"""WITH open_project AS MATERIALIZED (
+  SELECT p.project_id FROM src_project p WHERE p.project_status_id <> 3 AND p.project_category_id IN {_CATEGORIES} AND {ELIGIBLE}),
+named AS MATERIALIZED (SELECT resource_id, value, modify_date AS m FROM src_resource_info WHERE resource_info_type_id = 1),
+uploaded AS MATERIALIZED (
+  SELECT u.upload_id, u.project_id, n.value AS user_id, greatest(u.modify_date, n.m) AS m
+  FROM src_upload u JOIN open_project p ON p.project_id = u.project_id JOIN named n ON n.resource_id = u.resource_id),
+entered AS MATERIALIZED (
+  SELECT s.submission_id, u.project_id, u.user_id, greatest(s.modify_date, u.m) AS m
+  FROM src_submission s JOIN uploaded u ON u.upload_id = s.upload_id WHERE s.submission_type_id = 1),
+reviewer AS MATERIALIZED (
+  SELECT r.resource_id, r.resource_role_id AS role, n.value AS reviewer_id, greatest(r.modify_date, n.m) AS m
+  FROM src_resource r JOIN named n ON n.resource_id = r.resource_id WHERE r.resource_role_id IN {roles}),
+reviewed AS MATERIALIZED (
+  SELECT r.review_id, r.scorecard_id, r.score, r.initial_score, e.project_id, e.user_id, w.reviewer_id, w.role, greatest(r.modify_date, e.m, w.m) AS modify_date
+  FROM src_review r JOIN entered e ON e.submission_id = r.submission_id JOIN reviewer w ON w.resource_id = r.resource_id)"""
+
+
+def _item_steps(roles: str) -> str:
+    return _review_steps(roles) + """,
+item AS MATERIALIZED (
+  SELECT i.review_item_id, i.scorecard_question_id, i.answer, r.review_id, r.project_id, r.user_id, r.reviewer_id, greatest(i.modify_date, r.modify_date) AS modify_date
+  FROM src_review_item i JOIN reviewed r ON r.review_id = i.review_id)"""
 
 
 def _after(*aliases: str, mark: str = H) -> str:
     return "(" + " OR ".join(f"{a}.modify_date > {mark}" for a in aliases) + ")"
 
 
-def _items(roles: str) -> str:
-    return "src_review_item ri JOIN " + _reviewed(roles).strip().replace("src_review r JOIN", "src_review r ON r.review_id = ri.review_id JOIN", 1)
-
-
-
-_CHAIN = ("r", "s", "u", "res", "res1", "res2")
 _LATE = "TIMESTAMP '2001-03-01'"
 _LATE_MARK = datetime(2001, 3, 1)
 
@@ -413,14 +477,15 @@ def _evaluation(kind: str, answer: str) -> str:
 _SUCCESS = "CASE WHEN ric.extra_info IS NULL THEN NULL WHEN ric.extra_info = 'Succeeded' THEN 1 ELSE 0 END"
 
 job("appeal", "appeal_id scorecard_question_id scorecard_id project_id user_id reviewer_id raw_evaluation_id final_evaluation_id appeal_text appeal_response successful_ind", f"""
-SELECT ric.review_item_comment_id, ri.scorecard_question_id, r.review_id, u.project_id, res1.value, res2.value,
+{_item_steps('(4, 5, 6, 7)')}
+SELECT ric.review_item_comment_id, ri.scorecard_question_id, ri.review_id, ri.project_id, ri.user_id, ri.reviewer_id,
        {_evaluation('sq.scorecard_question_type_id', 'resp.extra_info')}, {_evaluation('sq.scorecard_question_type_id', 'ri.answer')},
        coalesce(ric.content, ''), coalesce(resp.content, ''), {_SUCCESS}
-FROM {_items('(4, 5, 6, 7)')}
+FROM item ri
 JOIN src_review_item_comment ric ON ric.review_item_id = ri.review_item_id AND ric.comment_type_id = 4
 JOIN src_scorecard_question sq ON sq.scorecard_question_id = ri.scorecard_question_id
 LEFT JOIN src_review_item_comment resp ON resp.review_item_id = ri.review_item_id AND resp.comment_type_id = 5
-WHERE {_after('ric', 'ri', *_CHAIN, mark=_LATE)}""", hwm=_LATE_MARK)
+WHERE {_after('ric', 'ri', mark=_LATE)}""", hwm=_LATE_MARK)
 
 
 def _part(answer: str, n: int, checked: bool) -> str:
@@ -432,50 +497,56 @@ def _part(answer: str, n: int, checked: bool) -> str:
 
 
 job("testcase_appeal", "appeal_id scorecard_question_id scorecard_id project_id user_id reviewer_id raw_num_passed raw_num_tests final_num_passed final_num_tests appeal_text appeal_response successful_ind", f"""
-SELECT ric.review_item_comment_id, ri.scorecard_question_id, r.review_id, u.project_id, res1.value, res2.value,
+{_item_steps('(4, 5, 6, 7)')}
+SELECT ric.review_item_comment_id, ri.scorecard_question_id, ri.review_id, ri.project_id, ri.user_id, ri.reviewer_id,
        {_part('resp.extra_info', 1, False)}, {_part('resp.extra_info', 2, False)}, {_part('ri.answer', 1, False)}, {_part('ri.answer', 2, False)},
        ric.content, resp.content, {_SUCCESS}
-FROM {_items('(4, 5, 6, 7)')}
+FROM item ri
 JOIN src_review_item_comment ric ON ric.review_item_id = ri.review_item_id AND ric.comment_type_id = 4
 JOIN src_review_item_comment resp ON resp.review_item_id = ri.review_item_id AND resp.comment_type_id = 5
 JOIN src_scorecard_question sq ON sq.scorecard_question_id = ri.scorecard_question_id AND sq.scorecard_question_type_id = 3
-WHERE u.project_id IN (SELECT project_id FROM src_project_result) AND {_after('ric', 'ri', 'sq', 'resp', *_CHAIN)}""")
+WHERE ri.project_id IN (SELECT project_id FROM src_project_result) AND {_after('ric', 'ri', 'sq', 'resp')}""")
 
 job("testcase_response", "scorecard_question_id scorecard_id project_id user_id reviewer_id num_tests num_passed", f"""
-SELECT ri.scorecard_question_id, r.review_id, u.project_id, res1.value, res2.value, {_part('ri.answer', 2, True)}, {_part('ri.answer', 1, True)}
-FROM {_items('(4, 5, 6, 7)')}
+{_item_steps('(4, 5, 6, 7)')}
+SELECT ri.scorecard_question_id, ri.review_id, ri.project_id, ri.user_id, ri.reviewer_id, {_part('ri.answer', 2, True)}, {_part('ri.answer', 1, True)}
+FROM item ri
 JOIN src_scorecard_question sq ON sq.scorecard_question_id = ri.scorecard_question_id AND sq.scorecard_question_type_id = 3
-WHERE {_after('ri', 'sq', *_CHAIN)}""")
+WHERE {_after('ri', 'sq')}""")
 
 job("scorecard_response", "scorecard_question_id scorecard_id project_id user_id reviewer_id evaluation_id", f"""
-SELECT ri.scorecard_question_id, r.review_id, u.project_id, res1.value, res2.value, {_evaluation('sq.scorecard_question_type_id', 'ri.answer')}
-FROM {_items('(2, 3, 4, 5, 6, 7)')}
+{_item_steps('(2, 3, 4, 5, 6, 7)')}
+SELECT ri.scorecard_question_id, ri.review_id, ri.project_id, ri.user_id, ri.reviewer_id, {_evaluation('sq.scorecard_question_type_id', 'ri.answer')}
+FROM item ri
 JOIN src_scorecard_question sq ON sq.scorecard_question_id = ri.scorecard_question_id AND sq.scorecard_question_type_id IN (1, 2, 4)
-WHERE ri.answer <> '' AND u.project_id IN (SELECT project_id FROM src_project_result) AND {_after('ri', *_CHAIN, mark=_LATE)}""", hwm=_LATE_MARK)
+WHERE ri.answer <> '' AND ri.project_id IN (SELECT project_id FROM src_project_result) AND {_after('ri', mark=_LATE)}""", hwm=_LATE_MARK)
 
 job("subjective_response", "scorecard_question_id scorecard_id project_id user_id reviewer_id response_text response_type_id response_type_desc sort", f"""
-SELECT ri.scorecard_question_id, r.review_id, u.project_id, res1.value, res2.value, ric.content,
+{_item_steps('(2, 3, 4, 5, 6, 7)')}
+SELECT ri.scorecard_question_id, ri.review_id, ri.project_id, ri.user_id, ri.reviewer_id, ric.content,
        CASE ric.comment_type_id WHEN 1 THEN 3 WHEN 3 THEN 1 ELSE 2 END, CASE ric.comment_type_id WHEN 1 THEN 'Comment' WHEN 3 THEN 'Required' ELSE 'Recommended' END,
-       row_number() OVER (PARTITION BY ri.scorecard_question_id, r.review_id ORDER BY ric.review_item_comment_id) - 1
-FROM {_items('(2, 3, 4, 5, 6, 7)')}
+       row_number() OVER (PARTITION BY ri.scorecard_question_id, ri.review_id ORDER BY ric.review_item_comment_id) - 1
+FROM item ri
 JOIN src_review_item_comment ric ON ric.review_item_id = ri.review_item_id AND ric.comment_type_id IN (1, 2, 3)
-WHERE u.project_id IN (SELECT project_id FROM src_project_result) AND {_after('ric', 'ri', *_CHAIN, mark=_LATE)}""", hwm=_LATE_MARK)
+WHERE ri.project_id IN (SELECT project_id FROM src_project_result) AND {_after('ric', 'ri', mark=_LATE)}""", hwm=_LATE_MARK)
 
 job("submission_review", "project_id user_id reviewer_id num_appeals num_successful_appeals final_score raw_score review_resp_id scorecard_id scorecard_template_id", f"""
-WITH ap AS (
+{_review_steps('(4, 5, 6, 7)')},
+ap AS MATERIALIZED (
   SELECT ri.review_id, count(*) AS n, count(CASE WHEN extra_info = 'Succeeded' THEN 1 END) AS ok, count(extra_info) AS known, max(c.modify_date) AS m
   FROM src_review_item ri JOIN src_review_item_comment c ON c.review_item_id = ri.review_item_id AND c.comment_type_id = 4 GROUP BY 1),
 rows AS (
-  SELECT u.project_id, CAST(res1.value AS BIGINT) AS user_id, CAST(res2.value AS BIGINT) AS reviewer_id, coalesce(n, 0) AS n, CASE WHEN known > 0 THEN ok END AS ok, r.score, r.initial_score,
-         CASE res.resource_role_id WHEN 7 THEN 1 WHEN 6 THEN 2 WHEN 5 THEN 3 ELSE 4 END AS resp, r.review_id, r.scorecard_id
-  FROM {_reviewed('(4, 5, 6, 7)')} LEFT JOIN ap ON ap.review_id = r.review_id WHERE {_after(*_CHAIN)} OR ap.m > {H}),
+  SELECT r.project_id, CAST(r.user_id AS BIGINT) AS user_id, CAST(r.reviewer_id AS BIGINT) AS reviewer_id, coalesce(n, 0) AS n, CASE WHEN known > 0 THEN ok END AS ok, r.score, r.initial_score,
+         CASE r.role WHEN 7 THEN 1 WHEN 6 THEN 2 WHEN 5 THEN 3 ELSE 4 END AS resp, r.review_id, r.scorecard_id
+  FROM reviewed r LEFT JOIN ap ON ap.review_id = r.review_id WHERE {_after('r')} OR ap.m > {H}),
 members AS (SELECT project_id, reviewer_id, min(resp) AS resp FROM rows GROUP BY 1, 2),
 slots AS (SELECT project_id, reviewer_id, CASE WHEN resp < 4 THEN resp ELSE 3 + row_number() OVER (PARTITION BY project_id, resp < 4 ORDER BY reviewer_id) END AS slot FROM members)
 SELECT r.project_id, user_id, r.reviewer_id, n, ok, score, initial_score, slot, review_id, scorecard_id FROM rows r
 JOIN slots s ON s.project_id = r.project_id AND s.reviewer_id = r.reviewer_id""")
 
 job("submission_screening", "project_id user_id reviewer_id final_score scorecard_id scorecard_template_id", f"""
-SELECT u.project_id, res1.value, res2.value, r.score, r.review_id, r.scorecard_id FROM {_reviewed('(2, 3)')} WHERE {_after(*_CHAIN)}""")
+{_review_steps('(2, 3)')}
+SELECT project_id, user_id, reviewer_id, score, review_id, scorecard_id FROM reviewed r WHERE {_after('r')}""")
 
 _SUBMITTED = f"""
 SELECT s.submission_id, ri.value AS submitter_id, u.project_id, CASE WHEN strpos(u.parameter, '/') <= 1 THEN 'file:/uploads/' || u.parameter ELSE u.parameter END AS url,
@@ -544,10 +615,15 @@ SELECT b.project_id, b.user_id, sub, CASE WHEN s38 THEN won WHEN sub = 1 THEN va
 FROM base b LEFT JOIN (SELECT project_id, user_id, sum(num_appeals) AS n, sum(num_successful_appeals) AS ok FROM dw_submission_review GROUP BY 1, 2) a
   ON a.project_id = b.project_id AND a.user_id = b.user_id""", targets={"project": "dw_project", "submission_review": "dw_submission_review"})
 
+_STUDIO = (
+    "(SELECT * FROM src_project WHERE project_status_id NOT IN (1, 2, 3, 9, 10, 11) "
+    "AND project_category_id IN (SELECT project_category_id FROM src_project_category_lu WHERE project_type_id = 3)) p"
+)
+
 job("design_project_result",
     "project_id user_id submission_id upload_id prize_id prize_amount placement dr_points is_checkpoint client_selection submit_timestamp review_complete_timestamp "
     "inquire_timestamp submit_ind valid_submission_ind", f"""
-WITH touched AS ({_with_component(False, "(SELECT * FROM src_project WHERE project_status_id NOT IN (1, 2, 3, 9, 10, 11) AND project_category_id IN (SELECT project_category_id FROM src_project_category_lu WHERE project_type_id = 3)) p", False)}),
+WITH touched AS ({_with_component(False, _STUDIO, False)}),
 shares AS ({_SHARES}),
 marks AS (SELECT u.project_id, count(*) AS n FROM src_submission s JOIN src_upload u ON u.upload_id = s.upload_id JOIN src_prize z ON z.prize_id = s.prize_id
           WHERE s.submission_type_id = 1 AND (s.mark_for_purchase IS NULL OR NOT s.mark_for_purchase) GROUP BY 1),
@@ -749,3 +825,56 @@ for _name, _keys in {
     "load_track_contest_results": "track_contest_id user_id",
 }.items():
     on_older_state(_name, _keys)
+
+_CHANGED_PROJECTS = f"SELECT project_id FROM src_project WHERE create_date > {H} OR modify_date > {H}"
+on_filled_target("load_project_platform", "project_id project_platform_id", _CHANGED_PROJECTS)
+on_filled_target("load_project_technology", "project_id project_technology_id", _CHANGED_PROJECTS)
+on_filled_target("load_design_project_result", "project_id user_id submission_id", _with_component(False, _STUDIO))
+on_filled_target("load_marathon_match", "project_id", f"""
+SELECT project_id FROM src_project WHERE modify_date > {H}
+UNION SELECT i.project_id FROM src_project_info i JOIN src_comp_versions v ON CAST(v.comp_vers_id AS VARCHAR) = i.value
+      WHERE i.project_info_type_id = 1 AND v.modify_date > {H}
+UNION SELECT project_id FROM src_project_info WHERE project_info_type_id IN (2, 3, 21, 22, 23, 26, 31, 32, 56, 57) AND (create_date > {H} OR modify_date > {H})
+UNION SELECT i.project_id FROM src_project_info i JOIN src_payment_detail d ON CAST(d.algorithm_round_id AS VARCHAR) = i.value
+      JOIN src_payment m ON m.most_recent_detail_id = d.payment_detail_id
+      WHERE i.project_info_type_id = 56 AND d.payment_status_id NOT IN (65, 69) AND (d.create_date > {H} OR d.date_modified > {H} OR m.create_date > {H} OR m.modify_date > {H})""")
+
+
+def _backfill(name: str, filled: dict[str, str]):
+    """Register project_backfill on projects whose late columns are empty, but for the ``filled`` ones (column to SQL value)."""
+    from loadstone.plans.projects import LATE_COLUMNS
+
+    known = JOBS["load_project"]
+    names, types = known["names"], known["types"]
+    late = {c: group for group, (columns, _) in LATE_COLUMNS.items() for c in columns}
+    closed = {late[c] for c in filled}
+
+    def emptied(spark, folder):
+        full = context(spark, folder, known["hwm"], known["targets"], known["options"])
+        rows = settle(all_loads()["project"].run(full)["project"].rows)
+        value = lambda c: F.expr(filled.get(c, "NULL")).cast(types[c]).alias(c)
+        return rows.select(*[value(f.name) if f.name in late else F.col(f.name) for f in rows.schema])
+
+    def run(spark, folder):
+        ctx = context(spark, folder, known["hwm"], {**known["targets"], "project": emptied}, known["options"])
+        rows = all_loads()["project_backfill"].run(ctx)["project"].rows
+        return rows.select(*[_spark_column(c, types[c]) for c in names])
+
+    run.__name__ = name
+    run.__doc__ = "The project table after its late columns are filled."
+
+    def column(c: str) -> str:
+        if late.get(c) in closed:
+            return f"{filled.get(c, 'NULL')} AS {c}"
+        if c == "estimated_review_cost":
+            return f"{_money(_info(33))} AS {c}"
+        return f"CASE WHEN p.status_id = 7 THEN p.{c} END AS {c}" if late.get(c) == "costs" else f"p.{c}"
+
+    listed = ", ".join(_duck_column(c, types[c]) for c in names)
+    add(name, run, world.duck_sql(
+        f"WITH result({', '.join(names)}) AS MATERIALIZED ({known['sql']}) SELECT {listed} FROM (SELECT {', '.join(map(column, names))} FROM result p)"
+    ))
+
+
+_backfill("load_project_backfill", {})
+_backfill("load_project_backfill_partly", {"challenge_creator": "-1"})
