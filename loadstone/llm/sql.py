@@ -50,17 +50,21 @@ RUNS = r"""
 WITH parts AS MATERIALIZED (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS number
     FROM documents WHERE text IS NOT NULL
-), lines AS (
-    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY number) AS place
+), lines AS MATERIALIZED (
+    SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words, row_number() OVER (PARTITION BY doc_id ORDER BY number) AS place
     FROM parts WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
-), runs AS MATERIALIZED (
-    SELECT doc_id, place, [line, lead(line) OVER w, lead(line, 2) OVER w] AS seq, lead(line, 2) OVER w IS NOT NULL AS whole
+), followed AS MATERIALIZED (
+    SELECT doc_id, place, line, words, lead(line) OVER w AS second, lead(words) OVER w AS more, lead(line, 2) OVER w AS third
     FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY place)
+), runs AS MATERIALIZED (
+    SELECT doc_id, place, 3 AS size, [line, second, third] AS seq FROM followed WHERE third IS NOT NULL
+    UNION ALL SELECT doc_id, place, 2, [line, second] FROM followed WHERE second IS NOT NULL AND words + more >= 50
+    UNION ALL SELECT doc_id, place, 1, [line] FROM followed WHERE words >= 50
 ), ordered AS (
-    SELECT doc_id, place, row_number() OVER (PARTITION BY seq ORDER BY doc_id, place) AS nth FROM runs WHERE whole
+    SELECT doc_id, place, size, row_number() OVER (PARTITION BY seq ORDER BY doc_id, place) AS nth FROM runs
 ), gone AS MATERIALIZED (
     SELECT DISTINCT lines.doc_id, lines.number FROM ordered JOIN lines
-    ON lines.doc_id = ordered.doc_id AND lines.place BETWEEN ordered.place AND ordered.place + 2 WHERE nth > 1
+    ON lines.doc_id = ordered.doc_id AND lines.place BETWEEN ordered.place AND ordered.place + size - 1 WHERE nth > 1
 ), kept AS (
     SELECT doc_id, string_agg(line, chr(10) ORDER BY number) AS text FROM parts ANTI JOIN gone USING (doc_id, number) GROUP BY doc_id
 )

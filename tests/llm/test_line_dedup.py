@@ -8,24 +8,31 @@ import pytest
 from loadstone.llm.line_dedup import drop_repeats
 
 
-def plain(rows, window=3, emptied=True):
+def windows(lines, numbers, window, long_words):
+    """(lines, numbers) of every window that counts: whole ones, and shorter ones with enough words."""
+    for size in range(1, window + 1):
+        for k in range(len(numbers) - size + 1):
+            chosen = numbers[k : k + size]
+            seq = tuple(lines[n] for n in chosen)
+            if size == window or sum(len(re.findall("[^ \t-\r]+", x)) for x in seq) >= long_words:
+                yield seq, chosen
+
+
+def plain(rows, window=3, emptied=True, long_words=50):
     """rows: (id, text); one result per row."""
     texts = {(i, t) for i, t in rows if i is not None and t is not None}
     solid = {key: [k for k, line in enumerate(key[1].split("\n")) if re.search("[^ \t-\r]", line)] for key in texts}
     smallest, out = {}, []
     for key, numbers in solid.items():
-        lines = key[1].split("\n")
-        for k in range(len(numbers) - window + 1):
-            seq = tuple(lines[n] for n in numbers[k : k + window])
+        for seq, _ in windows(key[1].split("\n"), numbers, window, long_words):
             smallest[seq] = min(smallest.get(seq, key[0]), key[0])
     for i, t in rows:
         gone = set()
         if (i, t) in texts:
-            lines, numbers, own = t.split("\n"), solid[i, t], set()
-            for k in range(len(numbers) - window + 1):
-                seq = tuple(lines[n] for n in numbers[k : k + window])
+            own = set()
+            for seq, chosen in windows(t.split("\n"), solid[i, t], window, long_words):
                 if smallest[seq] < i or seq in own:
-                    gone.update(numbers[k : k + window])
+                    gone.update(chosen)
                 own.add(seq)
         left = None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone)
         if emptied or not gone or re.search("[^ \t-\r]", left):
@@ -48,11 +55,11 @@ def lined():
     return rows
 
 
-@pytest.mark.parametrize("window", [2, 3, 5])
-def test_equals_plain(spark, lined, window):
+@pytest.mark.parametrize("window, long_words", [(2, 50), (3, 50), (5, 50), (3, 4), (4, 7), (3, 2)])
+def test_equals_plain(spark, lined, window, long_words):
     frame = spark.createDataFrame(lined, "doc_id long, text string")
-    got = drop_repeats(frame, window=window)
-    expected = plain(lined, window)
+    got = drop_repeats(frame, window=window, long_words=long_words)
+    expected = plain(lined, window, long_words=long_words)
     assert sum(r[3] for r in expected) > 100
     assert sorted([tuple(r) for r in got.collect()], key=repr) == expected
 
@@ -91,3 +98,15 @@ def test_columns_called_like_the_inner_ones(frame):
     key = ("doc_id", "text", "n_lines", "n_deleted")
     assert sorted((tuple(r[k] for k in key) for r in got.collect()), key=repr) == sorted((tuple(r[k] for k in key) for r in expected.collect()), key=repr)
     assert all(r[n] == n for r in got.collect() for n in names)
+
+
+def test_long_passages_of_one_or_two_lines(spark):
+    long = " ".join(f"w{k}" for k in range(55))
+    first, second = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(25))
+    short = "a short line"
+    rows = [
+        (1, f"{long}\n{short}\n{first}\n{second}"), (2, long), (3, f"own\n{long}\n{short}"), (4, f"{first}\n\n{second}\nrest"),
+        (5, f"{first}\n{short}\n{second}"), (6, short), (7, f"{long}\n{long}"),
+    ]
+    got = {r.doc_id: r.text for r in drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "", 3: "own", 4: "\nrest", 5: rows[4][1], 6: short, 7: ""}
