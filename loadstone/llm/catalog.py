@@ -131,13 +131,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence of each document, found in its text or taken from the nearest directory above.
 
-    The tables hold no paths; a document lies below its source in one folder per digit of
-    its id but the last: 4321 is src0/4/3/2/4321.
+    The tables hold no paths; a document lies in one folder per digit of its id but the
+    last: 4321 is 4/3/2/4321. One whose id ends with 0 is its folder's LICENSE.
     """
     docs = table(spark, sf_dir, "documents")
     digits = F.col("doc_id").cast("string")
     folders = F.regexp_replace(F.substring(digits, F.lit(1), F.length(digits) - 1), "(.)", "$1/")
-    found = licences.scan(docs.withColumn("path", F.concat(F.col("source"), F.lit("/"), folders, digits)))
+    name = F.when(F.col("doc_id") % 10 == 0, "LICENSE").otherwise(digits)
+    found = licences.scan(docs.withColumn("path", F.concat(folders, name)))
     return found.withColumn("score", F.round("score", 6))
 
 

@@ -2,7 +2,7 @@
 
 Every line of a text is a possible notice, as is every run of lines up to twice the
 longest template (headers are wrapped over lines), and the text as a whole is a possible
-licence file. All become sparse vectors of term frequency times inverse document frequency, the
+licence file; a file named like one (LICENSE, COPYING, NOTICE) is one if it holds a notice. All become sparse vectors of term frequency times inverse document frequency, the
 latter counted over all documents; terms that no template uses only lengthen a
 vector and count as never seen. A file without a notice of its own takes the licence
 of the nearest directory above it that holds a licence file: distinct directories are
@@ -27,6 +27,8 @@ TERM = re.compile("[a-z0-9]+")
 _FOLD = {c: c + 32 for c in range(65, 91)}
 NOTICE_SCORE = 0.8
 FILE_SCORE = 0.4
+# Names of licence files: a notice in one holds for its directory.
+FILE_NAMES = "(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
 # Notices of public licences.
 TEMPLATES = (
@@ -151,7 +153,8 @@ def scan(
     """Per file: ``id_col``, ``path``, ``licence``, ``how`` ("notice", "inherited" or null), ``score`` and ``source_path``.
 
     A notice is the line or run of lines nearest to a template if its cosine reaches ``notice_score``; a
-    file whose whole text reaches ``file_score`` is its directory's licence file. Several in
+    file whose whole text reaches ``file_score``, or that has a notice and a name like LICENSE, COPYING or NOTICE (any
+    ending), is its directory's licence file. Several in
     one directory: the highest score, then the smallest id. ``source_path`` is the file
     itself or the directory a licence is taken from; inherited ones carry the licence file's score.
 
@@ -186,9 +189,15 @@ def scan(
     )).withColumn("folder", F.regexp_replace("path", "/?[^/]*$", ""))
     noticed = F.coalesce(F.col("score") >= notice_score, F.lit(False))
     # Settled, here and below: joins of plain sides are broadcast by size or split a hot directory.
-    given = scored.filter((F.col("file_score") >= file_score) & F.col("path").isNotNull()).groupBy("folder").agg(
-        F.min(F.struct((-F.col("file_score")).alias("down"), "id", "file_licence")).alias("best")
-    ).select(F.col("folder").alias("above"), F.col("best.file_licence").alias("taken"), (-F.col("best.down")).alias("taken_score"))
+    whole = F.coalesce(F.col("file_score") >= file_score, F.lit(False))
+    named = noticed & F.regexp_substr("path", F.lit("[^/]*$")).rlike(FILE_NAMES)
+    givers = scored.filter((whole | named) & F.col("path").isNotNull()).select(
+        "folder", "id", F.when(whole, F.col("file_score")).otherwise(F.col("score")).alias("gives"),
+        F.when(whole, F.col("file_licence")).otherwise(F.col("licence")).alias("licence"),
+    )
+    given = givers.groupBy("folder").agg(F.min(F.struct((-F.col("gives")).alias("down"), "id", "licence")).alias("best")).select(
+        F.col("folder").alias("above"), F.col("best.licence").alias("taken"), (-F.col("best.down")).alias("taken_score")
+    )
     given = settle(given)
     # Each directory that needs a licence once, with all directories above it and itself.
     needy = scored.filter(~noticed & F.col("path").isNotNull()).select("folder").distinct()

@@ -171,11 +171,12 @@ def licences() -> str:
     fold = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return rf"""
 WITH docs AS MATERIALIZED (
-    SELECT doc_id, source || '/' || regexp_replace(CAST(doc_id // 10 AS VARCHAR), '(.)', '\1/', 'g') AS folder_below, doc_id < 10 AS top,
-        source, string_split({fold.format('text')}, chr(10)) AS lines
+    SELECT doc_id, regexp_replace(CAST(doc_id // 10 AS VARCHAR), '(.)', '\1/', 'g') AS folder_below, doc_id < 10 AS top,
+        string_split({fold.format('text')}, chr(10)) AS lines
     FROM documents
 ), placed AS MATERIALIZED (
-    SELECT doc_id, lines, CASE WHEN top THEN source ELSE rtrim(folder_below, '/') END AS folder FROM docs
+    SELECT doc_id, lines, CASE WHEN top THEN '' ELSE rtrim(folder_below, '/') END AS folder,
+        CASE WHEN top THEN '' ELSE folder_below END || CASE WHEN doc_id % 10 = 0 THEN 'LICENSE' ELSE CAST(doc_id AS VARCHAR) END AS path FROM docs
 ), segments AS MATERIALIZED (
     SELECT doc_id, number, term, count(*) AS tf FROM (
         SELECT doc_id, number, unnest(regexp_extract_all(line, '[a-z0-9]+')) AS term
@@ -207,19 +208,21 @@ WITH docs AS MATERIALIZED (
     SELECT doc_id, arg_max(name, score) AS licence, max(score) AS score FROM scores
     WHERE number >= 0 GROUP BY doc_id HAVING max(score) >= {rules.NOTICE_SCORE}
 ), given AS MATERIALIZED (
-    SELECT folder, first(name ORDER BY round(score, 9) DESC, doc_id) AS licence, max(score) AS score FROM (
-        SELECT doc_id, arg_max(name, score) AS name, max(score) AS score FROM scores
-        WHERE number < 0 GROUP BY doc_id HAVING max(score) >= {rules.FILE_SCORE}
+    SELECT folder, first(licence ORDER BY round(score, 9) DESC, doc_id) AS licence, max(score) AS score FROM (
+        SELECT doc_id, coalesce(files.licence, notices.licence) AS licence, coalesce(files.score, notices.score) AS score
+        FROM (SELECT doc_id, arg_max(name, score) AS licence, max(score) AS score FROM scores
+              WHERE number < 0 GROUP BY doc_id HAVING max(score) >= {rules.FILE_SCORE}) files
+        FULL JOIN (SELECT * FROM notices WHERE doc_id % 10 = 0) notices USING (doc_id)
     ) JOIN placed USING (doc_id) GROUP BY folder
 ), nearest AS (
     SELECT doc_id, arg_max(given.licence, len(given.folder)) AS licence, arg_max(given.score, len(given.folder)) AS score,
         arg_max(given.folder, len(given.folder)) AS folder
-    FROM placed JOIN given ON placed.folder = given.folder OR starts_with(placed.folder, given.folder || '/') GROUP BY doc_id
+    FROM placed JOIN given ON given.folder = '' OR placed.folder = given.folder OR starts_with(placed.folder, given.folder || '/') GROUP BY doc_id
 )
-SELECT doc_id, placed.folder || '/' || doc_id AS path, coalesce(notices.licence, nearest.licence) AS licence,
+SELECT doc_id, placed.path, coalesce(notices.licence, nearest.licence) AS licence,
     CASE WHEN notices.licence IS NOT NULL THEN 'notice' WHEN nearest.licence IS NOT NULL THEN 'inherited' END AS how,
     round(coalesce(notices.score, nearest.score), 6) AS score,
-    CASE WHEN notices.licence IS NOT NULL THEN placed.folder || '/' || doc_id ELSE nearest.folder END AS source_path
+    CASE WHEN notices.licence IS NOT NULL THEN placed.path ELSE nearest.folder END AS source_path
 FROM placed LEFT JOIN notices USING (doc_id) LEFT JOIN nearest USING (doc_id)
 """
 

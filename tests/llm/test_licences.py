@@ -109,3 +109,23 @@ def test_best_run_equals_all_runs():
             found += 1
             assert got[0] == pytest.approx(best[0])
     assert found > 50
+
+
+def test_a_notice_in_a_file_named_like_a_licence_holds_for_its_directory(spark):
+    body = "\n".join("words of a long text that no template has anything in common with at all" for _ in range(40))
+    rows = [
+        (1, "p/LICENSE.txt", body + "\n" + MIT), (2, "p/q/x.py", body), (3, "r/readme", body + "\n" + MIT), (4, "r/x.py", body),
+        (5, "s/copying", body + "\n" + APACHE), (6, "s/t/NOTICE-old", body + "\n" + MIT), (7, "s/t/u/x", body), (8, "s/x", body),
+        (9, "v/licenses", body + "\n" + MIT), (10, "v/x", body),
+    ]
+    got = {r.doc_id: (r.licence, r.how, r.source_path) for r in licences.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[2] == ("MIT", "inherited", "p") and got[4] == (None, None, None) and got[10] == (None, None, None)
+    assert got[7] == ("MIT", "inherited", "s/t") and got[8] == ("Apache-2.0", "inherited", "s")
+
+
+def test_the_query_has_inherited_rows(spark, sf_dir):
+    from loadstone.llm.catalog import QUERIES
+
+    rows = QUERIES["op10_license_scans"](spark, sf_dir.replace("sf0.001", "sf0.01")).collect()
+    assert {r.how for r in rows} == {"notice", "inherited", None}
+    assert sum(r.how == "inherited" for r in rows) >= 5
