@@ -114,6 +114,11 @@ def upsert_load(
     return wrap
 
 
+def replacing(ctx: LoadContext, table: str, rows: DataFrame, keys: Sequence[str], touched: DataFrame) -> Write:
+    """Write of a table whose rows of the touched keys are replaced; all keys of ``rows`` have to be among them."""
+    return Write(merge.replace_by_key(ctx.around(table, touched), rows, keys, touched), touched=touched)
+
+
 def change_set(target: DataFrame, rows: DataFrame) -> DataFrame:
     """The columns a target takes from the selected rows, computed once.
 

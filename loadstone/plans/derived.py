@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loadstone.functions import fixed, scalar
 from loadstone.operators import aggregates, changes, joins, merge, scoring, sequences
-from loadstone.plans.core import LoadContext, Write, change_set, eligible, load, loadable
+from loadstone.plans.core import LoadContext, Write, change_set, eligible, load, loadable, replacing
 from loadstone.session import settle
 
 PROFESSIONAL = 2
@@ -79,7 +79,7 @@ def dr_points(ctx: LoadContext) -> dict[str, Write]:
         key = f"dr_points_{name}_id"
         rows = joins.lookup(rows, ctx.source(f"dr_points_{name}_lu"), {key: key}, {f"dr_points_{name}_desc": f"dr_points_{name}_desc"})
     rows = joins.with_parent_amount(rows, source).withColumn("reference_id", scalar.or_zero("reference_id"))
-    return {"dr_points": Write(merge.replace_by_key(target, change_set(target, rows), ["track_id"], touched))}
+    return {"dr_points": replacing(ctx, "dr_points", change_set(target, rows), ["track_id"], touched)}
 
 
 def named_calculator(ctx: LoadContext, column: str) -> Column:
@@ -211,7 +211,7 @@ def contest_result(ctx: LoadContext) -> dict[str, Write]:
         "contest_id", "user_id", "placed", "points_awarded", "final_points", "potential_points", "ranking", "factor"
     ))
     ranked = scoring.rank_contests(scored, checked_prizes(ctx), F.col("ranking"), F.col("factor")).withColumnRenamed("user_id", "coder_id")
-    return {"contest_result": Write(merge.replace_by_key(target, ranked, ["contest_id"], contests.select("contest_id").distinct()))}
+    return {"contest_result": replacing(ctx, "contest_result", ranked, ["contest_id"], contests.select("contest_id").distinct())}
 
 
 @load("tcd_project_stat", 6)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loadstone.functions import fixed, scalar
 from loadstone.operators import aggregates, changes, joins, merge, scoring, sequences
-from loadstone.plans.core import LoadContext, Write, change_set, eligible, load, loadable, upsert_load
+from loadstone.plans.core import LoadContext, Write, change_set, eligible, load, loadable, replacing, upsert_load
 from loadstone.session import settle
 
 # The category whose results come from its submissions.
@@ -310,14 +310,14 @@ def payment(ctx: LoadContext) -> dict[str, Write]:
     targets = {name: ctx.target(name) for name in ("payment", "user_payment")}
     columns = dict.fromkeys(c for t in targets.values() for c in t.columns)
     rows, touched = settle(rows.select(*columns)), settle(touched)
-    known = details.join(heads, "payment_detail_id").select("payment_id", F.col("jira_issue_id").alias("jira_ticket_id"))
-    with_tickets = merge.backfill(
-        targets["payment"], known.filter("jira_ticket_id IS NOT NULL"), ["payment_id"], ["jira_ticket_id"]
-    )
-    return {
-        "payment": Write(merge.replace_by_key(with_tickets, rows, ["payment_id"], touched)),
-        "user_payment": Write(merge.replace_by_key(targets["user_payment"], rows, ["payment_id"], touched)),
-    }
+    every = settle(touched.unionByName(rows.select("payment_id")).distinct())
+    writes = {name: replacing(ctx, name, rows, ["payment_id"], every) for name in targets}
+    if merge.is_unfilled(targets["payment"], "jira_ticket_id"):
+        # The tickets of all payments are filled in once, which touches every row.
+        known = details.join(heads, "payment_detail_id").select("payment_id", F.col("jira_issue_id").alias("jira_ticket_id"))
+        filled = merge.upsert_columns(targets["payment"], known.filter("jira_ticket_id IS NOT NULL"), ["payment_id"], ["jira_ticket_id"])
+        writes["payment"] = Write(merge.replace_by_key(filled, rows, ["payment_id"], every))
+    return writes
 
 
 @load("participation", 4)

@@ -136,5 +136,6 @@ BUCKETS: dict[str, tuple[list[str], int]] = {
     "appeal": (["appeal_id"], 64), "testcase_appeal": (["appeal_id"], 64),
     "testcase_response": (["scorecard_id"], 64), "scorecard_response": (["scorecard_id"], 64), "subjective_response": (["scorecard_id"], 64),
     "submission_review": (["project_id"], 64), "submission_screening": (["project_id"], 64), "project_result": (["project_id"], 64),
-    "submission": (["submission_id"], 64),
+    "submission": (["submission_id"], 64), "payment": (["payment_id"], 64), "user_payment": (["payment_id"], 64),
+    "dr_points": (["track_id"], 16), "contest_result": (["contest_id"], 64),
 }
