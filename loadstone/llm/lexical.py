@@ -25,12 +25,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadstone.llm.blocks import ids_of
 from loadstone.llm.words import read_words
 from loadstone.session import settle
 
@@ -58,7 +57,7 @@ def _terms(texts) -> tuple[np.ndarray, np.ndarray]:
 
 def _slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows with at most so many bytes, or of a single longer row."""
-    sizes = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for at, size in enumerate(sizes.tolist()):
         if at > start and held + size > most:
