@@ -152,6 +152,7 @@ def scan(
 ) -> DataFrame:
     """Per file: ``id_col``, ``path``, ``licence``, ``how`` ("notice", "inherited" or null), ``score`` and ``source_path``.
 
+    Runs of lines with more than twice the terms of the longest template are not tried.
     A notice is the line or run of lines nearest to a template if its cosine reaches ``notice_score``; a
     file whose whole text reaches ``file_score``, or that has a notice and a name like LICENSE, COPYING or NOTICE (any
     ending), is its directory's licence file. Several in
