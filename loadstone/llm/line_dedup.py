@@ -24,6 +24,8 @@ from loadstone.session import settle
 
 
 LONG_WORDS = 50
+# A window's start and size travel as one number, and its identity as 64 and 31 bits.
+MOST_LINES = 63
 
 
 def _windows(size: int, window: int, long_words: int) -> str:
@@ -32,8 +34,8 @@ def _windows(size: int, window: int, long_words: int) -> str:
     least = f"least({', '.join(f'{x}.h' for x in each)})" if size > 1 else f"{each[0]}.h"
     pick = "CASE " + " ".join(f"WHEN {each[i]}.h = {least} THEN k + {i}" for i in range(size - 1, 0, -1)) + " ELSE k END" if size > 1 else "k"
     cell = (
-        f"named_struct('start', k, 'size', {size}, 'pick', {pick}, "
-        f"'w', xxhash64({', '.join(f'{x}.h' for x in each)}), 'c', xxhash64({', '.join(f'{x}.g' for x in each)}))"
+        f"named_struct('run', k * {MOST_LINES + 1} + {size}, 'pick', {pick}, "
+        f"'w', xxhash64({', '.join(f'{x}.h' for x in each)}), 'c', CAST(xxhash64({', '.join(f'{x}.g' for x in each)}) & 2147483647 AS INT))"
     )
     if size < window:
         cell = f"CASE WHEN {' + '.join(f'{x}.n' for x in each)} >= {long_words} THEN {cell} END"
@@ -41,7 +43,7 @@ def _windows(size: int, window: int, long_words: int) -> str:
 
 
 def _fingerprints(docs: DataFrame, id_col: str, text_col: str, window: int, long_words: int) -> DataFrame:
-    """Selected lines: (id, hash, at, line, around): the place, its line hash and the windows that select it."""
+    """Selected lines: (id, hash, line, around): the line hash of a place and the windows that select it."""
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")
     ).filter("id IS NOT NULL AND text IS NOT NULL")
@@ -60,7 +62,8 @@ def _fingerprints(docs: DataFrame, id_col: str, text_col: str, window: int, long
         for size in sizes
     )
     prints = F.expr(
-        f"transform(array_distinct(concat({picks})), p -> named_struct('at', p, 'line', lines[p].h, 'around', concat({around})))"
+        f"transform(array_distinct(concat({picks})), p -> named_struct('line', lines[p].h, "
+        f"'around', transform(concat({around}), x -> named_struct('run', x.run, 'w', x.w, 'c', x.c))))"
     )
     return cells.select("id", "hash", F.explode(prints).alias("print")).select("id", "hash", "print.*")
 
@@ -73,7 +76,7 @@ def repeated_windows(
     prints = settle(_fingerprints(docs, id_col, text_col, window, long_words))
     twice = settle(prints.groupBy("line").agg(F.count(F.lit(1)).alias("places")).filter("places > 1").select("line"))
     found = prints.join(twice, "line", "left_semi").select("id", "hash", F.explode("around").alias("x")).select(
-        "id", "hash", "x.start", "x.size", "x.w", "x.c"
+        "id", "hash", F.expr(f"x.run div {MOST_LINES + 1}").cast("int").alias("start"), (F.col("x.run") % (MOST_LINES + 1)).alias("size"), "x.w", "x.c"
     )
     # A text's own places of one window first, then the smallest id that holds it.
     own = settle(found.groupBy("w", "c", "size", "id", "hash").agg(F.array_sort(F.collect_set("start")).alias("starts")))
@@ -103,8 +106,8 @@ def drop_repeats(
     text are judged by themselves and delete nothing from each other. Columns called
     ``n_lines`` or ``n_deleted`` are replaced with ``counts``. An empty table gives no rows.
     """
-    if window < 2:
-        raise ValueError("a run has at least two lines")
+    if not 2 <= window <= MOST_LINES:
+        raise ValueError(f"a run has 2 to {MOST_LINES} lines")
     gone = repeated_windows(docs, id_col, text_col, window, long_words).select(
         F.col("id").alias("_id"), F.col("hash").alias("_hash"), F.col("runs").alias("_runs")
     )
