@@ -128,7 +128,7 @@ def mixed() -> str:
     for number in range(mixing.ROUNDS):
         for margin in mixing.MARGINS:
             name = f"c{number}_{margin}"
-            scale = mixing.SCALE.format(cells=cells, targets=f"t_{margin}", margin=margin)
+            scale = mixing.SCALE.format(cells=cells, targets=f"t_{margin}", margin=margin, more="")
             steps.append(f"{name} AS MATERIALIZED ({scale})")
             cells = name
     targets = ", ".join(
