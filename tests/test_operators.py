@@ -340,3 +340,52 @@ def test_unknown_calculator_fails(spark):
     prizes = spark.createDataFrame([], "contest_id int, place int, prize_amount double")
     with pytest.raises(Exception, match="no_such"):
         scoring.rank_contests(results, prizes, F.col("ranking")).collect()
+
+
+def test_spans_with_points_against_pairs(spark):
+    rng = random.Random(3)
+    moment = lambda: DAY[0] + timedelta(hours=rng.randrange(600))
+    spans = []
+    for i in range(60):
+        at = moment()
+        spans.append((i % 50, at, at + timedelta(hours=rng.choice([-3, 0, 0, 1, 5]))))
+    spans += [(70, None, DAY[20]), (71, DAY[0], None), (None, DAY[0], DAY[27])]
+    points = [moment() for _ in range(40)] + [None]
+    frames = spark.createDataFrame(spans, "id int, lo timestamp_ntz, hi timestamp_ntz"), spark.createDataFrame([(p,) for p in points], "p timestamp_ntz")
+    found = joins.spans_with_points(*frames, "p", "lo", "hi")
+    wanted = {s for s in spans if s[1] and s[2] and any(p and s[1] <= p <= s[2] for p in points)}
+    assert rows(found) == sorted(wanted, key=repr)
+
+
+def test_rows_without_a_parent_are_not_joined_in_one_task(spark):
+    points = spark.range(400).select(
+        "id", F.when(F.col("id") % 50 == 0, F.col("id") + 1).alias("up"), F.col("id").cast("decimal(10,2)").alias("amount")
+    )
+    found = joins.parent_value(points, "id", "up", "amount", "above", F.col("id") % 100 == 0)
+    assert {r.id: r.above for r in found.collect()} == {i: i + 1 if i % 100 == 0 else 0 for i in range(400)}
+    # What points nowhere goes past the join.
+    assert "Union" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_an_older_state_is_loaded_once_and_shared_tables_too(spark, sf_dir, monkeypatch):
+    from loadstone.catalog import jobs, world
+
+    asked, settled = [], []
+    plain = world.settle
+    monkeypatch.setattr(world, "settle", lambda df: settled.append(1) or plain(df))
+    state = lambda spark, folder, views: asked.append(1) or spark.range(3)
+    ctx = jobs.context(spark, sf_dir, jobs.MARK, {"appeal": state}, jobs.CLOSED)
+    assert ctx.target("appeal").count() == ctx.target("appeal").count() == 3
+    for name in ("upload", "submission", "review"):
+        assert ctx.source(name).count() == world.spark_table(spark, sf_dir, f"src_{name}").count()
+    assert asked == [1] and settled == [1]
+
+
+def test_a_review_row_carries_flags_instead_of_stamps(spark, sf_dir):
+    from loadstone.catalog import jobs
+    from loadstone.plans.core import reviews
+
+    ctx = jobs.context(spark, sf_dir, jobs.MARK, {}, jobs.CLOSED)
+    found = reviews(ctx, (4, 5, 6, 7))
+    assert {c for c in found.columns if c[:2] in ("m_", "w_")} == set()
+    assert {dict(found.dtypes)[c] for c in found.columns if c[:2] == "c_"} == {"boolean"}
