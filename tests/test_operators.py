@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from loadstone.functions import fixed
 from loadstone.operators import aggregates, changes, joins, merge, report, scoring
+from loadstone.plans.core import LoadContext
+from loadstone.plans.projects import people
 from loadstone.sources import Source, Warehouse, read_table, write_table
 
 DAY = [datetime(2009, 1, d) for d in range(1, 29)]
@@ -389,3 +391,27 @@ def test_a_review_row_carries_flags_instead_of_stamps(spark, sf_dir):
     found = reviews(ctx, (4, 5, 6, 7))
     assert {c for c in found.columns if c[:2] in ("m_", "w_")} == set()
     assert {dict(found.dtypes)[c] for c in found.columns if c[:2] == "c_"} == {"boolean"}
+
+
+def test_children_are_grouped_table_by_table(spark):
+    parents = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "id bigint")
+    texts = spark.createDataFrame([(1, "a"), (1, "b"), (3, None), (None, "z")], "id bigint, text string")
+    sums = spark.createDataFrame([(1, 5), (2, 7), (2, 8), (9, 1)], "id bigint, amount bigint")
+    parts = {
+        "text": (texts, {"last": F.max("text"), "texts": F.count("text")}),
+        "sum": (sums, {"total": F.sum("amount")}),
+    }
+    children = aggregates.join_children(parents, parts, "id", zero=["texts"])
+    # A parent named twice gives one row, one without children none; a child that holds nothing is one.
+    assert rows(children) == [(1, "b", 2, 5), (2, None, 0, 15), (3, None, 0, None)]
+    # No aggregate is as wide as all child tables together.
+    plan = children._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("amount" in line and "text" in line for line in plan.splitlines() if "Aggregate" in line)
+    assert "Union" not in plan
+
+
+def test_people_are_looked_up_with_the_ids_alone(spark):
+    users = spark.createDataFrame([(7,), (8,)], "user_id bigint")
+    context = LoadContext(lambda name: {"common.user": users}[name], lambda name: None, None, DAY[0])
+    frame = spark.createDataFrame([(1, 7, 9), (2, None, 8)], "project_id bigint, a bigint, b bigint")
+    assert rows(people(context, frame, {"first": "a", "second": "b"}), "project_id", "first", "second") == [(1, 7, None), (2, None, 8)]
