@@ -415,3 +415,12 @@ def test_people_are_looked_up_with_the_ids_alone(spark):
     context = LoadContext(lambda name: {"common.user": users}[name], lambda name: None, None, DAY[0])
     frame = spark.createDataFrame([(1, 7, 9), (2, None, 8)], "project_id bigint, a bigint, b bigint")
     assert rows(people(context, frame, {"first": "a", "second": "b"}), "project_id", "first", "second") == [(1, 7, None), (2, None, 8)]
+
+
+def test_contests_alike_are_ranked_once(spark):
+    contests = spark.createDataFrame(
+        [(5, 1, "points"), (3, 1, "points"), (4, 1, "top_performers"), (8, 2, "points"), (9, 1, "points"), (9, 1, "points"), (None, 2, "points")],
+        "contest_id bigint, track_id bigint, ranking string",
+    )
+    alike = scoring.alike_contests(contests, ["track_id", "ranking"])
+    assert rows(alike, "contest_id", "like") == sorted([(5, 3), (3, 3), (4, 4), (8, 8), (9, 9), (None, 8)], key=repr)
