@@ -100,6 +100,17 @@ def test_no_keys(skewed, pieces):
     assert sorted(numbered) == expected
 
 
+def test_keys_by_block(spark, skewed, pieces):
+    dealt = skewed.withColumn("p", F.when(F.col("t") < 400000, 0).otherwise(1))
+    blocks = sequences.block_keys(dealt.filter("g IS NOT NULL"), ["g", "p"], ["t", "id"], "k", 500)
+    whole = sequences.surrogate_keys(skewed.filter("g IS NOT NULL"), ["g", "t", "id"], "k", 500)
+    assert rows(blocks, "id", "k") == rows(whole, "id", "k")
+    # The rows themselves are not put in order: that would be a range exchange, and one more to hand the pieces on.
+    plan = blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan
+    assert sequences.block_keys(dealt.filter("id < 0"), ["g", "p"], ["t"], "k").count() == 0
+
+
 def enumerate_from(ordered, first):
     return [(row[1], first + k) for k, row in enumerate(ordered)]
 
