@@ -383,6 +383,16 @@ def test_an_older_state_is_loaded_once_and_shared_tables_too(spark, sf_dir, monk
     assert asked == [1] and settled == [1]
 
 
+def test_only_repeated_keys_are_grouped(spark):
+    data = [(1, "a", 5), (2, "b", 1), (2, "c", 2), (None, "d", 1), (None, "e", 1), (3, "f", None), (3, "f", None), (4, None, 0)]
+    changes = spark.createDataFrame(data, "k int, v string, at int")
+    for frame in (changes, changes.filter("k IN (1, 4)"), changes.filter("k > 9")):
+        assert rows(merge.last_per_settled(frame, ["k"], ["at"])) == rows(merge.last_per_key(frame, ["k"], ["at"]))
+        assert rows(merge.last_per_settled(frame, ["k", "v", "at"])) == rows(merge.last_per_key(frame, ["k", "v", "at"]))
+    alone = merge.last_per_settled(changes.filter("k = 1"), ["k"])
+    assert "Aggregate" not in alone._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_review_row_carries_flags_instead_of_stamps(spark, sf_dir):
     from loadstone.catalog import jobs
     from loadstone.plans.core import reviews
