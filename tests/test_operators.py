@@ -383,6 +383,19 @@ def test_an_older_state_is_loaded_once_and_shared_tables_too(spark, sf_dir, monk
     assert asked == [1] and settled == [1]
 
 
+def test_reviews_are_not_sought_first_where_many_changed(spark, sf_dir, monkeypatch):
+    from loadstone.catalog import jobs
+    from loadstone.plans import all_loads, core
+
+    ctx = jobs.context(spark, sf_dir, jobs.MARK, {}, jobs.CLOSED)
+    assert core.touched_reviews(ctx) is None
+    columns = ["project_id", "user_id", "scorecard_id"]
+    once = rows(all_loads()["submission_screening"].run(ctx)["submission_screening"].rows, *columns)
+    monkeypatch.setattr(core, "MANY_LATE", 1)
+    assert core.touched_reviews(ctx) is not None
+    assert once and once == rows(all_loads()["submission_screening"].run(ctx)["submission_screening"].rows, *columns)
+
+
 def test_only_repeated_keys_are_grouped(spark):
     data = [(1, "a", 5), (2, "b", 1), (2, "c", 2), (None, "d", 1), (None, "e", 1), (3, "f", None), (3, "f", None), (4, None, 0)]
     changes = spark.createDataFrame(data, "k int, v string, at int")
