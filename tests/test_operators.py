@@ -396,6 +396,23 @@ def test_reviews_are_not_sought_first_where_many_changed(spark, sf_dir, monkeypa
     assert once and once == rows(all_loads()["submission_screening"].run(ctx)["submission_screening"].rows, *columns)
 
 
+def test_results_are_exchanged_by_project_and_user_only(spark, sf_dir):
+    from loadstone.catalog import jobs
+    from loadstone.plans.results import result_rows
+
+    ctx = jobs.context(spark, sf_dir, jobs.MARK, {}, jobs.CLOSED)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = result_rows(ctx, ctx.source("project").select("project_id"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(project_id" in line and "user_id" in line]
+    # Results, what was entered, inquiries, reliability: one exchange each, none for the row of a user that is kept.
+    assert len(exchanges) == 4
+
+
 def test_only_repeated_keys_are_grouped(spark):
     data = [(1, "a", 5), (2, "b", 1), (2, "c", 2), (None, "d", 1), (None, "e", 1), (3, "f", None), (3, "f", None), (4, None, 0)]
     changes = spark.createDataFrame(data, "k int, v string, at int")
