@@ -7,10 +7,11 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from loadstone.catalog import world
 from loadstone.functions import fixed
 from loadstone.operators import aggregates, changes, joins, merge, report, scoring
 from loadstone.plans.core import LoadContext
-from loadstone.plans.projects import people
+from loadstone.plans.projects import people, touched_matches
 from loadstone.sources import Source, Warehouse, read_table, write_table
 
 DAY = [datetime(2009, 1, d) for d in range(1, 29)]
@@ -464,3 +465,30 @@ def test_contests_alike_are_ranked_once(spark):
     )
     alike = scoring.alike_contests(contests, ["track_id", "ranking"])
     assert rows(alike, "contest_id", "like") == sorted([(5, 3), (3, 3), (4, 4), (8, 8), (9, 9), (None, 8)], key=repr)
+
+
+def test_touched_matches_are_of_the_given_matches(spark):
+    old, new = DAY[0], DAY[20]
+    tables = {
+        "project": spark.createDataFrame([(1, new), (2, old), (3, old), (4, new), (5, old), (6, old), (None, new)], "project_id bigint, modify_date timestamp_ntz"),
+        "project_info": spark.createDataFrame(
+            [(2, 1, "20", old, old), (3, 56, "30", old, old), (5, 22, "x", old, new), (6, 56, "60", old, old), (4, 1, "20", old, new)],
+            "project_id bigint, project_info_type_id int, value string, create_date timestamp_ntz, modify_date timestamp_ntz",
+        ),
+        "comp_versions": spark.createDataFrame([(20, new)], "comp_vers_id bigint, modify_date timestamp_ntz"),
+        "payment": spark.createDataFrame([(300, old, new), (600, old, old), (None, new, new)], "most_recent_detail_id bigint, create_date timestamp_ntz, modify_date timestamp_ntz"),
+        "payment_detail": spark.createDataFrame(
+            [(300, 53, 30, old, old), (600, 53, 60, old, old), (600, 65, 60, new, new)],
+            "payment_detail_id bigint, payment_status_id int, algorithm_round_id bigint, create_date timestamp_ntz, date_modified timestamp_ntz",
+        ),
+    }
+    context = LoadContext(tables.__getitem__, lambda name: None, DAY[10], DAY[27])
+    matches = spark.createDataFrame([(1,), (2,), (2,), (3,), (5,), (6,)], "project_id bigint")
+    # By the project, the version, an attribute and a payment of the round; 4 changed, but is no match.
+    assert rows(touched_matches(context, matches)) == [(1,), (2,), (3,), (5,)]
+
+
+def test_a_calendar_is_worked_out_once_per_query(spark, sf_dir):
+    views = {}
+    assert world.spark_table(spark, sf_dir, "dw_calendar", views).count() == world.spark_table(spark, sf_dir, "dw_calendar").count()
+    assert set(views) == {"dw_calendar"}
