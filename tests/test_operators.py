@@ -12,6 +12,7 @@ from loadstone.functions import fixed
 from loadstone.operators import aggregates, changes, joins, merge, report, scoring
 from loadstone.plans.core import LoadContext
 from loadstone.plans.projects import people, touched_matches
+from loadstone.session import settle
 from loadstone.sources import Source, Warehouse, read_table, write_table
 
 DAY = [datetime(2009, 1, d) for d in range(1, 29)]
@@ -467,6 +468,16 @@ def test_contests_alike_are_ranked_once(spark):
     assert rows(alike, "contest_id", "like") == sorted([(5, 3), (3, 3), (4, 4), (8, 8), (9, 9), (None, 8)], key=repr)
 
 
+def test_sieve_passes_every_key_and_few_others(spark):
+    keys = settle(spark.range(0, 300_000, 100).select(F.col("id").cast("int").alias("k")).unionByName(spark.createDataFrame([(None,), (0,)], "k int")))
+    table = spark.range(0, 300_000).select(F.col("id"), F.col("id").alias("value"))
+    passed = joins.Sieve.of(keys).rows(table.unionByName(table.filter("id = 200")), "id")
+    assert passed.columns == ["id", "value"]
+    assert passed.filter("id % 100 = 0").count() == 3001
+    assert passed.filter("id % 100 <> 0").count() < 300_000 * 0.15
+    assert joins.Sieve.of(keys.filter("k < 0")).rows(table, "id").count() == 0
+
+
 def test_touched_matches_are_of_the_given_matches(spark):
     old, new = DAY[0], DAY[20]
     tables = {
