@@ -503,3 +503,68 @@ def test_a_calendar_is_worked_out_once_per_query(spark, sf_dir):
     views = {}
     assert world.spark_table(spark, sf_dir, "dw_calendar", views).count() == world.spark_table(spark, sf_dir, "dw_calendar").count()
     assert set(views) == {"dw_calendar"}
+
+
+def test_what_is_settled_on_the_way_goes(spark):
+    import os
+
+    from loadstone.session import lasting, settle_alone
+
+    kept = {}
+    place = lambda frame: frame.inputFiles()[0].removeprefix("file:").rpartition("/")[0]
+
+    def make():
+        kept["way"] = settle(spark.range(50).withColumn("k", F.col("id") % 5))
+        with lasting():
+            kept["shared"] = settle(spark.range(3))
+        kept["way"], kept["shared_at"], frame = place(kept["way"]), place(kept["shared"]), kept["way"]
+        return frame.groupBy("k").count()
+
+    found = settle_alone(make)
+    assert rows(found) == [(k, 10) for k in range(5)]
+    assert not os.path.exists(kept["way"]) and os.path.exists(kept["shared_at"]) and os.path.exists(place(found))
+    with pytest.raises(ZeroDivisionError):
+        settle_alone(lambda: 1 / 0)
+
+
+def test_exchanged_files_go_when_rows_are_settled(spark):
+    import glob
+
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [d.getAbsolutePath() for d in manager.localDirs()]
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before = files()
+    frame = spark.range(1000).repartition(7)
+    settle(frame)
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        import time
+
+        time.sleep(0.1)
+    assert not left
+    # Only there: a result that is read twice is not worked out twice.
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def test_rows_pass_by_a_condition_or_a_sieve(spark):
+    keys = lambda *ids: joins.Sieve.of(settle(spark.createDataFrame([(i,) for i in ids], "k bigint")))
+    table = spark.range(2000).select("id", (F.col("id") * 7).alias("other"), F.when(F.col("id") % 500 == 1, True).alias("own"))
+    passed = joins.passing(table, F.col("own"), [("id", keys(3, 4)), ("other", keys(70, 5))])
+    ids = [r.id for r in passed.collect()]
+    assert passed.columns == table.columns and len(ids) == len(set(ids)) < 2000 * 0.5
+    assert {1, 501, 1001, 1501, 3, 4, 10} <= set(ids)
+
+
+def test_reviews_without_a_change_are_left_out_before_they_are_exchanged(spark, sf_dir):
+    from loadstone.catalog import jobs
+    from loadstone.plans import core
+
+    ctx = jobs.context(spark, sf_dir, datetime(2001, 6, 1), {}, jobs.CLOSED)
+    every = core.reviews(ctx, (4, 5, 6, 7))
+    late_items = core.late(ctx, "review_item", "review_id").distinct()
+    found = core.reviews(ctx, (4, 5, 6, 7), below=core.changed_below(ctx, "ri"))
+    names = [c for c in every.columns]
+    wanted = every.filter(core.review_changed()).unionByName(every.join(late_items, "review_id", "left_semi")).distinct()
+    assert 0 < wanted.count() and set(rows(wanted, *names)) <= set(rows(found, *names)) <= set(rows(every, *names))
+    assert found.count() < every.count()
