@@ -568,3 +568,58 @@ def test_reviews_without_a_change_are_left_out_before_they_are_exchanged(spark,
     wanted = every.filter(core.review_changed()).unionByName(every.join(late_items, "review_id", "left_semi")).distinct()
     assert 0 < wanted.count() and set(rows(wanted, *names)) <= set(rows(found, *names)) <= set(rows(every, *names))
     assert found.count() < every.count()
+
+
+@pytest.mark.parametrize("many", [1_000_000, 30, 0])
+def test_standings_by_pieces_equal_those_of_all_pairs(spark, monkeypatch, many):
+    rng = random.Random(many)
+    moment = lambda: DAY[0] + timedelta(hours=rng.randrange(500))
+    results = [(rng.randrange(3), moment(), rng.randrange(9), rng.choice([1, 2, None]), *(float(rng.randrange(5)) for _ in range(3))) for _ in range(150)]
+    results.append((1, None, 1, 1, 5.0, 5.0, 5.0))
+    contests = []
+    for i in range(12):
+        start = moment()
+        contests += [(i, k, start, start + timedelta(hours=rng.choice([-1, 0, 30, 400])), rng.choice(["points", "top_performers"]), rng.choice([None, 2.0]))
+                     for k in rng.sample(range(3), rng.choice([1, 1, 2]))]
+    contests.append(contests[0])
+    frame = settle(spark.createDataFrame(
+        results, "kind int, at timestamp_ntz, user_id int, placed int, points_awarded double, final_points double, potential_points double"
+    ))
+    drawn = settle(spark.createDataFrame(contests, "contest_id bigint, kind int, start_date timestamp_ntz, end_date timestamp_ntz, ranking string, factor double"))
+    pairs = frame.join(drawn, (frame["kind"] == drawn["kind"]) & frame["at"].between(drawn["start_date"], drawn["end_date"])).drop("kind")
+    wanted = scoring.rank_users(pairs, F.col("ranking"), F.col("factor"))
+    monkeypatch.setattr(scoring, "MANY_RESULTS", max(many, 1))
+    found = scoring.standings(frame, drawn, "at", "kind")
+    assert rows(found, *wanted.columns) == rows(wanted) != []
+    # Where no contest has many results, pairs are not exchanged: the standings come out of the one exchange of the results.
+    if many > 1000:
+        assert "RangePartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
+
+
+def test_rankings_that_need_more_than_sums_are_exchanged(spark, monkeypatch):
+    monkeypatch.setitem(scoring._rankings, "share", scoring.ContestRanking(lambda p, f: p, F.sum, lambda own, whole: F.try_divide(100 * own, whole)))
+    assert [r[0] for r in spark.range(1).select(scoring.in_place(F.lit("share"))).collect()] == [False]
+    frame = settle(spark.createDataFrame(
+        [(1, DAY[3], u, 1, float(u), float(u), 0.0) for u in (1, 3)],
+        "kind int, at timestamp_ntz, user_id int, placed int, points_awarded double, final_points double, potential_points double",
+    ))
+    drawn = settle(spark.createDataFrame(
+        [(7, 1, DAY[0], DAY[9], "share", 1.0), (8, 1, DAY[0], DAY[9], "points", 1.0)],
+        "contest_id bigint, kind int, start_date timestamp_ntz, end_date timestamp_ntz, ranking string, factor double",
+    ))
+    found = scoring.standings(frame, drawn, "at", "kind")
+    assert {(r.contest_id, r.user_id): (float(r.final_points), r.current_place) for r in found.collect()} == {
+        (7, 1): (25.0, 2), (7, 3): (75.0, 1), (8, 1): (1.0, 2), (8, 3): (3.0, 1)}
+
+
+def test_standings_spread_to_contests_alike_with_their_own_prizes(spark):
+    ranked = spark.createDataFrame(
+        [(1, 5, 9, 9, 0, 1), (1, 6, 0, 0, 0, 2), (3, 5, 4, 4, 0, 1)],
+        "contest_id bigint, user_id bigint, initial_points int, final_points int, potential_points int, current_place bigint",
+    )
+    alike = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 4)], "contest_id bigint, like bigint")
+    prizes = spark.createDataFrame([(1, 1, 10), (1, 1, 20), (2, 2, 30), (2, None, 40), (3, 2, 50)], "contest_id bigint, place int, prize_amount int")
+    found = scoring.spread_alike(ranked, alike, prizes)
+    assert rows(found, "contest_id", "user_id", "current_place", "current_prize") == sorted(
+        [(1, 5, 1, 20), (1, 6, 2, None), (2, 5, 1, None), (2, 6, 2, None), (3, 5, 1, None)], key=repr)
