@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loadstone.operators import sequences
+from loadstone.session import settle
 
 
 def rows(frame, *columns):
@@ -211,3 +212,16 @@ def test_slots(spark):
 def test_place_gaps(spark):
     frame = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 3)], "c int, place int")
     assert rows(sequences.place_gaps(frame, ["c"], "place"), "c", "place", "gap") == [(1, 1, 0), (1, 2, 0), (2, 1, 0), (2, 3, 1)]
+
+
+def test_blocks_are_numbered_where_they_are(spark, monkeypatch):
+    rows = settle(spark.range(200).select("id", (F.col("id") % 7).alias("track"), (F.col("id") % 3).cast("int").alias("part")))
+    dealt = rows.repartitionById(3, "part")
+    found = sequences.block_keys(dealt, ["track", "part"], ["id"], "k", 9)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    expected = sorted((i % 7, i % 3, i) for i in range(200))
+    assert sorted((r.k, r.id) for r in found.collect()) == [(10 + n, i) for n, (_, _, i) in enumerate(expected)]
+    monkeypatch.setattr(sequences, "FEW_BLOCKS", 0)
+    again = sequences.block_keys(dealt, ["track", "part"], ["id"], "k", 9)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found.collect()))
