@@ -623,3 +623,17 @@ def test_standings_spread_to_contests_alike_with_their_own_prizes(spark):
     found = scoring.spread_alike(ranked, alike, prizes)
     assert rows(found, "contest_id", "user_id", "current_place", "current_prize") == sorted(
         [(1, 5, 1, 20), (1, 6, 2, None), (2, 5, 1, None), (2, 6, 2, None), (3, 5, 1, None)], key=repr)
+
+
+def test_many_changed_keys_are_not_sent_to_all_tasks(spark, monkeypatch):
+    target = settle(spark.range(0, 60, 2).select("id", F.col("id").cast("string").alias("v"), F.lit(1).alias("w")))
+    changes = settle(spark.range(40).select("id", F.lit("new").alias("v"), F.lit(None).cast("int").alias("w")))
+    plan = lambda frame: frame._jdf.queryExecution().sparkPlan().toString()
+    partly = changes.drop("w")
+    few = [merge.upsert(target, c, ["id"], settled=True) for c in (changes, partly)]
+    monkeypatch.setattr(merge, "MANY_KEYS", 39)
+    many = [merge.upsert(target, c, ["id"], settled=True) for c in (changes, partly)]
+    for a, b in zip(few, many):
+        assert "BroadcastHashJoin" in plan(a) and "SortMergeJoin" in plan(b)
+        assert rows(a) == rows(b)
+    assert "BroadcastHashJoin" not in plan(many[0])
