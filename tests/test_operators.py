@@ -637,3 +637,30 @@ def test_many_changed_keys_are_not_sent_to_all_tasks(spark, monkeypatch):
         assert "BroadcastHashJoin" in plan(a) and "SortMergeJoin" in plan(b)
         assert rows(a) == rows(b)
     assert "BroadcastHashJoin" not in plan(many[0])
+
+
+def test_children_in_steps_give_the_same_rows(spark):
+    parents = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "id bigint")
+    texts = spark.createDataFrame([(1, "a"), (1, "b"), (3, None), (None, "z")], "id bigint, text string")
+    sums = spark.createDataFrame([(1, 5), (2, 7), (2, 8), (9, 1)], "id bigint, amount bigint")
+    parts = {"text": (texts, {"last": F.max("text"), "texts": F.count("text")}), "sum": (sums, {"total": F.sum("amount")})}
+    steps = aggregates.join_children(parents, parts, "id", zero=["texts"], steps=True)
+    assert rows(steps) == rows(aggregates.join_children(parents, parts, "id", zero=["texts"]))
+    # Only the ids of the parents are still grouped: what comes of the tables is settled.
+    plan = steps._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("amount" in line or "text" in line for line in plan.splitlines() if "Aggregate" in line)
+
+
+def test_rows_of_few_replaced_keys_stay_where_they_are(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    target = settle(spark.range(50).select("id", (F.col("id") % 5).alias("k")))
+    touched = settle(spark.createDataFrame([(1,), (1,), (None,)], "k bigint"))
+    new = spark.createDataFrame([(100, 1)], "id bigint, k bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = {few: merge.replace_by_key(target, new, ["k"], touched, few=few) for few in (0, 2, 3)}
+        plans = {few: frame._jdf.queryExecution().sparkPlan().toString() for few, frame in found.items()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert ["BroadcastHashJoin" in plans[few] for few in (0, 2, 3)] == [False, False, True]
+    assert rows(found[0]) == rows(found[2]) == rows(found[3]) and found[3].count() == 41
